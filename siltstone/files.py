@@ -15,16 +15,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+def write_new_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """Create a file; fails if it is there already (the commit point of a table)."""
     fs, p = _fs(spark, path)
     out = fs.create(p, False)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(data))
     finally:
         out.close()
 
 
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    write_new_bytes(spark, path, text.encode("utf-8"))
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gzip
 import posixpath
 import re
+import uuid
 from collections.abc import Mapping as Map, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from .. import files
@@ -127,37 +129,60 @@ class ExternalTable:
         """Write rows in the table's layout below `path` (its first path by default)."""
         if self.data_format not in WRITABLE:
             raise ValueError(f"{self.data_format} files can be read but not written")
-        spark, path = df.sparkSession, path or self.path_list[0]
+        spark, path = df.sparkSession, (path or self.path_list[0]).rstrip("/")
         df = df.select(*self.struct.fieldNames())
-        if self._spark_format == "csv" and self.encoding == "UTF8BOM":
-            raise ValueError("files with a byte order mark can be read but not written")
-        if self.include_headers == "FirstFile" and self._spark_format == "csv":
-            raise ValueError("FirstFile headers can be read but not written")
+        columns = [c for c in df.columns if c not in self.partitions]
+        is_csv, header = self._spark_format == "csv", self.include_headers
+        if is_csv and self.encoding == "UTF8BOM":
+            if header == "None":
+                raise ValueError("a byte order mark is written with the header; headers are off")
+            if header == "All":  # the mark goes in front of the first header name
+                df = df.withColumnRenamed(columns[0], "\ufeff" + columns[0])
+        # A custom layout is written hive style beside its target, then moved.
+        staged = f"{path}/_staged-{uuid.uuid4().hex}" if self.path_format else path
         writer = sized_writer(
             df, distributed=distributed, size_limit=size_limit, row_group_rows=row_group_rows
         ).format(self._spark_format).options(**self._options)
-        if self._spark_format == "csv":
-            writer = writer.option("header", self.include_headers == "All")
+        if is_csv:
+            writer = writer.option("header", header == "All")
         if self.compressed and self.data_format != "parquet":
             writer = writer.option("compression", "gzip")
-        self._partitioned(writer).save(path)
-        if self.name_prefix or self.file_extension:
-            self._rename(spark, path)
+        if self.partitions:
+            writer = writer.partitionBy(*self.partitions)
+        writer.mode("append" if not self.path_format else "errorifexists").save(staged)
+        self._place(spark, staged, path, columns, header == "FirstFile" and is_csv)
         return path
 
-    def _partitioned(self, writer: DataFrameWriter) -> DataFrameWriter:
-        if self.path_format:
-            raise ValueError("a custom path format can be read but not written; use hive partitions")
-        return writer.partitionBy(*self.partitions) if self.partitions else writer
-
-    def _rename(self, spark: SparkSession, path: str) -> None:
-        """Give the data files their prefix and extension: metadata only, no rows move."""
-        for old in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles():
+    def _place(self, spark: SparkSession, staged: str, path: str, columns: list[str], head: bool) -> None:
+        """Give data files their folder, prefix and extension, and each folder its
+        header file. Only names change; no rows move."""
+        renamed = self.path_format or self.name_prefix or self.file_extension
+        if not (renamed or head):
+            return
+        written = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(staged).inputFiles()
+        folders = set()
+        for old in written:
             folder, name = posixpath.split(old)
-            kept = ".gz" if name.endswith(".gz") else ""
-            stem = name.split(".")[0]
-            ending = (self.file_extension + kept) if self.file_extension else name[len(stem):]
-            files.rename(spark, old, f"{folder}/{self.name_prefix}{stem}{ending}")
+            if self.path_format:
+                values = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
+                below = re.sub(r"\{(\w+)\}", lambda m: values[m.group(1)], self.path_format)
+                folder = f"{path}/{below}"
+                files.make_dirs(spark, folder)
+            folders.add(folder)
+            if renamed:
+                kept = ".gz" if name.endswith(".gz") else ""
+                stem = name.split(".")[0]
+                ending = (self.file_extension + kept) if self.file_extension else name[len(stem):]
+                prefix = "" if name.startswith(self.name_prefix) else self.name_prefix
+                files.rename(spark, old, f"{folder}/{prefix}{stem}{ending}")
+        if head:
+            mark = "\ufeff" if self.encoding == "UTF8BOM" else ""
+            line = (mark + self._options.get("sep", ",").join(columns) + "\n").encode("utf-8")
+            ending = (self.file_extension or ".csv") + (".gz" if self.compressed else "")
+            for folder in folders:
+                # Sorts before Spark's own part-... names, so it is the first file.
+                name = f"{folder}/{self.name_prefix}header{ending}"
+                files.write_new_bytes(spark, name, gzip.compress(line) if self.compressed else line)
 
     def sample_uris(self, spark: SparkSession) -> DataFrame:
         """The folder of each distinct combination of partition values."""
