@@ -101,9 +101,7 @@ class HashKey:
     def equals(self, value, data_type: str | T.DataType) -> Column:
         """A filter on the raw column, with the partition it can only be in."""
         typed = F.lit(value).cast(data_type)
-        return (F.col(self.column) == typed) & F.col(self.name).isin(-1) | (
-            (F.col(self.column) == typed) & (F.col(self.name) == self.place(typed))
-        )
+        return (F.col(self.column) == typed) & F.col(self.name).isin(F.lit(-1), self.place(typed))
 
 
 @dataclass(frozen=True)

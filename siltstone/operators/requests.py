@@ -54,18 +54,26 @@ def concurrency(requests: DataFrame, scope: Sequence[str], request_id: str, star
 
     Every request is a +1 and a -1 on the time line and the count is their
     running total, spread over blocks so that one dominant scope stays parallel.
-    A request that ends when another starts no longer runs. Every request counts
-    as admitted. Ids are unique; scopes are not null."""
+    A request that ends when another starts no longer runs; one without an end
+    still runs. Every request counts as admitted. Ids are unique; scopes and
+    starts are not null."""
+    at_once = F.col(end) <= F.col(start)
     edges = F.array(
-        F.struct(micros(F.col(end)).alias("_at"), F.lit(0).alias("_kind"), F.lit(-1).alias("_step")),
-        F.struct(micros(F.col(start)).alias("_at"), F.lit(1).alias("_kind"), F.lit(1).alias("_step")),
+        F.struct(micros(F.col(start)).alias("_at"), F.lit(1).alias("_kind"), F.lit(0).alias("_own"), F.lit(1).alias("_step")),
+        # Ends come before starts of the same time, but a request without
+        # duration ends right after its own start.
+        F.struct(
+            micros(F.greatest(start, end)).alias("_at"),
+            at_once.cast("int").alias("_kind"),
+            at_once.cast("int").alias("_own"),
+            F.lit(-1).alias("_step"),
+        ),
     )
-    line = requests.select(*dict.fromkeys([*scope, request_id, start, end]), F.inline(edges))
-    # A request of no duration ends before it starts; its end must not count first.
-    line = line.where(F.col(end) > F.col(start))
-    totals = running_totals(line, scope, ["_at", "_kind", request_id], {out: F.col("_step")}, blocks)
-    counted = totals.where("_kind = 1").select(request_id, F.col(out).cast("long"))
-    return requests.join(counted, request_id, "left").withColumn(out, F.coalesce(out, F.lit(0).cast("long")))
+    line = requests.select(*scope, request_id, F.col(end).isNull().alias("_runs"), F.inline(edges))
+    line = line.where("_step = 1 OR NOT _runs").drop("_runs")
+    totals = running_totals(line, scope, ["_at", "_kind", request_id, "_own"], {out: F.col("_step")}, blocks)
+    counted = totals.where("_step = 1").select(request_id, F.col(out).cast("long"))
+    return requests.join(counted, request_id)
 
 
 def decide(requests: DataFrame, limits: Sequence[RateLimit], request_id: str, start: str, end: str, *,
