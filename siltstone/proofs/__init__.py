@@ -1,0 +1,4 @@
+from . import ingestion, relational
+from .registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "ingestion", "relational"]

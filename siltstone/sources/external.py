@@ -145,6 +145,8 @@ class ExternalTable:
         ).format(self._spark_format).options(**self._options)
         if is_csv:
             writer = writer.option("header", header == "All")
+        if self._spark_format in ("csv", "json"):  # Spark's default keeps milliseconds only
+            writer = writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         if self.compressed and self.data_format != "parquet":
             writer = writer.option("compression", "gzip")
         if self.partitions:

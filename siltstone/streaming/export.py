@@ -50,7 +50,7 @@ class ContinuousExport:
         rows = source.where(F.col(self.time) <= upto)
         if last is not None:
             rows = rows.where(F.col(self.time) > ntz(last))
-        folder = f"{self.external.path_list[0]}/run-{len(runs):012d}"
+        folder = f"{self.external.path_list[0]}/run={len(runs):012d}"
         if files.exists(spark, folder):
             files.rename(spark, folder, f"{self.external.path_list[0]}/_left-{len(runs):012d}-{datetime.now():%Y%m%d%H%M%S%f}")
         result = run_query(spark, self.query, functions, source=rows)
@@ -81,6 +81,8 @@ class ContinuousExport:
             writer = writer.option("header", self.external.include_headers == "All").option(
                 "sep", "\t" if self.external.data_format == "tsv" else ","
             )
+        if spark_format in ("csv", "json"):
+            writer = writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         if self.external.partitions:
             writer = writer.partitionBy(*self.external.partitions)
         seconds = parse_timespan(self.interval) // 1_000_000
