@@ -1,4 +1,4 @@
-from . import ingestion, relational
+from . import checks, ingestion, lifecycle, relational, streams, views
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "ingestion", "relational"]
+__all__ = ["QUERIES", "SQL", "checks", "ingestion", "lifecycle", "relational", "streams", "views"]
