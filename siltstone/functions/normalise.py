@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scalars import unquote_schema
+from .scalars import strict_dynamic, unquote_schema
 from .types import to_timespan_literal
 
 
@@ -24,7 +24,7 @@ def same_text(a: Column, b: Column) -> Column:
 
 def canonical_json(text: Column) -> Column:
     """JSON with sorted keys and no spaces; text that is not JSON stays as it is."""
-    return F.coalesce(F.to_json(F.try_parse_json(text)), text)
+    return F.coalesce(F.to_json(strict_dynamic(text)), text)
 
 
 def same_json(a: Column, b: Column) -> Column:
@@ -73,7 +73,7 @@ def _nodes(df: DataFrame, key: list[str], column: str, depth: int) -> DataFrame:
     plan has as many levels as the data nests, found by the caller.
     """
     is_object = "schema_of_variant(v) LIKE 'OBJECT%'"
-    level = df.select(*key, F.lit("$").alias("path"), F.expr(f"try_parse_json({column})").alias("v"))
+    level = df.select(*key, F.lit("$").alias("path"), strict_dynamic(F.col(column)).alias("v"))
     level = level.where("v IS NOT NULL")
     found = None
     for _ in range(depth + 1):

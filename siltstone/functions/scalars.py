@@ -49,6 +49,20 @@ def has_term(text: Column, term: str) -> Column:
     return text.rlike(f"(?i){before}{re.escape(term)}{after}")
 
 
+def is_json(text: Column) -> Column:
+    """Exactly one JSON value. The parser stops after the first value, so the
+    text is tried inside an array and inside an object: what could follow the
+    value in one cannot follow it in the other."""
+    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    return text.isNotNull() & in_array & in_object
+
+
+def strict_dynamic(text: Column) -> Column:
+    """VARIANT of a text that is exactly one JSON value, else null."""
+    return F.when(is_json(text), F.try_parse_json(text))
+
+
 def parse_dynamic(text: Column) -> Column:
     """JSON text as VARIANT; null where it is not valid JSON."""
     return F.try_parse_json(text)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import is_uuid
+from ..functions.scalars import is_json, is_uuid
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ def matches(c: str, pattern: str) -> Column:
 
 
 def valid_json(c: str) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    return is_json(F.col(c))
 
 
 def uuid(c: str) -> Column:

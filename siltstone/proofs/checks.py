@@ -144,13 +144,13 @@ LIMITS = json.dumps([
 
 
 def _concurrency_sql(scope: str) -> str:
-    return f"""sum(step) OVER (PARTITION BY {scope} ORDER BY at, kind, event_id, own ROWS UNBOUNDED PRECEDING)"""
+    return f"""sum(step) OVER (PARTITION BY {scope} ORDER BY moment, kind, event_id, own ROWS UNBOUNDED PRECEDING)"""
 
 
 @query(
     "concurrent_requests",
     f"""WITH r AS (SELECT *, {GROUP_SQL} AS workload_group FROM {REQUEST_SQL}),
-       line AS (SELECT event_id, user_id, workload_group, epoch_us(started) AS at, 1 AS kind, 0 AS own, 1 AS step FROM r
+       line AS (SELECT event_id, user_id, workload_group, epoch_us(started) AS moment, 1 AS kind, 0 AS own, 1 AS step FROM r
                 UNION ALL SELECT event_id, user_id, workload_group, epoch_us(ended), CAST(ended <= started AS INTEGER), CAST(ended <= started AS INTEGER), -1 FROM r),
        counted AS (SELECT *, {_concurrency_sql('workload_group')} AS g, {_concurrency_sql('workload_group, user_id')} AS p FROM line)
        SELECT event_id, workload_group, CAST(g AS BIGINT) AS concurrent_in_group, CAST(p AS BIGINT) AS concurrent_for_principal,

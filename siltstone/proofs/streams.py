@@ -182,11 +182,12 @@ def ingestion_batching_hot_source(spark, sf):
 
 @query("ingestion_batching_stream", f"SELECT user_id, first_time, last_time, items, bytes, sealed_by FROM ({_batch_sql('user_id')}) WHERE sealed_by <> 'open'")
 def ingestion_batching_stream(spark, sf):
-    """The same batches when events arrive in three micro-batches."""
-    path, schema = _event_files(spark, sf)
+    """The same batches when events arrive in three micro-batches, week by week."""
+    path, checkpoint, items = fresh_dir(spark, "weeks"), fresh_dir(spark, "checkpoint"), _items(spark, sf)
     batcher = StreamBatcher(spark, fresh_dir(spark, "batcher"), ["user_id"], "ts", ["event_id"], "size", BATCH_POLICY)
-    stream = read_stream(spark, path, schema, maxFilesPerTrigger="2", latestFirst="false").withColumn("size", F.ceil("value").cast("long"))
-    _finish(batcher.start(stream, fresh_dir(spark, "checkpoint")))
+    for low, high in (("2000-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2100-01-01")):
+        items.where((F.col("ts") >= low) & (F.col("ts") < high)).write.mode("append").parquet(path)
+        _finish(batcher.start(read_stream(spark, path, items.schema), checkpoint))
     return batcher.sealed.read()
 
 
