@@ -66,54 +66,43 @@ def _object_depth(text: Column) -> Column:
     return F.aggregate(braces, start, step, lambda acc: acc["most"])
 
 
-def _nodes(df: DataFrame, key: list[str], column: str, depth: int) -> DataFrame:
-    """One row per JSON node: its path and, for all but objects, its value.
-
-    Objects are opened level by level; arrays and scalars stay whole. The
-    plan has as many levels as the data nests, found by the caller.
-    """
-    is_object = "schema_of_variant(v) LIKE 'OBJECT%'"
-    level = df.select(*key, F.lit("$").alias("path"), strict_dynamic(F.col(column)).alias("v"))
-    level = level.where("v IS NOT NULL")
-    found = None
-    for _ in range(depth + 1):
-        rows = level.select(
-            *key,
-            "path",
-            F.expr(f"CASE WHEN {is_object} THEN '<object>' ELSE to_json(v) END").alias("leaf"),
+def _nodes(text: Column, depth: int) -> Column:
+    """Every node of a JSON value as (path, value): objects are opened level by
+    level, arrays and scalars stay whole. Null where the text is not JSON."""
+
+    def is_object(v: Column) -> Column:
+        return F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
+
+    def leaf(node: Column) -> Column:
+        shown = F.when(is_object(node["v"]), "<object>").otherwise(F.to_json(node["v"]))
+        return F.struct(node["path"].alias("path"), shown.alias("value"))
+
+    def opened(node: Column) -> Column:
+        members = F.map_entries(F.variant_get(node["v"], "$", "map<string,variant>"))
+        return F.transform(
+            members,
+            lambda e: F.struct(F.concat_ws("/", node["path"], F.to_json(F.array(e["key"]))).alias("path"), e["value"].alias("v")),
         )
-        found = rows if found is None else found.unionByName(rows)
-        level = level.where(is_object).lateralJoin(
-            df.sparkSession.tvf.variant_explode(F.col("v").outer())
-        ).select(*key, F.concat_ws("/", "path", F.to_json(F.array("key"))).alias("path"), F.col("value").alias("v"))
+
+    root = F.struct(F.lit("$").alias("path"), strict_dynamic(text).alias("v"))
+    level = F.filter(F.array(root), lambda n: n["v"].isNotNull())
+    found = F.transform(level, leaf)
+    for _ in range(depth):
+        level = F.flatten(F.transform(F.filter(level, lambda n: is_object(n["v"])), opened))
+        found = F.concat(found, F.transform(level, leaf))
     return found
 
 
-def json_subset(df: DataFrame, key: list[str], old: str, new: str, out: str = "same") -> DataFrame:
+def json_subset(df: DataFrame, old: str, new: str, out: str = "same") -> DataFrame:
     """True where one JSON value is contained in the other, either way.
 
     Objects compare by key, arrays and scalars as a whole. Both sides become
-    (path, value) rows and are counted per key and side in one aggregation, so
-    no document is opened in Python and no pair of rows is compared with
-    another pair. A value that is not JSON is contained in nothing.
-    """
-    depth = df.agg(
-        F.greatest(
-            F.coalesce(F.max(_object_depth(F.col(old))), F.lit(0)),
-            F.coalesce(F.max(_object_depth(F.col(new))), F.lit(0)),
-        )
-    ).first()[0]
-    sides = _nodes(df, key, old, depth).withColumn("side", F.lit(1)).unionByName(
-        _nodes(df, key, new, depth).withColumn("side", F.lit(2))
-    )
-    verdict = (
-        sides.groupBy(*key, "path", "leaf")
-        .agg(F.bool_or(F.col("side") == 1).alias("l"), F.bool_or(F.col("side") == 2).alias("r"))
-        .groupBy(*key)
-        .agg(
-            (
-                (F.bool_and("r") | F.bool_and("l")) & F.bool_or("l") & F.bool_or("r")
-            ).alias(out)
-        )
-    )
-    return df.join(verdict, key, "left").withColumn(out, F.coalesce(out, F.lit(False)))
+    arrays of (path, value) inside their own row, so nothing is shuffled. Text
+    that is not JSON is contained in nothing. A first pass finds how deep
+    objects nest, which is how often the plan opens them."""
+    deepest = [F.coalesce(F.max(_object_depth(F.col(c))), F.lit(0)) for c in (old, new)]
+    depth = df.agg(F.greatest(*deepest)).first()[0]
+    nodes = df.withColumns({"_old": _nodes(F.col(old), depth), "_new": _nodes(F.col(new), depth)})
+    within = (F.size(F.array_except("_old", "_new")) == 0) | (F.size(F.array_except("_new", "_old")) == 0)
+    both = (F.size("_old") > 0) & (F.size("_new") > 0)
+    return nodes.withColumn(out, within & both).drop("_old", "_new")

@@ -84,22 +84,22 @@ def parse_timespan(text: str) -> int:
 
 
 def timespan_micros(text: Column) -> Column:
-    """Column form of :func:`parse_timespan`; null where the text is no timespan."""
+    """Column form of :func:`parse_timespan`; null where the text is no timespan.
+    Each form is matched once; its parts are then cut out without patterns."""
     text = F.trim(text)
-
-    def part(pattern: str, group: int) -> Column:
-        found = F.regexp_extract(text, pattern, group)
-        return F.when(found != "", found).otherwise("0").cast("bigint")
-
-    unit = F.regexp_extract(text, _UNIT_FORM, 2)
+    unit = F.right(text, F.lit(1))
     per_unit = F.lit(None).cast("bigint")
     for name, micros in UNIT_MICROS.items():
         per_unit = F.when(unit == name, F.lit(micros)).otherwise(per_unit)
-    clock = sum(
-        (part(_CLOCK_FORM, i + 1) * F.lit(UNIT_MICROS[u]) for i, u in enumerate("dhms")),
-        F.lit(0).cast("bigint"),
-    )
-    return F.when(text.rlike(_UNIT_FORM), part(_UNIT_FORM, 1) * per_unit).when(text.rlike(_CLOCK_FORM), clock)
+    count = F.left(text, F.length(text) - 1).try_cast("bigint")
+
+    days = F.when(F.contains(text, F.lit(".")), F.substring_index(text, ".", 1)).otherwise("0")
+    parts = F.split(F.substring_index(text, ".", -1), ":")
+    pieces = {"d": days, "h": parts[0], "m": parts[1], "s": F.coalesce(F.get(parts, F.lit(2)), F.lit("0"))}
+    clock = F.lit(0).cast("bigint")
+    for name, piece in pieces.items():
+        clock = clock + piece.cast("bigint") * F.lit(UNIT_MICROS[name])
+    return F.when(text.rlike(_UNIT_FORM), count * per_unit).when(text.rlike(_CLOCK_FORM), clock)
 
 
 def in_units(micros: Column, unit: str) -> Column:

@@ -126,12 +126,13 @@ class Summary:
         """Only whole-row measures can take up new source columns."""
         return all(isinstance(m, Arg) and m.columns is None for m in self.measures)
 
-    def partial(self, df: DataFrame) -> DataFrame:
+    def partial(self, df: DataFrame, *extra: Column) -> DataFrame:
+        """State of the rows; `extra` aggregates ride along in the same pass."""
         columns = [c for m in self.measures for c in m.partial(df, self.keys)]
-        return df.groupBy(*self.keys).agg(*columns)
+        return df.groupBy(*self.keys).agg(*columns, *extra)
 
-    def merge(self, states: DataFrame) -> DataFrame:
-        return states.groupBy(*self.keys).agg(*[c for m in self.measures for c in m.merge()])
+    def merge(self, states: DataFrame, *extra: Column) -> DataFrame:
+        return states.groupBy(*self.keys).agg(*[c for m in self.measures for c in m.merge()], *extra)
 
     def final(self, state: DataFrame) -> DataFrame:
         return state.select(*self.keys, *[c for m in self.measures for c in m.final(state.schema)])

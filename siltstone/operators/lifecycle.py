@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from ..functions.types import parse_timespan
-from ..session import small_side
+from ..session import materialise, small_side
 from .segments import Bounds, greedy_groups
 
 INGESTION_TIME = "_ingestion_time"
@@ -211,7 +211,8 @@ def plan_merges(
     slim = files.select(
         *keys, "path", F.col("rows").cast("long"), F.col("bytes").cast("long"), "created", micros(F.col("created")).alias("_at")
     )
-    grouped = greedy_groups(slim, keys, ["_at", "path"], bounds, "merge_group", block_rows).drop("_at", "_rn")
+    grouped = greedy_groups(materialise(slim, "files"), keys, ["_at", "path"], bounds, "merge_group", block_rows)
+    grouped = materialise(grouped.drop("_at", "_rn"), "groups")
     several = grouped.groupBy(*keys, "merge_group").agg(F.count(F.lit(1)).alias("files")).where("files > 1")
     return grouped.join(several, [*keys, "merge_group"])
 

@@ -1,9 +1,10 @@
 """Running totals that stay parallel when one key holds most of the rows.
 
-A plain window puts all rows of a key in one task. Here rows are range
-partitioned by key and order, so a hot key is spread over many blocks; totals
-run inside each block, and a small table of block totals carries the sum from
-one block to the next.
+A plain window puts all rows of a key in one task. Keys are therefore counted
+first. Those of up to `block_rows` rows use the window. The rows of hotter keys
+are range partitioned by key and order, so that each key is spread over many
+blocks; totals run inside a block, and a small table of block totals carries
+the sum from one block to the next.
 """
 
 from __future__ import annotations
@@ -13,7 +14,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, small_side
+
+BLOCK_ROWS = 1_000_000
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], block_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of keys that fit in a block, and rows of those that do not (None if
+    there are none). The count is a map-side combined pass over the keys alone."""
+    if not keys:
+        return (df, None) if df.limit(block_rows + 1).count() <= block_rows else (df.limit(0), df)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).select(*keys)
+    hot = materialise(hot, "hot-keys")
+    if hot.isEmpty():
+        return df, None
+    side = small_side(hot)
+    return df.join(side, list(keys), "left_anti"), df.join(side, list(keys), "left_semi")
 
 
 def range_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int | None = None) -> DataFrame:
@@ -39,27 +55,43 @@ def carried_totals(blocked: DataFrame, keys: Sequence[str], totals: Mapping[str,
     )
 
 
-def running_totals(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: Mapping[str, Column],
-    blocks: int | None = None,
+def windowed_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """Running totals of keys that each fit in one task."""
+    here = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns({n: F.sum(v).over(here) for n, v in values.items()})
+
+
+def blocked_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column], blocks: int | None = None
 ) -> DataFrame:
-    """Add one running total per entry of `values` (name -> addend), including
-    the current row, in `order` within `keys`."""
+    """Running totals of keys of any size."""
     addends = {f"_add_{n}": v for n, v in values.items()}
     blocked = range_blocks(df.withColumns(addends), keys, order, blocks)
     carried = carried_totals(blocked, keys, {f"_carry_{n}": F.sum(f"_add_{n}") for n in values})
     here = Window.partitionBy("_block", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = blocked.withColumns({n: F.sum(f"_add_{n}").over(here) for n in values})
-    same = [local["_block"] == carried["_block"]] + [local[k].eqNullSafe(carried[k]) for k in keys]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
+    condition = local["_block"] == carried["_block"]
+    for k in keys:
+        condition = condition & local[k].eqNullSafe(carried[k])
     # At most one row per block, so the side is bounded by the block count.
     joined = local.join(F.broadcast(carried), condition, "left")
     return joined.select(
         *[local[c] for c in df.columns],
         *[(local[n] + F.coalesce(carried[f"_carry_{n}"], F.lit(0))).alias(n) for n in values],
     )
+
+
+def running_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: Mapping[str, Column],
+    block_rows: int = BLOCK_ROWS,
+    blocks: int | None = None,
+) -> DataFrame:
+    """Add one running total per entry of `values` (name -> addend), including
+    the current row, in `order` within `keys`. `df` is read more than once; hand
+    over a table or something as cheap."""
+    cold, hot = split_hot(df, keys, block_rows)
+    result = windowed_totals(cold, keys, order, values)
+    return result if hot is None else result.unionByName(blocked_totals(hot, keys, order, values, blocks))

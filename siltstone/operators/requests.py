@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import case, strict_dynamic
 from ..functions.types import timespan_micros
+from ..session import materialise
 from .drift import lookup
 from .lifecycle import micros
-from .ordered import running_totals
+from .ordered import BLOCK_ROWS, running_totals
 
 DEFAULT_GROUP = "default"
 
@@ -49,8 +50,9 @@ def rate_limits(policies_json: str) -> list[RateLimit]:
 
 
 def concurrency(requests: DataFrame, scope: Sequence[str], request_id: str, start: str, end: str,
-                out: str = "concurrent", blocks: int | None = None) -> DataFrame:
-    """Requests of the scope that run when each one starts, itself included.
+                out: str = "concurrent", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, count): requests of the scope that run when each one starts, itself
+    included.
 
     Every request is a +1 and a -1 on the time line and the count is their
     running total, spread over blocks so that one dominant scope stays parallel.
@@ -71,22 +73,24 @@ def concurrency(requests: DataFrame, scope: Sequence[str], request_id: str, star
     )
     line = requests.select(*scope, request_id, F.col(end).isNull().alias("_runs"), F.inline(edges))
     line = line.where("_step = 1 OR NOT _runs").drop("_runs")
-    totals = running_totals(line, scope, ["_at", "_kind", request_id, "_own"], {out: F.col("_step")}, blocks)
-    counted = totals.where("_step = 1").select(request_id, F.col(out).cast("long"))
-    return requests.join(counted, request_id)
+    totals = running_totals(line, scope, ["_at", "_kind", request_id, "_own"], {out: F.col("_step")}, block_rows)
+    return totals.where("_step = 1").select(request_id, F.col(out).cast("long"))
 
 
 def decide(requests: DataFrame, limits: Sequence[RateLimit], request_id: str, start: str, end: str, *,
-           group: str = "workload_group", principal: str = "principal", queuing: bool = False) -> DataFrame:
+           group: str = "workload_group", principal: str = "principal", queuing: bool = False,
+           block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Concurrency per enabled limit and a verdict: ``admitted``, or ``queued``
     (queuing on) or ``throttled`` where any limit is exceeded."""
+    # Each limit sorts the log anew; the log itself is made only once.
+    slim = materialise(requests.select(request_id, group, principal, start, end), "requests")
     over = F.lit(False)
     for limit in limits:
         if not limit.enabled:
             continue
         scope = [group] if limit.scope == "WorkloadGroup" else [group, principal]
         name = "concurrent_in_group" if limit.scope == "WorkloadGroup" else "concurrent_for_principal"
-        requests = concurrency(requests, scope, request_id, start, end, name)
+        requests = requests.join(concurrency(slim, scope, request_id, start, end, name, block_rows), request_id)
         over = over | (F.col(name) > limit.max_concurrent)
     return requests.withColumn("verdict", F.when(over, "queued" if queuing else "throttled").otherwise("admitted"))
 

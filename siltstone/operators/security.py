@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.stored import Functions, Query, run_query
+from ..session import materialise
 
 # Display name of each role.
 ROLE_NAMES = {"admins": "Admin", "ingestors": "Ingestor"}
@@ -104,6 +105,7 @@ def containing_pairs(hay: DataFrame, needles: DataFrame) -> DataFrame:
     offered = hay.select(
         "hay", F.explode(F.concat(*[F.coalesce(_grams(F.col("hay"), n), F.array().cast("array<string>")) for n in range(1, _GRAM + 1)])).alias("gram")
     ).join(asked.select("gram").distinct(), "gram", "left_semi")
+    offered = materialise(offered, "pieces")
     frequency = offered.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     # A needle with a piece that no hay has cannot match.
     rarest = (

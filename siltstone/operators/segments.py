@@ -13,7 +13,7 @@ running in one task, its rows are cut into blocks of fixed length, and
 
 A group never holds more than `max_items` rows, so each block only needs the
 first `max_items` rows of the next one besides its own. Keys that fit in one
-block skip steps 1 and 2.
+block need none of this: one window shuffle brings their rows together.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, types as T
 from pyspark.sql import functions as F
 
 from ..session import materialise, small_side
-from .ordered import running_totals
+from .ordered import blocked_totals, split_hot, windowed_totals
 
 # The functions that run in tasks travel with the job, so executors need not
 # have this package installed.
@@ -160,52 +160,52 @@ def greedy_groups(
     block_rows: int | None = None,
 ) -> DataFrame:
     """`df` plus `_rn` (place within the key) and `out`: the place of the row
-    that opens the group. `order` must be unique within a key; `keys` not null."""
+    that opens the group. `order` must be unique within a key; `keys` not null.
+    `df` is read more than once; hand over a table or something as cheap."""
     keys, block_rows = list(keys), max(block_rows or 100_000, bounds.max_items)
     totals = {"_rn": F.lit(1).cast("long"), **{f"_cum_{n}": F.col(n).cast("long") for n in bounds.sums}}
-    placed = running_totals(df, keys, order, totals).withColumn(
-        "_blk", F.floor((F.col("_rn") - 1) / block_rows)
+    names = [*df.columns, "_rn"]
+    schema = T.StructType([*df.schema.fields, T.StructField("_rn", T.LongType()), T.StructField("_group", T.LongType())])
+    label = _labels(bounds, block_rows, names)
+
+    cold, hot = split_hot(df, keys, block_rows)
+    # The window leaves each key whole and in order, so no further shuffle.
+    whole = windowed_totals(cold, keys, order, totals).withColumns(
+        {"_blk": F.lit(0).cast("long"), "_entry": F.lit(1).cast("long")}
     )
-    placed = materialise(placed, "placed")
+    result = whole.mapInArrow(label, schema)
+    if hot is not None:
+        blocks = _entered_blocks(hot, keys, order, bounds, totals, block_rows)
+        result = result.unionByName(blocks.mapInArrow(label, schema))
+    return result.withColumnRenamed("_group", out)
+
 
-    # Each block also gets the top of the next one.
+def _entered_blocks(
+    hot: DataFrame, keys: list[str], order: Sequence[str], bounds: Bounds, totals: dict, block_rows: int
+) -> DataFrame:
+    """Rows of hot keys in sorted blocks, each with the top of the next one and
+    with `_entry`, the place where its first group starts."""
+    placed = blocked_totals(hot, keys, order, totals)
+    placed = materialise(placed.withColumn("_blk", F.floor((F.col("_rn") - 1) / block_rows)), "placed")
     at_top = (F.col("_blk") > 0) & ((F.col("_rn") - 1) % block_rows < bounds.max_items)
     homes = F.when(at_top, F.array(F.col("_blk"), F.col("_blk") - 1)).otherwise(F.array("_blk"))
     spread = placed.withColumn("_blk", F.explode(homes))
 
-    hot = placed.where("_blk > 0").select(*keys).distinct()
-    if hot.isEmpty():
-        with_entry = spread.withColumn("_entry", F.lit(1).cast("long"))
-    else:
-        slim = list(dict.fromkeys([*keys, "_blk", "_rn", *bounds.sums, *[f"_cum_{n}" for n in bounds.sums],
-                                   *([bounds.axis] if bounds.axis else [])]))
-        link_schema = T.StructType(
-            [placed.schema[c] for c in keys]
-            + [T.StructField("_blk", T.LongType()), T.StructField("_rn", T.LongType()), T.StructField("_to", T.LongType())]
-        )
-        jumps = (
-            spread.select(*slim)
-            .join(small_side(hot), keys, "left_semi")
-            .repartition(*keys, "_blk")
-            .sortWithinPartitions(*keys, "_blk", "_rn")
-            .mapInArrow(_jumps(bounds, block_rows, [*keys, "_blk", "_rn"]), link_schema)
-        )
-        entries = _follow(jumps, keys).select(
-            *keys, F.floor((F.col("rn") - 1) / block_rows).alias("_blk"), F.col("rn").alias("_entry")
-        )
-        # A block is entered once: the jumps lead from block to block.
-        entries = entries.groupBy(*keys, "_blk").agg(F.min("_entry").alias("_entry"))
-        with_entry = spread.join(small_side(entries), [*keys, "_blk"], "left").withColumn(
-            "_entry", F.when(F.col("_blk") == 0, F.lit(1).cast("long")).otherwise(F.col("_entry"))
-        )
-    names = [*df.columns, "_rn"]
-    schema = T.StructType([*df.schema.fields, T.StructField("_rn", T.LongType()), T.StructField("_group", T.LongType())])
-    return (
-        with_entry.repartition(*keys, "_blk")
-        .sortWithinPartitions(*keys, "_blk", "_rn")
-        .mapInArrow(_labels(bounds, block_rows, names), schema)
-        .withColumnRenamed("_group", out)
+    def sorted_blocks(df: DataFrame) -> DataFrame:
+        return df.repartition(*keys, "_blk").sortWithinPartitions(*keys, "_blk", "_rn")
+
+    slim = list(dict.fromkeys([*keys, "_blk", "_rn", *bounds.sums, *[f"_cum_{n}" for n in bounds.sums],
+                               *([bounds.axis] if bounds.axis else [])]))
+    jump_schema = T.StructType(
+        [placed.schema[c] for c in keys] + [T.StructField(c, T.LongType()) for c in ("_blk", "_rn", "_to")]
+    )
+    jumps = sorted_blocks(spread.select(*slim)).mapInArrow(_jumps(bounds, block_rows, [*keys, "_blk", "_rn"]), jump_schema)
+    entries = (
+        _follow(jumps, keys)
+        .groupBy(*keys, F.floor((F.col("rn") - 1) / block_rows).alias("_blk"))
+        .agg(F.min("rn").alias("_entry"))  # a block is entered once: jumps lead from block to block
     )
+    return sorted_blocks(spread.join(small_side(entries), [*keys, "_blk"], "left"))
 
 
 @dataclass(frozen=True)
@@ -232,9 +232,8 @@ def seal_batches(
         "_size", F.col(size).cast("long")
     )
     bounds = Bounds(policy.max_items, {"_size": policy.max_bytes}, "_at", policy.max_span_micros, closing=True)
-    grouped = greedy_groups(
-        timed.select(*keys, time, *ties, "_at", "_size"), keys, ["_at", *ties], bounds, "batch_start", block_rows
-    )
+    slim = timed.select(*keys, time, *ties, "_at", "_size")
+    grouped = materialise(greedy_groups(slim, keys, ["_at", *ties], bounds, "batch_start", block_rows), "batches")
     batches = grouped.groupBy(*keys, "batch_start").agg(
         F.min(time).alias("first_time"),
         F.max(time).alias("last_time"),

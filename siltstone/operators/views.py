@@ -19,7 +19,7 @@ from ..sources.tables import Table
 from .aggregates import Summary
 from .lifecycle import INGESTION_TIME, micros, ntz
 from .ordered import running_totals
-from .schema import conform
+from .schema import conform, merged
 
 
 @dataclass(frozen=True)
@@ -59,10 +59,22 @@ class MaterializedView:
         return run_query(self.spark, self.spec.query, self.functions, source=rows)
 
     def _partial(self, rows: DataFrame, created=None) -> DataFrame:
-        state = self.spec.summary.partial(self._shape(rows))
+        """State with `_created`, its date, and `_upto`, the latest row in it. So
+        the rows are read once: how far the state reaches is asked of the state."""
+        shaped, time = self._shape(rows), self.spec.time
+        upto = F.max(time) if time in shaped.columns else F.lit(None)
+        state = self.spec.summary.partial(shaped, upto.cast("timestamp_ntz").alias("_upto"))
         created = F.current_timestamp().cast("timestamp_ntz") if created is None else created
         return state.withColumn("_created", created)
 
+    def _reach(self, part: str, rows: DataFrame) -> datetime | None:
+        """The latest time in a written part, or in `rows` if the view's query
+        leaves the time out."""
+        written = self.state.read_staged(part).agg(F.max("_upto")).first()[0]
+        if written is None and self.spec.time in rows.columns and self.spec.query is not None:
+            return rows.agg(F.max(self.spec.time)).first()[0]
+        return written
+
     def create(self, source: DataFrame, *, as_of: datetime | None = None, source_secured: bool = False) -> "MaterializedView":
         """Build the first state: from all current rows, from rows that arrived
         after the effective time, or from nothing ("from now on")."""
@@ -70,59 +82,58 @@ class MaterializedView:
             raise PermissionError("the source has row-level security; the view must be allowed to read past it")
         if self.state.exists():
             raise ValueError("the view exists")
-        time = self.spec.time
+        spec, time = self.spec, self.spec.time
         rows = source if as_of is None else source.where(F.col(time) <= ntz(as_of))
-        upto = rows.agg(F.max(time)).first()[0] if as_of is None else as_of
-        if not self.spec.backfill:
-            rows = rows.limit(0)
-        elif self.spec.effective is not None:
-            rows = rows.where(F.col(time) > ntz(self.spec.effective))
-        created = F.col(self.spec.created_by).cast("timestamp_ntz") if self.spec.created_by else None
-        notes = {"materialized_to": _text(upto)}
-        if not (self.spec.max_records and self.spec.backfill):
-            self.state.append(self._partial(rows, created), batch="backfill", notes=notes)
+        if not spec.backfill:
+            upto = rows.agg(F.max(time)).first()[0] if as_of is None else as_of
+            self.state.append(self._partial(rows.limit(0)), batch="backfill", notes={"materialized_to": _text(upto)})
             return self
-        # Chunks are separate jobs, each with a time filter that reaches the scan
-        # and state of its own size; one commit makes them all visible.
-        chunks = [
-            (f"backfill-{_text(low)}", rows.where((F.col(time) >= ntz(low)) & (F.col(time) <= ntz(high))))
-            for low, high in chunk_bounds(rows, time, self.spec.max_records)
-        ]
-        with ThreadPoolExecutor(max(1, self.spec.concurrency)) as pool:
+        if spec.effective is not None:
+            rows = rows.where(F.col(time) > ntz(spec.effective))
+        created = F.col(spec.created_by).cast("timestamp_ntz") if spec.created_by else None
+        chunks = [("backfill", rows)]
+        if spec.max_records:
+            # Separate jobs, each with a time filter that reaches the scan and
+            # state of its own size; one commit makes them all visible.
+            chunks = [
+                (f"backfill-{_text(low)}", rows.where((F.col(time) >= ntz(low)) & (F.col(time) <= ntz(high))))
+                for low, high in chunk_bounds(rows, time, spec.max_records)
+            ]
+        with ThreadPoolExecutor(max(1, spec.concurrency)) as pool:
             written = list(pool.map(lambda c: (c[0], self.state.stage(self._partial(c[1], created))), chunks))
-        self.state.add_staged(dict(written), self._partial(rows, created).schema, notes=notes)
+        upto = as_of or max(filter(None, (self._reach(part, rows) for _, part in written)), default=None)
+        self.state.add_staged(dict(written), self._partial(rows, created).schema, notes={"materialized_to": _text(upto)})
         return self
 
     def refresh(self, batch: DataFrame, batch_id: str) -> "MaterializedView":
         """Fold in newly arrived rows. The same `batch_id` twice is a no-op."""
-        batch_id = f"refresh-{batch_id}"
-        if self.state.exists() and batch_id in self.state.batches:
+        batch_id, known = f"refresh-{batch_id}", self.state.exists()
+        if known and batch_id in self.state.batches:
             return self
-        upto = batch.agg(F.max(self.spec.time)).first()[0] if self.spec.time in batch.columns else None
-        before = self.state.notes.get("materialized_to") if self.state.exists() else None
-        notes = {"materialized_to": max(filter(None, (before, _text(upto))), default=None)}
         partial = self._partial(batch)
-        if self.state.exists() and not self.spec.auto_update_schema:
-            partial = conform(partial, self.state.schema)  # new source columns stay out
-        self.state.append(partial, batch=batch_id, extend_schema=self.spec.auto_update_schema, notes=notes)
+        schema = partial.schema
+        if known:
+            # New source columns stay out unless the view follows its source.
+            schema = merged(self.state.schema, schema) if self.spec.auto_update_schema else self.state.schema
+        part = self.state.stage(conform(partial, schema))
+        before = self.state.notes.get("materialized_to") if known else None
+        upto = max(filter(None, (before, _text(self._reach(part, batch)))), default=None)
+        self.state.add_staged({batch_id: part}, schema, notes={"materialized_to": upto})
         return self
 
     def compact(self) -> "MaterializedView":
         """Fold all parts of the state into one."""
-        state = self.state.read()
-        merged = self.spec.summary.merge(state).join(
-            state.groupBy(*self.spec.summary.keys).agg(F.max("_created").alias("_created")), list(self.spec.summary.keys)
-        )
-        self.state.swap_parts(self.state.batches, merged)
+        dates = [F.max(c).alias(c) for c in ("_upto", "_created")]
+        self.state.swap_parts(self.state.batches, self.spec.summary.merge(self.state.read(), *dates))
         return self
 
     def alter(self, spec: ViewSpec, source: DataFrame, *, as_of: datetime | None = None) -> "MaterializedView":
         """Change the query: the state is built anew and switched in."""
         self.spec = spec
         rows = source if as_of is None else source.where(F.col(spec.time) <= ntz(as_of))
-        upto = rows.agg(F.max(spec.time)).first()[0] if as_of is None else as_of
-        self.state.replace(self._partial(rows), recreate_schema=True, batch="altered",
-                           notes={"materialized_to": _text(upto)})
+        part = self.state.stage(self._partial(rows))
+        upto = as_of or self._reach(part, rows)
+        self.state.set_staged({"altered": part}, self._partial(rows).schema, notes={"materialized_to": _text(upto)})
         return self
 
     # -- reading -----------------------------------------------------------
@@ -141,7 +152,7 @@ class MaterializedView:
         state = self.state.read()
         if source is not None:
             state = state.unionByName(self._partial(self.pending(source)), allowMissingColumns=True)
-        return self.spec.summary.final(self.spec.summary.merge(state.drop("_created")))
+        return self.spec.summary.final(self.spec.summary.merge(state))
 
     def status(self, source: DataFrame, *, as_of: datetime, healthy_lag_micros: int, enabled: bool = True) -> DataFrame:
         """One row: materialised to, lag, rows pending, healthy, enabled."""

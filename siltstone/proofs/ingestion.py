@@ -218,7 +218,7 @@ MONTH_SQL = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_o
 def _by_month(spark, sf, **more):
     table = ExternalTable(MONTH_SCHEMA, "csv", fresh_dir(spark, "orders-months"), partitions=("year", "month"), **more)
     orders = load(spark, sf, "orders").withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
-    table.write(orders.hint("rebalance", "year", "month"))
+    table.write(orders)
     return table
 
 

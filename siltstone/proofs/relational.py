@@ -397,4 +397,4 @@ def json_subset(spark, sf):
         F.concat(F.lit('{"a":{"x":'), key, F.lit('},"b":'), F.when(F.col("o_orderpriority") == "2-HIGH", "[2,1]").otherwise("[1,2]"), F.lit("}")),
     ).otherwise(F.concat(F.lit('{"a":{"x":'), key, F.lit('.5,"w":1}}')))
     pairs = load(spark, sf, "orders").select("o_orderkey", old.alias("old"), new.alias("new"))
-    return normalise.json_subset(pairs, ["o_orderkey"], "old", "new").select("o_orderkey", "same")
+    return normalise.json_subset(pairs, "old", "new").select("o_orderkey", "same")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from ..functions.types import spark_type
-from ..session import small_side
+from ..session import materialise, small_side
 
 # The accepted kinds of mapping.
 KINDS = ("json", "csv", "parquet", "avro", "orc", "w3clogfile", "apacheavro")
@@ -124,11 +124,12 @@ def map_w3c(lines: DataFrame, mapping: Mapping, target: T.StructType, count_bad:
     """`lines` has `value` and `path`. Each file names its own fields in a
     ``#Fields:`` line, so records are matched with the header of their file;
     ``-`` means no value."""
-    headers = (
+    headers = materialise(
         lines.where(F.startswith("value", F.lit("#Fields:")))
         .groupBy("path")
         .agg(F.min("value").alias("_header"))
-        .select("path", F.split(F.trim(F.substring_index("_header", "#Fields:", -1)), r"\s+").alias("_fields"))
+        .select("path", F.split(F.trim(F.substring_index("_header", "#Fields:", -1)), r"\s+").alias("_fields")),
+        "headers",
     )
     records = lines.where(~F.startswith("value", F.lit("#")) & (F.trim("value") != ""))
     raw = records.join(small_side(headers), "path").withColumn("_parts", F.split("value", r"\s+"))

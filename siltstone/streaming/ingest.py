@@ -13,6 +13,7 @@ from ..functions.types import parse_timespan
 from ..operators.lifecycle import micros, ntz
 from ..operators.segments import BatchingPolicy, Bounds, greedy_groups
 from ..operators.views import MaterializedView
+from ..session import materialise
 from ..sources.tables import Table
 
 
@@ -92,7 +93,10 @@ class StreamBatcher:
             rows = self.open_items.read().unionByName(rows)
         rows = rows.withColumn("_at", micros(F.col(self.time))).withColumn("_size", F.col(self.size).cast("long"))
         bounds = Bounds(p.max_items, {"_size": p.max_bytes}, "_at", p.max_span_micros, closing=True)
-        grouped = greedy_groups(rows, self.keys, ["_at", *self.ties], bounds, "batch_start", self.block_rows)
+        grouped = materialise(
+            greedy_groups(materialise(rows, "items"), self.keys, ["_at", *self.ties], bounds, "batch_start", self.block_rows),
+            "batches",
+        )
         batches = grouped.groupBy(*self.keys, "batch_start").agg(
             F.min(self.time).alias("first_time"),
             F.max(self.time).alias("last_time"),
