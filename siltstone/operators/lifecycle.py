@@ -217,12 +217,17 @@ def plan_merges(
     return grouped.join(several, [*keys, "merge_group"])
 
 
+# A part folder in the path of a data file: as appended, or one group of a merge.
+_PART = r"(part-[0-9a-f]{32}(?:/merge_group=[0-9]+)?)/[^/]+$"
+
+
 def part_table(table) -> DataFrame:
-    """One row per part folder of a table: path, rows, bytes, created."""
+    """One row per part folder of a table: path, rows, bytes, created. Rows are
+    counted from file metadata; no column is read."""
     rows = table.read().select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
     per_file = rows.groupBy("file_path", "file_size", "file_modification_time").agg(F.count(F.lit(1)).alias("rows"))
     return (
-        per_file.groupBy(F.element_at(F.split("file_path", "/"), -2).alias("path"))
+        per_file.groupBy(F.regexp_extract("file_path", _PART, 1).alias("path"))
         .agg(
             F.sum("rows").alias("rows"),
             F.sum("file_size").alias("bytes"),
@@ -233,20 +238,19 @@ def part_table(table) -> DataFrame:
 
 
 def run_merges(table, policy: MergePolicy, as_of: datetime | str) -> int:
-    """Rewrite small parts of a table, each group as one file, and switch them in
-    with one commit. Gives the number of parts replaced. Only part folders are
-    listed on the driver; a task holds at most one group, which the bounds limit."""
+    """Rewrite small parts of a table, one part per group, and switch them in
+    with one commit. Gives the number of parts replaced. The driver sees names of
+    part folders only; a task holds at most one group, which the bounds limit."""
     if not policy.allow_rebuild:
         return 0
     plan = plan_merges(part_table(table), ["table_name"], policy, as_of).select("path", "merge_group")
-    chosen = [r["path"] for r in plan.select("path").collect()]
-    if not chosen:
+    group_of = {r["path"]: r["merge_group"] for r in plan.collect()}
+    if not group_of:
         return 0
-    held = table.folders
-    removed = [b for part in chosen for b in held[part]]
-    rows = table.read_batches(removed)
-    columns = rows.columns
-    located = rows.withColumn("path", F.element_at(F.split("_metadata.file_path", "/"), -2))
-    merged = located.join(small_side(plan), "path").repartition("merge_group").select(*columns)
-    table.swap_parts(removed, merged)
-    return len(chosen)
+    batches = {batch: part for part, held in table.folders.items() if part in group_of for batch in held}
+    rows = table.read_batches(list(batches))
+    located = rows.withColumn("path", F.regexp_extract("_metadata.file_path", _PART, 1))
+    merged = located.join(small_side(plan), "path").select(*rows.columns, "merge_group").repartition("merge_group")
+    staged = table.stage(merged, ["merge_group"])
+    table.move_batches({batch: f"{staged}/merge_group={group_of[part]}" for batch, part in batches.items()})
+    return len(group_of)

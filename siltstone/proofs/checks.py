@@ -147,23 +147,33 @@ def _concurrency_sql(scope: str) -> str:
     return f"""sum(step) OVER (PARTITION BY {scope} ORDER BY moment, kind, event_id, own ROWS UNBOUNDED PRECEDING)"""
 
 
-@query(
-    "concurrent_requests",
-    f"""WITH r AS (SELECT *, {GROUP_SQL} AS workload_group FROM {REQUEST_SQL}),
+CONCURRENT_SQL = f"""WITH r AS (SELECT *, {GROUP_SQL} AS workload_group FROM {REQUEST_SQL}),
        line AS (SELECT event_id, user_id, workload_group, epoch_us(started) AS moment, 1 AS kind, 0 AS own, 1 AS step FROM r
                 UNION ALL SELECT event_id, user_id, workload_group, epoch_us(ended), CAST(ended <= started AS INTEGER), CAST(ended <= started AS INTEGER), -1 FROM r),
        counted AS (SELECT *, {_concurrency_sql('workload_group')} AS g, {_concurrency_sql('workload_group, user_id')} AS p FROM line)
        SELECT event_id, workload_group, CAST(g AS BIGINT) AS concurrent_in_group, CAST(p AS BIGINT) AS concurrent_for_principal,
-              CASE WHEN g > 4 OR p > 1 THEN 'queued' ELSE 'admitted' END AS verdict FROM counted WHERE step = 1""",
-)
-def concurrent_requests(spark, sf):
+              CASE WHEN g > 4 OR p > 1 THEN 'queued' ELSE 'admitted' END AS verdict FROM counted WHERE step = 1"""
+
+
+def _decided(spark, sf, **more):
     decided = req.decide(
         _classified(spark, sf).select("event_id", "user_id", "workload_group", "started", "ended"),
-        req.rate_limits(LIMITS), "event_id", "started", "ended", principal="user_id", queuing=True,
+        req.rate_limits(LIMITS), "event_id", "started", "ended", principal="user_id", queuing=True, **more,
     )
     return decided.select("event_id", "workload_group", "concurrent_in_group", "concurrent_for_principal", "verdict")
 
 
+@query("concurrent_requests", CONCURRENT_SQL)
+def concurrent_requests(spark, sf):
+    return _decided(spark, sf)
+
+
+@query("concurrent_requests_hot_group", CONCURRENT_SQL)
+def concurrent_requests_hot_group(spark, sf):
+    """The same, with the larger groups spread over blocks of the time line."""
+    return _decided(spark, sf, block_rows=1000)
+
+
 POLICY = {
     "Premium": {"MaxResultRecords": {"IsRelaxable": True, "Value": 90}, "MaxExecutionTime": {"IsRelaxable": False, "Value": "01:00:00"}},
     "Automated": {"MaxResultBytes": {"IsRelaxable": True, "Value": 2000}, "DataScope": {"IsRelaxable": True, "Value": "HotCache"}},

@@ -173,10 +173,9 @@ def ingestion_batching(spark, sf):
     return seal_batches(_items(spark, sf), ["user_id"], "ts", ["event_id"], "size", BATCH_POLICY).drop("batch_start")
 
 
-@query("ingestion_batching_hot_source")
+@query("ingestion_batching_hot_source", _batch_sql("event_type"))
 def ingestion_batching_hot_source(spark, sf):
-    """Few sources with many items each; small blocks make the work spread.
-    Proven against brute force in the tests: the recursion is too slow in SQL."""
+    """Few sources with many items each, cut into blocks that run apart."""
     return seal_batches(_items(spark, sf), ["event_type"], "ts", ["event_id"], "size", BATCH_POLICY, block_rows=500).drop("batch_start")
 
 

@@ -8,8 +8,9 @@ import re
 import uuid
 from collections.abc import Mapping as Map, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from .. import files
@@ -23,6 +24,13 @@ HEADERS = ("All", "FirstFile", "None")
 ENCODINGS = ("UTF8NoBOM", "UTF8BOM")
 
 
+def _unescaped(part: Column) -> Column:
+    """A folder name as a value: once as part of a URI, once as Spark escapes
+    partition values. A plus sign is no space here."""
+    once = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+    return F.coalesce(F.try_url_decode(F.replace(once, F.lit("+"), F.lit("%2B"))), once)
+
+
 @dataclass(frozen=True)
 class ExternalTable:
     """`paths` may be one comma-separated text. `partitions` lists the columns
@@ -73,7 +81,9 @@ class ExternalTable:
         """Paths narrowed to the wanted partition values of a custom layout."""
         if not self.path_format:
             return self.path_list
-        pattern = re.sub(r"\{(\w+)\}", lambda m: str(wanted.get(m.group(1), "*")), self.path_format)
+        # Values that are not plain text cannot be part of a glob; the filter remains.
+        plain = {k: str(v) for k, v in wanted.items() if re.fullmatch(r"[\w .-]+", str(v))}
+        pattern = re.sub(r"\{(\w+)\}", lambda m: plain.get(m.group(1), "*"), self.path_format)
         return [f"{p}/{pattern}" for p in self.path_list]
 
     def _load(self, spark: SparkSession, paths: list[str], header: bool) -> DataFrame:
@@ -97,7 +107,7 @@ class ExternalTable:
             df = self._load(spark, paths, self.include_headers == "All")
         else:
             # The listing is the one Spark keeps for the scan anyway.
-            found = sorted(self._load(spark, paths, False).inputFiles())
+            found = sorted(unquote(f) for f in self._load(spark, paths, False).inputFiles())
             firsts: dict[str, str] = {}
             for path in found:
                 firsts.setdefault(posixpath.dirname(path), path)
@@ -116,7 +126,7 @@ class ExternalTable:
             df = df.select(
                 "*",
                 *[
-                    F.url_decode(F.regexp_extract(path, layout, i + 1)).try_cast(self.struct[name].dataType).alias(name)
+                    _unescaped(F.regexp_extract(path, layout, i + 1)).try_cast(self.struct[name].dataType).alias(name)
                     for i, name in enumerate(order)
                 ],
             )
@@ -166,7 +176,7 @@ class ExternalTable:
             return
         written = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(staged).inputFiles()
         folders = set()
-        for old in written:
+        for old in map(unquote, written):
             folder, name = posixpath.split(old)
             if self.path_format:
                 values = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
