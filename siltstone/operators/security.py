@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.stored import Functions, Query, run_query
-from ..session import materialise
+from ..session import materialise, small_side
 
 # Display name of each role.
 ROLE_NAMES = {"admins": "Admin", "ingestors": "Ingestor"}
@@ -83,39 +83,45 @@ def resolve_scope(entities: DataFrame, policies: DataFrame, value: str, out: str
 
 
 # -- principal matching ----------------------------------------------------
-_GRAM = 3
-
-
-def _grams(text: Column, length: int) -> Column:
-    """Distinct pieces of the given length; none for shorter text."""
-    starts = F.when(F.length(text) >= length, F.sequence(F.lit(1), F.length(text) - (length - 1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(length))))
-
-
-def containing_pairs(hay: DataFrame, needles: DataFrame) -> DataFrame:
-    """(needle, hay) where the hay text contains the needle text, without
-    comparing every pair. Each needle is looked up by the one of its three-letter
-    pieces that is rarest among the hay, then checked; a needle of one or two
-    letters is looked up whole. Both inputs are one column of non-null text."""
-    hay = hay.select(F.col(hay.columns[0]).alias("hay")).distinct()
-    needles = needles.select(F.col(needles.columns[0]).alias("needle")).where("needle <> ''").distinct()
-    pieces = F.when(F.length("needle") < _GRAM, F.array("needle")).otherwise(_grams(F.col("needle"), _GRAM))
-    asked = needles.select("needle", F.explode(pieces).alias("gram"))
-    # Only pieces that some needle asks for are kept of the hay.
-    offered = hay.select(
-        "hay", F.explode(F.concat(*[F.coalesce(_grams(F.col("hay"), n), F.array().cast("array<string>")) for n in range(1, _GRAM + 1)])).alias("gram")
-    ).join(asked.select("gram").distinct(), "gram", "left_semi")
-    offered = materialise(offered, "pieces")
-    frequency = offered.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    # A needle with a piece that no hay has cannot match.
-    rarest = (
-        asked.join(frequency, "gram", "left")
-        .groupBy("needle")
-        .agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"), F.min(F.coalesce("n", F.lit(0))).alias("n"))
-        .where("n > 0")
-        .select("needle", "gram")
-    )
-    return offered.join(rarest, "gram").where(F.contains("hay", "needle")).select("needle", "hay")
+def _pieces(text: Column, lengths: list[int]) -> Column:
+    """Distinct substrings of `text` that have one of the lengths."""
+
+    def of_length(n: Column) -> Column:
+        starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(text, i, n))
+
+    return F.array_distinct(F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]), of_length)))
+
+
+def _lengths(df: DataFrame, column: str) -> list[int]:
+    """The lengths that occur: no more numbers than the longest text has letters."""
+    return sorted(r[0] for r in df.select(F.length(column)).distinct().where(F.length(column) > 0).collect())
+
+
+def first_within(hay: DataFrame, needles: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """For each needle the least `entry_id` of the hay whose text contains it.
+
+    `hay` is (text, entry_id, *by), `needles` (needle, *by); `by` must agree.
+    Substrings of the lengths that needles have are looked up by equality, and
+    the least id is taken before the needles are joined: no pairs are made, and
+    a needle that most of the hay contains costs one row per task."""
+    needles = needles.where("needle <> ''").distinct()
+    lengths = _lengths(needles, "needle")
+    if not lengths:
+        return needles.withColumn("entry_id", F.lit(None).cast(hay.schema["entry_id"].dataType)).limit(0)
+    pieces = hay.select(*by, "entry_id", F.explode(_pieces(F.col("text"), lengths)).alias("needle"))
+    asked = pieces.join(small_side(needles), ["needle", *by], "left_semi")
+    return asked.groupBy("needle", *by).agg(F.min("entry_id").alias("entry_id"))
+
+
+def first_containing(texts: DataFrame, hay: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """For each text the least `entry_id` of the hay that the text contains.
+    `texts` is (text, *by), `hay` (needle, entry_id, *by)."""
+    least = hay.where("needle <> ''").groupBy("needle", *by).agg(F.min("entry_id").alias("entry_id"))
+    lengths = _lengths(least, "needle") or [1]
+    pieces = texts.distinct().select("text", *by, F.explode(_pieces(F.col("text"), lengths)).alias("needle"))
+    found = pieces.join(least, ["needle", *by])
+    return found.groupBy("text", *by).agg(F.min("entry_id").alias("entry_id"))
 
 
 def match_principals(requests: DataFrame, directory: DataFrame) -> DataFrame:
@@ -124,30 +130,31 @@ def match_principals(requests: DataFrame, directory: DataFrame) -> DataFrame:
     ignoring case, one name within the other, or the part after ``=`` within the
     display name; the entry's role must end with the requested role's name.
     Requests without a match get a null entry."""
-    asked = requests.select("principal", "role").distinct().withColumn("_in", F.lower("principal"))
-    entries = directory.select(
-        "entry_id", F.lower("fqn").alias("_fqn"), F.lower("display_name").alias("_shown"), F.col("role").alias("_role")
+    asked = materialise(
+        requests.select("principal", "role").distinct().where("principal <> ''").select(
+            "principal", "role", F.lower("principal").alias("_in"), role_name(F.col("role")).alias("_want"),
+            F.expr("substring(lower(principal), instr(principal, '=') + 1)").alias("_ident"),
+            F.contains("principal", F.lit("=")).alias("_typed"),
+        ),
+        "asked",
     )
-    by_name = asked.where("_in <> ''")
-    ident = F.when(F.contains(F.col("_in"), F.lit("=")), F.expr("substring(_in, instr(_in, '=') + 1)"))
-    by_ident = by_name.withColumn("_ident", ident).where("_ident <> ''")
-
-    in_entry = containing_pairs(entries.where("_fqn IS NOT NULL").select("_fqn"), by_name.select("_in"))
-    in_request = containing_pairs(by_name.select("_in"), entries.where("_fqn <> ''").select("_fqn"))
-    in_shown = containing_pairs(entries.where("_shown <> ''").select("_shown"), by_ident.select("_ident"))
-    names = in_entry.select(F.col("needle").alias("_in"), F.col("hay").alias("_fqn")).unionByName(
-        in_request.select(F.col("hay").alias("_in"), F.col("needle").alias("_fqn"))
-    ).distinct()
-    candidates = (
-        by_name.join(names, "_in").join(entries, "_fqn").select("principal", "role", "entry_id", "_role")
-    ).unionByName(
-        by_ident.join(in_shown.withColumnsRenamed({"needle": "_ident", "hay": "_shown"}), "_ident")
-        .join(entries, "_shown")
-        .select("principal", "role", "entry_id", "_role")
+    # An entry serves every requested role that its own role ends with.
+    endings = F.transform(F.sequence(F.lit(1), F.length("role")), lambda i: F.substring(F.col("role"), i, F.length("role")))
+    entries = materialise(
+        directory.where("role <> ''").select(
+            "entry_id", F.lower("fqn").alias("_fqn"), F.lower("display_name").alias("_shown"), F.explode(endings).alias("_want")
+        ).join(small_side(asked.select("_want").distinct()), "_want", "left_semi"),
+        "entries",
     )
-    first = (
-        candidates.where(F.endswith("_role", role_name(F.col("role"))))
-        .groupBy("principal", "role")
-        .agg(F.min("entry_id").alias("entry_id"))
+    by = ["_want"]
+    typed = asked.where("_typed AND _ident <> ''")
+    in_name = first_within(entries.select(F.col("_fqn").alias("text"), "entry_id", *by), asked.select(F.col("_in").alias("needle"), *by), by)
+    in_shown = first_within(entries.select(F.col("_shown").alias("text"), "entry_id", *by), typed.select(F.col("_ident").alias("needle"), *by), by)
+    around = first_containing(asked.select(F.col("_in").alias("text"), *by), entries.select(F.col("_fqn").alias("needle"), "entry_id", *by), by)
+    found = (
+        asked.join(in_name.withColumnRenamed("needle", "_in"), ["_in", *by])
+        .unionByName(asked.join(around.withColumnRenamed("text", "_in"), ["_in", *by]))
+        .unionByName(typed.join(in_shown.withColumnRenamed("needle", "_ident"), ["_ident", *by]))
     )
+    first = found.groupBy("principal", "role").agg(F.min("entry_id").alias("entry_id"))
     return requests.join(first, ["principal", "role"], "left")

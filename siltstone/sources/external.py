@@ -162,6 +162,8 @@ class ExternalTable:
             writer = writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         if self.compressed and self.data_format != "parquet":
             writer = writer.option("compression", "gzip")
+        if self.name_prefix:
+            writer = writer.option("mapreduce.output.basename", f"{self.name_prefix}part")
         if self.partitions:
             writer = writer.partitionBy(*self.partitions)
         writer.mode("append" if not self.path_format else "errorifexists").save(staged)
@@ -169,35 +171,45 @@ class ExternalTable:
         return path
 
     def _place(self, spark: SparkSession, staged: str, path: str, columns: list[str], head: bool) -> None:
-        """Give data files their folder, prefix and extension, and each folder its
-        header file. Only names change; no rows move."""
-        renamed = self.path_format or self.name_prefix or self.file_extension
-        if not (renamed or head):
+        """Give folders the custom layout, files their extension, and each folder
+        its header file. Only names change; no rows move."""
+        if not (self.path_format or self.file_extension or head):
             return
-        written = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(staged).inputFiles()
-        folders = set()
-        for old in map(unquote, written):
-            folder, name = posixpath.split(old)
+        # Decoded: the listing gives URIs.
+        written = [
+            unquote(f)
+            for f in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(staged).inputFiles()
+        ]
+        folders: dict[str, str] = {}
+        for folder in {posixpath.dirname(f) for f in written}:
+            folders[folder] = folder
             if self.path_format:
                 values = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
-                below = re.sub(r"\{(\w+)\}", lambda m: values[m.group(1)], self.path_format)
-                folder = f"{path}/{below}"
-                files.make_dirs(spark, folder)
-            folders.add(folder)
-            if renamed:
+                folders[folder] = f"{path}/" + re.sub(r"\{(\w+)\}", lambda m: values[m.group(1)], self.path_format)
+        moved = set()
+        for old, new in folders.items():
+            if old != new and not files.exists(spark, new):
+                files.make_dirs(spark, posixpath.dirname(new))
+                files.rename(spark, old, new)
+                moved.add(old)
+        for old in written:
+            folder, name = posixpath.split(old)
+            at, target = (folders[folder] if folder in moved else folder), folders[folder]
+            wanted = name
+            if self.file_extension:
                 kept = ".gz" if name.endswith(".gz") else ""
-                stem = name.split(".")[0]
-                ending = (self.file_extension + kept) if self.file_extension else name[len(stem):]
-                prefix = "" if name.startswith(self.name_prefix) else self.name_prefix
-                files.rename(spark, old, f"{folder}/{prefix}{stem}{ending}")
+                wanted = name.split(".c000", 1)[0] + self.file_extension + kept
+            if (at, name) != (target, wanted):
+                files.rename(spark, f"{at}/{name}", f"{target}/{wanted}")
         if head:
             mark = "\ufeff" if self.encoding == "UTF8BOM" else ""
             line = (mark + self._options.get("sep", ",").join(columns) + "\n").encode("utf-8")
             ending = (self.file_extension or ".csv") + (".gz" if self.compressed else "")
-            for folder in folders:
+            for folder in set(folders.values()):
                 # Sorts before Spark's own part-... names, so it is the first file.
                 name = f"{folder}/{self.name_prefix}header{ending}"
-                files.write_new_bytes(spark, name, gzip.compress(line) if self.compressed else line)
+                if not files.exists(spark, name):
+                    files.write_new_bytes(spark, name, gzip.compress(line) if self.compressed else line)
 
     def sample_uris(self, spark: SparkSession) -> DataFrame:
         """The folder of each distinct combination of partition values."""

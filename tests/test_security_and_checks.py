@@ -7,15 +7,20 @@ from siltstone.operators import quality as q, requests as req, security as sec
 from siltstone.operators.lifecycle import HashKey, Partitioning, RangeKey
 
 
-def test_containing_pairs_against_brute_force(spark):
+def test_substring_lookups_against_brute_force(spark):
     rng = random.Random(5)
     word = lambda n: "".join(rng.choice("abcé ") for _ in range(n))
-    hay = list({word(rng.randint(0, 12)) for _ in range(150)})
-    needles = list({word(rng.randint(1, 6)) for _ in range(60)} | {"zzz", "aaaa"})
-    got = sec.containing_pairs(spark.createDataFrame([(h,) for h in hay], "h string"), spark.createDataFrame([(n,) for n in needles], "n string"))
-    pairs = [tuple(r) for r in got.select("needle", "hay").collect()]
-    assert len(pairs) == len(set(pairs))
-    assert set(pairs) == {(n, h) for n in needles for h in hay if n in h}
+    hay = [(word(rng.randint(0, 12)), i, rng.choice("xy")) for i in range(200)]
+    needles = list({(word(rng.randint(1, 6)), rng.choice("xy")) for _ in range(80)} | {("zzz", "x"), ("a", "x")})
+    df = spark.createDataFrame(hay, "text string, entry_id int, w string")
+    asked = spark.createDataFrame(needles, "needle string, w string")
+    got = {(r["needle"], r["w"]): r["entry_id"] for r in sec.first_within(df, asked, ["w"]).collect()}
+    want = {(n, w): min((i for h, i, x in hay if x == w and n in h), default=None) for n, w in needles}
+    assert got == {k: v for k, v in want.items() if v is not None}
+    small = [(n, i, w) for i, (n, w) in enumerate(needles)]
+    got = sec.first_containing(df.select("text", "w"), spark.createDataFrame(small, "needle string, entry_id int, w string"), ["w"])
+    want = {(h, x): min((i for n, i, w in small if w == x and n in h), default=None) for h, _, x in hay}
+    assert {(r["text"], r["w"]): r["entry_id"] for r in got.collect()} == {k: v for k, v in want.items() if v is not None}
 
 
 def test_matching_picks_the_first_entry(spark):
