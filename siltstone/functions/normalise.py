@@ -66,31 +66,34 @@ def _object_depth(text: Column) -> Column:
     return F.aggregate(braces, start, step, lambda acc: acc["most"])
 
 
-def _nodes(text: Column, depth: int) -> Column:
-    """Every node of a JSON value as (path, value): objects are opened level by
-    level, arrays and scalars stay whole. Null where the text is not JSON."""
+def _is_object(v: Column) -> Column:
+    return F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
 
-    def is_object(v: Column) -> Column:
-        return F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
 
-    def leaf(node: Column) -> Column:
-        shown = F.when(is_object(node["v"]), "<object>").otherwise(F.to_json(node["v"]))
-        return F.struct(node["path"].alias("path"), shown.alias("value"))
+def _leaf(node: Column) -> Column:
+    shown = F.when(_is_object(node["v"]), "<object>").otherwise(F.to_json(node["v"]))
+    return F.struct(node["path"].alias("path"), shown.alias("value"))
 
-    def opened(node: Column) -> Column:
-        members = F.map_entries(F.variant_get(node["v"], "$", "map<string,variant>"))
-        return F.transform(
-            members,
-            lambda e: F.struct(F.concat_ws("/", node["path"], F.to_json(F.array(e["key"]))).alias("path"), e["value"].alias("v")),
-        )
 
-    root = F.struct(F.lit("$").alias("path"), strict_dynamic(text).alias("v"))
-    level = F.filter(F.array(root), lambda n: n["v"].isNotNull())
-    found = F.transform(level, leaf)
-    for _ in range(depth):
-        level = F.flatten(F.transform(F.filter(level, lambda n: is_object(n["v"])), opened))
-        found = F.concat(found, F.transform(level, leaf))
-    return found
+def _opened(node: Column) -> Column:
+    members = F.map_entries(F.variant_get(node["v"], "$", "map<string,variant>"))
+    return F.transform(
+        members,
+        lambda e: F.struct(F.concat_ws("/", node["path"], F.to_json(F.array(e["key"]))).alias("path"), e["value"].alias("v")),
+    )
+
+
+def _with_nodes(df: DataFrame, text: str, depth: int, out: str) -> DataFrame:
+    """Add every node of a JSON value as (path, value): objects are opened level
+    by level, arrays and scalars stay whole. Empty where the text is not JSON.
+    Each level is a column of its own, so that it is worked out once."""
+    root = F.struct(F.lit("$").alias("path"), strict_dynamic(F.col(text)).alias("v"))
+    df = df.withColumn(f"{out}_0", F.filter(F.array(root), lambda n: n["v"].isNotNull()))
+    for i in range(depth):
+        objects = F.filter(f"{out}_{i}", lambda n: _is_object(n["v"]))
+        df = df.withColumn(f"{out}_{i + 1}", F.flatten(F.transform(objects, _opened)))
+    levels = [f"{out}_{i}" for i in range(depth + 1)]
+    return df.withColumn(out, F.concat(*[F.transform(c, _leaf) for c in levels])).drop(*levels)
 
 
 def json_subset(df: DataFrame, old: str, new: str, out: str = "same") -> DataFrame:
@@ -102,7 +105,7 @@ def json_subset(df: DataFrame, old: str, new: str, out: str = "same") -> DataFra
     objects nest, which is how often the plan opens them."""
     deepest = [F.coalesce(F.max(_object_depth(F.col(c))), F.lit(0)) for c in (old, new)]
     depth = df.agg(F.greatest(*deepest)).first()[0]
-    nodes = df.withColumns({"_old": _nodes(F.col(old), depth), "_new": _nodes(F.col(new), depth)})
+    nodes = _with_nodes(_with_nodes(df, old, depth, "_old"), new, depth, "_new")
     within = (F.size(F.array_except("_old", "_new")) == 0) | (F.size(F.array_except("_new", "_old")) == 0)
     both = (F.size("_old") > 0) & (F.size("_new") > 0)
     return nodes.withColumn(out, within & both).drop("_old", "_new")

@@ -131,24 +131,25 @@ def _labels(bounds: Bounds, block_rows: int, columns: list[str]):
     return run
 
 
-def _follow(jumps: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _follow(jumps: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
     """All rows reached from row 1 of each key: (keys, rn)."""
     link = materialise(jumps.select(*keys, F.col("_rn").alias("a"), F.col("_to").alias("b")), "jumps")
+    # A row that no jump leads to is never reached. Groups that start apart soon
+    # start together, so this leaves few rows per block.
+    aimed_at = link.select(*keys, F.col("b").alias("a")).distinct()
+    link = materialise(link.where("a = 1").unionByName(link.where("a > 1").join(aimed_at, [*keys, "a"], "left_semi")), "jumps")
+    furthest = link.agg(F.max("b")).first()[0]
+    hops, blocks = 1, (furthest - 1) // block_rows + 1
     reached = link.where("a = 1").select(*keys, F.col("a").alias("rn"))
-    size = -1
-    while True:
+    while hops < blocks:
+        # `reached` holds the first `hops` rows of the way, `link` leads `hops` on.
         step = link.withColumnRenamed("a", "rn")
-        reached = materialise(
-            reached.unionByName(reached.join(step, [*keys, "rn"]).select(*keys, F.col("b").alias("rn"))).distinct(),
-            "reached",
-        )
-        if (now := reached.count()) == size:
-            return reached
-        size = now
+        both = F.explode(F.array_compact(F.array("rn", "b"))).alias("rn")
+        reached = reached.join(step, [*keys, "rn"], "left").select(*keys, both)
         onward = link.select(*keys, F.col("a").alias("b"), F.col("b").alias("c"))
-        link = materialise(
-            link.join(onward, [*keys, "b"]).select(*keys, "a", F.col("c").alias("b")), "jumps"
-        )
+        link = materialise(link.join(onward, [*keys, "b"]).select(*keys, "a", F.col("c").alias("b")), "jumps")
+        hops *= 2
+    return materialise(reached, "reached")
 
 
 def greedy_groups(
@@ -201,7 +202,7 @@ def _entered_blocks(
     )
     jumps = sorted_blocks(spread.select(*slim)).mapInArrow(_jumps(bounds, block_rows, [*keys, "_blk", "_rn"]), jump_schema)
     entries = (
-        _follow(jumps, keys)
+        _follow(jumps, keys, block_rows)
         .groupBy(*keys, F.floor((F.col("rn") - 1) / block_rows).alias("_blk"))
         .agg(F.min("rn").alias("_entry"))  # a block is entered once: jumps lead from block to block
     )

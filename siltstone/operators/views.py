@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.stored import Functions, Query, run_query
+from ..session import materialise
 from ..sources.tables import Table
 from .aggregates import Summary
 from .lifecycle import INGESTION_TIME, micros, ntz
@@ -180,8 +181,11 @@ def chunk_bounds(rows: DataFrame, time: str, max_records: int) -> list[tuple[dat
     is never split). Only the counts per second are ordered, and only the
     ranges, one per chunk, come to the driver."""
     second = F.date_trunc("second", time).alias("_second")
-    counts = rows.groupBy(second).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(time).alias("_low"), F.max(time).alias("_high")
+    counts = materialise(
+        rows.groupBy(second).agg(
+            F.count(F.lit(1)).alias("_rows"), F.min(time).alias("_low"), F.max(time).alias("_high")
+        ),
+        "arrivals",
     )
     largest = counts.agg(F.max("_rows")).first()[0] or 0
     room = max_records - largest if largest < max_records else max_records

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import files
 from ..functions.types import parse_schema
-from .tables import sized_writer
+from .tables import CSV_OPTIONS, sized_writer
 
 # Formats and header modes.
 READABLE = ("csv", "tsv", "json", "parquet", "orc", "text")
@@ -72,19 +72,27 @@ class ExternalTable:
 
     @property
     def _options(self) -> dict[str, str]:
-        options = dict(self.options)
+        options = dict(CSV_OPTIONS) if self._spark_format == "csv" else {}
         if self.data_format == "tsv":
             options["sep"] = "\t"
-        return options
+        return {**options, **self.options}
 
-    def _glob(self, wanted: Map[str, object]) -> list[str]:
-        """Paths narrowed to the wanted partition values of a custom layout."""
+    def _glob(self, spark: SparkSession, wanted: Map[str, object]) -> list[str]:
+        """Paths narrowed to the wanted partition values of a custom layout, at
+        the top or, for exports, in the folder of each run."""
         if not self.path_format:
             return self.path_list
         # Values that are not plain text cannot be part of a glob; the filter remains.
         plain = {k: str(v) for k, v in wanted.items() if re.fullmatch(r"[\w .-]+", str(v))}
         pattern = re.sub(r"\{(\w+)\}", lambda m: plain.get(m.group(1), "*"), self.path_format)
-        return [f"{p}/{pattern}" for p in self.path_list]
+        found = []
+        for path in self.path_list:
+            tops = [n for n in files.names(spark, path) if not n.startswith(("_", "."))]
+            if any(n.startswith("run=") for n in tops):
+                found.append(f"{path}/run=*/{pattern}")
+            if not all(n.startswith("run=") for n in tops):
+                found.append(f"{path}/{pattern}")
+        return found
 
     def _load(self, spark: SparkSession, paths: list[str], header: bool) -> DataFrame:
         struct = self.struct
@@ -102,7 +110,7 @@ class ExternalTable:
     def read(self, spark: SparkSession, **wanted: object) -> DataFrame:
         """Rows of the table. Filters on hive partitions prune by themselves;
         for a custom layout, give partition values to list only their files."""
-        paths = self._glob(wanted)
+        paths = self._glob(spark, wanted)
         if self._spark_format != "csv" or self.include_headers != "FirstFile":
             df = self._load(spark, paths, self.include_headers == "All")
         else:
@@ -228,7 +236,7 @@ class ExternalTable:
     def files_preview(self, spark: SparkSession) -> DataFrame:
         """Path, size and modification time of each file that would be read."""
         return (
-            self._load(spark, self._glob({}), self.include_headers == "All")
+            self._load(spark, self._glob(spark, {}), self.include_headers == "All")
             .select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
             .distinct()
         )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.types import spark_type
 from ..session import materialise, small_side
+from .tables import CSV_OPTIONS
 
 # The accepted kinds of mapping.
 KINDS = ("json", "csv", "parquet", "avro", "orc", "w3clogfile", "apacheavro")
@@ -84,8 +85,10 @@ def _project(
         kind = _target_type(rule, target)
         value = F.lit(rule.constvalue) if rule.constvalue is not None else extract(rule)
         if rule.transform:
+            # Inside the lambda `value` is the extracted value, whatever the
+            # columns of the source are called.
             raw = raw.withColumn(f"_value_{name}", value)
-            value = F.expr(rule.transform.replace("value", f"`_value_{name}`"))
+            value = F.expr(f"transform(array(`_value_{name}`), value -> {rule.transform})[0]")
         typed = value.try_cast(kind)
         columns.append(typed.try_cast(target[name].dataType).alias(name))
         bad = bad + (value.isNotNull() & typed.isNull()).cast("int")
@@ -98,8 +101,9 @@ def map_json(lines: DataFrame, mapping: Mapping, target: T.StructType, count_bad
     raw = lines.withColumn("_record", F.try_parse_json("value"))
 
     def extract(rule: Rule) -> Column:
-        as_text = F.try_variant_get("_record", _json_path(rule), "string")
-        return as_text
+        if (rule.datatype or "").lower() == "dynamic":
+            return F.to_json(F.try_variant_get("_record", _json_path(rule), "variant"))
+        return F.try_variant_get("_record", _json_path(rule), "string")
 
     return _project(raw, mapping, target, extract, count_bad)
 
@@ -137,7 +141,7 @@ def map_w3c(lines: DataFrame, mapping: Mapping, target: T.StructType, count_bad:
     def extract(rule: Rule) -> Column:
         at = F.array_position("_fields", F.lit(rule.field or rule.column))
         text = F.try_element_at("_parts", F.nullif(at, F.lit(0)).cast("int"))
-        return F.when(text != "-", F.regexp_replace(text, r"\+", " "))
+        return F.when(text != "-", text)
 
     return _project(raw, mapping, target, extract, count_bad)
 
@@ -162,7 +166,7 @@ def read_mapped(
         used = [int(r.ordinal) - ordinal_base for r in mapping.rules if r.ordinal is not None]
         width = max(used, default=0) + 1
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-        rows = spark.read.options(**options).schema(schema).csv(paths)
+        rows = spark.read.options(**{**CSV_OPTIONS, **options}).schema(schema).csv(paths)
         return map_positional(rows, mapping, target, ordinal_base, count_bad)
     if kind == "w3clogfile":
         lines = spark.read.options(**options).text(paths).select("value", F.col("_metadata.file_path").alias("path"))

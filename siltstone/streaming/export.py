@@ -70,17 +70,18 @@ class ContinuousExport:
         if self.forced_latency is not None:
             raise ValueError("a forced latency needs run(), which remembers the rows held back")
         result = run_query(stream.sparkSession, self.query, functions, source=stream)
+        if self.external.path_format:
+            raise ValueError("a custom path format needs run(), which moves files into place")
         spark_format = "csv" if self.external.data_format == "tsv" else self.external.data_format
         writer = (
             result.select(*self.external.struct.fieldNames())
             .writeStream.format(spark_format)
+            .options(**self.external._options)
             .option("checkpointLocation", checkpoint)
             .option("path", self.external.path_list[0])
         )
         if spark_format == "csv":
-            writer = writer.option("header", self.external.include_headers == "All").option(
-                "sep", "\t" if self.external.data_format == "tsv" else ","
-            )
+            writer = writer.option("header", self.external.include_headers == "All")
         if spark_format in ("csv", "json"):
             writer = writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         if self.external.partitions:

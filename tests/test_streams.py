@@ -99,3 +99,12 @@ def test_rate_hint():
 def test_streaming_can_be_off(spark, folder):
     with pytest.raises(ValueError, match="off"):
         read_stream(spark, folder(), rows(spark, 0, 1).schema, enabled=False)
+
+
+def test_export_into_a_custom_layout(spark, folder):
+    external = ExternalTable("id:long, a:int", "csv", folder("out"), partitions=("a",), path_format="part/{a}")
+    export, state = ContinuousExport("SELECT id, cast(id % 3 AS int) AS a FROM {source}", external), folder("state")
+    for as_of in ("2024-01-01 00:30:00", "2024-01-02"):
+        export.run(spark, rows(spark, 0, 60), state, as_of)
+    assert sorted(r["id"] for r in external.read(spark).collect()) == list(range(60))
+    assert external.read(spark, a=1).count() == 20

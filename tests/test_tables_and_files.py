@@ -106,7 +106,7 @@ SCHEMA = "id:long, name:string, day:datetime"
 
 def people(spark, n=20):
     return spark.range(n).select(
-        "id", F.concat(F.lit("näme, \"x\" "), F.col("id").cast("string")).alias("name"),
+        "id", F.concat(F.lit(" näme, \"x\" \\ "), F.col("id").cast("string"), F.lit("\\ ")).alias("name"),
         F.expr("timestamp_ntz'2024-01-01 00:00:00.123456'").alias("day"),
     )
 
@@ -208,10 +208,26 @@ def test_reference_shaped_mappings(spark, folder):
     assert shifted["f1"] == "z"
 
 
+def test_quotes_are_doubled(spark, folder):
+    path = folder()
+    spark.createDataFrame([('1,"a ""b"", c",x',)], "v string").write.text(path)
+    got = read_mapped(spark, path, Mapping("csv", [Rule("f2", ordinal=1)]), parse_schema("f2:string")).first()[0]
+    assert got == 'a "b", c'
+
+
+def test_dynamic_and_transform(spark, folder):
+    path = folder()
+    spark.createDataFrame([('{"a":{"x":[1]},"value":"v"}',)], "v string").write.text(path)
+    rules = [Rule("a", path="$.a", datatype="dynamic"), Rule("b", path="$.value", datatype="dynamic"),
+             Rule("c", path="$.value", transform="concat(value, 'value', upper(value))")]
+    got = read_mapped(spark, path, Mapping("json", rules), parse_schema("a:dynamic,b:dynamic,c:string")).first()
+    assert tuple(got) == ('{"x":[1]}', '"v"', "vvalueV")
+
+
 def test_w3c_header_per_file(spark):
     lines = spark.createDataFrame(
         [("#Version: 1.0", "a"), ("#Fields: x y", "a"), ("1 two+words", "a"), ("#Fields: y x", "b"), ("three 4", "b"), ("- 5", "b"), ("", "b"), ("lost", "c")],
         "value string, path string",
     )
     got = map_w3c(lines, Mapping("w3clogfile", [Rule("x"), Rule("y", field="y"), Rule("z", field="none")]), parse_schema("x:int,y:string,z:string"))
-    assert sorted((r["x"], r["y"] or "", r["z"]) for r in got.collect()) == [(1, "two words", None), (4, "three", None), (5, "", None)]
+    assert sorted((r["x"], r["y"] or "", r["z"]) for r in got.collect()) == [(1, "two+words", None), (4, "three", None), (5, "", None)]
