@@ -12,7 +12,7 @@ from ..session import fresh_dir
 from ..sources.external import ExternalTable
 from ..sources.mapping import Mapping, Rule, read_mapped
 from ..sources.tables import Table, literal_table
-from .registry import load, query
+from .registry import load, query, spread
 
 EVENT_SCHEMA = "event_id:long, ts:datetime, user_id:long, event_type:string, value:real, k:int, origin:string"
 
@@ -118,7 +118,8 @@ def mapping_orc(spark, sf):
 
 @query("mapping_w3c_log", "SELECT event_id, ts, user_id, event_type AS kind, value FROM events")
 def mapping_w3c_log(spark, sf):
-    """One log file per day and event type; two types name their fields in another order."""
+    """Log files of an event type and up to 20000 ids each; two types name their
+    fields in another order."""
     events = load(spark, sf, "events")
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     other = F.col("event_type").isin("click", "view")
@@ -127,7 +128,7 @@ def mapping_w3c_log(spark, sf):
         F.concat_ws(" ", numbers[0], stamp, numbers[1], "event_type", numbers[2])
     )
     header = F.when(other, "#Fields: amount cs-kind date-time id user").otherwise("#Fields: id date-time user cs-kind amount")
-    lines = events.select(F.concat_ws("-", F.date_format("ts", "yyyyMMdd"), "event_type").alias("log"), header.alias("header"), line.alias("value"))
+    lines = events.select(F.concat_ws("-", F.floor(F.col("event_id") / 20000).cast("string"), "event_type").alias("log"), header.alias("header"), line.alias("value"))
     headers = lines.select("log", F.col("header").alias("value")).distinct().withColumn("place", F.lit(0))
     path = fresh_dir(spark, "w3c")
     (
@@ -261,7 +262,7 @@ def external_file_selection(spark, sf):
        (VALUES ('All'), ('All gzip'), ('All mark'), ('FirstFile'), ('FirstFile mark'), ('None')) m(mode) GROUP BY mode""",
 )
 def external_headers_and_encoding(spark, sf):
-    orders = load(spark, sf, "orders").repartition(8)
+    orders = load(spark, sf, "orders").repartition(spread(spark))
     modes = {
         "All": {}, "All gzip": {"compressed": True}, "All mark": {"encoding": "UTF8BOM"},
         "FirstFile": {"include_headers": "FirstFile"},
@@ -318,7 +319,7 @@ def table_replace(spark, sf):
 
 @query("table_writers", "SELECT mode, count(*) AS rows, mode = 'single' AS one_file FROM lineitem, (VALUES ('single'), ('distributed')) m(mode) GROUP BY mode")
 def table_writers(spark, sf):
-    lines, found = load(spark, sf, "lineitem").repartition(8), None
+    lines, found = load(spark, sf, "lineitem").repartition(spread(spark)), None
     for mode in ("single", "distributed"):
         table = _new_table(spark, mode).create(lines, distributed=mode == "distributed")
         rows = table.read().select("_metadata.file_path").agg(

@@ -14,19 +14,21 @@ from ..sources.tables import Table
 from ..streaming.export import ContinuousExport
 from ..streaming.ingest import StreamBatcher, deduplicated, read_stream, start_append, start_view
 from ..streaming.update_policy import Ingestion, UpdatePolicy
-from .registry import load, query
+from .registry import load, query, spread
 
 
-def _event_files(spark, sf, files: int = 6):
-    """Events as several files, each a range of ids, and a stream over them."""
-    path, events = fresh_dir(spark, "event-files"), load(spark, sf, "events")
-    events.repartitionByRange(files, "event_id").write.parquet(path)
-    return path, events.schema
+def _in_files(spark, df):
+    """`df` as several files, each a range of ids, and how many make a third."""
+    path = fresh_dir(spark, "event-files")
+    df.repartitionByRange(spread(spark), "event_id").write.parquet(path)
+    return path, max(1, len(spark.read.parquet(path).inputFiles()) // 3)
 
 
-def _event_stream(spark, sf, per_trigger: int = 2):
-    path, schema = _event_files(spark, sf)
-    return read_stream(spark, path, schema, maxFilesPerTrigger=str(per_trigger))
+def _event_stream(spark, sf):
+    """Events in three or four micro-batches."""
+    events = load(spark, sf, "events")
+    path, third = _in_files(spark, events)
+    return read_stream(spark, path, events.schema, maxFilesPerTrigger=str(third))
 
 
 def _finish(running):
@@ -192,9 +194,11 @@ def ingestion_batching_stream(spark, sf):
 
 @query("streaming_ingestion", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def streaming_ingestion(spark, sf):
-    """Rate hint of 0.05 GB per hour, a micro-batch every 10 seconds."""
-    path, schema = _event_files(spark, sf)
-    stream = read_stream(spark, path, schema, rate_gb_per_hour=0.05, every="10s")
+    """A rate hint that lets a third of the files in every 10 seconds."""
+    events = load(spark, sf, "events")
+    path, third = _in_files(spark, events)
+    size = spark.read.format("binaryFile").load(f"{path}/*.parquet").select("length").agg(F.max("length")).first()[0]
+    stream = read_stream(spark, path, events.schema, rate_gb_per_hour=third * size * 360 / 1024**3, every="10s")
     table = Table(spark, fresh_dir(spark, "streamed"))
     _finish(start_append(table, stream, fresh_dir(spark, "checkpoint")))
     return table.read()
@@ -214,9 +218,8 @@ def streaming_view(spark, sf):
 @query("deduplication_with_lookback", "SELECT event_id, ts, user_id FROM events")
 def deduplication_with_lookback(spark, sf):
     """Every event is delivered twice and kept once."""
-    path = fresh_dir(spark, "delivered-twice")
     events = load(spark, sf, "events").select("event_id", "ts", "user_id")
-    events.unionAll(events).repartitionByRange(6, "event_id").write.parquet(path)
+    path, _ = _in_files(spark, events.unionAll(events))
     once = deduplicated(read_stream(spark, path, events.schema), "ts", ["event_id"], "45d")
     table = Table(spark, fresh_dir(spark, "once"))
     _finish(start_append(table, once, fresh_dir(spark, "checkpoint")))

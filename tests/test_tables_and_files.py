@@ -65,6 +65,18 @@ def test_replayed_batch_is_known_after_compaction(spark, folder):
     assert table.read().count() == 50 and len(table.folders) == 1
 
 
+def test_commits_stay_short(spark, folder, monkeypatch):
+    monkeypatch.setattr("siltstone.sources.tables.KEPT_BATCHES", 2)
+    monkeypatch.setattr("siltstone.sources.tables.KEPT_COMMITS", 3)
+    table = Table(spark, folder())
+    for i in range(5):
+        table.append(spark.range(10), batch=str(i))
+    run_merges(table, MergePolicy(lookback="All"), "2100-01-01")
+    assert len(table.batches) == 3 and len(table._versions()) == 3
+    table.append(spark.range(10), batch="4")
+    assert table.read().count() == 50
+
+
 def test_merge_bounds_are_kept(spark, folder):
     table = Table(spark, folder())
     for i in range(6):
