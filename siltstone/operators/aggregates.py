@@ -21,7 +21,7 @@ class Measure:
     def partial(self, df: DataFrame, keys: Sequence[str]) -> list[Column]:
         raise NotImplementedError
 
-    def merge(self) -> list[Column]:
+    def merge(self, states: T.StructType) -> list[Column]:
         raise NotImplementedError
 
     def final(self, state: T.StructType) -> list[Column]:
@@ -33,7 +33,7 @@ class Count(Measure):
     def partial(self, df, keys):
         return [F.count(F.lit(1)).alias(f"s_{self.name}")]
 
-    def merge(self):
+    def merge(self, states):
         return [F.sum(f"s_{self.name}").alias(f"s_{self.name}")]
 
 
@@ -47,7 +47,7 @@ class Sum(Measure):
     def partial(self, df, keys):
         return [F.sum(F.col(self.column).cast("decimal(28,6)")).cast("decimal(38,6)").alias(f"s_{self.name}")]
 
-    def merge(self):
+    def merge(self, states):
         return [F.sum(f"s_{self.name}").cast("decimal(38,6)").alias(f"s_{self.name}")]
 
     def final(self, state):
@@ -64,43 +64,51 @@ class Distinct(Measure):
     def partial(self, df, keys):
         return [F.hll_sketch_agg(self.column, self.log2_buckets).alias(f"s_{self.name}")]
 
-    def merge(self):
+    def merge(self, states):
         return [F.hll_union_agg(f"s_{self.name}").alias(f"s_{self.name}")]
 
     def final(self, state):
         return [F.hll_sketch_estimate(f"s_{self.name}").alias(self.name)]
 
 
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    return not isinstance(t, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
 @dataclass(frozen=True)
 class Arg(Measure):
-    """The whole row that holds the greatest (or least) `by` per key. `ties`
-    must make the order total; rows without `by` never win over rows with it."""
+    """The whole row that holds the greatest (or least) `by` per key; `ties` go
+    on with the order. Rows without `by` never win over rows with it.
+
+    The state is the struct (order, row), so its greatest is the row asked for;
+    rows that agree in the order are told apart by their other columns."""
 
     by: str
     ties: Sequence[str] = ()
     columns: Sequence[str] | None = None  # None: all columns
     least: bool = False
 
-    def _kept(self, df: DataFrame, keys) -> list[str]:
-        return [c for c in (self.columns or df.columns) if c not in keys]
-
-    def _order(self) -> list[str]:
-        return [self.by, *self.ties]
-
-    def _pick(self, value: Column, order: Column) -> Column:
-        return (F.min_by if self.least else F.max_by)(value, order).alias(f"s_{self.name}")
+    def _pick(self, state: Column, t: T.DataType) -> Column:
+        if _orderable(t):
+            best = (F.min if self.least else F.max)(state)
+        else:  # a map or variant cannot be compared; the order alone decides
+            best = (F.min_by if self.least else F.max_by)(state, state["order"])
+        return best.alias(f"s_{self.name}")
 
     def partial(self, df, keys):
-        row = F.struct(*[F.col(f"`{c}`") for c in self._kept(df, keys)])
-        order = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(self._order())])
-        # The order travels with the row, so that states can be compared later.
-        if self.least:
-            order = F.struct(F.col(self.by).isNull().alias("n"), order.alias("o"))
-        return [self._pick(F.struct(order.alias("order"), row.alias("row")), order)]
+        kept = [c for c in (self.columns or df.columns) if c not in keys]
+        order = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate([self.by, *self.ties])])
+        if self.least:  # nulls are least in Spark; here they come last
+            order = F.struct(F.col(f"`{self.by}`").isNull().alias("n"), order.alias("o"))
+        row = F.struct(*[F.col(f"`{c}`") for c in kept])
+        return [self._pick(F.struct(order.alias("order"), row.alias("row")), T.StructType([df.schema[c] for c in kept]))]
 
-    def merge(self):
-        state = F.col(f"s_{self.name}")
-        return [self._pick(state, state["order"])]
+    def merge(self, states):
+        return [self._pick(F.col(f"s_{self.name}"), states[f"s_{self.name}"].dataType)]
 
     def final(self, state):
         row = state[f"s_{self.name}"].dataType["row"].dataType
@@ -132,7 +140,7 @@ class Summary:
         return df.groupBy(*self.keys).agg(*columns, *extra)
 
     def merge(self, states: DataFrame, *extra: Column) -> DataFrame:
-        return states.groupBy(*self.keys).agg(*[c for m in self.measures for c in m.merge()], *extra)
+        return states.groupBy(*self.keys).agg(*[c for m in self.measures for c in m.merge(states.schema)], *extra)
 
     def final(self, state: DataFrame) -> DataFrame:
         return state.select(*self.keys, *[c for m in self.measures for c in m.final(state.schema)])

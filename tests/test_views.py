@@ -120,6 +120,12 @@ def test_ties_are_broken_by_the_given_columns(spark):
     assert take_any(rows, ["k"]).count() == 1
 
 
+def test_rows_with_maps(spark):
+    rows = spark.createDataFrame([("a", 5, {"x": 1}), ("a", 7, {"x": 2}), ("b", 1, None)], "k string, x int, m map<string,int>")
+    assert sorted((r["k"], r["m"]) for r in arg_max(rows, "x", ["k"], []).collect() if r["m"]) == [("a", {"x": 2})]
+    assert arg_min(rows, "x", ["k"], []).where("k = 'a'").first()["m"] == {"x": 1}
+
+
 def test_states_of_all_measures_merge(spark):
     summary = Summary(["k"], [Count("n"), Sum("s", "id"), Distinct("d", "id"), Arg("last", "t", ["id"], ["id"]), TakeAny("first", "t", ["id"], ["t"])])
     rows = events(spark)
