@@ -99,7 +99,7 @@ class MaterializedView:
             chunks = [
                 (f"backfill-{_text(low)}", rows.where((F.col(time) >= ntz(low)) & (F.col(time) <= ntz(high))))
                 for low, high in chunk_bounds(rows, time, spec.max_records)
-            ]
+            ] + [("backfill-undated", rows.where(F.col(time).isNull()))]
         with ThreadPoolExecutor(max(1, spec.concurrency)) as pool:
             written = list(pool.map(lambda c: (c[0], self.state.stage(self._partial(c[1], created))), chunks))
         upto = as_of or max(filter(None, (self._reach(part, rows) for _, part in written)), default=None)
@@ -161,7 +161,7 @@ class MaterializedView:
         time = F.col(self.spec.time)
         lag = micros(ntz(as_of)) - micros(upto)
         return source.agg(
-            F.count_if(time > upto).alias("rows_pending"), F.max(time).alias("source_to")
+            F.count_if(upto.isNull() | (time > upto)).alias("rows_pending"), F.max(time).alias("source_to")
         ).select(
             upto.alias("materialized_to"),
             "source_to",
@@ -182,7 +182,7 @@ def chunk_bounds(rows: DataFrame, time: str, max_records: int) -> list[tuple[dat
     ranges, one per chunk, come to the driver."""
     second = F.date_trunc("second", time).alias("_second")
     counts = materialise(
-        rows.groupBy(second).agg(
+        rows.where(F.col(time).isNotNull()).groupBy(second).agg(
             F.count(F.lit(1)).alias("_rows"), F.min(time).alias("_low"), F.max(time).alias("_high")
         ),
         "arrivals",

@@ -27,6 +27,7 @@ ENCODINGS = ("UTF8NoBOM", "UTF8BOM")
 def _unescaped(part: Column) -> Column:
     """A folder name as a value: once as part of a URI, once as Spark escapes
     partition values. A plus sign is no space here."""
+    part = F.nullif(part, F.lit("__HIVE_DEFAULT_PARTITION__"))
     once = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
     return F.coalesce(F.try_url_decode(F.replace(once, F.lit("+"), F.lit("%2B"))), once)
 
@@ -102,10 +103,20 @@ class ExternalTable:
         if self._spark_format == "csv":
             reader = reader.option("header", header)
         if self.name_prefix or self.file_extension:
-            reader = reader.option("pathGlobFilter", f"{self.name_prefix}*{self.file_extension}*")
+            packed = "{,.gz}" if self.file_extension else ""
+            reader = reader.option("pathGlobFilter", f"{self.name_prefix}*{self.file_extension}{packed}")
         if not self.path_format and len(self.path_list) == 1:
             reader = reader.option("basePath", self.path_list[0])
-        return reader.load(paths)
+        df = reader.load(paths)
+        if not self.path_format:
+            return df
+        # Anchored at the end: the layout is what lies just above the file.
+        layout = re.sub(r"\\\{(\w+)\\\}", r"([^/]+)", re.escape(self.path_format)) + r"/[^/]*$"
+        parts = [
+            _unescaped(F.regexp_extract("_metadata.file_path", layout, i + 1)).try_cast(self.struct[name].dataType).alias(name)
+            for i, name in enumerate(re.findall(r"\{(\w+)\}", self.path_format))
+        ]
+        return df.select("*", *parts)
 
     def read(self, spark: SparkSession, **wanted: object) -> DataFrame:
         """Rows of the table. Filters on hive partitions prune by themselves;
@@ -125,19 +136,6 @@ class ExternalTable:
             if rest:
                 df = df.unionByName(self._load(spark, rest, False))
         if self.path_format:
-            # Anchored at the end: the layout is what lies just above the file.
-            layout = re.sub(
-                r"\\\{(\w+)\\\}", r"([^/]+)", re.escape(self.path_format).replace(r"\/", "/")
-            ) + r"/[^/]*$"
-            order = re.findall(r"\{(\w+)\}", self.path_format)
-            path = F.col("_metadata.file_path")
-            df = df.select(
-                "*",
-                *[
-                    _unescaped(F.regexp_extract(path, layout, i + 1)).try_cast(self.struct[name].dataType).alias(name)
-                    for i, name in enumerate(order)
-                ],
-            )
             for name, value in wanted.items():
                 df = df.where(F.col(name) == F.lit(value))
         return df.select(*self.struct.fieldNames())
@@ -204,9 +202,9 @@ class ExternalTable:
             folder, name = posixpath.split(old)
             at, target = (folders[folder] if folder in moved else folder), folders[folder]
             wanted = name
-            if self.file_extension:
-                kept = ".gz" if name.endswith(".gz") else ""
-                wanted = name.split(".c000", 1)[0] + self.file_extension + kept
+            given = re.match(r"(.*[-.]c\d{3,})\.(?:csv|json|(?:\w+\.)?parquet)(\.gz)?$", name)  # Spark's names
+            if self.file_extension and given:
+                wanted = given.group(1) + self.file_extension + (given.group(2) or "")
             if (at, name) != (target, wanted):
                 files.rename(spark, f"{at}/{name}", f"{target}/{wanted}")
         if head:

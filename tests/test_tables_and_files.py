@@ -142,6 +142,27 @@ def test_header_modes(spark, folder, how):
     assert sorted(table.read(spark).collect()) == sorted(people(spark).collect())
 
 
+def test_header_per_folder_of_a_custom_layout(spark, folder):
+    table = ExternalTable("id:long, a:string", "csv", folder(), partitions=("a",), path_format="k-{a}", include_headers="FirstFile", file_extension=".txt")
+    rows = spark.range(30).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("v"), (F.col("id") % 3).cast("string"))).alias("a"))
+    for low in (0, 10, 20):  # written in three goes
+        table.write(rows.where((F.col("id") >= low) & (F.col("id") < low + 10)))
+    assert sorted((r["id"], r["a"] or "") for r in table.read(spark).collect()) == sorted((r["id"], r["a"] or "") for r in rows.collect())
+    assert table.read(spark, a="v1").count() == 10
+
+
+def test_other_endings_are_not_read(spark, folder):
+    table = ExternalTable("id:long", "csv", folder(), file_extension=".txt", include_headers="None")
+    path = table.write(spark.range(5))
+    for name in ("old.txt.bak", "x.csv"):
+        with open(f"{local(path)}/{name}", "w") as f:
+            f.write("99\n")
+    with gzip.open(f"{local(path)}/more.txt.gz", "wt") as f:
+        f.write("5\n")
+    table.write(spark.range(6, 8))
+    assert sorted(r["id"] for r in table.read(spark).collect()) == list(range(8))
+
+
 def test_byte_order_mark_is_written(spark, folder):
     table = ExternalTable(SCHEMA, "csv", folder(), encoding="UTF8BOM")
     path = table.write(people(spark))

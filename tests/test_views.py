@@ -101,6 +101,18 @@ def test_chunks_hold_at_most_the_bound(spark):
     assert len(chunk_bounds(same_time, "t", 30)) == 1
 
 
+def test_rows_without_a_time_are_backfilled(spark, folder):
+    rows = events(spark).unionByName(spark.range(3).select("id", F.lit(1).cast("long").alias("k"), F.lit(None).cast("timestamp_ntz").alias("t")))
+    assert total(count_view(spark, folder, backfill=True).create(rows)) == 103
+    assert total(count_view(spark, folder, backfill=True, max_records=40, concurrency=2).create(rows)) == 103
+
+
+def test_status_of_an_empty_view(spark, folder):
+    view = count_view(spark, folder).create(events(spark).limit(0))
+    row = view.status(events(spark), as_of=datetime(2024, 1, 2), healthy_lag_micros=1).first()
+    assert (row["materialized_to"], row["rows_pending"], row["is_healthy"]) == (None, 100, "false")
+
+
 def test_query_that_drops_the_time(spark, folder):
     view = MaterializedView(spark, folder("view"), ViewSpec(Summary(["k"], [Count("n")]), "SELECT k FROM {source}", time="t", backfill=True))
     view.create(events(spark))
