@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
-from ..functions.types import parse_timespan
+from ..functions.types import parse_timespan, timespan_micros
 from ..session import materialise, small_side
 from .segments import Bounds, greedy_groups
 
@@ -68,6 +68,19 @@ def expired(df: DataFrame, policy: Retention, as_of: datetime | str, time: str =
     return rows if policy.recoverable else rows.limit(0)
 
 
+def retained_by_policy(df: DataFrame, policies: DataFrame, on: Sequence[str], as_of: datetime | str,
+                       time: str = INGESTION_TIME) -> DataFrame:
+    """Retention of many entities at once: each row is kept for the period in the
+    JSON `policy` of its entity. `policies` is (*on, policy), unique by `on`; rows
+    of entities without a policy stay."""
+    periods = policies.select(*on, timespan_micros(F.get_json_object("policy", "$.SoftDeletePeriod")).alias("_period"))
+    oldest = micros(ntz(as_of)) - F.col("_period")
+    kept = df.join(periods, list(on), "left").where(
+        F.col("_period").isNull() | F.col(time).isNull() | (micros(F.col(time)) >= oldest)
+    )
+    return kept.select(*df.columns)
+
+
 def hot_rows(df: DataFrame, span: str, as_of: datetime | str, time: str = INGESTION_TIME, keep: bool = False) -> DataFrame:
     """The recent slice; with `keep`, held in executor memory and disk."""
     rows = df.where(F.col(time) >= before(as_of, span))
@@ -209,7 +222,7 @@ def plan_merges(
         policy.max_range_hours * 3_600_000_000,
     )
     slim = files.select(
-        *keys, "path", F.col("rows").cast("long"), F.col("bytes").cast("long"), "created", micros(F.col("created")).alias("_at")
+        *keys, "path", *[F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in ("rows", "bytes")], "created", micros(F.col("created")).alias("_at")
     )
     grouped = greedy_groups(materialise(slim, "files"), keys, ["_at", "path"], bounds, "merge_group", block_rows)
     grouped = materialise(grouped.drop("_at", "_rn"), "groups")

@@ -228,9 +228,10 @@ def seal_batches(
     block_rows: int | None = None,
 ) -> DataFrame:
     """One row per batch: keys, first and last time, items, bytes, and the bound
-    that sealed it (`open` for the last batch of a key if none did)."""
+    that sealed it (`open` for the last batch of a key if none did). Keys, times
+    and ties are not null; an unknown size counts as nothing."""
     timed = items.withColumn("_at", F.unix_micros(F.col(time).cast("timestamp"))).withColumn(
-        "_size", F.col(size).cast("long")
+        "_size", F.coalesce(F.col(size).cast("long"), F.lit(0))
     )
     bounds = Bounds(policy.max_items, {"_size": policy.max_bytes}, "_at", policy.max_span_micros, closing=True)
     slim = timed.select(*keys, time, *ties, "_at", "_size")

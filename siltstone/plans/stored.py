@@ -36,6 +36,7 @@ class Functions:
                  expose: bool = False) -> "Functions":
         """`body` reads tables and earlier functions as ``{name}`` (SQL) or by
         argument name (callable) and parameters as ``:name`` or by argument name.
+        Other braces in such SQL are doubled, as Spark asks for.
         Unless skipped, it is analysed now, with nulls for parameters of no
         known value. `expose` also makes a parameterless function a temp view."""
         function = StoredFunction(name, body, parse_schema(parameters))

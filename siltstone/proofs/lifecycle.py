@@ -45,6 +45,31 @@ def retention(spark, sf):
     return sets.groupBy("event_type").agg(*[F.count_if(F.col("what") == w).alias(w) for w in names])
 
 
+@query(
+    "retention_by_policy",
+    """SELECT l_linestatus, l_returnflag, count(*) AS kept, min(l_shipdate) AS oldest FROM lineitem
+       WHERE l_shipdate >= CASE WHEN l_returnflag = 'A' THEN TIMESTAMP '2001-06-01' - INTERVAL 365 DAY
+                                WHEN l_linestatus = 'F' THEN TIMESTAMP '2001-06-01' - INTERVAL 1000 DAY ELSE TIMESTAMP '1900-01-01' END
+       GROUP BY l_linestatus, l_returnflag""",
+)
+def retention_by_policy(spark, sf):
+    """Line statuses as databases, return flags as tables. Flag A has a policy of
+    its own, status F one for all its tables, the others none."""
+    lines = load(spark, sf, "lineitem").select(
+        F.col("l_linestatus").alias("database_name"), F.col("l_returnflag").alias("entity_name"), "l_shipdate"
+    )
+    entities = lines.select("database_name", "entity_name").distinct()
+    own = entities.where("entity_name = 'A'").withColumn("policy", F.lit('{"SoftDeletePeriod": "365.00:00:00", "Recoverability": "Enabled"}'))
+    general = entities.where("database_name = 'F'").select("database_name").distinct().select(
+        "database_name", F.lit(None).cast("string").alias("entity_name"), F.lit('{"SoftDeletePeriod": "1000d"}').alias("policy")
+    )
+    applied = sec.resolve_scope(entities, own.unionByName(general), "policy", "policy")
+    kept = life.retained_by_policy(lines, applied, ["database_name", "entity_name"], "2001-06-01", "l_shipdate")
+    return kept.groupBy(F.col("database_name").alias("l_linestatus"), F.col("entity_name").alias("l_returnflag")).agg(
+        F.count(F.lit(1)).alias("kept"), F.min("l_shipdate").alias("oldest")
+    )
+
+
 @query("hot_window", "SELECT event_type, count(*) AS hot FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY event_type")
 def hot_window(spark, sf):
     return life.hot_rows(_arrived(spark, sf), "3d", AS_OF).groupBy("event_type").agg(F.count(F.lit(1)).alias("hot"))

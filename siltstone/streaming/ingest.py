@@ -91,7 +91,7 @@ class StreamBatcher:
         rows = items.select(*keep)
         if self.open_items.exists():
             rows = self.open_items.read().unionByName(rows)
-        rows = rows.withColumn("_at", micros(F.col(self.time))).withColumn("_size", F.col(self.size).cast("long"))
+        rows = rows.withColumn("_at", micros(F.col(self.time))).withColumn("_size", F.coalesce(F.col(self.size).cast("long"), F.lit(0)))
         bounds = Bounds(p.max_items, {"_size": p.max_bytes}, "_at", p.max_span_micros, closing=True)
         grouped = materialise(
             greedy_groups(materialise(rows, "items"), self.keys, ["_at", *self.ties], bounds, "batch_start", self.block_rows),
