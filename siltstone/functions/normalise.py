@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scalars import strict_dynamic, unquote_schema
+from .scalars import is_json, parse_dynamic, unquote_schema
 from .types import to_timespan_literal
 
 
@@ -24,7 +24,7 @@ def same_text(a: Column, b: Column) -> Column:
 
 def canonical_json(text: Column) -> Column:
     """JSON with sorted keys and no spaces; text that is not JSON stays as it is."""
-    return F.coalesce(F.to_json(strict_dynamic(text)), text)
+    return F.coalesce(F.to_json(parse_dynamic(text)), text)
 
 
 def same_json(a: Column, b: Column) -> Column:
@@ -87,7 +87,7 @@ def _with_nodes(df: DataFrame, text: str, depth: int, out: str) -> DataFrame:
     """Add every node of a JSON value as (path, value): objects are opened level
     by level, arrays and scalars stay whole. Empty where the text is not JSON.
     Each level is a column of its own, so that it is worked out once."""
-    root = F.struct(F.lit("$").alias("path"), strict_dynamic(F.col(text)).alias("v"))
+    root = F.struct(F.lit("$").alias("path"), parse_dynamic(F.col(text)).alias("v"))
     df = df.withColumn(f"{out}_0", F.filter(F.array(root), lambda n: n["v"].isNotNull()))
     for i in range(depth):
         objects = F.filter(f"{out}_{i}", lambda n: _is_object(n["v"]))
@@ -103,7 +103,9 @@ def json_subset(df: DataFrame, old: str, new: str, out: str = "same") -> DataFra
     arrays of (path, value) inside their own row, so nothing is shuffled. Text
     that is not JSON is contained in nothing. A first pass finds how deep
     objects nest, which is how often the plan opens them."""
-    deepest = [F.coalesce(F.max(_object_depth(F.col(c))), F.lit(0)) for c in (old, new)]
+    deepest = [
+        F.coalesce(F.max(F.when(is_json(F.col(c)), _object_depth(F.col(c)))), F.lit(0)) for c in (old, new)
+    ]
     depth = df.agg(F.greatest(*deepest)).first()[0]
     nodes = _with_nodes(_with_nodes(df, old, depth, "_old"), new, depth, "_new")
     within = (F.size(F.array_except("_old", "_new")) == 0) | (F.size(F.array_except("_new", "_old")) == 0)

@@ -49,23 +49,26 @@ def has_term(text: Column, term: str) -> Column:
     return text.rlike(f"(?i){before}{re.escape(term)}{after}")
 
 
-def is_json(text: Column) -> Column:
-    """Exactly one JSON value. The parser stops after the first value, so the
-    text is tried inside an array and inside an object: what could follow the
-    value in one cannot follow it in the other."""
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
-    return text.isNotNull() & in_array & in_object
+# Spark's parser stops after the first value of a text. To see whether anything
+# follows it, the text is parsed as the first of two elements; the second, this
+# mark, is only found in its place if the text is exactly one value.
+_MARK = "--end of record--"
+
 
+def _marked(text: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f', "{_MARK}"]')))
 
-def strict_dynamic(text: Column) -> Column:
-    """VARIANT of a text that is exactly one JSON value, else null."""
-    return F.when(is_json(text), F.try_parse_json(text))
+
+def is_json(text: Column) -> Column:
+    """Exactly one JSON value."""
+    pair = _marked(text)
+    ends = F.try_variant_get(pair, "$[1]", "string").eqNullSafe(F.lit(_MARK))
+    return ends & F.try_variant_get(pair, "$[2]", "string").isNull()
 
 
 def parse_dynamic(text: Column) -> Column:
-    """JSON text as VARIANT; null where it is not valid JSON."""
-    return F.try_parse_json(text)
+    """JSON text as VARIANT; null where it is not exactly one JSON value."""
+    return F.when(is_json(text), F.try_variant_get(_marked(text), "$[0]", "variant"))
 
 
 def member(dynamic: Column, path: str, data_type: str = "string") -> Column:

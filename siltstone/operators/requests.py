@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import case, strict_dynamic
+from ..functions.scalars import case, parse_dynamic
 from ..functions.types import timespan_micros
 from ..session import materialise
 from .drift import lookup
@@ -139,7 +139,7 @@ def split_policies(documents: DataFrame, key: Sequence[str], column: str) -> Dat
     """One row per member of a JSON object: `policy_name` and `policy` as JSON
     text. A member that is null gives the text ``null``; text that is not a JSON
     object gives no rows."""
-    parsed = documents.select(*key, strict_dynamic(F.col(column)).alias("_doc")).where(
+    parsed = documents.select(*key, parse_dynamic(F.col(column)).alias("_doc")).where(
         "schema_of_variant(_doc) LIKE 'OBJECT%'"
     )
     return parsed.lateralJoin(documents.sparkSession.tvf.variant_explode(F.col("_doc").outer())).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 
@@ -38,12 +38,18 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint for a join side, given only after counting it.
+def small_side(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """Broadcast hint for a join side, given only after measuring it.
 
-    The count stops at `max_rows` + 1. Beyond that the side is returned
+    Counting stops at `max_rows` + 1. A side with more rows or bytes is returned
     without a hint, so the join shuffles and AQE may split skewed partitions.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    size = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        fixed = isinstance(field.dataType, (T.NumericType, T.DatetimeType, T.BooleanType))
+        size = size + (F.lit(8) if fixed else F.coalesce(F.octet_length(column.cast("string")), F.lit(0)))
+    measured = df.select(size.alias("size")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum("size")).first()
+    if measured[0] <= max_rows and (measured[1] or 0) <= max_bytes:
         return F.broadcast(df)
     return df

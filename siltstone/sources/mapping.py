@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from ..functions.scalars import parse_dynamic
 from ..functions.types import spark_type
 from ..session import materialise, small_side
 from .tables import CSV_OPTIONS
@@ -98,7 +99,7 @@ def _project(
 def map_json(lines: DataFrame, mapping: Mapping, target: T.StructType, count_bad: bool = False) -> DataFrame:
     """`lines` has one JSON record per row in `value`; it is parsed once per row.
     A broken record gives nulls."""
-    raw = lines.withColumn("_record", F.try_parse_json("value"))
+    raw = lines.withColumn("_record", parse_dynamic(F.col("value")))
 
     def extract(rule: Rule) -> Column:
         if (rule.datatype or "").lower() == "dynamic":
