@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, types as T
+from pyspark.sql import Column, DataFrame, Window, types as T
 from pyspark.sql import functions as F
 
 from ..functions.types import parse_timespan, timespan_micros
@@ -225,9 +225,10 @@ def plan_merges(
         *keys, "path", *[F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in ("rows", "bytes")], "created", micros(F.col("created")).alias("_at")
     )
     grouped = greedy_groups(materialise(slim, "files"), keys, ["_at", "path"], bounds, "merge_group", block_rows)
-    grouped = materialise(grouped.drop("_at", "_rn"), "groups")
-    several = grouped.groupBy(*keys, "merge_group").agg(F.count(F.lit(1)).alias("files")).where("files > 1")
-    return grouped.join(several, [*keys, "merge_group"])
+    # A group has at most `max_files` files, so this window is small everywhere.
+    together = Window.partitionBy(*keys, "merge_group")
+    counted = grouped.drop("_at", "_rn").withColumn("files", F.count(F.lit(1)).over(together))
+    return counted.where("files > 1")
 
 
 # A part folder in the path of a data file: as appended, or one group of a merge.

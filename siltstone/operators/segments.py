@@ -235,15 +235,18 @@ def seal_batches(
     )
     bounds = Bounds(policy.max_items, {"_size": policy.max_bytes}, "_at", policy.max_span_micros, closing=True)
     slim = timed.select(*keys, time, *ties, "_at", "_size")
-    grouped = materialise(greedy_groups(slim, keys, ["_at", *ties], bounds, "batch_start", block_rows), "batches")
-    batches = grouped.groupBy(*keys, "batch_start").agg(
-        F.min(time).alias("first_time"),
-        F.max(time).alias("last_time"),
-        F.count(F.lit(1)).alias("items"),
-        F.sum("_size").alias("bytes"),
-        F.max("_rn").alias("_last"),
+    grouped = greedy_groups(slim, keys, ["_at", *ties], bounds, "batch_start", block_rows)
+    batches = materialise(
+        grouped.groupBy(*keys, "batch_start").agg(
+            F.min(time).alias("first_time"),
+            F.max(time).alias("last_time"),
+            F.count(F.lit(1)).alias("items"),
+            F.sum("_size").alias("bytes"),
+            F.max("_rn").alias("_last"),
+        ),
+        "batches",
     )
-    last = grouped.groupBy(*keys).agg(F.max("_rn").alias("_end"))
+    last = batches.groupBy(*keys).agg(F.max("_last").alias("_end"))
     return (
         batches.join(last, list(keys))
         .withColumn(

@@ -95,7 +95,7 @@ class StreamBatcher:
         bounds = Bounds(p.max_items, {"_size": p.max_bytes}, "_at", p.max_span_micros, closing=True)
         grouped = materialise(
             greedy_groups(materialise(rows, "items"), self.keys, ["_at", *self.ties], bounds, "batch_start", self.block_rows),
-            "batches",
+            "grouped",
         )
         batches = grouped.groupBy(*self.keys, "batch_start").agg(
             F.min(self.time).alias("first_time"),
@@ -104,7 +104,8 @@ class StreamBatcher:
             F.sum("_size").alias("bytes"),
             F.max("_rn").alias("_last"),
         )
-        ends = grouped.groupBy(*self.keys).agg(F.max("_rn").alias("_end"))
+        batches = materialise(batches, "batches")
+        ends = batches.groupBy(*self.keys).agg(F.max("_last").alias("_end"))
         reason = (
             F.when(F.col("items") >= p.max_items, "items")
             .when(F.col("bytes") >= p.max_bytes, "bytes")

@@ -264,3 +264,24 @@ def test_w3c_header_per_file(spark):
     )
     got = map_w3c(lines, Mapping("w3clogfile", [Rule("x"), Rule("y", field="y"), Rule("z", field="none")]), parse_schema("x:int,y:string,z:string"))
     assert sorted((r["x"], r["y"] or "", r["z"]) for r in got.collect()) == [(1, "two+words", None), (4, "three", None), (5, "", None)]
+
+
+@pytest.mark.parametrize("kind", ["avro", "ApacheAvro"])
+def test_avro_where_its_module_is_installed(spark, folder, kind):
+    path = folder()
+    try:
+        spark.range(3).select("id", F.struct(F.col("id").cast("string").alias("b")).alias("a")).write.format("avro").save(path)
+    except Exception as error:
+        if "avro" not in str(error).lower():
+            raise
+        pytest.skip("the Avro module is not installed")
+    rules = [Rule("f1", field="id"), Rule("f2", path="$.a.b")]
+    got = read_mapped(spark, path, Mapping(kind, rules), parse_schema("f1:long,f2:string"))
+    assert sorted(map(tuple, got.collect())) == [(0, "0"), (1, "1"), (2, "2")]
+
+
+def test_nested_columns(spark, folder):
+    path = folder()
+    spark.range(2).select("id", F.struct(F.struct(F.col("id").cast("string").alias("c")).alias("b")).alias("a")).write.parquet(path)
+    got = read_mapped(spark, path, Mapping("Parquet", [Rule("f1", path="$.a.b.c", transform="value || '!'")]), parse_schema("f1:string,f2:int"))
+    assert sorted(map(tuple, got.collect())) == [("0!", None), ("1!", None)]
