@@ -262,7 +262,8 @@ def external_file_selection(spark, sf):
        (VALUES ('All'), ('All gzip'), ('All mark'), ('FirstFile'), ('FirstFile mark'), ('None')) m(mode) GROUP BY mode""",
 )
 def external_headers_and_encoding(spark, sf):
-    orders = load(spark, sf, "orders").repartition(spread(spark))
+    orders = load(spark, sf, "orders")
+    orders = orders.repartition(spread(orders))
     modes = {
         "All": {}, "All gzip": {"compressed": True}, "All mark": {"encoding": "UTF8BOM"},
         "FirstFile": {"include_headers": "FirstFile"},
@@ -319,7 +320,8 @@ def table_replace(spark, sf):
 
 @query("table_writers", "SELECT mode, count(*) AS rows, mode = 'single' AS one_file FROM lineitem, (VALUES ('single'), ('distributed')) m(mode) GROUP BY mode")
 def table_writers(spark, sf):
-    lines, found = load(spark, sf, "lineitem").repartition(spread(spark)), None
+    lines, found = load(spark, sf, "lineitem"), None
+    lines = lines.repartition(spread(lines))
     for mode in ("single", "distributed"):
         table = _new_table(spark, mode).create(lines, distributed=mode == "distributed")
         rows = table.read().select("_metadata.file_path").agg(

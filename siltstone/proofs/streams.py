@@ -20,7 +20,7 @@ from .registry import load, query, spread
 def _in_files(spark, df):
     """`df` as several files, each a range of ids, and how many make a third."""
     path = fresh_dir(spark, "event-files")
-    df.repartitionByRange(spread(spark), "event_id").write.parquet(path)
+    df.repartitionByRange(spread(df), "event_id").write.parquet(path)
     return path, max(1, len(spark.read.parquet(path).inputFiles()) // 3)
 
 
