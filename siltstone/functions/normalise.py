@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scalars import is_json, parse_dynamic, unquote_schema
+from .scalars import parse_dynamic, unquote_schema
 from .types import to_timespan_literal
 
 
@@ -53,47 +53,65 @@ def same_kind(a: Column, b: Column) -> Column:
     return F.lower(a).eqNullSafe(F.lower(b))
 
 
-def _object_depth(text: Column) -> Column:
-    """How deep objects nest in a JSON text, from its braces alone."""
-    no_strings = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', "")
-    braces = F.split(F.regexp_replace(no_strings, r"[^{}]", ""), "")
+# Fixed value: the nesting that Spark's JSON parser accepts.
+_DEEPEST = 1000
+
+
+def _braces(text: Column) -> Column:
+    """The braces of a JSON text that are not inside strings, in order."""
+    return F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', ""), r"[^{}]++", "")
+
+
+def _depth(braces: Column) -> Column:
+    """How deep braces nest; null where they do not pair up."""
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(acc: Column, brace: Column) -> Column:
         now = acc["now"] + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
 
-    return F.aggregate(braces, start, step, lambda acc: acc["most"])
+    return F.aggregate(F.split(braces, ""), start, step, lambda acc: F.when(acc["now"] == 0, acc["most"]))
 
 
-def _is_object(v: Column) -> Column:
-    return F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
+def _deepest(df: DataFrame, *columns: str) -> int:
+    """How deep the objects of any document nest. Documents are many and their
+    shapes few, so shapes are counted."""
+    shapes = df.select(F.explode(F.array(*[_braces(F.col(c)) for c in columns])).alias("shape")).distinct()
+    found = shapes.agg(F.max(_depth(F.col("shape")))).first()[0] or 0
+    return min(found, _DEEPEST)
+
+
+def _node(path: Column, v: Column) -> Column:
+    """A JSON node: where it is, its value, and its members if it is an object."""
+    members = F.try_variant_get(v, "$", "map<string,variant>")
+    return F.struct(path.alias("path"), v.alias("v"), members.alias("members"))
 
 
 def _leaf(node: Column) -> Column:
-    shown = F.when(_is_object(node["v"]), "<object>").otherwise(F.to_json(node["v"]))
+    shown = F.when(node["members"].isNotNull(), "<object>").otherwise(F.to_json(node["v"]))
     return F.struct(node["path"].alias("path"), shown.alias("value"))
 
 
 def _opened(node: Column) -> Column:
-    members = F.map_entries(F.variant_get(node["v"], "$", "map<string,variant>"))
-    return F.transform(
-        members,
-        lambda e: F.struct(F.concat_ws("/", node["path"], F.to_json(F.array(e["key"]))).alias("path"), e["value"].alias("v")),
-    )
+    def below(e: Column) -> Column:  # a slash inside a name is no step of the path
+        name = F.replace(F.replace(e["key"], F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+        return _node(F.concat(node["path"], F.lit("/"), name), e["value"])
+
+    return F.transform(F.map_entries(node["members"]), below)
 
 
 def _with_nodes(df: DataFrame, text: str, depth: int, out: str) -> DataFrame:
     """Add every node of a JSON value as (path, value): objects are opened level
     by level, arrays and scalars stay whole. Empty where the text is not JSON.
     Each level is a column of its own, so that it is worked out once."""
-    root = F.struct(F.lit("$").alias("path"), parse_dynamic(F.col(text)).alias("v"))
+    root = _node(F.lit("$"), F.col(f"{out}_v"))
+    df = df.withColumn(f"{out}_v", parse_dynamic(F.col(text)))
     df = df.withColumn(f"{out}_0", F.filter(F.array(root), lambda n: n["v"].isNotNull()))
     for i in range(depth):
-        objects = F.filter(f"{out}_{i}", lambda n: _is_object(n["v"]))
+        objects = F.filter(f"{out}_{i}", lambda n: n["members"].isNotNull())
         df = df.withColumn(f"{out}_{i + 1}", F.flatten(F.transform(objects, _opened)))
     levels = [f"{out}_{i}" for i in range(depth + 1)]
-    return df.withColumn(out, F.concat(*[F.transform(c, _leaf) for c in levels])).drop(*levels)
+    return df.withColumn(out, F.concat(*[F.transform(c, _leaf) for c in levels])).drop(f"{out}_v", *levels)
 
 
 def json_subset(df: DataFrame, old: str, new: str, out: str = "same") -> DataFrame:
@@ -103,10 +121,7 @@ def json_subset(df: DataFrame, old: str, new: str, out: str = "same") -> DataFra
     arrays of (path, value) inside their own row, so nothing is shuffled. Text
     that is not JSON is contained in nothing. A first pass finds how deep
     objects nest, which is how often the plan opens them."""
-    deepest = [
-        F.coalesce(F.max(F.when(is_json(F.col(c)), _object_depth(F.col(c)))), F.lit(0)) for c in (old, new)
-    ]
-    depth = df.agg(F.greatest(*deepest)).first()[0]
+    depth = _deepest(df, old, new)
     nodes = _with_nodes(_with_nodes(df, old, depth, "_old"), new, depth, "_new")
     within = (F.size(F.array_except("_old", "_new")) == 0) | (F.size(F.array_except("_new", "_old")) == 0)
     both = (F.size("_old") > 0) & (F.size("_new") > 0)
