@@ -75,7 +75,8 @@ def retained_by_policy(df: DataFrame, policies: DataFrame, on: Sequence[str], as
     of entities without a policy stay."""
     periods = policies.select(*on, timespan_micros(F.get_json_object("policy", "$.SoftDeletePeriod")).alias("_period"))
     oldest = micros(ntz(as_of)) - F.col("_period")
-    kept = df.join(periods, list(on), "left").where(
+    # One row per entity: as a rule small, and then the rows are not shuffled.
+    kept = df.join(small_side(materialise(periods, "periods")), list(on), "left").where(
         F.col("_period").isNull() | F.col(time).isNull() | (micros(F.col(time)) >= oldest)
     )
     return kept.select(*df.columns)

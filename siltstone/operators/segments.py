@@ -138,7 +138,7 @@ def _follow(jumps: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame
     # start together, so this leaves few rows per block.
     aimed_at = link.select(*keys, F.col("b").alias("a")).distinct()
     link = materialise(link.where("a = 1").unionByName(link.where("a > 1").join(aimed_at, [*keys, "a"], "left_semi")), "jumps")
-    furthest = link.agg(F.max("b")).first()[0]
+    furthest = link.agg(F.max("b")).first()[0] or 1
     hops, blocks = 1, (furthest - 1) // block_rows + 1
     reached = link.where("a = 1").select(*keys, F.col("a").alias("rn"))
     while hops < blocks:
@@ -206,7 +206,11 @@ def _entered_blocks(
         .groupBy(*keys, F.floor((F.col("rn") - 1) / block_rows).alias("_blk"))
         .agg(F.min("rn").alias("_entry"))  # a block is entered once: jumps lead from block to block
     )
-    return sorted_blocks(spread.join(small_side(entries), [*keys, "_blk"], "left"))
+    # The first block of a key is entered at row 1, also where no jump leaves it.
+    entered = spread.join(small_side(entries), [*keys, "_blk"], "left").withColumn(
+        "_entry", F.when(F.col("_blk") == 0, F.lit(1).cast("long")).otherwise(F.col("_entry"))
+    )
+    return sorted_blocks(entered)
 
 
 @dataclass(frozen=True)

@@ -49,6 +49,33 @@ def test_greedy_groups(spark, closing, n, size, span, block):
     assert {r["id"]: r["g"] for r in got.collect()} == brute_groups(rows, bounds)
 
 
+@pytest.mark.parametrize("closing", [True, False])
+def test_last_group_reaches_over_the_end_of_a_block(spark, closing):
+    """No group starts in the second block, so no jump leads there."""
+    rows = [("a", i, 0 if i < 8 else 100, 1) for i in range(14)] + [("b", i, 0, 1) for i in range(25)]
+    bounds = Bounds(10, {"size": 100}, "at", 50, closing)
+    got = greedy_groups(spark.createDataFrame(rows, SCHEMA).where("k = 'a'"), ["k"], ["at", "id"], bounds, "g", 10)
+    assert {r["id"]: r["g"] for r in got.collect()} == brute_groups([r for r in rows if r[0] == "a"], bounds)
+    got = greedy_groups(spark.createDataFrame(rows, SCHEMA), ["k"], ["at", "id"], bounds, "g", 10)
+    assert {(r["k"], r["id"]): r["g"] for r in got.collect()} == {
+        (k, i): g for k in "ab" for i, g in brute_groups([r for r in rows if r[0] == k], bounds).items()
+    }
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_many_keys_around_the_block_size(spark, seed):
+    rng, rows, i = random.Random(seed), [], 0
+    for k in range(12):
+        at = 0
+        for _ in range(rng.randint(1, 45)):
+            at += rng.choice([0, 1, 3, 60])
+            rows.append((f"k{k}", i, at, rng.randint(0, 9)))
+            i += 1
+    bounds = Bounds(rng.choice([3, 8, 15]), {"size": rng.choice([10, 40])}, "at", rng.choice([5, 100]), seed % 2 == 0)
+    got = greedy_groups(spark.createDataFrame(rows, SCHEMA), ["k"], ["at", "id"], bounds, "g", 15)
+    assert {r["id"]: r["g"] for r in got.collect()} == brute_groups(rows, bounds)
+
+
 def test_running_totals_of_a_hot_key(spark):
     rows = skewed(3)
     sums, want = {}, {}
