@@ -84,7 +84,12 @@ def _project(
             columns.append(F.lit(None).cast(target[name].dataType).alias(name))
             continue
         kind = _target_type(rule, target)
-        value = F.lit(rule.constvalue) if rule.constvalue is not None else extract(rule)
+        if rule.constvalue is not None:
+            value = F.lit(rule.constvalue)
+        elif rule.path is None and rule.field is None and rule.ordinal is None:
+            value = F.lit(None).cast("string")  # a rule without a source
+        else:
+            value = extract(rule)
         if rule.transform:
             # Inside the lambda `value` is the extracted value, whatever the
             # columns of the source are called.
@@ -114,6 +119,8 @@ def map_positional(rows: DataFrame, mapping: Mapping, target: T.StructType, ordi
     """`rows` has text columns named ``_c0``, ``_c1``, ... in file order."""
 
     def extract(rule: Rule) -> Column:
+        if rule.ordinal is None:
+            raise ValueError(f"column {rule.column!r} needs an ordinal")
         name = f"_c{int(rule.ordinal) - ordinal_base}"
         return F.col(name) if name in rows.columns else F.lit(None).cast("string")
 
@@ -140,7 +147,7 @@ def map_w3c(lines: DataFrame, mapping: Mapping, target: T.StructType, count_bad:
     raw = records.join(small_side(headers), "path").withColumn("_parts", F.split("value", r"\s+"))
 
     def extract(rule: Rule) -> Column:
-        at = F.array_position("_fields", F.lit(rule.field or rule.column))
+        at = F.array_position("_fields", F.lit(rule.field or rule.path))
         text = F.try_element_at("_parts", F.nullif(at, F.lit(0)).cast("int"))
         return F.when(text != "-", text)
 

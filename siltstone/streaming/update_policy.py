@@ -69,9 +69,10 @@ class Ingestion:
 
         def stage(name: str, label: str, df: DataFrame) -> None:
             table = self.table(name)
-            if table.exists():
-                schemas.refuse_extra_columns(table.schema, df.schema)
-                df = schemas.conform(df, table.schema)
+            schema = table.schema if table.exists() else fresh[name][0].schema if name in fresh else None
+            if schema is not None:
+                schemas.refuse_extra_columns(schema, df.schema)
+                df = schemas.conform(df, schema)
             part = table.stage(df)
             staged.setdefault(name, []).append((label, part))
             # Policies read what was written; the batch is computed once.

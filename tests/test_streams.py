@@ -108,3 +108,11 @@ def test_export_into_a_custom_layout(spark, folder):
         export.run(spark, rows(spark, 0, 60), state, as_of)
     assert sorted(r["id"] for r in external.read(spark).collect()) == list(range(60))
     assert external.read(spark, a=1).count() == 20
+
+
+def test_two_sources_of_a_new_target_must_agree(spark, folder):
+    policies = [UpdatePolicy("a", "t", "SELECT id FROM {source}"), UpdatePolicy("a", "u", "SELECT id, 1 AS x FROM {source}"),
+                UpdatePolicy("u", "t", "SELECT id, x FROM {source}")]
+    tables = Ingestion(spark, folder("tables"), policies)
+    assert tables.ingest(spark.range(3), "a", "1") == ["t"]
+    assert tables.table("t").read().count() == 3 and "x" not in tables.table("t").read().columns

@@ -241,6 +241,14 @@ def test_reference_shaped_mappings(spark, folder):
     assert shifted["f1"] == "z"
 
 
+@pytest.mark.parametrize("kind", ["json", "csv", "w3clogfile"])
+def test_rule_without_a_source_gives_null(spark, folder, kind):
+    path = folder()
+    spark.createDataFrame([("#Fields: f1",), ('{"f1":1,"None":2}',)], "v string").coalesce(1).write.text(path)
+    got = read_mapped(spark, path, Mapping(kind, [Rule("f1")]), parse_schema("f1:string")).distinct().collect()
+    assert [tuple(r) for r in got] == [(None,)]
+
+
 def test_quotes_are_doubled(spark, folder):
     path = folder()
     spark.createDataFrame([('1,"a ""b"", c",x',)], "v string").write.text(path)
@@ -262,7 +270,7 @@ def test_w3c_header_per_file(spark):
         [("#Version: 1.0", "a"), ("#Fields: x y", "a"), ("1 two+words", "a"), ("#Fields: y x", "b"), ("three 4", "b"), ("- 5", "b"), ("", "b"), ("lost", "c")],
         "value string, path string",
     )
-    got = map_w3c(lines, Mapping("w3clogfile", [Rule("x"), Rule("y", field="y"), Rule("z", field="none")]), parse_schema("x:int,y:string,z:string"))
+    got = map_w3c(lines, Mapping("w3clogfile", [Rule("x", field="x"), Rule("y", field="y"), Rule("z", field="none")]), parse_schema("x:int,y:string,z:string"))
     assert sorted((r["x"], r["y"] or "", r["z"]) for r in got.collect()) == [(1, "two+words", None), (4, "three", None), (5, "", None)]
 
 
