@@ -140,7 +140,7 @@ def mixed_partitioning(spark, sf):
 
 MERGE_SQL = """WITH RECURSIVE files AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY table_name ORDER BY created) AS BIGINT) AS n FROM
-  (SELECT o_orderpriority AS table_name, o_orderdate AS created, count(*) AS rows, CAST(sum(o_orderkey % 1000) AS BIGINT) AS bytes
+  (SELECT o_orderpriority AS table_name, o_orderdate AS created, count(*) AS rows, CAST(sum(floor(o_totalprice)) AS BIGINT) AS bytes
    FROM orders GROUP BY o_orderpriority, o_orderdate)),
  steps AS (
   SELECT table_name, n, created, rows, bytes, n AS start, created AS first, rows AS r, bytes AS b FROM files WHERE n = 1
@@ -149,7 +149,7 @@ MERGE_SQL = """WITH RECURSIVE files AS (
          CASE WHEN fits THEN s.start ELSE f.n END, CASE WHEN fits THEN s.first ELSE f.created END,
          CASE WHEN fits THEN s.r + f.rows ELSE f.rows END, CASE WHEN fits THEN s.b + f.bytes ELSE f.bytes END
   FROM (SELECT s.*, f.table_name AS ft, f.n AS fn,
-               f.n - s.start < 10 AND s.r + f.rows <= 15 AND s.b + f.bytes <= 1048576 AND f.created <= s.first + INTERVAL 10 DAY AS fits
+               f.n - s.start < 10 AND s.r + f.rows <= 15 AND s.b + f.bytes <= 2097152 AND f.created <= s.first + INTERVAL 10 DAY AS fits
         FROM steps s JOIN files f ON f.table_name = s.table_name AND f.n = s.n + 1) s
   JOIN files f ON f.table_name = s.ft AND f.n = s.fn)
  SELECT table_name, start AS merge_group, count(*) AS files, CAST(sum(rows) AS BIGINT) AS rows, min(created) AS oldest, max(created) AS newest
@@ -158,14 +158,15 @@ MERGE_SQL = """WITH RECURSIVE files AS (
 
 @query("merge_grouping", MERGE_SQL)
 def merge_grouping(spark, sf):
-    """Files made of the orders of a day and priority, grouped under bounds."""
+    """Files made of the orders of a day and priority, their prices as sizes,
+    grouped under bounds on rows, bytes, files and age."""
     files = load(spark, sf, "orders").groupBy(
         F.col("o_orderpriority").alias("table_name"), F.col("o_orderdate").alias("created")
     ).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col("o_orderkey") % 1000).alias("bytes"),
+        F.count(F.lit(1)).alias("rows"), F.sum(F.floor("o_totalprice")).alias("bytes"),
         F.date_format(F.first("o_orderdate"), "yyyyMMdd").alias("path"),
     )
-    policy = life.MergePolicy(max_rows=15, max_mb=1, max_files=10, max_range_hours=240, lookback="All")
+    policy = life.MergePolicy(max_rows=15, max_mb=2, max_files=10, max_range_hours=240, lookback="All")
     plan = life.plan_merges(files, ["table_name"], policy, AS_OF)
     return plan.groupBy("table_name", "merge_group").agg(
         F.first("files").alias("files"), F.sum("rows").alias("rows"), F.min("created").alias("oldest"), F.max("created").alias("newest")
