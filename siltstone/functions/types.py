@@ -95,10 +95,11 @@ def timespan_micros(text: Column) -> Column:
 
     days = F.when(F.contains(text, F.lit(".")), F.substring_index(text, ".", 1)).otherwise("0")
     parts = F.split(F.substring_index(text, ".", -1), ":")
-    pieces = {"d": days, "h": parts[0], "m": parts[1], "s": F.coalesce(F.get(parts, F.lit(2)), F.lit("0"))}
+    pieces = {"d": days, "h": F.get(parts, F.lit(0)), "m": F.get(parts, F.lit(1)),
+              "s": F.coalesce(F.get(parts, F.lit(2)), F.lit("0"))}
     clock = F.lit(0).cast("bigint")
     for name, piece in pieces.items():
-        clock = clock + piece.cast("bigint") * F.lit(UNIT_MICROS[name])
+        clock = clock + piece.try_cast("bigint") * F.lit(UNIT_MICROS[name])
     return F.when(text.rlike(_UNIT_FORM), count * per_unit).when(text.rlike(_CLOCK_FORM), clock)
 
 

@@ -116,3 +116,24 @@ def test_two_sources_of_a_new_target_must_agree(spark, folder):
     tables = Ingestion(spark, folder("tables"), policies)
     assert tables.ingest(spark.range(3), "a", "1") == ["t"]
     assert tables.table("t").read().count() == 3 and "x" not in tables.table("t").read().columns
+
+
+def test_streaming_view_over_restarts_and_compaction(spark, folder):
+    from siltstone.operators.aggregates import Arg, Count, Distinct, Summary
+    from siltstone.operators.views import MaterializedView, ViewSpec
+    from siltstone.streaming.ingest import start_view
+
+    summary = Summary(["k"], [Count("n"), Distinct("d", "id"), Arg("last", "_ingestion_time", ["id"], ["id"])])
+    view = MaterializedView(spark, folder("view"), ViewSpec(summary))
+    source, checkpoint = folder("source"), folder("checkpoint")
+    for i in range(4):
+        new = rows(spark, i * 100, i * 100 + 100).withColumn("k", F.col("id") % 5)
+        new.write.mode("append").parquet(source)
+        running = start_view(view, read_stream(spark, source, new.schema), checkpoint)
+        running.awaitTermination()
+        assert running.exception() is None
+        if i == 1:
+            view.compact()
+    found = view.read().orderBy("k").collect()
+    assert [(r["n"], r["d"], r["id"]) for r in found] == [(80, 80, 395 + k) for k in range(5)]
+    assert len(view.state.folders) == 3
