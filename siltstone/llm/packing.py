@@ -15,8 +15,11 @@ others of its length in one place, so a length of a third of all pieces is fine.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +31,23 @@ from pyspark.sql.window import Window
 from siltstone.llm.frames import bounded_batches, materialise
 from siltstone.llm.text import buffers, slices, span_hashes
 
-#: Chunks whose ids a task remembers.
-REMEMBERED = 1_000_000
+#: Chunks whose ids a worker remembers, and slots of each of the two tables that find them.
+REMEMBERED, SLOTS = 1_000_000, 1 << 21
+
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+#: ASCII punctuation but the apostrophe, which may begin a token with letters.
+_POINT = np.zeros(256, bool)
+_POINT[[i for i in range(0x21, 0x7F) if not chr(i).isalnum() and chr(i) != "'"]] = True
 
 
 class ChunkTokenizer:
     """Token ids of whole texts, each distinct chunk of text encoded once.
 
-    Byte-level BPE never joins a character that isn't white space with white
-    space behind it, so texts may be cut before such a space. Chunks repeat
-    often; their ids are looked up by a 64-bit hash.
+    Byte-level BPE never makes one token of a character that isn't white space
+    and white space behind it, nor of an ASCII letter and punctuation behind it,
+    so texts may be cut there. Chunks repeat often; their ids are looked up by a
+    64-bit hash.
     """
 
     def __init__(self, model: str):
@@ -48,50 +58,78 @@ class ChunkTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.sizes, self.begins, self.ids, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 16, np.uint32), 0
-
-    def learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        if len(self.sizes) + len(keys) > REMEMBERED:
-            raise MemoryError
+        self.keys, self.entries = np.zeros((2, SLOTS), np.uint64), np.full((2, SLOTS), -1, np.int32)
+        self.sizes, self.begins = np.zeros(REMEMBERED, np.int32), np.zeros(REMEMBERED, np.int64)
+        self.ids, self.used, self.known = np.zeros(4 * REMEMBERED, np.uint32), 0, 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Entry of each chunk, -1 where it isn't remembered."""
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        entry = np.where(self.keys[0][slot] == hashes, self.entries[0][slot], np.int32(-1))
+        rest = np.flatnonzero(entry < 0)
+        slot = (hashes[rest] >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
+        entry[rest] = np.where(self.keys[1][slot] == hashes[rest], self.entries[1][slot], np.int32(-1))
+        return entry
+
+    def learn(self, hashes: np.ndarray, texts: list[str]) -> np.ndarray:
         found = [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         if self.used + len(flat) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * (self.used + len(flat)))
         self.ids[self.used : self.used + len(flat)] = flat
-        begins = self.used + np.cumsum(sizes) - sizes
+        entries = np.arange(self.known, self.known + len(found), dtype=np.int32)
+        self.begins[entries] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[entries] = sizes
         self.used += len(flat)
-        where = np.searchsorted(self.keys, keys)
-        self.at = np.insert(self.at, where, len(self.sizes) + np.arange(len(keys)))
-        self.keys = np.insert(self.keys, where, keys)
-        self.sizes, self.begins = np.concatenate([self.sizes, sizes]), np.concatenate([self.begins, begins])
+        self.known += len(found)
+        first = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        second = (hashes >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
+        taken = self.entries[0][first] >= 0
+        for table, slot, mine in ((0, first, ~taken), (1, second, taken)):
+            self.keys[table][slot[mine]], self.entries[table][slot[mine]] = hashes[mine], entries[mine]
+        return entries
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the bounds of each text's ids."""
         before, last = np.zeros(len(data), np.uint8), np.zeros(len(data), np.uint8)
         last[1:], before[2:] = data[:-1], data[:-2]
         solid = (last > 0x20) & (last < 0x7F) | (last >= 0x80) & (before >= 0xC3) & (before < 0xE0)
-        cut = (data == 0x20) & solid
+        cut = ((data == 0x20) | (data == 0x0A)) & solid | _POINT[data] & _LETTER[last]
         cut[bounds[:-1][bounds[:-1] < len(data)]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
         hashes = span_hashes(data, starts, ends)
-        keys, one, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.sizes) + len(keys) > REMEMBERED:
-            self.forget()
-        spot = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        fresh = self.keys[spot] != keys if len(self.keys) else np.ones(len(keys), bool)
-        raw = data.tobytes()
-        for low in range(0, int(fresh.sum()), 50_000):
-            new = np.flatnonzero(fresh)[low : low + 50_000]
-            self.learn(keys[new], [raw[starts[i] : ends[i]].decode() for i in one[new]])
-        entry = self.at[np.searchsorted(self.keys, keys)][which] if len(keys) else np.zeros(0, np.int64)
-        sizes, begins = self.sizes[entry], self.begins[entry]
+        entry = self.find(hashes)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            new, one, which = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            if self.known + len(new) > REMEMBERED:
+                self.forget()
+                if len(missing) < len(hashes):
+                    return self.encode(data, bounds)
+                if len(new) > REMEMBERED:  # one huge text of short chunks
+                    return self._unremembered(data, bounds)
+            raw, one = data.tobytes(), missing[one]
+            entry[missing] = self.learn(new, [raw[a:b].decode() for a, b in zip(starts[one].tolist(), ends[one].tolist())])[which]
+        sizes, begins = self.sizes[entry].astype(np.int64), self.begins[entry]
         sums = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.arange(sums[-1]) + np.repeat(begins - sums[:-1], sizes)]
         return ids, sums[np.searchsorted(starts, bounds)]
 
+    def _unremembered(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        texts = [data[a:b].tobytes().decode() for a, b in zip(bounds[:-1], bounds[1:])]
+        found = [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(found), np.concatenate([[0], np.cumsum([len(x) for x in found])])
+
+
+def worker_tokenizer(model: str) -> ChunkTokenizer:
+    """One tokenizer for the life of a Python worker, which runs many tasks."""
+    kept = sys.modules.setdefault("_siltstone_worker", ModuleType("_siltstone_worker")).__dict__
+    if kept.get("model") != model:
+        kept["model"], kept["coder"] = model, ChunkTokenizer(model)
+    return kept["coder"]
+
 
 def tokenised(docs: DataFrame, model: str, capacity: int = 1024, end_id: int = 2, key: str = "doc_id", text: str = "text",
               keep_ids: bool = False) -> DataFrame:
@@ -106,7 +144,7 @@ def tokenised(docs: DataFrame, model: str, capacity: int = 1024, end_id: int = 2
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, task, seen = ChunkTokenizer(shared.value), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        coder, task, seen = worker_tokenizer(shared.value), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             keys = batch.column(0)
             data, bounds = buffers(batch.column(1))

@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.frames import crc32_of_id, read_table
+from siltstone.llm.frames import crc32_of_id, materialise, read_table
 from siltstone.llm.language import identify, train
 from siltstone.llm.packing import pack_documents
+from siltstone.llm.pii import KINDS, disclosing_words, find_spans
 from siltstone.llm.sharding import shard_documents
 
 
@@ -34,6 +35,21 @@ def op4_language_bitmask(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs.select("doc_id", "text", held_out.alias("held_out")), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data and disclosing words in every document."""
+    docs = read_table(spark, folder, "documents")
+    found = find_spans(docs.select("doc_id", "text"), materialise(disclosing_words(docs), "disclosing"))
+    base = F.filter("pii", lambda s: s.kind != "term")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+    def of_kind(kind):
+        return F.size(F.filter("pii", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(of_kind, KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+
+
 def op7_exact_complement(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return pack_documents(read_table(spark, folder, "documents"), tokenizer_model(), capacity=1024, end_id=2).select(
@@ -41,5 +57,5 @@ def op7_exact_complement(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op3_histogram_sort, op4_language_bitmask, op7_exact_complement)}
+QUERIES = {q.__name__: q for q in (op3_histogram_sort, op4_language_bitmask, op6_disclosure, op7_exact_complement)}
 SQL: dict[str, str] = {}

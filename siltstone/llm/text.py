@@ -12,8 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text worked on at once.
-SLICE = 4 << 20
+#: Bytes of text worked on at once, and bytes hashed at once.
+SLICE, BLOCK = 2 << 20, 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -76,7 +76,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     out = np.empty(len(starts), np.uint64)
     low = 0
     while low < len(starts):
-        high = max(low + 1, int(np.searchsorted(ends, starts[low] + SLICE, "right")))
+        high = max(low + 1, int(np.searchsorted(ends, starts[low] + BLOCK, "right")))
         first, last = int(starts[low]), int(ends[high - 1])
         power, inverse = _power_table(last - first + 1)
         sums = np.zeros(last - first + 1, np.uint64)
@@ -94,7 +94,7 @@ class Words:
     more entry than there are texts.
     """
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, lower: bool = True, hashed: bool = True):
         self.data = LOWER[data] if lower else data
         word = ~_SPACE[data]
         begins, ends = word.copy(), word.copy()
@@ -105,6 +105,10 @@ class Words:
         ends[inner - 1] |= word[inner - 1]
         self.starts, self.ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.starts, bounds)
+        if hashed:
+            self.hash()
+
+    def hash(self) -> None:
         self.hashes = span_hashes(self.data, self.starts, self.ends)
 
     def counts(self) -> np.ndarray:
