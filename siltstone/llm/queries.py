@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.frames import crc32_of_id, materialise, read_table
+from siltstone.llm.jaccard_join import near_duplicates
 from siltstone.llm.language import identify, train
 from siltstone.llm.packing import pack_documents
 from siltstone.llm.pii import KINDS, disclosing_words, find_spans
@@ -57,5 +58,10 @@ def op7_exact_complement(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op3_histogram_sort, op4_language_bitmask, op6_disclosure, op7_exact_complement)}
+def op8_adaptive_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share 85 in 100 of their four-word shingles."""
+    return near_duplicates(read_table(spark, folder, "documents"), k=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {q.__name__: q for q in (op3_histogram_sort, op4_language_bitmask, op6_disclosure, op7_exact_complement, op8_adaptive_prefixes)}
 SQL: dict[str, str] = {}
