@@ -231,54 +231,61 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
     kept = materialise(shared.join(asked, "c").where(F.col("place") <= base + F.col("matches") - 1), "asked")
     sets = _whole_sets(docs, kept.select("c").distinct(), text, k)
 
-    found = docs.sparkSession.createDataFrame([], "a long, b long")
-    tried = found
-    labels = kept.select("c", F.col("c").alias("root")).distinct()
+    return rows, linked(kept, percent, lambda pairs: _similar(pairs, sets, percent))
+
+
+def _across(here: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
+    """Members outside a list's largest component, each with all members of other components."""
+    other = here.select("token", F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("droot"), F.col("matches").alias("dmatches"))
+    outside = sides.where("root <> main.root").drop("main")
+    return outside.join(other, "token").where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
+
+
+def _to_hubs(sides: DataFrame, percent: int) -> DataFrame:
+    """Each member with the weightiest member of its list's largest component."""
+    hub = [F.col(f"main.best.{x}").alias(y) for x, y in (("c", "d"), ("n", "m"), ("matches", "dmatches"))]
+    both = sides.select("token", "c", "n", "root", "matches", F.col("main.root").alias("droot"), *hub)
+    return both.where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
+
+
+def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (a, b) that suffice for the components of all pairs that share a list and compare as similar.
+
+    `kept`: token (the list), c (the member), n (its size), matches (lists a pair
+    must share, by either side) and weight. `compare` gives those of the pairs (a,
+    b) that are similar. As long as the pairs across components are many, lists
+    only offer their members to a hub; then all pairs across components are
+    compared.
+    """
+    found = tried = kept.sparkSession.createDataFrame([], "a long, b long")
+    members = kept.select("c").distinct()
+    labels = members.select("c", F.col("c").alias("root"))
+    linking = True
     while True:
         here = materialise(kept.join(labels, "c"), "labelled")
-        mixed = here.groupBy("token", "root").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct("weight", "c", "n", "matches")).alias("best"))
-        per_list = mixed.groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.sum("members").alias("size"), F.max(F.struct("members", "root", "best")).alias("main"))
-        per_list = materialise(per_list.where("roots > 1"), "mixed")
-        rest, entries_left = per_list.agg(F.sum((F.col("size") - F.col("main.members")) * F.col("size")), F.sum("size")).first()
+        by_root = here.groupBy("token", "root").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct("weight", "c", "n", "matches")).alias("best"))
+        by_list = by_root.groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.sum("members").alias("size"), F.max(F.struct("members", "root", "best")).alias("main"))
+        mixed = materialise(by_list.where("roots > 1"), "mixed")
+        rest, entries = mixed.agg(F.sum((F.col("size") - F.col("main.members")) * F.col("size")), F.sum("size")).first()
         if rest is None:
-            break
-        last = rest <= 4 * entries_left
-        sides = here.join(per_list.select("token", "main"), "token")
-        if last:  # all pairs across components: members outside the largest component with all members
-            other = here.select("token", F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("droot"), F.col("matches").alias("dmatches"))
-            outside = sides.where("root <> main.root").drop("main")
-            both = outside.join(other, "token").where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
-        else:  # each list offers its members to one hub
-            both = sides.select("token", "c", "n", "root", "matches", F.col("main.best.c").alias("d"), F.col("main.best.n").alias("m"),
-                                F.col("main.root").alias("droot"), F.col("main.best.matches").alias("dmatches"))
-            both = both.where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
+            return found
+        last = rest <= 4 * entries or not linking  # few pairs, or hubs that gave no more links
+        sides = here.join(mixed.select("token", "main"), "token")
+        both = _across(here, sides, percent) if last else _to_hubs(sides, percent)
         pairs = (
             both.groupBy(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"))
-            .agg(F.countDistinct("token").alias("same"), F.min(F.least("matches", "dmatches")).alias("least"))
-            .where(F.col("same") >= F.col("least")).select("a", "b")
+            .agg(F.countDistinct("token").alias("same"), F.min(F.least("matches", "dmatches")).alias("asked"))
+            .where(F.col("same") >= F.col("asked")).select("a", "b")
         )
         pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        good = _similar(pairs, sets, percent)
-        if last:
-            found = found.union(good)
-            break
-        fresh = good.limit(1).count()
+        good = compare(pairs)
         tried, found = tried.union(pairs), found.union(good)
-        if fresh:
-            labels = materialise(kept.select("c").distinct().join(components(found).withColumnRenamed("node", "c"), "c", "left")
-                                 .select("c", F.coalesce("root", "c").alias("root")), "roots")
-        else:
-            # The hubs gave no link: compare whatever is left across components.
-            other = here.select("token", F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("droot"), F.col("matches").alias("dmatches"))
-            both = sides.where("root <> main.root").drop("main").join(other, "token").where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
-            pairs = (
-                both.groupBy(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"))
-                .agg(F.countDistinct("token").alias("same"), F.min(F.least("matches", "dmatches")).alias("least"))
-                .where(F.col("same") >= F.col("least")).select("a", "b")
-            )
-            found = found.union(_similar(materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), sets, percent))
-            break
-    return rows, found
+        if last:
+            return found
+        linking = not good.isEmpty()
+        if linking:
+            roots = components(found).withColumnRenamed("node", "c")
+            labels = materialise(members.join(roots, "c", "left").select("c", F.coalesce("root", "c").alias("root")), "roots")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:

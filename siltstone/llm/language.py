@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.frames import bounded_batches, name
+from siltstone.llm.frames import bounded_batches, materialise, name
 from siltstone.llm.text import LOWER, buffers, mix, slices
 
 UNKNOWN = "und"
@@ -114,12 +114,14 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", order: int =
 
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text))
     counts = known.mapInArrow(count, "lang string, gram long, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-    shares = counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("lang")))
+    counts = materialise(counts, "grams")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    if totals.count() > 64:
+        raise ValueError("a bitmask holds 64 languages")
+    shares = counts.join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("total"))
     good = shares.where(F.col("share") >= floor).withColumn("most", F.max("share").over(Window.partitionBy("gram"))).where(F.col("share") >= part * F.col("most"))
     rows = good.select("gram", "lang").toArrow()  # 1/floor rows for each language at most
     languages = sorted(set(rows.column("lang").to_pylist()))
-    if len(languages) > 64:
-        raise ValueError(f"{len(languages)} languages; a bitmask holds 64")
     size = 1 << max(10, int(np.ceil(np.log2(8 * max(1, rows.num_rows)))))
     slots = np.zeros(size, np.uint64)
     codes = rows.column("gram").to_numpy().astype(np.uint32)
@@ -139,23 +141,23 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
     """
     docs = docs.drop("lang_pred", "score", "known")
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.slots, model.order))
     rates = model.false_rates
 
     @F.pandas_udf("lang_pred string, score double, known double")
     def predict(texts, lettered):
         import pandas as pd
 
-        filt = shared.value
-        n = len(filt.languages)
+        languages, slots, order = shared.value
+        n = len(languages)
         data, bounds = buffers(pa.array(texts, pa.string(), from_pandas=True))
         hits, totals = np.zeros((len(texts), n)), np.zeros(len(texts))
         for low, high in slices(bounds):
             own = bounds[low : high + 1] - bounds[low]
-            codes, at = _grams(data[bounds[low] : bounds[high]], own, filt.order)
+            codes, at = _grams(data[bounds[low] : bounds[high]], own, order)
             mask = np.full(len(codes), 2**64 - 1, np.uint64)
-            for place in _places(codes, len(filt.slots)):
-                mask &= filt.slots[place]
+            for place in _places(codes, len(slots)):
+                mask &= slots[place]
             first = np.searchsorted(at, own)
             totals[low:high] = np.diff(first)
             for i in range(n):
@@ -168,7 +170,7 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
         most, total = clean.max(axis=1), clean.sum(axis=1)
         ok = lettered.to_numpy(bool)
         return pd.DataFrame({
-            "lang_pred": np.where(ok, np.array(filt.languages, object)[best], UNKNOWN),
+            "lang_pred": np.where(ok, np.array(languages, object)[best], UNKNOWN),
             "score": np.where(ok, most / np.maximum(total, 1e-300), 0.0),
             "known": np.where(ok, np.minimum(1.0, most / np.maximum(totals, 1.0)), 0.0),
         })

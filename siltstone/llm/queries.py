@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 from siltstone.llm.frames import crc32_of_id, materialise, read_table
 from siltstone.llm.jaccard_join import near_duplicates
 from siltstone.llm.language import identify, train
+from siltstone.llm.neighbours import build_index, search
 from siltstone.llm.packing import pack_documents
 from siltstone.llm.pii import KINDS, disclosing_words, find_spans
+from siltstone.llm.quality import score
+from siltstone.llm.quality import train as train_votes
 from siltstone.llm.sharding import shard_documents
 
 
+#: One is exact search; see the README for recall and work at larger factors.
+PRUNING_FACTOR = 1.0
+
+
 def tokenizer_model() -> str:
     """The tokenizer as text; it travels to the executors as a broadcast."""
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
@@ -36,6 +43,12 @@ def op4_language_bitmask(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs.select("doc_id", "text", held_out.alias("held_out")), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest neighbours of every fiftieth vector."""
+    vectors = read_table(spark, folder, "embeddings")
+    return search(build_index(vectors, k=5), vectors.where("vec_id % 50 = 0"), k=5, factor=PRUNING_FACTOR)
+
+
 def op6_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data and disclosing words in every document."""
     docs = read_table(spark, folder, "documents")
@@ -63,5 +76,30 @@ def op8_adaptive_prefixes(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read_table(spark, folder, "documents"), k=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op3_histogram_sort, op4_language_bitmask, op6_disclosure, op7_exact_complement, op8_adaptive_prefixes)}
-SQL: dict[str, str] = {}
+def op9_neighbour_votes(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document by its labelled neighbours, learned from four fifths of the labels."""
+    docs = read_table(spark, folder, "documents")
+    held_out = crc32_of_id("doc_id") % 5 == 0
+    model = train_votes(docs.select("doc_id", "text"), read_table(spark, folder, "labels").where(~held_out))
+    scored = score(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+QUERIES = {q.__name__: q for q in (op3_histogram_sort, op4_language_bitmask, op5_vantage_trees, op6_disclosure, op7_exact_complement, op8_adaptive_prefixes, op9_neighbour_votes)}
+SQL = {
+    "op5_vantage_trees": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+              AND len([x FOR x IN embedding IF x <> 0]) > 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_dot_product(q.e, c.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
