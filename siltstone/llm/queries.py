@@ -6,15 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.llm.decontaminate import leaks
 from siltstone.llm.frames import crc32_of_id, materialise, read_table
 from siltstone.llm.jaccard_join import near_duplicates
 from siltstone.llm.language import identify, train
+from siltstone.llm.licenses import license_spans
 from siltstone.llm.neighbours import build_index, search
 from siltstone.llm.packing import pack_documents
 from siltstone.llm.pii import KINDS, disclosing_words, find_spans
 from siltstone.llm.quality import score
 from siltstone.llm.quality import train as train_votes
 from siltstone.llm.sharding import shard_documents
+from siltstone.llm.substring_dedup import repeated_passages
 
 
 #: One is exact search; see the README for recall and work at larger factors.
@@ -27,6 +30,16 @@ def tokenizer_model() -> str:
         return f.read()
 
 
+def op1_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in all documents."""
+    return leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def op2_conditional_compression(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return license_spans(read_table(spark, folder, "documents"))
+
+
 def op3_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in one of 16 shards of nearly equal bytes."""
     return shard_documents(read_table(spark, folder, "documents"), shards=16).select(
@@ -85,7 +98,18 @@ def op9_neighbour_votes(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {q.__name__: q for q in (op3_histogram_sort, op4_language_bitmask, op5_vantage_trees, op6_disclosure, op7_exact_complement, op8_adaptive_prefixes, op9_neighbour_votes)}
+def op10_paragraph_bands(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages that several documents have."""
+    return repeated_passages(read_table(spark, folder, "documents"))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_simhash_windows, op2_conditional_compression, op3_histogram_sort, op4_language_bitmask, op5_vantage_trees,
+        op6_disclosure, op7_exact_complement, op8_adaptive_prefixes, op9_neighbour_votes, op10_paragraph_bands,
+    )
+}
 SQL = {
     "op5_vantage_trees": """
         WITH v AS (
