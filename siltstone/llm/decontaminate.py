@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.frames import bounded_batches
 from siltstone.llm.pii import TrimmedWords
-from siltstone.llm.text import buffers, code_points_before, slices
+from siltstone.llm.text import buffers, code_points_before, fold_case, slices
 
 #: Words in a shingle; bits that fingerprints may differ in.
 SHINGLE, RADIUS = 5, 15
@@ -42,7 +42,7 @@ class Items:
 
     def __init__(self, ids: list[int], texts: list[str]):
         data, bounds = buffers(pa.array(texts, pa.string()))
-        words = TrimmedWords(data, bounds)
+        words = TrimmedWords(fold_case(data), bounds)
         shingles, at = words.shingles(SHINGLE)
         edges = np.searchsorted(at, words.first)
         self.sets = {}
@@ -135,8 +135,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, key: st
           item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item_id, start, end, similarity) of the best window of each benchmark item found in each document.
 
-    Words are compared in lower case (A to Z) without punctuation at their ends;
-    start and end are code points of the whole text. Items of fewer than five words
+    Words are compared in lower case (Latin letters up to U+00DE) without
+    punctuation at their ends; start and end are code points of the whole text. Items of fewer than five words
     and null or empty texts take no part; a document shorter than an item is one
     window. Each of equal items is reported. Repeated rows report each. The index
     holds a bounded number of items; more are searched for in further passes.
@@ -164,7 +164,7 @@ def _finder(shared, threshold: float, key: str, item: str):
             found = []
             for low, high in slices(bounds):
                 own, at = data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low]
-                words = TrimmedWords(own, at)
+                words = TrimmedWords(fold_case(own), at)
                 shingles, places = words.shingles(SHINGLE)
                 edges = np.searchsorted(places, words.first)
                 _, known = index.weigh(shingles)

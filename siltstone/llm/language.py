@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltstone.llm.frames import bounded_batches, materialise, name
-from siltstone.llm.text import LOWER, buffers, mix, slices
+from siltstone.llm.text import buffers, fold_case, mix, slices
 
 UNKNOWN = "und"
 #: Slots looked up for each n-gram.
@@ -39,10 +39,7 @@ def _grams(data: np.ndarray, bounds: np.ndarray, order: int) -> tuple[np.ndarray
     Letters are in lower case, all else is one space; n-grams with two spaces in
     a row are left out.
     """
-    low = LOWER[data]
-    accented = np.zeros(len(low), bool)
-    accented[1:] = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] <= 0x9E) & (low[1:] != 0x97)
-    low = np.where(accented, low + 0x20, low).astype(np.uint8)
+    low = fold_case(data)
     low[~_LETTER[low]] = 0x20
     n = len(low) - order + 1
     if n <= 0:

@@ -50,7 +50,21 @@ def _cuts(words: Words) -> np.ndarray:
         owner = owners(words.first, np.arange(n))
         inside = owner[: n - WINDOW + 1] == owner[WINDOW - 1 :]
         first[least[inside]] = True
-    return np.flatnonzero(first)
+    cuts = np.flatnonzero(first)
+    begins = np.zeros(n, bool)
+    begins[words.first[:-1][words.counts() > 0]] = True
+    # A cut less than SHINGLE words after the last one is none, as in runs of one word.
+    close = np.flatnonzero((np.diff(cuts) < SHINGLE) & ~begins[cuts[1:]]) + 1
+    if not len(close):
+        return cuts
+    keep = np.ones(len(cuts), bool)
+    positions = cuts.tolist()
+    for i in close.tolist():
+        at = i - 1
+        while not keep[at]:
+            at -= 1
+        keep[i] = positions[i] - positions[at] >= SHINGLE
+    return cuts[keep]
 
 
 class Paragraphs:
@@ -164,7 +178,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     return materialise(sets.dropDuplicates(["c"]), "paragraph-sets")
 
 
-def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.98, least_words: int = 25, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.98, least_words: int = 18, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, start, end, words, cluster_id, removed) of each passage that other documents have too.
 
     Spans are code points of the whole text. `cluster_id` is the smallest key of

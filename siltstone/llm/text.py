@@ -87,6 +87,15 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def fold_case(data: np.ndarray) -> np.ndarray:
+    """UTF-8 text with A to Z and the capitals of U+00C0 to U+00DE in lower case; no length changes."""
+    low = LOWER[data]
+    accented = np.zeros(len(low), bool)
+    accented[1:] = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] <= 0x9E) & (low[1:] != 0x97)
+    low[accented] += 0x20
+    return low
+
+
 class Words:
     """Words of some texts: byte spans, hashes, and the first word of each text.
 
