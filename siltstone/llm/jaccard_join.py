@@ -149,36 +149,39 @@ def _prefixes(docs: DataFrame, text: str, k: int, percent: int, bits: np.ndarray
     return docs.select(text).mapInArrow(run, "c long, n long, prefix array<long>")
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, text: str, k: int) -> DataFrame:
-    """c, n and the whole set (as bytes) of the wanted classes."""
-    n = wanted.count()
-    few = n <= FILTER_IDS
-    ids = np.sort(wanted.select("c").toArrow().column("c").to_numpy()) if few else None
-    shared = docs.sparkSession.sparkContext.broadcast(ids)
+def _whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """c and the whole set (as bytes) of the wanted classes, each from the row of its smallest key (c, row: a hash of it)."""
+    few = wanted.count() <= FILTER_IDS
+    table = wanted.select("c", "row").orderBy("c").toArrow() if few else None
+    shared = docs.sparkSession.sparkContext.broadcast(few and tuple(table.column(i).to_numpy() for i in range(2)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep, seen = shared.value, set()
         for batch in batches:
             found = []
-            for own in shingle_sets(batch.column(0), k):
+            rows = batch.column(1).to_numpy()
+            if keep:  # only rows that hold some class
+                mine = np.isin(rows, keep[1])
+                batch, rows = batch.filter(pa.array(mine)), rows[mine]
+            for row, own in zip(rows, shingle_sets(batch.column(0), k)):
                 c = set_id(own) if len(own) else None
                 if c is None or c in seen:
                     continue
-                seen.add(c)
-                if keep is not None:
-                    at = int(np.searchsorted(keep, c))
-                    if at == len(keep) or keep[at] != c:
+                if keep:
+                    at = int(np.searchsorted(keep[0], c))
+                    if at == len(keep[0]) or keep[0][at] != c or keep[1][at] != row:
                         continue
-                found.append((c, len(own), own.tobytes()))
+                seen.add(c)
+                found.append((c, int(row), own.tobytes()))
             if found:
-                ids, sizes, sets = zip(*found)
-                yield pa.RecordBatch.from_pydict({"c": ints(ids), "n": ints(sizes), "own": pa.array(sets, pa.binary())})
+                ids, rows, sets = zip(*found)
+                yield pa.RecordBatch.from_pydict({"c": ints(ids), "row": ints(rows), "own": pa.array(sets, pa.binary())})
 
     bounded_batches(docs.sparkSession)
-    sets = docs.select(text).mapInArrow(run, "c long, n long, own binary")
+    sets = docs.select(text, F.xxhash64(key).alias("row")).mapInArrow(run, "c long, row long, own binary")
     if not few:
-        sets = sets.join(wanted.select("c"), "c", "left_semi")
-    return materialise(sets.dropDuplicates(["c"]), "sets")
+        sets = sets.join(wanted.select("c", "row"), ["c", "row"], "left_semi")
+    return materialise(sets.select("c", "own"), "sets")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -200,7 +203,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return materialise(joined.mapInArrow(run, "a long, b long"), "similar")
+    return materialise(joined.mapInArrow(run, "a long, b long").distinct(), "similar")
 
 
 def _offered(x: str, y: str, percent: int) -> Column:
@@ -229,9 +232,13 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
     allowed = [F.when(F.ceil(F.col("n") * percent / 100.0) >= m + 1, costs[m]) for m in range(MOST_MATCHES)]
     asked = sums.select("c", F.array_min(F.array_compact(F.array(*allowed))).getField("matches").alias("matches"), F.col("s0").alias("weight"))
     kept = materialise(shared.join(asked, "c").where(F.col("place") <= base + F.col("matches") - 1), "asked")
-    sets = _whole_sets(docs, kept.select("c").distinct(), text, k)
+    classes = rows.where("c is not null").groupBy("c").agg(F.xxhash64(F.min("key")).alias("row"))
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct().join(classes, "c")
+        return _similar(pairs, _whole_sets(docs, materialise(wanted, "wanted"), key, text, k), percent)
 
-    return rows, linked(kept, percent, lambda pairs: _similar(pairs, sets, percent))
+    return rows, linked(kept, percent, compare)
 
 
 def _across(here: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
