@@ -29,8 +29,10 @@ from siltstone.llm.text import Words, buffers, mix, slices
 MOST_MATCHES = 4
 #: A compared pair costs about as much as so many list entries for each shingle.
 COMPARE_COST = 0.05
-#: Shingles in at least HOT lists go last, if they are no more than HOT_MANY (then HOT rises). Bits that tell them.
-HOT, HOT_MANY, HOT_BITS = 16, 300_000, 1 << 23
+#: One class in SAMPLE tells which shingles are frequent. That decides their order alone, which any choice leaves exact.
+SAMPLE = 16
+#: Shingles in at least HOT of those go last, if they are no more than HOT_MANY (then HOT rises). Bits that tell them.
+HOT, HOT_MANY, HOT_BITS = 3, 300_000, 1 << 23
 #: Ids that a filter on the workers may hold (8 bytes each).
 FILTER_IDS = 4_000_000
 
@@ -93,23 +95,23 @@ def _lists(sets: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat.view(np.int64)))
 
 
-def _signed(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """key, n, set and the prefix in the order of the hashes, for each row."""
+def _signed(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """key, n and class of each row, and the whole set of some classes."""
     kind = docs.schema[key].dataType.simpleString()
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
-        ids, sizes, prefixes = [], [], []
+        ids, sizes, drawn = [], [], []
         for own in shingle_sets(batch.column(1), k):
             ids.append(set_id(own) if len(own) else None)
             sizes.append(len(own))
-            prefixes.append(own[: len(own) - _needed(len(own), percent) + 1])
-        yield {"key": batch.column(0), "n": ints(sizes), "c": pa.array(ids, pa.int64()), "prefix": _lists(prefixes)}
+            drawn.append(own if len(own) and ids[-1] % SAMPLE == 0 else own[:0])
+        yield {"key": batch.column(0), "n": ints(sizes), "c": pa.array(ids, pa.int64()), "drawn": _lists(drawn)}
 
-    return _rows(docs, [key, text], rows, f"key {kind}, n long, c long, prefix array<long>")
+    return _rows(docs, [key, text], rows, f"key {kind}, n long, c long, drawn array<long>")
 
 
 def _hot_bits(lists: DataFrame) -> np.ndarray:
-    """A Bloom filter of the shingles that are in many prefixes; its size is fixed."""
+    """A Bloom filter of the frequent shingles; its size is fixed."""
     counts = materialise(lists.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= HOT), "frequent")
     many, least = 0, HOT
     for df, n in counts.groupBy("df").count().orderBy(F.desc("df")).collect():  # one row for each count that occurs
@@ -217,8 +219,9 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
     The links suffice for components: between classes already joined by links,
     further ones are left out.
     """
-    rows = materialise(_signed(docs, key, text, k, percent), "signed")
-    bits = _hot_bits(rows.where("n > 0").select(F.explode("prefix").alias("token")))
+    rows = materialise(_signed(docs, key, text, k), "signed")
+    drawn = rows.where("size(drawn) > 0").select("c", "drawn").dropDuplicates(["c"])
+    bits = _hot_bits(drawn.select(F.explode("drawn").alias("token")))
     lists = materialise(_prefixes(docs, text, k, percent, bits), "prefixes")
     entries = lists.select("c", "n", F.posexplode("prefix").alias("place", "token")).repartition("token")
     common = entries.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("df")).where("low <> high")
