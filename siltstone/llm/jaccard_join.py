@@ -33,6 +33,8 @@ COMPARE_COST = 0.05
 SAMPLE = 16
 #: Shingles in at least HOT of those go last, if they are no more than HOT_MANY (then HOT rises). Bits that tell them.
 HOT, HOT_MANY, HOT_BITS = 3, 300_000, 1 << 23
+#: Bits of the sketch of a set; lists of more than SMALL members are compared by it, in blocks of BLOCK members.
+SKETCH, SMALL, BLOCK = 1024, 32, 2048
 #: Ids that a filter on the workers may hold (8 bytes each).
 FILTER_IDS = 4_000_000
 
@@ -89,6 +91,13 @@ def _rows(docs: DataFrame, columns: list[str], f: Callable[[pa.RecordBatch], Ite
     return docs.select(*columns).mapInArrow(run, schema)
 
 
+def _sketch(own: np.ndarray) -> bytes:
+    """Bits of the shingles' hashes. Two sets differ in at least as many shingles as their sketches in bits."""
+    bits = np.zeros(SKETCH, bool)
+    bits[(own >> np.uint64(20)).astype(np.int64) & (SKETCH - 1)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _lists(sets: list[np.ndarray]) -> pa.Array:
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
@@ -128,14 +137,14 @@ def _hot_bits(lists: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, text: str, k: int, percent: int, bits: np.ndarray) -> DataFrame:
-    """c, n and the longest prefix of each class, once for each task that meets it."""
+    """c, n, the longest prefix and the sketch of each class, once for each task that meets it."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            ids, sizes, prefixes = [], [], []
+            ids, sizes, prefixes, sketches = [], [], [], []
             for own in shingle_sets(batch.column(0), k):
                 c = set_id(own) if len(own) else None
                 if c is None or c in seen:
@@ -144,11 +153,12 @@ def _prefixes(docs: DataFrame, text: str, k: int, percent: int, bits: np.ndarray
                 hot = _hot(own, shared.value)
                 ids.append(c)
                 sizes.append(len(own))
+                sketches.append(_sketch(own))
                 prefixes.append(np.concatenate([own[~hot], own[hot]])[: len(own) - _needed(len(own), percent) + MOST_MATCHES])
             if ids:
-                yield pa.RecordBatch.from_pydict({"c": ints(ids), "n": ints(sizes), "prefix": _lists(prefixes)})
+                yield pa.RecordBatch.from_pydict({"c": ints(ids), "n": ints(sizes), "prefix": _lists(prefixes), "sketch": pa.array(sketches, pa.binary())})
 
-    return docs.select(text).mapInArrow(run, "c long, n long, prefix array<long>")
+    return docs.select(text).mapInArrow(run, "c long, n long, prefix array<long>, sketch binary")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
@@ -241,24 +251,63 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
         wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct().join(classes, "c")
         return _similar(pairs, _whole_sets(docs, materialise(wanted, "wanted"), key, text, k), percent)
 
-    return rows, linked(kept, percent, compare)
+    return rows, linked(kept, percent, compare, lists.select("c", "sketch").dropDuplicates(["c"]))
 
 
-def _across(here: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
-    """Members outside a list's largest component, each with all members of other components."""
+def _across(here: DataFrame, mixed: DataFrame, percent: int, sketches: DataFrame | None) -> DataFrame:
+    """Pairs of members of different components in short lists: token, a, b and the matches asked for."""
+    short = mixed.where(F.col("size") <= SMALL).select("token", "main")
+    sides = here.join(short, "token")
     other = here.select("token", F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("droot"), F.col("matches").alias("dmatches"))
     outside = sides.where("root <> main.root").drop("main")
-    return outside.join(other, "token").where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
+    few = outside.join(other, "token").where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
+    pairs = few.select("token", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), F.least("matches", "dmatches").alias("asked"))
+    return pairs.union(_across_long(here, mixed, percent, sketches))
+
+
+def _across_long(here: DataFrame, mixed: DataFrame, percent: int, sketches: DataFrame | None) -> DataFrame:
+    """The same for long lists, in pairs of bounded blocks; only pairs that their sketches allow come out."""
+    members = here.join(mixed.where(F.col("size") > SMALL).select("token", "size"), "token")
+    members = members.join(sketches, "c") if sketches is not None else members.withColumn("sketch", F.lit(None).cast("binary"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    members = members.withColumn("mine", F.pmod(F.xxhash64("c"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    members = members.select("token", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "c", "n", "root", "matches", "sketch")
+
+    def compare(table: pa.Table) -> pa.Table:
+        c, n, root, asked, mine = (table.column(x).to_numpy() for x in ("c", "n", "root", "matches", "mine"))
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+        raw = table.column("sketch").to_pylist()
+        bits = np.frombuffer(b"".join(raw), np.uint64).reshape(len(c), -1) if raw[0] is not None else None
+        found = []
+        for at in range(0, len(left), 64):
+            i = left[at : at + 64]
+            ok = (root[i][:, None] != root[right]) & (c[i][:, None] != c[right])
+            ok &= 100 * np.minimum(n[i][:, None], n[right]) >= percent * np.maximum(n[i][:, None], n[right])
+            if low == high:
+                ok &= c[i][:, None] < c[right]
+            if bits is not None:
+                apart = sum(np.bitwise_count(bits[i, w][:, None] ^ bits[right, w]).astype(np.int32) for w in range(bits.shape[1]))
+                ok &= (100 + percent) * apart <= (100 - percent) * (n[i][:, None] + n[right])
+            x, y = np.nonzero(ok)
+            found.append((i[x], right[y]))
+        x, y = (np.concatenate(f) for f in zip(*found)) if found else (left[:0], right[:0])
+        out = {"token": pa.array(np.full(len(x), table.column("token")[0].as_py(), np.int64)), "a": pa.array(np.minimum(c[x], c[y])),
+               "b": pa.array(np.maximum(c[x], c[y])), "asked": pa.array(np.minimum(asked[x], asked[y]).astype(np.int32))}
+        return pa.table(out)
+
+    return members.groupBy("token", "low", "high").applyInArrow(compare, "token long, a long, b long, asked int")
 
 
 def _to_hubs(sides: DataFrame, percent: int) -> DataFrame:
     """Each member with the weightiest member of its list's largest component."""
     hub = [F.col(f"main.best.{x}").alias(y) for x, y in (("c", "d"), ("n", "m"), ("matches", "dmatches"))]
     both = sides.select("token", "c", "n", "root", "matches", F.col("main.root").alias("droot"), *hub)
-    return both.where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
+    both = both.where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
+    return both.select("token", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), F.least("matches", "dmatches").alias("asked"))
 
 
-def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFrame], sketches: DataFrame | None = None) -> DataFrame:
     """Links (a, b) that suffice for the components of all pairs that share a list and compare as similar.
 
     `kept`: token (the list), c (the member), n (its size), matches (lists a pair
@@ -280,13 +329,8 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
         if rest is None:
             return found
         last = rest <= 4 * entries or not linking  # few pairs, or hubs that gave no more links
-        sides = here.join(mixed.select("token", "main"), "token")
-        both = _across(here, sides, percent) if last else _to_hubs(sides, percent)
-        pairs = (
-            both.groupBy(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"))
-            .agg(F.countDistinct("token").alias("same"), F.min(F.least("matches", "dmatches")).alias("asked"))
-            .where(F.col("same") >= F.col("asked")).select("a", "b")
-        )
+        both = _across(here, mixed, percent, sketches) if last else _to_hubs(here.join(mixed.select("token", "main"), "token"), percent)
+        pairs = both.distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("same"), F.min("asked").alias("asked")).where("same >= asked").select("a", "b")
         pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         good = compare(pairs)
         tried, found = tried.union(pairs), found.union(good)
