@@ -94,7 +94,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", order: int =
 
         def out(which: str) -> pa.RecordBatch:
             codes, counts = held.pop(which)
-            return pa.RecordBatch.from_pydict({"lang": pa.array([which] * len(codes)), "gram": pa.array(codes.astype(np.int64)), "n": pa.array(counts)})
+            return pa.RecordBatch.from_pydict({"lang": pa.array([which] * len(codes), pa.string()), "gram": pa.array(codes.astype(np.int64)), "n": pa.array(counts)})
 
         for batch in batches:
             names = batch.column(0)
