@@ -91,7 +91,7 @@ def _rows(docs: DataFrame, columns: list[str], f: Callable[[pa.RecordBatch], Ite
     return docs.select(*columns).mapInArrow(run, schema)
 
 
-def _sketch(own: np.ndarray) -> bytes:
+def sketch(own: np.ndarray) -> bytes:
     """Bits of the shingles' hashes. Two sets differ in at least as many shingles as their sketches in bits."""
     bits = np.zeros(SKETCH, bool)
     bits[(own >> np.uint64(20)).astype(np.int64) & (SKETCH - 1)] = True
@@ -153,7 +153,7 @@ def _prefixes(docs: DataFrame, text: str, k: int, percent: int, bits: np.ndarray
                 hot = _hot(own, shared.value)
                 ids.append(c)
                 sizes.append(len(own))
-                sketches.append(_sketch(own))
+                sketches.append(sketch(own))
                 prefixes.append(np.concatenate([own[~hot], own[hot]])[: len(own) - _needed(len(own), percent) + MOST_MATCHES])
             if ids:
                 yield pa.RecordBatch.from_pydict({"c": ints(ids), "n": ints(sizes), "prefix": _lists(prefixes), "sketch": pa.array(sketches, pa.binary())})
@@ -319,7 +319,7 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
     found = tried = kept.sparkSession.createDataFrame([], "a long, b long")
     members = kept.select("c").distinct()
     labels = members.select("c", F.col("c").alias("root"))
-    linking = True
+    linking, before = True, None
     while True:
         here = materialise(kept.join(labels, "c"), "labelled")
         by_root = here.groupBy("token", "root").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct("weight", "c", "n", "matches")).alias("best"))
@@ -328,7 +328,9 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
         rest, entries = mixed.agg(F.sum((F.col("size") - F.col("main.members")) * F.col("size")), F.sum("size")).first()
         if rest is None:
             return found
-        last = rest <= 4 * entries or not linking  # few pairs, or hubs that gave no more links
+        # Few pairs are left, or hubs that hardly save any more.
+        last = rest <= 4 * entries or not linking or (before is not None and rest > 0.8 * before)
+        before = rest
         both = _across(here, mixed, percent, sketches) if last else _to_hubs(here.join(mixed.select("token", "main"), "token"), percent)
         pairs = both.distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("same"), F.min("asked").alias("asked")).where("same >= asked").select("a", "b")
         pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")

@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from siltstone.llm.components import components
 from siltstone.llm.frames import bounded_batches, ints, materialise
-from siltstone.llm.jaccard_join import FILTER_IDS, linked
+from siltstone.llm.jaccard_join import FILTER_IDS, linked, sketch
 from siltstone.llm.text import Words, buffers, code_points_before, mix, owners, slices
 
 #: Word pairs that a cut is the least of: any run of 2 * WINDOW words or so holds a whole paragraph.
@@ -151,9 +151,9 @@ def _banded(docs: DataFrame, text: str, bands: int, rows_: int) -> DataFrame:
         if not len(new):
             return None
         keys = p.bands(bands, rows_)
-        return {"token": ints(np.concatenate([k[new] for k in keys])), "c": ints(np.tile(p.ids[new], bands)), "n": ints(np.tile(p.counts[new], bands))}
+        return {"token": ints(np.concatenate([k[new] for k in keys])), "c": ints(np.tile(p.ids[new], bands))}
 
-    return _map(docs, [text], "token long, c long, n long", rows)
+    return _map(docs, [text], "token long, c long", rows)
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
@@ -170,9 +170,11 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
         new = new[_fresh(p.ids[new], seen)] if len(new) else new
         if not len(new):
             return None
-        return {"c": ints(p.ids[new]), "own": pa.array([np.unique(p.shingles[p.begin[i] : p.begin[i] + p.counts[i]]).tobytes() for i in new], pa.binary())}
+        sets = [np.unique(p.shingles[p.begin[i] : p.begin[i] + p.counts[i]]) for i in new]
+        return {"c": ints(p.ids[new]), "n": ints([len(s) for s in sets]), "own": pa.array([s.tobytes() for s in sets], pa.binary()),
+                "sketch": pa.array([sketch(s) for s in sets], pa.binary())}
 
-    sets = _map(docs, [text], "c long, own binary", rows)
+    sets = _map(docs, [text], "c long, n long, own binary, sketch binary", rows)
     if not few:
         sets = sets.join(wanted.select("c"), "c", "left_semi")
     return materialise(sets.dropDuplicates(["c"]), "paragraph-sets")
@@ -192,9 +194,10 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     entries = _banded(docs, text, bands, rows).repartition("token")
     common = entries.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
     lists = entries.join(common.select("token"), "token").dropDuplicates(["token", "c"])
-    lists = materialise(lists.withColumns({"matches": F.lit(1), "weight": F.col("n")}), "bands")
+    lists = materialise(lists.select("token", "c"), "bands")
     sets = _shingle_sets(docs, lists.select("c").distinct(), text)
-    percent = int(100 * threshold)
+    lists = materialise(lists.join(sets.select("c", "n"), "c").withColumns({"matches": F.lit(1), "weight": F.col("n")}), "lists")
+    percent = round(100 * threshold)
 
     def compare(pairs: DataFrame) -> DataFrame:
         left = sets.select(F.col("c").alias("a"), F.col("own").alias("x"))
@@ -212,7 +215,7 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
 
         return materialise(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "alike")
 
-    roots = materialise(components(linked(lists, 0, compare)), "components").withColumnRenamed("node", "c")
+    roots = materialise(components(linked(lists, percent, compare, sets.select("c", "sketch"))), "components").withColumnRenamed("node", "c")
     places = materialise(_places(docs, key, text), "paragraphs")
     seen = places.groupBy("c").agg(F.min("key").alias("low"), F.max("key").alias("high")).join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     many = seen.join(roots.select(F.col("root")).distinct().withColumn("linked", F.lit(True)), "root", "left").where(F.col("linked") | (F.col("low") != F.col("high")))
