@@ -55,9 +55,3 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
     _, target = _fs(spark, new)
     if not fs.rename(source, target):
         raise IOError(f"could not rename {old} to {new}")
-
-
-def delete_file(spark: SparkSession, path: str) -> None:
-    """Remove one file, if it is there."""
-    fs, p = _fs(spark, path)
-    fs.delete(p, False)

@@ -44,9 +44,9 @@ def has_term(text: Column, term: str) -> Column:
     term itself begins or ends with a letter or digit."""
     if not term:
         raise ValueError("empty term")
-    before = "(?<![A-Za-z0-9])" if re.match(r"[A-Za-z0-9]", term[0]) else ""
-    after = "(?![A-Za-z0-9])" if re.match(r"[A-Za-z0-9]", term[-1]) else ""
-    return text.rlike(f"(?i){before}{re.escape(term)}{after}")
+    before = r"(?<![\p{L}\p{N}])" if term[0].isalnum() else ""
+    after = r"(?![\p{L}\p{N}])" if term[-1].isalnum() else ""
+    return text.rlike(f"(?iu){before}{re.escape(term)}{after}")
 
 
 # Spark's parser stops after the first value of a text. To see whether anything

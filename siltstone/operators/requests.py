@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import case, parse_dynamic
 from ..functions.types import timespan_micros
-from ..session import materialise
+from ..session import materialise, small_side
 from .drift import lookup
 from .lifecycle import micros
 from .ordered import BLOCK_ROWS, running_totals
@@ -118,7 +118,7 @@ def limits_report(requests: DataFrame, policies: DataFrame, *, group: str = "wor
             for n, a in (("MaxResultRecords", "_r1"), ("MaxResultBytes", "_r2"), ("MaxExecutionTime", "_r3"), ("DataScope", "_r4"))
         ],
     )
-    joined = requests.join(limits, F.col(group) == F.col("_group"), "left")
+    joined = requests.join(small_side(limits), F.col(group) == F.col("_group"), "left")
     broken = {
         "over_records": ("records", F.col("records") > F.col("_records"), "_r1"),
         "over_bytes": ("bytes", F.col("bytes") > F.col("_bytes"), "_r2"),

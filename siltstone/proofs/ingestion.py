@@ -82,14 +82,14 @@ def mapping_bad_values(spark, sf):
 
 @query(
     "mapping_csv",
-    "SELECT c_custkey, c_name, c_acctbal, c_mktsegment, 'constant_value' AS origin FROM customer",
+    "SELECT c_custkey, c_name, c_acctbal, c_mktsegment, 'branch ledger' AS origin FROM customer",
 )
 def mapping_csv(spark, sf):
     path = fresh_dir(spark, "customer-csv")
     load(spark, sf, "customer").write.csv(path)
     rules = [
         Rule("c_custkey", ordinal=0, datatype="long"), Rule("c_name", ordinal=1), Rule("c_acctbal", ordinal=3),
-        Rule("c_mktsegment", ordinal=4, datatype="string"), Rule("origin", constvalue="constant_value"),
+        Rule("c_mktsegment", ordinal=4, datatype="string"), Rule("origin", constvalue="branch ledger"),
     ]
     target = parse_schema("c_custkey:long, c_name:string, c_acctbal:real, c_mktsegment:string, origin:string")
     return read_mapped(spark, path, Mapping("csv", rules), target)

@@ -57,9 +57,9 @@ def conditionals(spark, sf):
 
 @query(
     "term_match",
-    r"""SELECT doc_id, regexp_matches(text, '(?i)(^|[^a-zA-Z0-9])the([^a-zA-Z0-9]|$)') AS has_the,
+    r"""SELECT doc_id, regexp_matches(text, '(?i)(^|[^\p{L}\p{N}])the([^\p{L}\p{N}]|$)') AS has_the,
                regexp_matches(text, '(?i)of,') AS has_of_comma
-        FROM documents WHERE regexp_matches(text, '(?i)(^|[^a-zA-Z0-9])and([^a-zA-Z0-9]|$)')""",
+        FROM documents WHERE regexp_matches(text, '(?i)(^|[^\p{L}\p{N}])and([^\p{L}\p{N}]|$)')""",
 )
 def term_match(spark, sf):
     docs = load(spark, sf, "documents").where(scalars.has_term(F.col("text"), "AND"))

@@ -123,3 +123,11 @@ def test_to_int(spark):
 def test_case_needs_pairs():
     with pytest.raises(ValueError):
         scalars.case("only a default")
+
+
+def test_term_edges_are_those_of_any_script(spark):
+    from siltstone.functions.scalars import has_term
+
+    df = spark.createDataFrame([("wir ändern das",), ("ÄNDERN!",), ("ndern",)], "t string")
+    assert [r[0] for r in df.select(has_term(df.t, "ndern")).collect()] == [False, False, True]
+    assert [r[0] for r in df.select(has_term(df.t, "ändern")).collect()] == [True, True, False]
