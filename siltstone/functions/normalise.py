@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+import math
+from typing import Any
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
-from .scalars import parse_dynamic, unquote_schema
+from .scalars import unquote_schema
 from .types import to_timespan_literal
 
 
@@ -22,18 +27,89 @@ def same_text(a: Column, b: Column) -> Column:
     return collapse_space(a).eqNullSafe(collapse_space(b))
 
 
-def canonical_json(text: Column) -> Column:
-    """JSON with sorted keys and no spaces; text that is not JSON stays as it is."""
-    return F.coalesce(F.to_json(parse_dynamic(text)), text)
+def _number(text: str) -> int | float:
+    """Numbers are equal by value: 100, 100.0 and 1e2 are one."""
+    x = float(text)
+    if math.isinf(x):
+        raise ValueError("a number too large")
+    return int(x) if x.is_integer() and abs(x) < 2**53 else x
+
+
+def _no_constant(name: str) -> None:
+    raise ValueError(f"{name} is not JSON")
+
+
+def _values(texts: pd.Series) -> list[tuple]:
+    """The value of each text in a tuple of its own, empty where it is not exactly
+    one JSON value. Of a key that occurs twice, the last value counts."""
+    found = []
+    for text in texts:
+        try:
+            found.append((json.loads(text, parse_int=_number, parse_float=_number, parse_constant=_no_constant),))
+        except (TypeError, ValueError, RecursionError):  # nested 10,000 deep, as deep as the parser goes
+            found.append(())
+    return found
+
+
+def _equal(a: Any, b: Any) -> bool:
+    todo = [(a, b)]
+    while todo:
+        a, b = todo.pop()
+        if type(a) is not type(b):
+            return False
+        if isinstance(a, dict):
+            if a.keys() != b.keys():
+                return False
+            todo.extend((v, b[k]) for k, v in a.items())
+        elif isinstance(a, list):
+            if len(a) != len(b):
+                return False
+            todo.extend(zip(a, b))
+        elif a != b:
+            return False
+    return True
+
+
+def _within(a: Any, b: Any) -> bool:
+    """Every member of `a` is in `b`; arrays and scalars are equal as a whole."""
+    todo = [(a, b)]
+    while todo:
+        a, b = todo.pop()
+        if isinstance(a, dict) and isinstance(b, dict):
+            if not a.keys() <= b.keys():
+                return False
+            todo.extend((v, b[k]) for k, v in a.items())
+        elif not _equal(a, b):
+            return False
+    return True
+
+
+@F.pandas_udf(T.BooleanType())
+def _same_value(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Equal JSON values; text that is not JSON is equal as text, and null to null."""
+    pairs = zip(a, b, _values(a), _values(b))
+    return pd.Series([_equal(x[0], y[0]) if x and y else not x and not y and (s == t or pd.isna(s) and pd.isna(t)) for s, t, x, y in pairs], dtype=bool)
+
+
+@F.pandas_udf(T.BooleanType())
+def _one_within_other(a: pd.Series, b: pd.Series) -> pd.Series:
+    pairs = zip(_values(a), _values(b))
+    return pd.Series([bool(x and y) and (_within(x[0], y[0]) or _within(y[0], x[0])) for x, y in pairs], dtype=bool)
 
 
 def same_json(a: Column, b: Column) -> Column:
-    return canonical_json(a).eqNullSafe(canonical_json(b))
+    """Equal as JSON values, in Arrow batches; text that is not JSON compares as it is."""
+    return _same_value(a, b)
+
+
+# Fixed value: the text of a decimal number.
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 
 
 def same_number(a: Column, b: Column) -> Column:
-    """Equal as numbers; anything that is not a number is unequal."""
-    return F.coalesce(a.try_cast("double") == b.try_cast("double"), F.lit(False))
+    """Equal as numbers; anything else than the bare text of a number is unequal."""
+    x, y = (F.when(c.rlike(_NUMBER), c.try_cast("double")) for c in (a, b))
+    return F.coalesce((x == y) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))
 
 
 def same_principal_kind(a: Column, b: Column) -> Column:
@@ -53,76 +129,10 @@ def same_kind(a: Column, b: Column) -> Column:
     return F.lower(a).eqNullSafe(F.lower(b))
 
 
-# Fixed value: the nesting that Spark's JSON parser accepts.
-_DEEPEST = 1000
-
-
-def _braces(text: Column) -> Column:
-    """The braces of a JSON text that are not inside strings, in order."""
-    return F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', ""), r"[^{}]++", "")
-
-
-def _depth(braces: Column) -> Column:
-    """How deep braces nest; null where they do not pair up."""
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-
-    def step(acc: Column, brace: Column) -> Column:
-        now = acc["now"] + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
-        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
-
-    return F.aggregate(F.split(braces, ""), start, step, lambda acc: F.when(acc["now"] == 0, acc["most"]))
-
-
-def _deepest(df: DataFrame, *columns: str) -> int:
-    """How deep the objects of any document nest. Documents are many and their
-    shapes few, so shapes are counted."""
-    shapes = df.select(F.explode(F.array(*[_braces(F.col(c)) for c in columns])).alias("shape")).distinct()
-    found = shapes.agg(F.max(_depth(F.col("shape")))).first()[0] or 0
-    return min(found, _DEEPEST)
-
-
-def _node(path: Column, v: Column) -> Column:
-    """A JSON node: where it is, its value, and its members if it is an object."""
-    members = F.try_variant_get(v, "$", "map<string,variant>")
-    return F.struct(path.alias("path"), v.alias("v"), members.alias("members"))
-
-
-def _leaf(node: Column) -> Column:
-    shown = F.when(node["members"].isNotNull(), "<object>").otherwise(F.to_json(node["v"]))
-    return F.struct(node["path"].alias("path"), shown.alias("value"))
-
-
-def _opened(node: Column) -> Column:
-    def below(e: Column) -> Column:  # a slash inside a name is no step of the path
-        name = F.replace(F.replace(e["key"], F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
-        return _node(F.concat(node["path"], F.lit("/"), name), e["value"])
-
-    return F.transform(F.map_entries(node["members"]), below)
-
-
-def _with_nodes(df: DataFrame, text: str, depth: int, out: str) -> DataFrame:
-    """Add every node of a JSON value as (path, value): objects are opened level
-    by level, arrays and scalars stay whole. Empty where the text is not JSON.
-    Each level is a column of its own, so that it is worked out once."""
-    root = _node(F.lit("$"), F.col(f"{out}_v"))
-    df = df.withColumn(f"{out}_v", parse_dynamic(F.col(text)))
-    df = df.withColumn(f"{out}_0", F.filter(F.array(root), lambda n: n["v"].isNotNull()))
-    for i in range(depth):
-        objects = F.filter(f"{out}_{i}", lambda n: n["members"].isNotNull())
-        df = df.withColumn(f"{out}_{i + 1}", F.flatten(F.transform(objects, _opened)))
-    levels = [f"{out}_{i}" for i in range(depth + 1)]
-    return df.withColumn(out, F.concat(*[F.transform(c, _leaf) for c in levels])).drop(f"{out}_v", *levels)
-
-
 def json_subset(df: DataFrame, old: str, new: str, out: str = "same") -> DataFrame:
     """True where one JSON value is contained in the other, either way.
 
-    Objects compare by key, arrays and scalars as a whole. Both sides become
-    arrays of (path, value) inside their own row, so nothing is shuffled. Text
-    that is not JSON is contained in nothing. A first pass finds how deep
-    objects nest, which is how often the plan opens them."""
-    depth = _deepest(df, old, new)
-    nodes = _with_nodes(_with_nodes(df, old, depth, "_old"), new, depth, "_new")
-    within = (F.size(F.array_except("_old", "_new")) == 0) | (F.size(F.array_except("_new", "_old")) == 0)
-    both = (F.size("_old") > 0) & (F.size("_new") > 0)
-    return nodes.withColumn(out, within & both).drop("_old", "_new")
+    Objects compare by key, arrays and scalars as a whole, numbers by value. Pairs
+    are compared inside their own row, in Arrow batches, however deep they nest.
+    Text that is not JSON is contained in nothing."""
+    return df.withColumn(out, _one_within_other(F.col(old), F.col(new)))

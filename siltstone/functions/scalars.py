@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import small_side
@@ -49,26 +49,26 @@ def has_term(text: Column, term: str) -> Column:
     return text.rlike(f"(?iu){before}{re.escape(term)}{after}")
 
 
-# Spark's parser stops after the first value of a text. To see whether anything
-# follows it, the text is parsed as the first of two elements; the second, this
-# mark, is only found in its place if the text is exactly one value.
-_MARK = "--end of record--"
-
-
-def _marked(text: Column) -> Column:
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f', "{_MARK}"]')))
+# Spark's parser stops after the first value of a text. A text is exactly one
+# value if it parses both as the only element of an array and as the only member
+# of an object: whatever closes the one early breaks the other.
+def _wrapped(text: Column, begin: str, end: str) -> Column:
+    session = SparkSession.getActiveSession()
+    if session is not None:  # of a key that occurs twice, the last value counts
+        session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return F.try_parse_json(F.concat(F.lit(begin), text, F.lit(end)))
 
 
 def is_json(text: Column) -> Column:
     """Exactly one JSON value."""
-    pair = _marked(text)
-    ends = F.try_variant_get(pair, "$[1]", "string").eqNullSafe(F.lit(_MARK))
-    return ends & F.try_variant_get(pair, "$[2]", "string").isNull()
+    alone = _wrapped(text, "[", "]")
+    one = F.try_variant_get(alone, "$[0]", "variant").isNotNull() & F.try_variant_get(alone, "$[1]", "variant").isNull()
+    return one & _wrapped(text, '{"v":', "}").isNotNull()
 
 
 def parse_dynamic(text: Column) -> Column:
     """JSON text as VARIANT; null where it is not exactly one JSON value."""
-    return F.when(is_json(text), F.try_variant_get(_marked(text), "$[0]", "variant"))
+    return F.when(is_json(text), F.try_variant_get(_wrapped(text, "[", "]"), "$[0]", "variant"))
 
 
 def member(dynamic: Column, path: str, data_type: str = "string") -> Column:

@@ -36,7 +36,7 @@ _NAMES = {
 UNIT_MICROS = {"d": 86_400_000_000, "h": 3_600_000_000, "m": 60_000_000, "s": 1_000_000}
 
 _UNIT_FORM = r"^(\d+)([dhms])$"
-_CLOCK_FORM = r"^(?:(\d+)\.)?(\d{1,2}):(\d{2})(?::(\d{2}))?$"
+_CLOCK_FORM = r"^(?:(\d+)\.)?([01]?\d|2[0-3]):([0-5]\d)(?::([0-5]\d))?$"
 
 
 def spark_type(name: str) -> T.DataType:

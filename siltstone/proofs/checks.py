@@ -42,13 +42,16 @@ def check_pattern(spark, sf):
 @query(
     "check_json",
     """SELECT 'props' AS rule, count(*) AS rows, CAST(0 AS BIGINT) AS violations FROM events
-       UNION ALL SELECT 'cut', count(*), count(*) FILTER (WHERE event_type = 'error') FROM events""",
+       UNION ALL SELECT 'cut', count(*), count(*) FILTER (WHERE event_type = 'error') FROM events
+       UNION ALL SELECT 'twice', count(*), count(*) FILTER (WHERE event_type = 'view') FROM events""",
 )
 def check_json(spark, sf):
     events = load(spark, sf, "events").withColumn(
         "cut", F.when(F.col("event_type") == "error", F.concat("props", F.lit("}"))).otherwise(F.col("props"))
+    ).withColumn(  # a name that occurs twice is fine, a second value is not
+        "twice", F.concat(F.lit('{"a":1,"a":'), F.col("props"), F.when(F.col("event_type") == "view", '}, "--end of record--"], [').otherwise("}"))
     )
-    return q.violation_counts(events, [q.Check("props", q.valid_json("props")), q.Check("cut", q.valid_json("cut"))])
+    return q.violation_counts(events, [q.Check("props", q.valid_json("props")), q.Check("cut", q.valid_json("cut")), q.Check("twice", q.valid_json("twice"))])
 
 
 @query(

@@ -351,7 +351,7 @@ def drift_of_orders(spark, sf):
 @query(
     "normalised_values",
     """SELECT c_custkey, true AS name, c_mktsegment <> 'BUILDING' AS text_, c_nationkey < 10 AS json_,
-              c_acctbal < 5000 AS number_, false AS no_number, c_nationkey >= 5 AS principal, c_mktsegment <> 'FURNITURE' AS timespan, true AS kind
+              c_acctbal < 5000 AS number_, false AS no_number, false AS spaced_number, c_nationkey < 10 AS number_in_json, c_nationkey >= 5 AS principal, c_mktsegment <> 'FURNITURE' AS timespan, true AS kind
        FROM customer""",
 )
 def normalised_values(spark, sf):
@@ -367,8 +367,10 @@ def normalised_values(spark, sf):
         normalise.same_name(quoted, F.concat(name, F.lit(":int"))).alias("name"),
         normalise.same_text(spaced, F.concat_ws(" ", name, "c_mktsegment")).alias("text_"),
         normalise.same_json(one, two).alias("json_"),
-        normalise.same_number(F.col("c_acctbal").cast("string"), F.concat(F.lit(" "), balance.cast("string"))).alias("number_"),
+        normalise.same_number(F.col("c_acctbal").cast("string"), F.concat(balance.cast("string"), F.lit("e0"))).alias("number_"),
         normalise.same_number(name, name).alias("no_number"),
+        normalise.same_number(F.col("c_acctbal").cast("string"), F.concat(F.lit(" "), F.col("c_acctbal").cast("string"))).alias("spaced_number"),
+        normalise.same_json(one, F.replace(two, F.lit(",\"b\""), F.lit("e0,\"b\""))).alias("number_in_json"),
         normalise.same_principal_kind(
             F.concat(F.lit("USER="), name), F.when(nation >= 5, F.concat(F.lit("user="), F.md5("c_name"))).otherwise("app=x")
         ).alias("principal"),
@@ -379,11 +381,13 @@ def normalised_values(spark, sf):
 
 @query(
     "json_subset",
-    """SELECT o_orderkey, o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderpriority <> '2-HIGH') AS same FROM orders""",
+    """SELECT o_orderkey, o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderpriority <> '2-HIGH') AS same,
+              o_orderstatus = 'F' OR o_orderkey = 0 AS same_deep FROM orders""",
 )
 def json_subset(spark, sf):
     """Old and new policy text per order: F adds members on one side, O on the
-    other (2-HIGH with a changed array), P changes a nested value."""
+    other (2-HIGH with a changed array), P changes a nested value. Deep documents
+    write the key as an exponent number, after another value of the same name."""
     key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
     old = F.when(
         status == "F", F.concat(F.lit('{"a":{"x":'), key, F.lit('},"b":[1,2]}'))
@@ -396,5 +400,10 @@ def json_subset(spark, sf):
         status == "O",
         F.concat(F.lit('{"a":{"x":'), key, F.lit('},"b":'), F.when(F.col("o_orderpriority") == "2-HIGH", "[2,1]").otherwise("[1,2]"), F.lit("}")),
     ).otherwise(F.concat(F.lit('{"a":{"x":'), key, F.lit('.5,"w":1}}')))
-    pairs = load(spark, sf, "orders").select("o_orderkey", old.alias("old"), new.alias("new"))
-    return normalise.json_subset(pairs, "old", "new").select("o_orderkey", "same")
+    pairs = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", old.alias("old"), new.alias("new"))
+    deep = [F.concat(F.lit('{"a":' * 60), inner, F.lit("}" * 60)) for inner in (
+        F.concat(F.lit('{"k":'), key, F.lit(".0}")), F.concat(F.lit('{"k":null,"k":'), key, F.when(status == "F", "e0}").otherwise("e1}")),
+    )]
+    pairs = pairs.withColumns({"deep_old": deep[0], "deep_new": deep[1]})
+    both = normalise.json_subset(normalise.json_subset(pairs, "old", "new"), "deep_old", "deep_new", "same_deep")
+    return both.select("o_orderkey", "same", "same_deep")

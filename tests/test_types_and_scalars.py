@@ -28,7 +28,7 @@ def test_timespans(spark, text, micros):
     assert spark.range(1).select(types.timespan_micros(F.lit(text))).first()[0] == micros
 
 
-@pytest.mark.parametrize("text", ["", "x1d", "1dx", "1w", "100:10:005", "d"])
+@pytest.mark.parametrize("text", ["", "x1d", "1dx", "1w", "100:10:005", "d", "00:99:99", "24:00:00", "1.00:60"])
 def test_not_timespans(spark, text):
     with pytest.raises(ValueError):
         parse_timespan(text)
@@ -56,9 +56,39 @@ def test_terms(spark):
 JSON_CASES = {
     '{"a":1}': True, "[1,2]": True, "1": True, '"x"': True, "null": True, " true ": True,
     '{"a":1}}': False, "1,2": False, '1,"b":2': False, "": False, "1] , [2": False, "1} , {2": False, "{": False, "abc": False, "{'a':1}": False,
+    '{"a":1,"a":2}': True, '1, "--end of record--"], [': False, "[1,]": False, "1]": False, '1}, "w": {"a":1': False, " ": False,
 }
 
 
+def test_last_of_equal_keys_counts(spark):
+    row = spark.range(1).select(scalars.parse_dynamic(F.lit('{"a":1,"a":2}')).alias("v"))
+    assert row.select(scalars.member(F.col("v"), "a", "int")).first()[0] == 2
+
+
+@pytest.mark.parametrize("a, b, same", [
+    ('{"a":100}', '{"a":1e2}', True), ('{"a":1,"a":2}', '{"a":2.0}', True), ('{"a":1}', '{"a":true}', False), ("[1,2]", "[1, 2]", True), ("[1,2]", "[2,1]", False),
+    ("{", "{", True), ("{", "{ ", False), (None, None, True), (None, "null", False), ("1e400", "1e400", True), ("NaN", "NaN", True), ('{"a":null}', "{}", False),
+])
+def test_same_json(spark, a, b, same):
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    assert df.select(normalise.same_json(F.col("a"), F.col("b"))).first()[0] is same
+
+
+@pytest.mark.parametrize("a, b, same", [
+    ("1", "1.0", True), ("1e2", "100", True), (" 1", "1", False), ("1d", "1", False), ("NaN", "NaN", False), ("1\n", "1", False), (".5", "0.50", True),
+    ("", "", False), (None, None, False), ("1e400", "1e400", False), ("-0", "0", True),
+])
+def test_same_number(spark, a, b, same):
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    assert df.select(normalise.same_number(F.col("a"), F.col("b"))).first()[0] is same
+
+
+def test_deep_json(spark):
+    deep = '{"a":' * 500 + "1" + "}" * 500
+    df = spark.createDataFrame([(deep, deep.replace("1", "1.0")), (deep, deep.replace("1", "2"))], "a string, b string")
+    assert [r["same"] for r in normalise.json_subset(df, "a", "b").collect()] == [True, False]
+
+
 def test_json_validity(spark):
     df = spark.createDataFrame([(t,) for t in JSON_CASES], "t string")
     got = {r[0]: r[1] for r in df.select("t", scalars.is_json(F.col("t"))).collect()}
