@@ -24,12 +24,23 @@ HEADERS = ("All", "FirstFile", "None")
 ENCODINGS = ("UTF8NoBOM", "UTF8BOM")
 
 
-def _unescaped(part: Column) -> Column:
-    """A folder name as a value: once as part of a URI, once as Spark escapes
-    partition values. A plus sign is no space here."""
+def _decoded(part: Column) -> Column:
+    """A partition value as Spark escapes it in a folder name. A plus sign is no space here."""
+    return F.coalesce(F.try_url_decode(F.replace(part, F.lit("+"), F.lit("%2B"))), part)
+
+
+def _value(name: Column) -> Column:
+    return _decoded(F.nullif(name, F.lit("__HIVE_DEFAULT_PARTITION__")))
+
+
+def _value_in_uri(part: Column) -> Column:
+    """The same of a folder name inside a URI, which is escaped once more."""
     part = F.nullif(part, F.lit("__HIVE_DEFAULT_PARTITION__"))
-    once = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
-    return F.coalesce(F.try_url_decode(F.replace(once, F.lit("+"), F.lit("%2B"))), once)
+    return _decoded(F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B"))))
+
+
+def _layout_pattern(layout: str) -> str:
+    return re.sub(r"\\\{(\w+)\\\}", r"([^/]+)", re.escape(layout))
 
 
 @dataclass(frozen=True)
@@ -80,23 +91,56 @@ class ExternalTable:
 
     def _glob(self, spark: SparkSession, wanted: Map[str, object]) -> list[str]:
         """Paths narrowed to the wanted partition values of a custom layout, at
-        the top or, for exports, in the folder of each run."""
+        the top or, for exports, in the folder of each run. Values are compared as
+        the column's type, so ``m-1`` and ``m-01`` are both month 1."""
         if not self.path_format:
             return self.path_list
-        # Values that are not plain text cannot be part of a glob; the filter remains.
-        plain = {k: str(v) for k, v in wanted.items() if re.fullmatch(r"[\w .-]+", str(v))}
-        pattern = re.sub(r"\{(\w+)\}", lambda m: plain.get(m.group(1), "*"), self.path_format)
         found = []
         for path in self.path_list:
             tops = [n for n in files.names(spark, path) if not n.startswith(("_", "."))]
-            if any(n.startswith("run=") for n in tops):
+            runs = [n for n in tops if n.startswith("run=")]
+            if not self._columns(self.path_format).isdisjoint(wanted):
+                for base in [path, *[f"{path}/{n}" for n in runs]]:
+                    found += self._narrowed(spark, base, wanted)
+                continue
+            pattern = re.sub(r"\{\w+\}", "*", self.path_format)
+            if runs:
                 found.append(f"{path}/run=*/{pattern}")
-            if not all(n.startswith("run=") for n in tops):
+            if len(runs) < len(tops) or not tops:
                 found.append(f"{path}/{pattern}")
         return found
 
+    @staticmethod
+    def _columns(layout: str) -> set[str]:
+        return set(re.findall(r"\{(\w+)\}", layout))
+
+    def _narrowed(self, spark: SparkSession, base: str, wanted: Map[str, object]) -> list[str]:
+        """Globs below `base`. Folders are listed level by level, as far down as a value is wanted."""
+        levels = self.path_format.strip("/").split("/")
+        last = max(i for i, level in enumerate(levels) if not self._columns(level).isdisjoint(wanted))
+        found = [(base, base)]  # as listed, and as a glob
+        for level in levels[: last + 1]:
+            hidden = ("_", ".", "run=") if found == [(base, base)] else ("_", ".")
+            listed = [(f, g, n) for f, g in found for n in files.names(spark, f) if not n.startswith(hidden)]
+            fit = self._fitting(spark, sorted({n for _, _, n in listed}), level, wanted)
+            found = [(f"{f}/{n}", f"{g}/" + re.sub(r"([\\{}\[\]*?])", r"\\\1", n)) for f, g, n in listed if n in fit]
+        rest = [re.sub(r"\{\w+\}", "*", level) for level in levels[last + 1 :]]
+        return ["/".join([g, *rest]) for _, g in found]
+
+    def _fitting(self, spark: SparkSession, names: list[str], level: str, wanted: Map[str, object]) -> set[str]:
+        """Those folder names of a level that hold the wanted values."""
+        pattern = f"^{_layout_pattern(level)}$"
+        fits = F.col("name").rlike(pattern)
+        for i, column in enumerate(re.findall(r"\{(\w+)\}", level)):
+            if column in wanted:
+                value = _value(F.regexp_extract("name", pattern, i + 1)).try_cast(self.struct[column].dataType)
+                fits = fits & (value == F.lit(wanted[column]))
+        return {r["name"] for r in spark.createDataFrame([(n,) for n in names], "name string").where(fits).collect()}
+
     def _load(self, spark: SparkSession, paths: list[str], header: bool) -> DataFrame:
         struct = self.struct
+        if not paths:  # no folder has the wanted values
+            return spark.createDataFrame([], struct)
         if self.path_format:
             struct = T.StructType([f for f in struct if f.name not in self.partitions])
         reader = spark.read.schema(struct).format(self._spark_format).options(**self._options)
@@ -111,9 +155,9 @@ class ExternalTable:
         if not self.path_format:
             return df
         # Anchored at the end: the layout is what lies just above the file.
-        layout = re.sub(r"\\\{(\w+)\\\}", r"([^/]+)", re.escape(self.path_format)) + r"/[^/]*$"
+        layout = _layout_pattern(self.path_format) + r"/[^/]*$"
         parts = [
-            _unescaped(F.regexp_extract("_metadata.file_path", layout, i + 1)).try_cast(self.struct[name].dataType).alias(name)
+            _value_in_uri(F.regexp_extract("_metadata.file_path", layout, i + 1)).try_cast(self.struct[name].dataType).alias(name)
             for i, name in enumerate(re.findall(r"\{(\w+)\}", self.path_format))
         ]
         return df.select("*", *parts)
