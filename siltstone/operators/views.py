@@ -3,6 +3,10 @@
 State is appended, one small part per refresh, and merged when read; compaction
 folds the parts into one. A refresh therefore costs what the new rows cost, not
 what the view holds.
+
+A source that is a :class:`Table` is followed by its batch ids: rows that come late,
+at equal times or without a time are all seen, once. A source that is a plain
+DataFrame has no batches; there only the time tells new rows from old.
 """
 
 from __future__ import annotations
@@ -76,21 +80,43 @@ class MaterializedView:
             return rows.agg(F.max(self.spec.time)).first()[0]
         return written
 
-    def create(self, source: DataFrame, *, as_of: datetime | None = None, source_secured: bool = False) -> "MaterializedView":
+    def _fresh(self, source: Table) -> list[str]:
+        """Batches of the source that the state does not hold."""
+        known = set((self.state.notes.get("consumed") or []) if self.state.exists() else [])
+        fresh = [b for b in source.batches if b not in known]
+        if any(not known.isdisjoint(held) and not known.issuperset(held) for held in source.folders.values()):
+            raise ValueError("the source has merged batches that the view holds with others that it does not; catch up before merging")
+        return fresh
+
+    def _fresh_parts(self, source: Table) -> list[str]:
+        fresh = set(self._fresh(source))
+        return [part for part, held in source.folders.items() if not fresh.isdisjoint(held)] or ["none"]
+
+    def _all(self, source: DataFrame | Table, as_of: datetime | None) -> tuple[DataFrame, list[str]]:
+        """Rows of the source and the batches they are in. Rows without a time count as old."""
+        if isinstance(source, Table):
+            if as_of is not None:
+                raise ValueError("the batches of a table say what is in the state; as_of goes with a DataFrame")
+            batches = source.batches
+            return source.read_batches(batches), batches
+        time = F.col(self.spec.time) if as_of is not None else None
+        return (source if as_of is None else source.where((time <= ntz(as_of)) | time.isNull())), []
+
+    def create(self, source: DataFrame | Table, *, as_of: datetime | None = None, source_secured: bool = False) -> "MaterializedView":
         """Build the first state: from all current rows, from rows that arrived
-        after the effective time, or from nothing ("from now on")."""
+        after the effective time (or at no known time), or from nothing ("from now on")."""
         if source_secured and not self.spec.allow_without_rls:
             raise PermissionError("the source has row-level security; the view must be allowed to read past it")
         if self.state.exists():
             raise ValueError("the view exists")
         spec, time = self.spec, self.spec.time
-        rows = source if as_of is None else source.where(F.col(time) <= ntz(as_of))
+        rows, consumed = self._all(source, as_of)
         if not spec.backfill:
             upto = rows.agg(F.max(time)).first()[0] if as_of is None else as_of
-            self.state.append(self._partial(rows.limit(0)), batch="backfill", notes={"materialized_to": _text(upto)})
+            self.state.append(self._partial(rows.limit(0)), batch="backfill", notes={"materialized_to": _text(upto), "consumed": consumed})
             return self
         if spec.effective is not None:
-            rows = rows.where(F.col(time) > ntz(spec.effective))
+            rows = rows.where((F.col(time) > ntz(spec.effective)) | F.col(time).isNull())
         created = F.col(spec.created_by).cast("timestamp_ntz") if spec.created_by else None
         chunks = [("backfill", rows)]
         if spec.max_records:
@@ -103,14 +129,27 @@ class MaterializedView:
         with ThreadPoolExecutor(max(1, spec.concurrency)) as pool:
             written = list(pool.map(lambda c: (c[0], self.state.stage(self._partial(c[1], created))), chunks))
         upto = as_of or max(filter(None, (self._reach(part, rows) for _, part in written)), default=None)
-        self.state.add_staged(dict(written), self._partial(rows, created).schema, notes={"materialized_to": _text(upto)})
+        self.state.add_staged(dict(written), self._partial(rows, created).schema, notes={"materialized_to": _text(upto), "consumed": consumed})
         return self
 
     def refresh(self, batch: DataFrame, batch_id: str) -> "MaterializedView":
         """Fold in newly arrived rows. The same `batch_id` twice is a no-op."""
-        batch_id, known = f"refresh-{batch_id}", self.state.exists()
-        if known and batch_id in self.state.batches:
+        batch_id = f"refresh-{batch_id}"
+        if self.state.exists() and batch_id in self.state.batches:
+            return self
+        return self._fold(batch, batch_id)
+
+    def catch_up(self, source: Table) -> "MaterializedView":
+        """Fold in every batch of the source that the state does not hold. State and
+        batch ids are one commit, so a run that died is simply repeated."""
+        fresh = self._fresh(source)
+        if not fresh:
             return self
+        consumed = [*((self.state.notes.get("consumed") or []) if self.state.exists() else []), *fresh]
+        return self._fold(source.read_batches(fresh), f"batches-{len(consumed)}", consumed=consumed)
+
+    def _fold(self, batch: DataFrame, batch_id: str, **notes) -> "MaterializedView":
+        known = self.state.exists()
         partial = self._partial(batch)
         schema = partial.schema
         if known:
@@ -119,7 +158,7 @@ class MaterializedView:
         part = self.state.stage(conform(partial, schema))
         before = self.state.notes.get("materialized_to") if known else None
         upto = max(filter(None, (before, _text(self._reach(part, batch)))), default=None)
-        self.state.add_staged({batch_id: part}, schema, notes={"materialized_to": upto})
+        self.state.add_staged({batch_id: part}, schema, notes={"materialized_to": upto, **notes})
         return self
 
     def compact(self) -> "MaterializedView":
@@ -128,13 +167,13 @@ class MaterializedView:
         self.state.swap_parts(self.state.batches, self.spec.summary.merge(self.state.read(), *dates))
         return self
 
-    def alter(self, spec: ViewSpec, source: DataFrame, *, as_of: datetime | None = None) -> "MaterializedView":
+    def alter(self, spec: ViewSpec, source: DataFrame | Table, *, as_of: datetime | None = None) -> "MaterializedView":
         """Change the query: the state is built anew and switched in."""
         self.spec = spec
-        rows = source if as_of is None else source.where(F.col(spec.time) <= ntz(as_of))
+        rows, consumed = self._all(source, as_of)
         part = self.state.stage(self._partial(rows))
         upto = as_of or self._reach(part, rows)
-        self.state.set_staged({"altered": part}, self._partial(rows).schema, notes={"materialized_to": _text(upto)})
+        self.state.set_staged({"altered": part}, self._partial(rows).schema, notes={"materialized_to": _text(upto), "consumed": consumed})
         return self
 
     # -- reading -----------------------------------------------------------
@@ -143,26 +182,30 @@ class MaterializedView:
         text = self.state.notes.get("materialized_to")
         return datetime.fromisoformat(text) if text else None
 
-    def pending(self, source: DataFrame) -> DataFrame:
+    def pending(self, source: DataFrame | Table) -> DataFrame:
         """Source rows that the state does not hold yet."""
+        if isinstance(source, Table):
+            return source.read_batches(self._fresh(source))
         upto = self.materialized_to
         return source if upto is None else source.where(F.col(self.spec.time) > ntz(upto))
 
-    def read(self, source: DataFrame | None = None) -> DataFrame:
+    def read(self, source: DataFrame | Table | None = None) -> DataFrame:
         """The view. With `source`, rows not yet materialised count as well."""
         state = self.state.read()
         if source is not None:
             state = state.unionByName(self._partial(self.pending(source)), allowMissingColumns=True)
         return self.spec.summary.final(self.spec.summary.merge(state))
 
-    def status(self, source: DataFrame, *, as_of: datetime, healthy_lag_micros: int, enabled: bool = True) -> DataFrame:
+    def status(self, source: DataFrame | Table, *, as_of: datetime, healthy_lag_micros: int, enabled: bool = True) -> DataFrame:
         """One row: materialised to, lag, rows pending, healthy, enabled."""
         upto = ntz(self.materialized_to)
         time = F.col(self.spec.time)
         lag = micros(ntz(as_of)) - micros(upto)
-        return source.agg(
-            F.count_if(upto.isNull() | (time > upto)).alias("rows_pending"), F.max(time).alias("source_to")
-        ).select(
+        waits = upto.isNull() | (time > upto)
+        rows = source
+        if isinstance(source, Table):
+            rows, waits = source.read(), F.col("_metadata.file_path").rlike("/(" + "|".join(self._fresh_parts(source)) + ")/[^/]*$")
+        return rows.agg(F.count_if(waits).alias("rows_pending"), F.max(time).alias("source_to")).select(
             upto.alias("materialized_to"),
             "source_to",
             lag.alias("lag_micros"),

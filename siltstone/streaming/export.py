@@ -6,7 +6,7 @@ import json
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +15,7 @@ from ..functions.types import parse_timespan
 from ..operators.lifecycle import INGESTION_TIME, before, ntz
 from ..plans.stored import Functions, Query, run_query
 from ..sources.external import ExternalTable
+from ..sources.tables import Table
 
 
 @dataclass(frozen=True)
@@ -37,19 +38,36 @@ class ContinuousExport:
         if not 100_000_000 <= self.size_limit <= 1_000_000_000:
             raise ValueError("the size limit lies between 100 MB and 1 GB")
 
-    def run(self, spark: SparkSession, source: DataFrame, state: str, as_of: datetime | str,
+    def _due(self, spark: SparkSession, source: Table, state: str, runs: list[str], upto: Column) -> list[str]:
+        """Batches not exported yet and, under a forced latency, with no row that must wait."""
+        done = {b for run in runs for b in json.loads(files.read_text(spark, f"{state}/{run}")).get("batches", [])}
+        new = [b for b in source.batches if b not in done]
+        if self.forced_latency is None:
+            return new
+        return [b for b in new if source.read_batches([b]).where(F.col(self.time) > upto).isEmpty()]
+
+    def run(self, spark: SparkSession, source: DataFrame | Table, state: str, as_of: datetime | str,
             functions: Functions | None = None) -> bool:
         """One run. Rows that arrived within the forced latency wait for a later
-        run. The reached time is kept in `state`; a run that died is repeated
-        into the same folder, so nothing is written twice or left out."""
+        run. A run that died is repeated into the same folder.
+
+        The batches of a :class:`Table` that were exported are kept in `state`, so
+        rows that come late, at equal times or without a time are written once. A
+        plain DataFrame has no batches; there the reached time is kept, and rows
+        stamped before it that appear later are not seen."""
         if self.disabled:
             return False
         runs = [n for n in files.names(spark, state) if n.endswith(".json")]
         last = json.loads(files.read_text(spark, f"{state}/{max(runs)}"))["upto"] if runs else None
         upto = ntz(as_of) if self.forced_latency is None else before(as_of, self.forced_latency)
-        rows = source.where(F.col(self.time) <= upto)
-        if last is not None:
-            rows = rows.where(F.col(self.time) > ntz(last))
+        batches = None
+        if isinstance(source, Table):
+            batches = self._due(spark, source, state, runs, upto)
+            rows = source.read_batches(batches)
+        else:
+            rows = source.where(F.col(self.time) <= upto)
+            if last is not None:
+                rows = rows.where(F.col(self.time) > ntz(last))
         folder = f"{self.external.path_list[0]}/run={len(runs):012d}"
         if files.exists(spark, folder):
             files.rename(spark, folder, f"{self.external.path_list[0]}/_left-{len(runs):012d}-{datetime.now():%Y%m%d%H%M%S%f}")
@@ -61,18 +79,28 @@ class ContinuousExport:
         reached = spark.range(1).select(upto.cast("string")).first()[0]
         if last is not None:
             reached = max(reached, last)
-        files.write_new_text(spark, f"{state}/{len(runs):012d}.json", json.dumps({"upto": reached}))
+        files.write_new_text(spark, f"{state}/{len(runs):012d}.json", json.dumps({"upto": reached, **({} if batches is None else {"batches": batches})}))
         return True
 
     def start(self, stream: DataFrame, checkpoint: str, functions: Functions | None = None, **trigger) -> StreamingQuery:
         """Export a stream through the file sink, which keeps its own record of
-        what was written. Holding rows back needs :meth:`run`."""
+        what was written. What the sink cannot do is refused and needs :meth:`run`.
+        File sizes follow the source's batches."""
         if self.forced_latency is not None:
             raise ValueError("a forced latency needs run(), which remembers the rows held back")
         result = run_query(stream.sparkSession, self.query, functions, source=stream)
         if self.external.path_format:
             raise ValueError("a custom path format needs run(), which moves files into place")
         spark_format = "csv" if self.external.data_format == "tsv" else self.external.data_format
+        table, default = self.external, type(self).size_limit
+        unable = {
+            "name_prefix": table.name_prefix, "file_extension": table.file_extension, "size_limit": self.size_limit != default,
+            "encoding": spark_format == "csv" and table.encoding == "UTF8BOM", "include_headers": spark_format == "csv" and table.include_headers == "FirstFile",
+        }
+        if refused := [name for name, given in unable.items() if given]:
+            raise ValueError(f"the file sink has no {', '.join(refused)}; use run()")
+        if not self.distributed:
+            result = result.coalesce(1)
         writer = (
             result.select(*self.external.struct.fieldNames())
             .writeStream.format(spark_format)
@@ -84,6 +112,10 @@ class ContinuousExport:
             writer = writer.option("header", self.external.include_headers == "All")
         if spark_format in ("csv", "json"):
             writer = writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        if spark_format == "parquet":
+            writer = writer.option("parquet.block.row.count.limit", self.row_group_rows)
+        elif table.compressed:
+            writer = writer.option("compression", "gzip")
         if self.external.partitions:
             writer = writer.partitionBy(*self.external.partitions)
         seconds = parse_timespan(self.interval) // 1_000_000
