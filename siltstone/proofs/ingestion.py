@@ -331,13 +331,19 @@ def table_writers(spark, sf):
     return found
 
 
-@query("table_sized_files", "SELECT count(*) AS rows, true AS within_limit FROM lineitem")
+@query(
+    "table_sized_files",
+    """SELECT 'lineitem' AS source, count(*) AS rows, true AS within_limit FROM lineitem
+       UNION ALL SELECT 'documents', count(*), true FROM documents""",
+)
 def table_sized_files(spark, sf):
-    """1 MB artifacts of rows of 152 bytes hold 6898 rows at most."""
-    lines = load(spark, sf, "lineitem")
-    table = _new_table(spark, "sized").create(lines, size_limit=1_048_576, row_group_rows=1000)
-    per_file = table.read().groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.sum("n").alias("rows"), (F.max("n") <= 1_048_576 // 110).alias("within_limit"))
+    """Files of 1 MB at most, of narrow rows and of long texts."""
+    found = []
+    for source in ("lineitem", "documents"):
+        table = _new_table(spark, "sized").create(load(spark, sf, source), size_limit=1_048_576, row_group_rows=1000)
+        sizes = table.read().agg(F.count(F.lit(1)).alias("rows"), (F.max("_metadata.file_size") <= 1_048_576).alias("within_limit"))
+        found.append(sizes.select(F.lit(source).alias("source"), "rows", "within_limit"))
+    return found[0].union(found[1])
 
 
 # -- schema evolution ------------------------------------------------------

@@ -200,11 +200,9 @@ class ExternalTable:
                 df = df.withColumnRenamed(columns[0], "\ufeff" + columns[0])
         # A custom layout is written hive style beside its target, then moved.
         staged = f"{path}/_staged-{uuid.uuid4().hex}" if self.path_format else path
-        if self.partitions and distributed:
-            # Few files per folder; a folder with many rows still gets several tasks.
-            df = df.hint("rebalance", *self.partitions)
+        # Few files per folder; a folder with many rows still gets several tasks.
         writer = sized_writer(
-            df, distributed=distributed, size_limit=size_limit, row_group_rows=row_group_rows
+            df, distributed=distributed, size_limit=size_limit, row_group_rows=row_group_rows, near=self.partitions
         ).format(self._spark_format).options(**self._options)
         if is_csv:
             writer = writer.option("header", header == "All")

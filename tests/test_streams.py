@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from siltstone import files
 from siltstone.sources.external import ExternalTable
+from siltstone.sources.tables import Table
 from siltstone.streaming.export import ContinuousExport
 from siltstone.streaming.ingest import read_stream, trigger_bytes
 from siltstone.streaming.update_policy import Ingestion, UpdatePolicy
@@ -83,6 +84,36 @@ def test_run_that_died_is_repeated(spark, folder):
     assert last["upto"].startswith("2024-01-02")
 
 
+def test_export_follows_batches_of_a_table(spark, folder):
+    external, state = ExternalTable("id:long", "parquet", folder("out")), folder("state")
+    source = Table(spark, folder("source")).append(rows(spark, 0, 5), batch="a")
+    export = ContinuousExport("SELECT id FROM {source}", external)
+    export.run(spark, source, state, "2024-01-01 00:00:10")
+    # Stamped before the last run but committed after it, and without a time.
+    source.append(rows(spark, 2, 4).unionByName(rows(spark, 90, 91).withColumn("_ingestion_time", F.lit(None).cast("timestamp_ntz"))), batch="late")
+    for _ in range(2):
+        export.run(spark, source, state, "2024-01-01 00:00:20")
+    assert sorted(r["id"] for r in external.read(spark).collect()) == [0, 1, 2, 2, 3, 3, 4, 90]
+
+
+def test_forced_latency_holds_batches_back(spark, folder):
+    external, state = ExternalTable("id:long", "parquet", folder("out")), folder("state")
+    source = Table(spark, folder("source")).append(rows(spark, 0, 5), batch="a").append(rows(spark, 50, 52), batch="b")
+    export = ContinuousExport("SELECT id FROM {source}", external, forced_latency="30s")
+    export.run(spark, source, state, "2024-01-01 00:10:00")
+    assert external.read(spark).count() == 5
+    export.run(spark, source, state, "2024-01-01 01:00:00")
+    assert external.read(spark).count() == 7
+
+
+@pytest.mark.parametrize("table, how", [({"name_prefix": "p"}, {}), ({"include_headers": "FirstFile"}, {}), ({"encoding": "UTF8BOM"}, {}), ({}, {"size_limit": 200_000_000})])
+def test_the_file_sink_refuses_what_it_lacks(spark, folder, table, how):
+    export = ContinuousExport("SELECT id FROM {source}", ExternalTable("id:long", "csv", folder("out"), **table), **how)
+    stream = spark.readStream.format("rate").load().selectExpr("value AS id")
+    with pytest.raises(ValueError, match="run"):
+        export.start(stream, folder("check"))
+
+
 def test_export_never_goes_back(spark, folder):
     external, state = ExternalTable("id:long", "parquet", folder("out")), folder("state")
     export = ContinuousExport("SELECT id FROM {source}", external)

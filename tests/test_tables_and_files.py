@@ -292,3 +292,31 @@ def test_nested_columns(spark, folder):
     spark.range(2).select("id", F.struct(F.struct(F.col("id").cast("string").alias("c")).alias("b")).alias("a")).write.parquet(path)
     got = read_mapped(spark, path, Mapping("Parquet", [Rule("f1", path="$.a.b.c", transform="value || '!'")]), parse_schema("f1:string,f2:int"))
     assert sorted(map(tuple, got.collect())) == [("0!", None), ("1!", None)]
+
+
+def test_pruned_reads_compare_values(spark, folder):
+    path = folder("padded")
+    for month, low, high in (("m-01", 0, 3), ("m-1", 3, 6), ("m-02", 6, 8), ("m-11", 8, 9), ("other", 9, 10)):
+        spark.range(low, high).write.parquet(f"{path}/{month}")
+    table = ExternalTable("id:long, month:int", "parquet", path, partitions=("month",), path_format="m-{month}")
+    assert sorted(r["id"] for r in table.read(spark, month=1).collect()) == [0, 1, 2, 3, 4, 5]
+    assert table.read(spark, month=11).count() == 1
+    assert table.read(spark, month=7).count() == 0
+    assert table.read(spark).where("month = 1").count() == 6
+
+
+def test_pruned_reads_of_odd_names(spark, folder):
+    names = ["a b", "a+b", "x[1]", "50%", "{z}", "v*"]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id long, a string")
+    table = ExternalTable("id:long, a:string", "parquet", folder("odd"), partitions=("a",), path_format="k-{a}")
+    table.write(rows)
+    assert sorted(r["a"] for r in table.read(spark).collect()) == sorted(names)
+    for i, name in enumerate(names):
+        assert [tuple(r) for r in table.read(spark, a=name).collect()] == [(i, name)]
+
+
+def test_file_size_of_wide_text(spark, folder):
+    text = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(40)), lambda x: F.sha2((F.col("id") * 100 + x).cast("string"), 512)))
+    table = Table(spark, folder("wide")).create(spark.range(2000).withColumn("text", text).coalesce(1), size_limit=1_000_000)
+    sizes = table.read().select("_metadata.file_path", "_metadata.file_size").distinct().collect()
+    assert len(sizes) >= 10 and max(r["file_size"] for r in sizes) <= 1_000_000

@@ -28,7 +28,7 @@ def teams(spark, folder):
 def test_team_view_end_to_end(spark, folder, teams):
     spec = ViewSpec(Summary(["team"], [Arg("row", "score", ["year"])]), time="year", backfill=True, allow_without_rls=True)
     view = MaterializedView(spark, folder("best"), spec)
-    view.state.append(view._partial(teams), batch="all")
+    view.create(teams)
     got = view.read().select("team", "year", "score")
     assert sorted(map(tuple, got.collect())) == BEST
     only_1996 = secured(got, RowSecurity("SELECT * FROM {source} WHERE year == '1996'"), "reader")
@@ -170,3 +170,47 @@ def test_function_as_view_and_query(spark):
     assert f.resolve("big_ids").count() == 2
     assert f.resolve("SELECT * FROM {source}", source=spark.range(9)).count() == 9
     assert f.resolve(lambda source: source.limit(1), source=spark.range(9)).count() == 1
+
+
+def late_rows(spark, times):
+    return spark.createDataFrame([(0, t) for t in times], "k long, t timestamp_ntz")
+
+
+def test_view_follows_batches_of_a_table(spark, folder):
+    day = datetime(2024, 1, 2)
+    source = Table(spark, folder("followed")).create(late_rows(spark, [day, None]))
+    view = count_view(spark, folder, backfill=True).create(source)
+    assert total(view) == 2
+    # Late, at the time reached, and without a time.
+    source.append(late_rows(spark, [datetime(2024, 1, 1), day, None]), batch="late")
+    assert total(view) == 2 and total(view, source) == 5
+    status = view.status(source, as_of=day, healthy_lag_micros=0).first()
+    assert (status["rows_pending"], status["is_healthy"]) == (3, "true")
+    view.catch_up(source).catch_up(source)
+    assert total(view) == total(view, source) == 5
+    assert view.status(source, as_of=day, healthy_lag_micros=0).first()["rows_pending"] == 0
+    view.compact()
+    source.append(late_rows(spark, [None]), batch="more")
+    assert total(view.catch_up(source)) == 6
+
+
+def test_view_from_now_on_follows_batches(spark, folder):
+    source = Table(spark, folder("followed")).create(late_rows(spark, [None, None]))
+    view = count_view(spark, folder).create(source)
+    source.append(late_rows(spark, [None]))
+    assert total(view, source) == 1
+
+
+def test_view_refuses_half_seen_parts(spark, folder):
+    source = Table(spark, folder("followed")).append(late_rows(spark, [None]), batch="a")
+    view = count_view(spark, folder, backfill=True).create(source)
+    source.append(late_rows(spark, [None]), batch="b")
+    source.swap_parts(["a", "b"], source.read())
+    with pytest.raises(ValueError):
+        view.catch_up(source)
+
+
+def test_undated_rows_are_backfilled(spark, folder):
+    rows = late_rows(spark, [datetime(2024, 1, 1), None, datetime(2024, 1, 3)])
+    assert total(count_view(spark, folder, backfill=True).create(rows, as_of=datetime(2024, 1, 2))) == 2
+    assert total(count_view(spark, folder, backfill=True, effective=datetime(2024, 1, 2)).create(rows)) == 2
