@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from siltstone.session import materialise
 
-__all__ = ["bounded_batches", "ints", "map_batches", "materialise", "name", "read_table", "task_count"]
+__all__ = ["bounded_batches", "ints", "map_batches", "materialise", "name", "read_table", "release", "task_count"]
 
 #: Rows and bytes of the Arrow batches handed to Python.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
@@ -25,11 +27,21 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def release() -> None:
+    """Hand memory that a worker's earlier tasks freed back to the system; a worker runs many tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries than glibc have none
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str) -> DataFrame:
     """One Arrow batch in, one out; empty batches are passed over."""
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             if batch.num_rows:
                 out = pa.RecordBatch.from_pydict(f(batch))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
-from siltstone.llm.frames import bounded_batches, ints, materialise
+from siltstone.llm.frames import bounded_batches, ints, materialise, release
 from siltstone.llm.text import Words, buffers, mix, slices
 
 #: The longest extension of a prefix, in matches asked for.
@@ -84,6 +84,7 @@ def _rows(docs: DataFrame, columns: list[str], f: Callable[[pa.RecordBatch], Ite
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for out in f(batch):
                 yield pa.RecordBatch.from_pydict(out)
@@ -143,6 +144,7 @@ def _prefixes(docs: DataFrame, text: str, k: int, percent: int, bits: np.ndarray
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        release()
         for batch in batches:
             ids, sizes, prefixes, sketches = [], [], [], []
             for own in shingle_sets(batch.column(0), k):
@@ -169,6 +171,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep, seen = shared.value, set()
+        release()
         for batch in batches:
             found = []
             rows = batch.column(1).to_numpy()

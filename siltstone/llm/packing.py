@@ -28,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.frames import bounded_batches, materialise
+from siltstone.llm.frames import bounded_batches, materialise, release
 from siltstone.llm.text import buffers, slices, span_hashes
 
 #: Chunks whose ids a worker remembers, and slots of each of the two tables that find them.
 REMEMBERED, SLOTS = 1_000_000, 1 << 21
+#: Chunks encoded at once.
+ENCODED = 4096
 
 _LETTER = np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
@@ -72,17 +74,20 @@ class ChunkTokenizer:
         return entry
 
     def learn(self, hashes: np.ndarray, texts: list[str]) -> np.ndarray:
-        found = [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        counts, parts = [], []
+        for at in range(0, len(texts), ENCODED):  # an encoding takes many times the memory of its ids
+            found = [e.ids for e in self.model.encode_batch_fast(texts[at : at + ENCODED], add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            parts.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
+        sizes, flat = np.concatenate(counts), np.concatenate(parts)
         if self.used + len(flat) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * (self.used + len(flat)))
         self.ids[self.used : self.used + len(flat)] = flat
-        entries = np.arange(self.known, self.known + len(found), dtype=np.int32)
+        entries = np.arange(self.known, self.known + len(texts), dtype=np.int32)
         self.begins[entries] = self.used + np.cumsum(sizes) - sizes
         self.sizes[entries] = sizes
         self.used += len(flat)
-        self.known += len(found)
+        self.known += len(texts)
         first = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
         second = (hashes >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
         taken = self.entries[0][first] >= 0
@@ -144,8 +149,10 @@ def tokenised(docs: DataFrame, model: str, capacity: int = 1024, end_id: int = 2
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         coder, task, seen = worker_tokenizer(shared.value), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
+            release()  # what the last batch's encoding left
             keys = batch.column(0)
             data, bounds = buffers(batch.column(1))
             for low, high in slices(bounds):
