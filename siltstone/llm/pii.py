@@ -219,6 +219,19 @@ def _parts(words: DataFrame | None) -> Iterator[list[tuple[str, float]]]:
         yield [tuple(r) for r in words.where(part).select("word", "disclosure").collect()]
 
 
+def _spans_in(texts, terms: frozenset[str], base: bool) -> list[list[tuple[str, int, int]]]:
+    """(kind, start, end) in each text: of the base kinds if asked for, then of the terms."""
+    marked = _marked(texts, terms) if terms else np.zeros(len(texts), bool)
+    out = []
+    for whole, has_term in zip(texts, marked):
+        found = base_spans(whole) if base or has_term else []
+        own = list(found) if base else []
+        if has_term:
+            own += [("term", a, b) for w, a, b in _terms(whole) if w in terms and not any(a < y and x < b for _, x, y in found)]
+        out.append(own)
+    return out
+
+
 def _span_udf(spark, terms: frozenset[str], base: bool):
     shared = spark.sparkContext.broadcast(terms)
 
@@ -226,16 +239,7 @@ def _span_udf(spark, terms: frozenset[str], base: bool):
     def spans(texts):
         import pandas as pd
 
-        terms = shared.value
-        marked = _marked(texts, terms) if terms else np.zeros(len(texts), bool)
-        out = []
-        for whole, has_term in zip(texts, marked):
-            found = base_spans(whole) if base or has_term else []
-            own = list(found) if base else []
-            if has_term:
-                own += [("term", a, b) for w, a, b in _terms(whole) if w in terms and not any(a < y and x < b for _, x, y in found)]
-            out.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
-        return pd.Series(out)
+        return pd.Series([[{"kind": k, "start": a, "end": b} for k, a, b in own] for own in _spans_in(texts, shared.value, base)])
 
     return spans
 
@@ -248,17 +252,23 @@ def find_spans(docs: DataFrame, words: DataFrame | None = None, text: str = "tex
     exclusive; null texts have no spans. A column `pii` is replaced.
     """
     docs = docs.drop("pii")
+    parts = [frozenset(w for w, _ in part) for part in _parts(words)]
+    fresh = name(docs, "_spans")
+    found = _with_spans(docs, parts or [frozenset()], text, fresh)
+    return found.select(*docs.columns, F.col(fresh).alias("pii"))
+
+
+def _with_spans(docs: DataFrame, parts: list[frozenset[str]], text: str, fresh: str) -> DataFrame:
+    """`docs` with the spans of base kinds and of all parts' words in a column `fresh`."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    fresh = name(docs, "_spans")
-    parts = [frozenset(w for w, _ in part) for part in _parts(words)] if words is not None else []
-    found = docs.withColumn(fresh, _span_udf(spark, parts[0] if parts else frozenset(), True)(F.col(text)))
+    found = docs.withColumn(fresh, _span_udf(spark, parts[0], True)(F.col(text)))
     for i, part in enumerate(parts[1:]):  # later parts only add words, which stand behind the base kinds
         more = name(found, f"_more{i}")
         found = found.withColumn(more, _span_udf(spark, part, False)(F.col(text)))
         words_of = F.array_sort(F.concat(F.filter(fresh, lambda s: s["kind"] == "term"), F.col(more)))
         found = found.withColumn(fresh, F.concat(F.filter(fresh, lambda s: s["kind"] != "term"), words_of)).drop(more)
-    return found.select(*docs.columns, F.col(fresh).alias("pii"))
+    return found
 
 
 def _marked(texts, terms: frozenset[str]) -> np.ndarray:
@@ -281,35 +291,43 @@ def sanitise(docs: DataFrame, threshold: float = 0.9, removal: float = 0.97, nea
 
     Null texts stay null; texts without a span are unchanged.
     """
+    spark = docs.sparkSession
+    bounded_batches(spark)
     words = materialise(disclosing_words(docs, threshold, near, support, text), "disclosing")
-    found = find_spans(docs, words, text)
-    gone_words = [frozenset(w for w, d in part if d >= removal) for part in _parts(words)]
-    gone = [docs.sparkSession.sparkContext.broadcast(part) for part in gone_words]
+    parts = list(_parts(words))
+    *earlier, last = [frozenset(w for w, _ in part) for part in parts] or [frozenset()]
+    gone = [spark.sparkContext.broadcast(frozenset(w for w, d in part if d >= removal)) for part in parts]
+    terms, base = spark.sparkContext.broadcast(last), not earlier
 
     @F.pandas_udf("string")
-    def rewrite(texts, spans):
+    def rewrite(texts, *before):
         import pandas as pd
 
         out = []
-        for whole, own in zip(texts, spans):
-            if whole is None or own is None or not len(own):
+        # the last part's spans are found here, so that a task with one part needs one Python worker
+        for i, (whole, spans) in enumerate(zip(texts, _spans_in(texts, terms.value, base))):
+            for column in before:
+                if column.iloc[i] is not None:
+                    spans = [*((s["kind"], s["start"], s["end"]) for s in column.iloc[i]), *spans]
+            if whole is None or not spans:
                 out.append(whole)
                 continue
             parts, at = [], 0
-            for s in sorted(own, key=lambda s: (s["start"], -s["end"])):
-                a, b = s["start"], s["end"]
+            for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
                 if a < at:  # inside a longer span of another kind
                     if b > at:
                         at = b
                     continue
                 parts.append(whole[at:a])
-                if s["kind"] != "term":
-                    parts.append(f"[{s['kind'].upper()}]")
+                if kind != "term":
+                    parts.append(f"[{kind.upper()}]")
                 elif not any(_ascii_lower(whole[a:b]) in part.value for part in gone):
                     parts.append("[TERM]")
                 at = b
             out.append("".join([*parts, whole[at:]]))
         return pd.Series(out, dtype=object)
 
-    fresh = name(found, "_clean")
-    return found.withColumn(fresh, rewrite(F.col(text), F.col("pii"))).select(*[F.col(fresh).alias(c) if c == text else F.col(c) for c in docs.columns])
+    fresh, clean = name(docs, "_spans"), name(docs, "_clean")
+    found = _with_spans(docs, earlier, text, fresh) if earlier else docs
+    found = found.withColumn(clean, rewrite(F.col(text), *([F.col(fresh)] if earlier else [])))
+    return found.select(*[F.col(clean).alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -169,6 +169,16 @@ def test_disclosing_words(spark):
     assert "zanzibarian" not in texts[41] and "[EMAIL]" in texts[41] and "[TERM]" in texts[41]
 
 
+def test_sanitising_in_parts_changes_nothing(spark, monkeypatch):
+    filler = [f"plain words number {i} of an ordinary text about nothing at all" for i in range(40)]
+    leaks = [f"note {i} the zanzibarian agent and the corvidian clerk wrote from a@b.com to +49 30 1234567" for i in range(4)]
+    docs = table(spark, [(i, t, "en") for i, t in enumerate([*filler, *leaks, None])])
+    whole = [r.text for r in pii.sanitise(docs, removal=2.0).orderBy("doc_id").collect()]
+    monkeypatch.setattr(pii, "PASS", 2)
+    parts = [r.text for r in pii.sanitise(docs, removal=2.0).orderBy("doc_id").collect()]
+    assert whole == parts and whole[44] is None and whole[41].count("[TERM]") > 2
+
+
 def test_pieces_are_the_tokenizer_s(spark, sf):
     from tokenizers import Tokenizer
 
