@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.frames import bounded_batches
+from siltstone.llm.frames import bounded_batches, release
 from siltstone.llm.pii import TrimmedWords
 from siltstone.llm.text import buffers, code_points_before, fold_case, slices
 
@@ -157,6 +157,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, key: st
 
 def _finder(shared, threshold: float, key: str, item: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         rows = shared.value
         index = Items([i for i, _ in rows], [t for _, t in rows])
         for batch in batches:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from siltstone.session import materialise
 
-__all__ = ["bounded_batches", "ints", "map_batches", "materialise", "name", "read_table", "release", "task_count"]
+__all__ = ["bounded_batches", "ints", "kept", "map_batches", "materialise", "name", "read_table", "release", "task_count"]
 
 #: Rows and bytes of the Arrow batches handed to Python.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
@@ -27,8 +29,20 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def release() -> None:
-    """Hand memory that a worker's earlier tasks freed back to the system; a worker runs many tasks."""
+def kept() -> dict:
+    """What this Python worker keeps from task to task."""
+    return sys.modules.setdefault("_siltstone_worker", ModuleType("_siltstone_worker")).__dict__.setdefault("kept", {})
+
+
+def release(owner: str = "") -> None:
+    """Hand memory of a worker's earlier tasks back to the system; a worker runs many tasks.
+
+    What it keeps goes too, unless the operator `owner` keeps it.
+    """
+    held = kept()
+    if held.get("owner") != owner:
+        held.clear()
+        held["owner"] = owner
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries than glibc have none

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.frames import bounded_batches, materialise, name
-from siltstone.llm.text import buffers, fold_case, mix, slices
+from siltstone.llm.frames import bounded_batches, materialise, name, release
+from siltstone.llm.text import SLICE, buffers, fold_case, mix, slices
 
 UNKNOWN = "und"
 #: Slots looked up for each n-gram.
@@ -85,6 +85,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", order: int =
     bounded_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
         def add(which: str, codes: np.ndarray, counts: np.ndarray) -> None:
@@ -145,11 +146,12 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
     def predict(texts, lettered):
         import pandas as pd
 
+        release()
         languages, slots, order = shared.value
         n = len(languages)
         data, bounds = buffers(pa.array(texts, pa.string(), from_pandas=True))
         hits, totals = np.zeros((len(texts), n)), np.zeros(len(texts))
-        for low, high in slices(bounds):
+        for low, high in slices(bounds, SLICE // 4):  # each byte takes many times its size here
             own = bounds[low : high + 1] - bounds[low]
             codes, at = _grams(data[bounds[low] : bounds[high]], own, order)
             mask = np.full(len(codes), 2**64 - 1, np.uint64)

@@ -15,11 +15,9 @@ others of its length in one place, so a length of a third of all pieces is fine.
 
 from __future__ import annotations
 
-import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.frames import bounded_batches, materialise, release
+from siltstone.llm.frames import bounded_batches, kept, materialise, release
 from siltstone.llm.text import buffers, slices, span_hashes
 
 #: Chunks whose ids a worker remembers, and slots of each of the two tables that find them.
@@ -129,11 +127,11 @@ class ChunkTokenizer:
 
 
 def worker_tokenizer(model: str) -> ChunkTokenizer:
-    """One tokenizer for the life of a Python worker, which runs many tasks."""
-    kept = sys.modules.setdefault("_siltstone_worker", ModuleType("_siltstone_worker")).__dict__
-    if kept.get("model") != model:
-        kept["model"], kept["coder"] = model, ChunkTokenizer(model)
-    return kept["coder"]
+    """One tokenizer for all tasks of a Python worker, until another operator's task runs there."""
+    held = kept()
+    if held.get("model") != model:
+        held["model"], held["coder"] = model, ChunkTokenizer(model)
+    return held["coder"]
 
 
 def tokenised(docs: DataFrame, model: str, capacity: int = 1024, end_id: int = 2, key: str = "doc_id", text: str = "text",
@@ -149,10 +147,10 @@ def tokenised(docs: DataFrame, model: str, capacity: int = 1024, end_id: int = 2
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
+        release("packing")
         coder, task, seen = worker_tokenizer(shared.value), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            release()  # what the last batch's encoding left
+            release("packing")  # what the last batch's encoding left
             keys = batch.column(0)
             data, bounds = buffers(batch.column(1))
             for low, high in slices(bounds):

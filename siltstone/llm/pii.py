@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.frames import bounded_batches, ints, materialise, name
+from siltstone.llm.frames import bounded_batches, ints, materialise, name, release
 from siltstone.llm.text import Words, buffers, owners, slices, span_hashes
 
 # Kinds and patterns of the base spans.
@@ -109,6 +109,7 @@ def mentions(docs: DataFrame, near: int, text: str = "text") -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             rows: set[tuple[int, str, str | None]] = set()
             for whole in batch.column(0).to_pylist():
@@ -146,6 +147,7 @@ def _document_counts(texts: DataFrame, words: list[str]) -> dict[str, int]:
     keys = texts.sparkSession.sparkContext.broadcast(hashes[order])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         wanted = keys.value
         counts = np.zeros(len(wanted), np.int64)
         for batch in batches:
