@@ -17,7 +17,7 @@ from siltstone.session import materialise
 __all__ = ["bounded_batches", "ints", "kept", "map_batches", "materialise", "name", "read_table", "release", "task_count"]
 
 #: Rows and bytes of the Arrow batches handed to Python.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

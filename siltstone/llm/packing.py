@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltstone.llm.frames import bounded_batches, kept, materialise, release
-from siltstone.llm.text import buffers, slices, span_hashes
+from siltstone.llm.text import SLICE, buffers, slices, span_hashes
 
 #: Chunks whose ids a worker remembers, and slots of each of the two tables that find them.
 REMEMBERED, SLOTS = 1_000_000, 1 << 21
@@ -153,7 +153,7 @@ def tokenised(docs: DataFrame, model: str, capacity: int = 1024, end_id: int = 2
             release("packing")  # what the last batch's encoding left
             keys = batch.column(0)
             data, bounds = buffers(batch.column(1))
-            for low, high in slices(bounds):
+            for low, high in slices(bounds, SLICE // 2):  # each byte takes many times its size here
                 ids, at = coder.encode(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
                 rows: dict[str, list] = {c: [] for c in ("row", "piece", "start", "length", "crc", "nth", "ids")}
                 for i in range(high - low):
