@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import decontaminate, jaccard_join, language, packing, pii
 from siltstone.llm.frames import crc32_of_id, materialise, read_table
+from siltstone.llm.frames import name as fresh_name
 from siltstone.llm.queries import tokenizer_model
 from siltstone.session import small_side
 
 #: A text of at least so many characters is in no known language if the best one has less than this share of its n-grams.
 LONG_ENOUGH, LEAST_KNOWN = 40, 0.1
+#: Near duplicates share so many in 100 of their shingles of so many words.
+SHINGLE, PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,21 +29,30 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where((F.col("lang_pred") != language.UNKNOWN) & ~foreign).select(docs.columns)
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a number of its own for each row, written down so that it stays; ids may be null or repeat."""
+    row = fresh_name(docs, "_row")
+    return materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates, the one with the smallest id; repeated rows stay once."""
-    groups = materialise(jaccard_join.near_duplicates(docs.select("doc_id", "text")), "groups")
-    losers = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    repeated = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(small_side(losers), "doc_id", "left_anti")
-    twice = kept.join(small_side(repeated), "doc_id", "left_semi").dropDuplicates()
-    return kept.join(small_side(repeated), "doc_id", "left_anti").unionByName(twice).select(docs.columns)
+    """One row of each component of near duplicates, the one with the smallest id, null last; repeated rows stay once."""
+    rows, row = _numbered(docs)
+    groups = materialise(jaccard_join.near_duplicates(rows, key=row, k=SHINGLE, percent=PERCENT).select(row, "component_id"), "groups")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    stay = groups.join(rows.select(row, "doc_id"), row).groupBy("component_id").agg(F.min(order)["row"].alias(row))
+    losers = materialise(groups.select(row).join(stay.select(row), row, "left_anti"), "losers")
+    kept = rows.join(small_side(losers), row, "left_anti").select(docs.columns)
+    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")  # these link with nothing
+    return kept.where(~wordless).unionByName(kept.where(wordless).dropDuplicates())
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = decontaminate.leaks(docs.select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
-    leaking = materialise(found.select("doc_id").distinct(), "leaking")
-    return docs.join(small_side(leaking), "doc_id", "left_anti").select(docs.columns)
+    """Rows without a passage of the benchmark."""
+    rows, row = _numbered(docs)
+    found = decontaminate.leaks(rows.select(row, "text"), read_table(spark, sf_dir, "benchmark"), key=row)
+    leaking = materialise(found.select(row).distinct(), "leaking")
+    return rows.join(small_side(leaking), row, "left_anti").select(docs.columns)
 
 
 def sanitise_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -356,3 +356,31 @@ def test_pipeline_drops_and_keeps(spark, sf):
     assert all(not plain_spans(r.text) for r in rows.values())
     packed = {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()}
     assert packed == set(rows)
+
+
+def test_pipeline_drops_copies_and_leaks_of_rows_without_an_id(spark, folder):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(100)]
+    texts = [(3, " ".join(words)), (None, " ".join([*words, *(f"x{i}" for i in range(22))])),  # 96 of 118 five-word shingles
+             (None, "one text that two rows without an id have word for word"), (None, "one text that two rows without an id have word for word"),
+             (5, "a first text under an id that comes twice here"), (5, "and the second, unlike the first in all of its words"),
+             (None, "before " * 20 + "the passage of the benchmark that must not be learned by heart" + " after" * 20), (8, None), (8, None), (9, "")]
+    docs = table(spark, [(i, t, "en") for i, t in texts])
+    copies = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert copies.columns == docs.columns
+    got = sorted(((r.doc_id or 0), r.text or "") for r in copies.collect())
+    assert got == sorted(((i or 0), t or "") for i, t in {x: None for k, x in enumerate(texts) if k != 1})
+    sf = folder()
+    spark.createDataFrame([(1, "the passage of the benchmark that must not be learned by heart")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    left = corpus_pipeline.drop_contaminated(spark, docs, sf).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in left) == sorted((i or 0, t or "") for k, (i, t) in enumerate(texts) if k != 6)
+
+
+def test_pipeline_components_against_brute_force(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect()}
+    assert kept == {i for i, _, root in brute_components(sorted(texts.items()), k=5, percent=80) if i == root}
