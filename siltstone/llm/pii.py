@@ -7,15 +7,14 @@ information of the two, as a part of all the information the entity carries,
 
     log(p(word, entity) / (p(word) p(entity))) / -log p(entity),
 
-with shares of the documents of the corpus. It is 1 when the word occurs only
-with the entity. Words near mentions are the candidates; the counts of words are
-taken over all documents. Words whose disclosure reaches a threshold are spans as
+with shares of the distinct texts of the corpus, so copies of a text count once.
+It is 1 when the word occurs only with the entity. All words of the texts that
+mention an entity are candidates, wherever they stand. Words whose disclosure reaches a threshold are spans as
 well: in a sanitised text they are generalised, or removed from a higher one on.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -25,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.frames import bounded_batches, ints, materialise, name, release
-from siltstone.llm.text import Words, buffers, owners, slices, span_hashes
+from siltstone.llm.text import Words, buffers, code_points_before, owners, slices, span_hashes
+from siltstone.session import small_side
 
 # Kinds and patterns of the base spans.
 KINDS = ("email", "ip", "card", "phone")
@@ -101,68 +101,18 @@ def _terms(text: str) -> Iterator[tuple[str, int, int]]:
             yield _ascii_lower(core), m.start() + left, m.start() + left + len(core)
 
 
-def mentions(docs: DataFrame, near: int, text: str = "text") -> DataFrame:
-    """(document, entity, word) for each word at most `near` words from a mention; word is null once for each entity.
-
-    `document` is a hash of the whole text, so copies of a text count once.
-    """
-    bounded_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
-        for batch in batches:
-            rows: set[tuple[int, str, str | None]] = set()
-            for whole in batch.column(0).to_pylist():
-                spans = base_spans(whole)
-                if not spans:
-                    continue
-                document = int.from_bytes(hashlib.blake2b(whole.encode(), digest_size=8).digest(), "little", signed=True)
-                terms = list(_terms(whole))
-                starts = np.array([t[1] for t in terms])
-                covered = np.zeros(len(whole) + 1, bool)
-                for _, a, b in spans:
-                    covered[a:b] = True
-                for kind, a, b in spans:
-                    who = entity(kind, whole[a:b])
-                    rows.add((document, who, None))
-                    low, high = np.searchsorted(starts, a), np.searchsorted(starts, b)
-                    for word, s, e in terms[max(0, low - near) : high + near]:
-                        if not covered[s:e].any():
-                            rows.add((document, who, word))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string()))], ["document", "entity", "word"])
-
-    return docs.select(text).mapInArrow(run, "document long, entity string, word string")
-
-
-def _document_counts(texts: DataFrame, words: list[str]) -> dict[str, int]:
-    """How many documents have each of `words`, over whole texts of all documents."""
-    if not words:
-        return {}
+def mentions(texts: DataFrame) -> DataFrame:
+    """(document, entity) once for each entity that a text of (document, text) mentions."""
     bounded_batches(texts.sparkSession)
-    encoded = [w.encode() for w in words]
-    bounds = np.concatenate([[0], np.cumsum([len(w) for w in encoded])])
-    hashes = span_hashes(np.frombuffer(b"".join(encoded), np.uint8), bounds[:-1], bounds[1:])
-    order = np.argsort(hashes)
-    keys = texts.sparkSession.sparkContext.broadcast(hashes[order])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        wanted = keys.value
-        counts = np.zeros(len(wanted), np.int64)
         for batch in batches:
-            data, at = buffers(batch.column(0))
-            for low, high in slices(at):
-                w = TrimmedWords(data[at[low] : at[high]], at[low : high + 1] - at[low])
-                spot = np.minimum(np.searchsorted(wanted, w.hashes), len(wanted) - 1)
-                hit = np.flatnonzero(wanted[spot] == w.hashes)
-                pairs = np.unique(owners(w.first, hit) * np.int64(len(wanted)) + spot[hit])
-                counts += np.bincount(pairs % len(wanted), minlength=len(wanted))
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_pydict({"at": ints(used), "n": ints(counts[used])})
+            rows = [(d, who) for d, whole in zip(*(c.to_pylist() for c in batch.columns)) for who in {entity(k, whole[a:b]) for k, a, b in base_spans(whole)}]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string()))], ["document", "entity"])
 
-    found = texts.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n")).collect()  # a row for each word asked for
-    return {words[order[at]]: n for at, n in found}
+    return texts.select("document", "text").mapInArrow(run, "document long, entity string")
 
 
 _EDGE = np.zeros(256, bool)
@@ -184,30 +134,134 @@ class TrimmedWords(Words):
         self.hash()
 
 
-def disclosing_words(docs: DataFrame, threshold: float = 0.9, near: int = 5, support: int = 3, text: str = "text") -> DataFrame:
+def _distinct(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of some columns, in order of the last column first, and how often each stands there."""
+    order = np.lexsort(columns)
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns], np.diff(np.append(first, len(order)))
+
+
+def _document_counts(texts: DataFrame) -> DataFrame:
+    """(c, with_word): how many texts have each word, by its hash."""
+    bounded_batches(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for batch in batches:
+            data, at = buffers(batch.column(0))
+            for low, high in slices(at):
+                w = TrimmedWords(data[at[low] : at[high]], at[low : high + 1] - at[low])
+                real = np.flatnonzero(w.ends > w.starts)
+                if len(real):
+                    (_, words), _ = _distinct(owners(w.first, real), w.hashes[real])
+                    (words,), counts = _distinct(words)
+                    yield pa.RecordBatch.from_pydict({"c": ints(words.view(np.int64)), "n": ints(counts)})
+
+    return texts.select("text").mapInArrow(run, "c long, n long").groupBy("c").agg(F.sum("n").alias("with_word"))
+
+
+def _most(with_entity, threshold: float, total: int):
+    """In how many texts a word can stand at most to disclose an entity: with all of the entity's texts among them."""
+    return total * (with_entity / (total + 1.0)) ** threshold * (1 + 1e-9)
+
+
+def _pairs(carriers: DataFrame, words: pa.Table, threshold: float, total: int) -> DataFrame:
+    """(who, word, with_word, with_entity, both) of the words that may disclose an entity, summed up in parts.
+
+    `carriers`: text and who, an array of its entities (who, with_entity).
+    """
+    bounded_batches(carriers.sparkSession)
+    hashes, counts = words.column("c").to_numpy().view(np.uint64), words.column("with_word").to_numpy()
+    order = np.argsort(hashes)
+    shared = carriers.sparkSession.sparkContext.broadcast((hashes[order], counts[order]))
+    schema = "who long, word string, with_word long, with_entity long, both long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        wanted, with_word = shared.value
+        held, names, size = [], {}, 0
+
+        def summed() -> pa.RecordBatch:
+            (spots, who, with_entity), both = _distinct(*(np.concatenate(c) for c in zip(*held)))
+            return pa.RecordBatch.from_pydict({"who": ints(who), "word": pa.array([names[x] for x in spots.tolist()], pa.string()),
+                                               "with_word": ints(with_word[spots]), "with_entity": ints(with_entity), "both": ints(both)})
+
+        for batch in batches:
+            data, at = buffers(batch.column(0))
+            strings, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for low, high in slices(at):
+                own, edges = data[at[low] : at[high]], at[low : high + 1] - at[low]
+                w = TrimmedWords(own, edges)
+                spot = np.minimum(np.searchsorted(wanted, w.hashes), len(wanted) - 1)
+                hit = np.flatnonzero((wanted[spot] == w.hashes) & (w.ends > w.starts))
+                bounds = np.searchsorted(hit, w.first)
+                for i in np.flatnonzero(np.diff(bounds)):
+                    mine, whole = hit[bounds[i] : bounds[i + 1]], strings[low + i]
+                    covered = np.zeros(len(whole) + 1, np.int64)
+                    for _, a, b in base_spans(whole):
+                        covered[a + 1 : b + 1] = 1
+                    before, points = np.cumsum(covered), code_points_before(own[edges[i] : edges[i + 1]])
+                    mine = mine[before[points[w.starts[mine] - edges[i]]] == before[points[w.ends[mine] - edges[i]]]]
+                    spots, one = np.unique(spot[mine], return_index=True)
+                    for x, word in zip(spots.tolist(), mine[one].tolist()):
+                        if x not in names:
+                            names[x] = w.data[w.starts[word] : w.ends[word]].tobytes().decode()
+                    for e in lists[low + i]:
+                        rare = spots[with_word[spots] <= _most(e["with_entity"], threshold, total)]
+                        if len(rare):
+                            held.append((rare, np.full(len(rare), e["who"]), np.full(len(rare), e["with_entity"])))
+                            size += len(rare)
+                        if size >= PASS:
+                            yield summed()
+                            held, size = [], 0
+                if not held:
+                    names = {}
+        if held:
+            yield summed()
+
+    return carriers.select("text", "who").mapInArrow(run, schema)
+
+
+def disclosing_words(docs: DataFrame, threshold: float = 0.9, support: int = 3, text: str = "text") -> DataFrame:
     """(word, disclosure): words that disclose some entity to at least `threshold`.
 
     Entities and pairs of a word and an entity need `support` different texts, as
-    a share can't be estimated from fewer. Disclosure is the largest over a word's
-    entities. Empty when no entity has that support.
+    a share can't be estimated from fewer. All counts are of different texts.
+    Disclosure is the largest over a word's entities. Empty when no entity has that
+    support.
     """
     spark = docs.sparkSession
-    found = materialise(mentions(docs, near, text).distinct(), "mentions")
-    total = docs.where(F.col(text).isNotNull()).count()
-    known = found.where("word is null").groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity")).where(F.col("with_entity") >= support)
-    pairs = found.where("word is not null").groupBy("entity", "word").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support)
-    joint = materialise(pairs.join(known, "entity"), "disclosure")
-    candidates = materialise(joint.select("word").distinct().withColumn("part", F.pmod(F.xxhash64("word"), F.lit(1 << 20))), "words")
-    n = candidates.count()
-    passes = max(1, -(-n // PASS))
+    some = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("document"), F.col(text).alias("text"))
+    copies = materialise(some.groupBy("document").agg(F.count(F.lit(1)).alias("copies")), "copies")
+    total = copies.count()
+    repeated = small_side(copies.where("copies > 1").select("document"), max_rows=1_000_000)
+    once = materialise(some.join(repeated, "document", "left_semi").dropDuplicates(["document"]), "repeated")
+    texts = some.join(repeated, "document", "left_anti").unionByName(once)  # only texts with copies are moved
+    found = materialise(mentions(texts), "mentions")
+    known = found.groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity")).where(F.col("with_entity") >= support)
+    who = F.struct(F.xxhash64("entity").alias("who"), "with_entity")
+    lists = materialise(found.join(small_side(known), "entity").groupBy("document").agg(F.collect_list(who).alias("who")), "entities")
     out = spark.createDataFrame([], "word string, disclosure double")
-    for p in range(passes):  # a bounded part of the candidates at a time, counted over all documents
-        words = [r[0] for r in candidates.where(F.col("part") % passes == p).select("word").collect()]
-        counts = _document_counts(docs.select(text), words)
-        counted = spark.createDataFrame(pa.table({"word": pa.array(list(counts), pa.string()), "with_word": pa.array(list(counts.values()), pa.int64())}))
+    largest = lists.agg(F.max(F.array_max(F.transform("who", lambda x: x["with_entity"])))).first()[0]
+    if largest is None:
+        return out
+    carriers = texts.join(small_side(lists), "document").select("text", "who")
+    candidates = _document_counts(texts).where((F.col("with_word") >= support) & (F.col("with_word") <= _most(largest, threshold, total)))
+    candidates = materialise(candidates, "words")
+    passes = -(-candidates.count() // PASS)
+    for p in range(passes):  # a bounded part of the candidates at a time
+        part = F.pmod(F.xxhash64("c"), F.lit(passes)) == p
+        words = candidates.where(part).toArrow()
+        if not words.num_rows:
+            continue
+        joint = _pairs(carriers, words, threshold, total).groupBy("who", "word", "with_word", "with_entity").agg(F.sum("both").alias("both"))
         mutual = F.log(F.col("both") * total / (F.col("with_word") * F.col("with_entity")))
         share = mutual / -F.log(F.col("with_entity") / (total + 1.0))
-        out = out.union(joint.join(counted, "word").groupBy("word").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= threshold))
+        joint = joint.where(F.col("both") >= support).groupBy("word").agg(F.max(share).alias("disclosure"))
+        out = out.union(joint.where(F.col("disclosure") >= threshold))
     return out
 
 
@@ -288,14 +342,14 @@ def _marked(texts, terms: frozenset[str]) -> np.ndarray:
     return out
 
 
-def sanitise(docs: DataFrame, threshold: float = 0.9, removal: float = 0.97, near: int = 5, support: int = 3, text: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, threshold: float = 0.9, removal: float = 0.97, support: int = 3, text: str = "text") -> DataFrame:
     """`docs` with base spans replaced by [KIND], disclosing words by [TERM], and those from `removal` on taken out.
 
     Null texts stay null; texts without a span are unchanged.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    words = materialise(disclosing_words(docs, threshold, near, support, text), "disclosing")
+    words = materialise(disclosing_words(docs, threshold, support, text), "disclosing")
     parts = list(_parts(words))
     *earlier, last = [frozenset(w for w, _ in part) for part in parts] or [frozenset()]
     gone = [spark.sparkContext.broadcast(frozenset(w for w, d in part if d >= removal)) for part in parts]

@@ -384,3 +384,41 @@ def test_pipeline_components_against_brute_force(spark, sf):
     texts = {r.doc_id: r.text for r in docs.collect()}
     kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect()}
     assert kept == {i for i, _, root in brute_components(sorted(texts.items()), k=5, percent=80) if i == root}
+
+
+def brute_disclosure(texts, support=3):
+    """Largest disclosure of each word over the entities, from all words of all distinct texts."""
+    with_word, with_entity, both, total = defaultdict(int), defaultdict(int), defaultdict(int), len(set(texts))
+    for text in set(texts):
+        spans = pii.base_spans(text)
+        terms = list(pii._terms(text))
+        words = {w for w, a, b in terms if not any(a < y and x < b for _, x, y in spans)}
+        entities = {pii.entity(k, text[a:b]) for k, a, b in spans}
+        for w in {w for w, _, _ in terms}:
+            with_word[w] += 1
+        for e in entities:
+            with_entity[e] += 1
+            for w in words:
+                both[w, e] += 1
+    out = defaultdict(lambda: -9.0)
+    for (w, e), n in both.items():
+        if n >= support and with_entity[e] >= support:
+            out[w] = max(out[w], np.log(n * total / (with_word[w] * with_entity[e])) / -np.log(with_entity[e] / (total + 1)))
+    return dict(out)
+
+
+@pytest.mark.parametrize("small", [500_000, 7])
+def test_disclosure_counts_copies_once_and_reads_whole_texts(spark, monkeypatch, small):
+    monkeypatch.setattr(pii, "PASS", small)
+    random = np.random.default_rng(6)
+    texts = [" ".join(f"p{x}" for x in random.integers(0, 60, 12)) for _ in range(120)]
+    leaks = [f"Zanzibaré {i} {'and on ' * 20}wrote from a@b.com, seen (nearby) {'or so ' * 20} the corvidian p{i}" for i in range(4)]
+    more = [f"the corvidian clerk {i} called +49 30 1234567 or mailed a@b.com\nvesperal" for i in range(3)]
+    texts += [*leaks, *[leaks[0]] * 200, *more, *[texts[0]] * 50]
+    docs = table(spark, [(i, t, "en") for i, t in enumerate([*texts, None])])
+    for threshold in (0.9, 0.3):
+        got = {r.word: r.disclosure for r in pii.disclosing_words(docs, threshold=threshold).collect()}
+        assert got == pytest.approx({w: d for w, d in brute_disclosure(texts).items() if d >= threshold})
+        assert small == 7 or {"vesperal", "Zanzibaré".replace("Z", "z"), "corvidian", "nearby"} <= set(got)
+        if small == 7:
+            break
