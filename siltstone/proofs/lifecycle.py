@@ -11,7 +11,7 @@ from ..operators.views import MaterializedView, ViewSpec
 from ..plans.stored import Functions
 from ..session import fresh_dir
 from ..sources.tables import Table
-from .registry import load, query
+from .registry import each, load, query
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -177,9 +177,9 @@ def merge_grouping(spark, sf):
 def merge_run(spark, sf):
     """Fifteen small parts become one; the rows stay the same."""
     orders, table = load(spark, sf, "orders"), Table(spark, fresh_dir(spark, "merged"))
-    for status in ("F", "O", "P"):
-        for priority in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"):
-            table.append(orders.where((F.col("o_orderstatus") == status) & (F.col("o_orderpriority") == priority)))
+    for status in each("o_orderstatus", ("F", "O")):
+        for priority in each("o_orderpriority", ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")):
+            table.append(orders.where(status & priority))
     before = len(table.folders)
     life.run_merges(table, life.MergePolicy(lookback="All"), AS_OF)
     return table.read().groupBy("o_orderstatus").agg(

@@ -14,7 +14,7 @@ from ..sources.tables import Table
 from ..streaming.export import ContinuousExport
 from ..streaming.ingest import StreamBatcher, deduplicated, read_stream, start_append, start_view
 from ..streaming.update_policy import Ingestion, UpdatePolicy
-from .registry import load, query, spread
+from .registry import load, query, ranges, spread
 
 
 def _in_files(spark, df):
@@ -186,8 +186,8 @@ def ingestion_batching_stream(spark, sf):
     """The same batches when events arrive in three micro-batches, week by week."""
     path, checkpoint, items = fresh_dir(spark, "weeks"), fresh_dir(spark, "checkpoint"), _items(spark, sf)
     batcher = StreamBatcher(spark, fresh_dir(spark, "batcher"), ["user_id"], "ts", ["event_id"], "size", BATCH_POLICY)
-    for low, high in (("2000-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2100-01-01")):
-        items.where((F.col("ts") >= low) & (F.col("ts") < high)).write.mode("append").parquet(path)
+    for part in ranges("ts", ("2024-01-10", "2024-01-20")):
+        items.where(part & F.col("ts").isNotNull()).write.mode("append").parquet(path)
         _finish(batcher.start(read_stream(spark, path, items.schema), checkpoint))
     return batcher.sealed.read()
 

@@ -10,7 +10,7 @@ from ..operators import aggregates as agg
 from ..operators.aggregates import Arg, Count, Distinct, Sum, Summary, TakeAny
 from ..operators.views import MaterializedView, ViewSpec
 from ..session import fresh_dir
-from .registry import load, query
+from .registry import each, load, query, ranges
 
 LATEST = Summary(["user_id"], [Arg("row", "ts", ["event_id"])])
 TOTALS = Summary(["event_type"], [Count("n"), Sum("total", "value", "decimal(38,2)"), Arg("last", "ts", ["event_id"], ["event_id"])])
@@ -77,8 +77,8 @@ def distinct_count_sketch(spark, sf):
 @query("merge_partial_aggregates", TOTALS_SQL.format(where=""))
 def merge_partial_aggregates(spark, sf):
     events, states = load(spark, sf, "events"), None
-    for low, high in ((0, 5), (5, 20), (20, 80), (80, 1e12)):
-        state = TOTALS.partial(events.where((F.col("value") >= low) & (F.col("value") < high)))
+    for part in ranges("value", (5, 20, 80)):
+        state = TOTALS.partial(events.where(part))
         states = state if states is None else states.unionByName(state)
     return _totals(TOTALS.final(TOTALS.merge(states)))
 
@@ -104,7 +104,7 @@ def view_from_now_on(spark, sf):
     return view.read(events).select(*EVENT_COLUMNS)
 
 
-DAYS = [datetime(2024, 1, d) for d in (1, 8, 15, 22)] + [datetime(2100, 1, 1)]
+DAYS = [datetime(2024, 1, d) for d in (8, 15, 22)]
 
 
 @query("view_incremental_refresh", TOTALS_SQL.format(where=""))
@@ -112,8 +112,8 @@ def view_incremental_refresh(spark, sf):
     """Four batches; one is replayed, and the state is compacted on the way."""
     events = load(spark, sf, "events")
     view = _view(spark, "refreshed", ViewSpec(TOTALS, time="ts"))
-    for i, (low, high) in enumerate(zip(DAYS, DAYS[1:])):
-        batch = events.where((F.col("ts") >= low) & (F.col("ts") < high))
+    for i, part in enumerate(ranges("ts", DAYS)):
+        batch = events.where(part)
         view.refresh(batch, str(i))
         if i == 2:
             view.compact().refresh(batch, str(i))
@@ -181,6 +181,6 @@ def view_first_per_key(spark, sf):
     """A deduplicating view: one turn per conversation, fed role by role."""
     turns = load(spark, sf, "conversations").select("conv_id", "turn", "role")
     view = _view(spark, "first", ViewSpec(Summary(["conv_id"], [TakeAny("row", "turn")])))
-    for role in ("assistant", "user", "system"):
-        view.refresh(turns.where(F.col("role") == role), role)
+    for i, part in enumerate(each("role", ("assistant", "user"))):
+        view.refresh(turns.where(part), str(i))
     return view.read().select("conv_id", "turn", "role")
