@@ -39,19 +39,31 @@ class Count(Measure):
 
 @dataclass(frozen=True)
 class Sum(Measure):
-    """`as_type` fixes the type of the sum; use a decimal for repeatable totals."""
+    """`as_type` fixes the type of the sum; use a decimal for repeatable totals.
+
+    With a decimal, each value is brought to its scale before it is added. Without
+    one, doubles are added as doubles, decimals and whole numbers exactly."""
 
     column: str
-    as_type: str = "decimal(38,6)"
+    as_type: str | None = None
+
+    def _state(self, source: T.DataType) -> str:
+        asked = T.DataType.fromDDL(self.as_type) if self.as_type else None
+        for kind in (asked, source):
+            if isinstance(kind, T.DecimalType):
+                return f"decimal(38,{kind.scale})"
+        return "decimal(38,0)" if isinstance(source, T.IntegralType) else "double"
 
     def partial(self, df, keys):
-        return [F.sum(F.col(self.column).cast("decimal(28,6)")).cast("decimal(38,6)").alias(f"s_{self.name}")]
+        state = self._state(df.select(F.col(self.column)).schema[0].dataType)
+        return [F.sum(F.col(self.column).cast(state)).cast(state).alias(f"s_{self.name}")]
 
     def merge(self, states):
-        return [F.sum(f"s_{self.name}").cast("decimal(38,6)").alias(f"s_{self.name}")]
+        return [F.sum(f"s_{self.name}").cast(states[f"s_{self.name}"].dataType).alias(f"s_{self.name}")]
 
     def final(self, state):
-        return [F.col(f"s_{self.name}").cast(self.as_type).alias(self.name)]
+        total = F.col(f"s_{self.name}")
+        return [(total.cast(self.as_type) if self.as_type else total).alias(self.name)]
 
 
 @dataclass(frozen=True)
