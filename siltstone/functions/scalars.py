@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import small_side
@@ -49,26 +49,45 @@ def has_term(text: Column, term: str) -> Column:
     return text.rlike(f"(?iu){before}{re.escape(term)}{after}")
 
 
-# Spark's parser stops after the first value of a text. A text is exactly one
-# value if it parses both as the only element of an array and as the only member
-# of an object: whatever closes the one early breaks the other.
-def _wrapped(text: Column, begin: str, end: str) -> Column:
-    session = SparkSession.getActiveSession()
-    if session is not None:  # of a key that occurs twice, the last value counts
-        session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return F.try_parse_json(F.concat(F.lit(begin), text, F.lit(end)))
+# Spark's parser stops after the first value of a text. So a text is parsed once,
+# as the first element of an array that goes on with END: text that closes the
+# array early, or holds several values, does not leave END as the second and last.
+END = "end of the text 5c1e7a"
 
 
+def _enclosed(text: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END}"]')))
+
+
+def _one(enclosed: Column) -> Column:
+    is_end = F.try_variant_get(enclosed, "$[1]", "string") == END
+    return F.coalesce(is_end, F.lit(False)) & F.try_variant_get(enclosed, "$[2]", "variant").isNull()
+
+
+def _one_around_end(text: Column) -> Column:
+    """The same for text that holds END: it must parse both in an array and in an object; whatever closes the one early breaks the other."""
+    alone, named = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.try_variant_get(alone, "$[0]", "variant").isNotNull() & F.try_variant_get(alone, "$[1]", "variant").isNull() & named.isNotNull()
+
+
+# The condition that comes first is the one that parses, so what follows can share its value.
 def is_json(text: Column) -> Column:
-    """Exactly one JSON value."""
-    alone = _wrapped(text, "[", "]")
-    one = F.try_variant_get(alone, "$[0]", "variant").isNotNull() & F.try_variant_get(alone, "$[1]", "variant").isNull()
-    return one & _wrapped(text, '{"v":', "}").isNotNull()
+    """Exactly one JSON value. Null text is none, as is one nested more than 999 deep."""
+    return F.coalesce((_one(_enclosed(text)) & ~F.contains(text, F.lit(END))) | (F.contains(text, F.lit(END)) & _one_around_end(text)), F.lit(False))
 
 
 def parse_dynamic(text: Column) -> Column:
-    """JSON text as VARIANT; null where it is not exactly one JSON value."""
-    return F.when(is_json(text), F.try_variant_get(_wrapped(text, "[", "]"), "$[0]", "variant"))
+    """JSON text as VARIANT; null where it is not exactly one JSON value.
+
+    Of a key that occurs twice the last value counts if the session is set up by
+    `session.configure`; without that, such text is null.
+    """
+    enclosed, alone = _enclosed(text), F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    holds_end = F.contains(text, F.lit(END))
+    return (
+        F.when(_one(enclosed) & ~holds_end, F.try_variant_get(enclosed, "$[0]", "variant"))
+        .when(holds_end & _one_around_end(text), F.try_variant_get(alone, "$[0]", "variant"))
+    )
 
 
 def member(dynamic: Column, path: str, data_type: str = "string") -> Column:

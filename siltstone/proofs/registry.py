@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import configure
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -15,7 +18,7 @@ def query(name: str, sql: str | None = None):
     def keep(run: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
-        QUERIES[name] = run
+        QUERIES[name] = wraps(run)(lambda spark, folder: run(configure(spark), folder))
         if sql is not None:
             SQL[name] = sql
         return run

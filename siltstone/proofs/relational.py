@@ -400,7 +400,8 @@ def json_subset(spark, sf):
         status == "O",
         F.concat(F.lit('{"a":{"x":'), key, F.lit('},"b":'), F.when(F.col("o_orderpriority") == "2-HIGH", "[2,1]").otherwise("[1,2]"), F.lit("}")),
     ).otherwise(F.concat(F.lit('{"a":{"x":'), key, F.lit('.5,"w":1}}')))
-    pairs = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", old.alias("old"), new.alias("new"))
+    orders = load(spark, sf, "orders").repartition(spark.sparkContext.defaultParallelism)  # one file
+    pairs = orders.select("o_orderkey", "o_orderstatus", old.alias("old"), new.alias("new"))
     deep = [F.concat(F.lit('{"a":' * 60), inner, F.lit("}" * 60)) for inner in (
         F.concat(F.lit('{"k":'), key, F.lit(".0}")), F.concat(F.lit('{"k":null,"k":'), key, F.when(status == "F", "e0}").otherwise("e1}")),
     )]

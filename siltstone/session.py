@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings that the library's functions expect of a session."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # of a key that occurs twice, the last value counts
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
 

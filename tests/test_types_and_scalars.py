@@ -86,7 +86,7 @@ def test_same_number(spark, a, b, same):
 def test_deep_json(spark):
     deep = '{"a":' * 500 + "1" + "}" * 500
     df = spark.createDataFrame([(deep, deep.replace("1", "1.0")), (deep, deep.replace("1", "2"))], "a string, b string")
-    assert [r["same"] for r in normalise.json_subset(df, "a", "b").collect()] == [True, False]
+    assert {r["b"]: r["same"] for r in normalise.json_subset(df, "a", "b").collect()} == {deep.replace("1", "1.0"): True, deep.replace("1", "2"): False}
 
 
 def test_json_validity(spark):
@@ -122,7 +122,23 @@ def test_json_subset_against_brute_force(spark, pairs):
 
 def test_json_subset_of_broken_text(spark):
     df = spark.createDataFrame([("{", "{}"), ("{}", "{}"), (None, "{}")], "a string, b string")
-    assert [r["same"] for r in normalise.json_subset(df, "a", "b").collect()] == [False, True, False]
+    assert {r["a"]: r["same"] for r in normalise.json_subset(df, "a", "b").collect()} == {"{": False, "{}": True, None: False}
+
+
+def test_json_subset_goes_down_and_stays_in_the_jvm(spark):
+    def nested(inner, depth=30):
+        return '{"a":' * depth + inner + "}" * depth
+
+    rows = [(nested('{"x":1,"y":"\\u0041"}'), nested('{"y":"A","z":[1,2.0],"x":1e0}'), True), (nested('{"x":1,"y":1}'), nested('{"x":[1],"y":1}'), False),
+            (nested('{"x":{}}'), nested('{"x":{"p":1},"q":2}'), True), (nested('{"x":{}}'), nested('{"x":[{"p":1}]}'), False),
+            ('[{"b":1,"a":2}]', '[{"a":2.0,"b":1}]', True), ('{"a":"\\"1,2\\\\"}', '{"a":"\\"1,2\\\\","b":1}', True), ('{"a":1e999}', '{"a":1e999}', False),
+            ('"Infinity"', '"Infinity"', True), ('{"a":1} 2', '{"a":1}', False), ('{"a":null}', "{}", True), ('{"a":null}', '{"a":0}', False)]
+    df = spark.createDataFrame([(i, a, b, 0) for i, (a, b, _) in enumerate(rows)], "i int, a string, b string, _forth int")
+    out = normalise.json_subset(df, "a", "b")
+    assert out.columns == ["i", "a", "b", "_forth", "same"]
+    assert {r["i"]: r["same"] for r in out.collect()} == {i: same for i, (_, _, same) in enumerate(rows)}
+    for plan in (out, df.select(normalise.same_json(F.col("a"), F.col("b")))):
+        assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
 def test_principal_kind(spark):

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from siltstone.session import configure
+
 
 def local_session(cores: str | None = None) -> SparkSession:
     cores = cores or os.environ.get("BENCH_CPUS", "8")
@@ -14,9 +16,10 @@ def local_session(cores: str | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return configure(spark)
