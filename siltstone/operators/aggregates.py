@@ -3,6 +3,11 @@
 Each measure says how to make state from rows, how to merge states, and how to
 finish. All three are built-in aggregates with map-side partials, so a hot key
 sends one row per map task through the shuffle.
+
+A greatest row as such makes Spark sort all rows and columns, as a row has no
+fixed width. So whole-row measures take two passes: a hash aggregate finds how far
+a key of fixed width reaches in each group, from the grouping and ordering columns
+alone; whole rows are compared only where they reach that far.
 """
 
 from __future__ import annotations
@@ -13,6 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
+from ..session import materialise, small_side
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -104,6 +111,16 @@ class Arg(Measure):
     columns: Sequence[str] | None = None  # None: all columns
     least: bool = False
 
+    def reach(self, df: DataFrame) -> Column:
+        """A key of fixed width that ranks as `by` does, but for ties: the value
+        itself, or the first bytes of a text. Other types give one key to all."""
+        kind, by = df.schema[self.by].dataType, F.col(f"`{self.by}`")
+        if isinstance(kind, (T.NumericType, T.DatetimeType, T.BooleanType)):
+            return by
+        if isinstance(kind, (T.StringType, T.BinaryType)) and kind in (T.StringType(), T.BinaryType()):  # other collations rank in their own way
+            return F.conv(F.rpad(F.hex(F.substring(by.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
+        return F.when(by.isNotNull(), F.lit(0))
+
     def _pick(self, state: Column, t: T.DataType) -> Column:
         if _orderable(t):
             best = (F.min if self.least else F.max)(state)
@@ -147,9 +164,30 @@ class Summary:
         return all(isinstance(m, Arg) and m.columns is None for m in self.measures)
 
     def partial(self, df: DataFrame, *extra: Column) -> DataFrame:
-        """State of the rows; `extra` aggregates ride along in the same pass."""
-        columns = [c for m in self.measures for c in m.partial(df, self.keys)]
-        return df.groupBy(*self.keys).agg(*columns, *extra)
+        """State of the rows; `extra` aggregates ride along in the first pass."""
+        whole = [m for m in self.measures if isinstance(m, Arg)]
+        if not whole or not self.keys or df.isStreaming:
+            return df.groupBy(*self.keys).agg(*[c for m in self.measures for c in m.partial(df, self.keys)], *extra)
+        reach = {f"_reach{i}_": m for i, m in enumerate(whole)}
+        ends = [(F.min if m.least else F.max)(m.reach(df)).alias(name) for name, m in reach.items()]
+        others = [c for m in self.measures if m not in whole for c in m.partial(df, self.keys)]
+        first = materialise(df.groupBy(*self.keys).agg(*ends, *others, *extra), "reach")
+
+        asked = first.select(*[F.col(f"`{k}`").alias(f"_key{i}_") for i, k in enumerate(self.keys)], *reach)
+        same = F.lit(True)
+        for i, k in enumerate(self.keys):
+            same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_key{i}_"))
+        near = F.lit(False)
+        for name, m in reach.items():
+            near = near | m.reach(df).eqNullSafe(F.col(name))
+        # One row per group: as a rule small, and then the rows are not shuffled.
+        reached = df.join(small_side(asked), same & (near if len(whole) > 1 else m.reach(df).eqNullSafe(F.col(name))), "left_semi")
+        state = reached.groupBy(*self.keys).agg(*[c for m in whole for c in m.partial(df, self.keys)])
+        if others or extra:
+            rest = first.drop(*reach).select(*[F.col(f"`{k}`").alias(f"_key{i}_") for i, k in enumerate(self.keys)], *[c for c in first.columns if c not in reach and c not in self.keys])
+            state = state.join(small_side(rest), same, "inner").drop(*[f"_key{i}_" for i in range(len(self.keys))])
+        measures = [f"s_{m.name}" for m in self.measures]
+        return state.select(*self.keys, *measures, *[c for c in state.columns if c not in measures and c not in self.keys])
 
     def merge(self, states: DataFrame, *extra: Column) -> DataFrame:
         return states.groupBy(*self.keys).agg(*[c for m in self.measures for c in m.merge(states.schema)], *extra)
