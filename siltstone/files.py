@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -16,13 +18,21 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_new_bytes(spark: SparkSession, path: str, data: bytes) -> None:
-    """Create a file; fails if it is there already (the commit point of a table)."""
+    """Create a file, whole or not at all: it is written aside and renamed. Fails
+    if it is there already (the commit point of a table); one writer is assumed,
+    as some file systems overwrite in a race."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
     try:
         out.write(bytearray(data))
     finally:
         out.close()
+    if not fs.rename(aside, p):
+        fs.delete(aside, False)
+        raise FileExistsError(path)
 
 
 def write_new_text(spark: SparkSession, path: str, text: str) -> None:

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
-from ..session import materialise, small_side
+from ..session import materialise
 
 
 @dataclass(frozen=True)
@@ -180,12 +180,12 @@ class Summary:
         near = F.lit(False)
         for name, m in reach.items():
             near = near | m.reach(df).eqNullSafe(F.col(name))
-        # One row per group: as a rule small, and then the rows are not shuffled.
-        reached = df.join(small_side(asked), same & (near if len(whole) > 1 else m.reach(df).eqNullSafe(F.col(name))), "left_semi")
+        # One row per group, in files whose size Spark knows: a small table is broadcast, and then the rows are not shuffled.
+        reached = df.join(asked, same & (near if len(whole) > 1 else m.reach(df).eqNullSafe(F.col(name))), "left_semi")
         state = reached.groupBy(*self.keys).agg(*[c for m in whole for c in m.partial(df, self.keys)])
         if others or extra:
             rest = first.drop(*reach).select(*[F.col(f"`{k}`").alias(f"_key{i}_") for i, k in enumerate(self.keys)], *[c for c in first.columns if c not in reach and c not in self.keys])
-            state = state.join(small_side(rest), same, "inner").drop(*[f"_key{i}_" for i in range(len(self.keys))])
+            state = state.join(rest, same, "inner").drop(*[f"_key{i}_" for i in range(len(self.keys))])
         measures = [f"s_{m.name}" for m in self.measures]
         return state.select(*self.keys, *measures, *[c for c in state.columns if c not in measures and c not in self.keys])
 

@@ -145,10 +145,10 @@ class MaterializedView:
         fresh = self._fresh(source)
         if not fresh:
             return self
-        consumed = [*((self.state.notes.get("consumed") or []) if self.state.exists() else []), *fresh]
-        return self._fold(source.read_batches(fresh), f"batches-{len(consumed)}", consumed=consumed)
+        held = len(self.state.notes.get("consumed") or []) if self.state.exists() else 0
+        return self._fold(source.read_batches(fresh), f"batches-{held + len(fresh)}", {"consumed": fresh})
 
-    def _fold(self, batch: DataFrame, batch_id: str, **notes) -> "MaterializedView":
+    def _fold(self, batch: DataFrame, batch_id: str, listed: dict[str, list] | None = None) -> "MaterializedView":
         known = self.state.exists()
         partial = self._partial(batch)
         schema = partial.schema
@@ -158,7 +158,7 @@ class MaterializedView:
         part = self.state.stage(conform(partial, schema))
         before = self.state.notes.get("materialized_to") if known else None
         upto = max(filter(None, (before, _text(self._reach(part, batch)))), default=None)
-        self.state.add_staged({batch_id: part}, schema, notes={"materialized_to": upto, **notes})
+        self.state.add_staged({batch_id: part}, schema, notes={"materialized_to": upto}, listed=listed)
         return self
 
     def compact(self) -> "MaterializedView":

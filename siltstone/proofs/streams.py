@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.aggregates import Arg, Count, Sum, Summary
 from ..operators.segments import BatchingPolicy, seal_batches
 from ..operators.views import MaterializedView, ViewSpec
-from ..session import fresh_dir
+from ..session import fresh_dir, materialise
 from ..sources.external import ExternalTable
 from ..sources.tables import Table
 from ..streaming.export import ContinuousExport
@@ -103,6 +103,47 @@ def update_policy_cascade(spark, sf):
     )
 
 
+class _DyingIngestion(Ingestion):
+    """Dies when the table `fatal` is committed."""
+
+    fatal: str | None = None
+
+    def table(self, name: str) -> Table:
+        table = super().table(name)
+        if name == self.fatal:
+            table.add_staged = self._die
+        return table
+
+    def _die(self, *args, **more):
+        raise OSError("the driver died")
+
+
+@query(
+    "update_policy_commit_failure",
+    """SELECT moment, count(*) FILTER (WHERE moment = 'replayed' OR ts < TIMESTAMP '2024-01-15' OR ts IS NULL) AS source_rows,
+              count(*) FILTER (WHERE event_type = 'purchase' AND (moment = 'replayed' OR ts < TIMESTAMP '2024-01-15' OR ts IS NULL)) AS target_rows
+       FROM events, (VALUES ('crashed'), ('replayed')) t(moment) GROUP BY moment""",
+)
+def update_policy_commit_failure(spark, sf):
+    """The second batch dies between the commits of its two tables, and is replayed."""
+    policy = UpdatePolicy("events", "purchases", PURCHASES.query, transactional=True)
+    tables = _DyingIngestion(spark, fresh_dir(spark, "dying"), [policy])
+    first, second = (load(spark, sf, "events").where(part) for part in ranges("ts", ["2024-01-15"]))
+    tables.ingest(first, "events", "1")
+    counts = []
+    for moment, tables.fatal in (("crashed", "purchases"), ("crashed", "events"), ("replayed", None), ("replayed", None)):
+        try:
+            tables.ingest(second, "events", "2")
+        except OSError:
+            if tables.fatal is None:
+                raise
+        tables.fatal = None
+        rows = [tables.table(name).read().agg(F.count(F.lit(1)).alias(f"{name}_rows")) for name in ("events", "purchases")]
+        counts.append(materialise(rows[0].withColumn("moment", F.lit(moment)).join(rows[1].withColumn("moment", F.lit(moment)), "moment"), "counts"))
+    found = counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    return found.select("moment", F.col("events_rows").alias("source_rows"), F.col("purchases_rows").alias("target_rows")).distinct()
+
+
 EXPORT_SCHEMA = "event_id:long, user_id:long, ts:datetime"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, types as T
 from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_dynamic
@@ -69,7 +69,7 @@ def _target_type(rule: Rule, target: T.StructType) -> T.DataType:
 
 
 def _project(
-    raw: DataFrame, mapping: Mapping, target: T.StructType, extract, count_bad: bool
+    raw: DataFrame, mapping: Mapping, target: T.StructType, extract, count_bad: bool, bad: Column | None = None
 ) -> DataFrame:
     """One select for the whole mapping. A value that does not fit its type
     becomes null; with `count_bad`, `_bad` says how many did not fit."""
@@ -77,7 +77,7 @@ def _project(
     unknown = set(rules) - set(target.fieldNames())
     if unknown:
         raise ValueError(f"mapping names columns the table does not have: {sorted(unknown)}")
-    columns, bad = [], F.lit(0)
+    columns, bad = [], F.lit(0) if bad is None else bad
     for name in target.fieldNames():
         rule = rules.get(name)
         if rule is None:
@@ -133,25 +133,36 @@ def map_columns(df: DataFrame, mapping: Mapping, target: T.StructType, count_bad
 
 
 def map_w3c(lines: DataFrame, mapping: Mapping, target: T.StructType, count_bad: bool = False) -> DataFrame:
-    """`lines` has `value` and `path`. Each file names its own fields in a
-    ``#Fields:`` line, so records are matched with the header of their file;
-    ``-`` means no value."""
-    headers = materialise(
-        lines.where(F.startswith("value", F.lit("#Fields:")))
-        .groupBy("path")
-        .agg(F.min("value").alias("_header"))
-        .select("path", F.split(F.trim(F.substring_index("_header", "#Fields:", -1)), r"\s+").alias("_fields")),
-        "headers",
-    )
-    records = lines.where(~F.startswith("value", F.lit("#")) & (F.trim("value") != ""))
-    raw = records.join(small_side(headers), "path").withColumn("_parts", F.split("value", r"\s+"))
+    """`lines` has `value` and `path`, in the order of the file, and for a file read
+    in several blocks where each begins, `block`. A ``#Fields:`` line names the
+    fields of the records after it, up to the next one; ``-`` means no value. A
+    record with no such line before it keeps its row: no fields, and one bad value.
+
+    Only header lines are gathered, those that change something: each record looks
+    at the ones of its own block, and else at the last one of an earlier block.
+    """
+    begins = F.col("block").cast("long") if "block" in lines.columns else F.lit(0).cast("long")
+    numbered = lines.select("value", "path", begins.alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    named = F.split(F.trim(F.substring_index("value", "#Fields:", -1)), r"\s+")
+    headers = numbered.where(F.startswith("value", F.lit("#Fields:"))).select("path", "_block", "_line", named.alias("_fields"))
+    before = F.lag("_fields").over(Window.partitionBy("path", "_block").orderBy("_line"))
+    headers = materialise(headers.withColumn("_before", before).where(~F.col("_fields").eqNullSafe(F.col("_before"))).drop("_before"), "headers")
+    own = headers.groupBy("path", "_block").agg(F.sort_array(F.collect_list(F.struct("_line", "_fields"))).alias("_own"))
+    last = headers.groupBy("path", "_block").agg(F.max_by("_fields", "_line").alias("_fields"))
+    earlier = last.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("_block", "_fields"))).alias("_earlier"))
+
+    records = numbered.where(~F.startswith("value", F.lit("#")) & (F.trim("value") != ""))
+    raw = records.join(small_side(own), ["path", "_block"], "left").join(small_side(earlier), "path", "left")
+    here = F.try_element_at(F.filter("_own", lambda h: h["_line"] < F.col("_line")), F.lit(-1))["_fields"]
+    carried = F.try_element_at(F.filter("_earlier", lambda h: h["_block"] < F.col("_block")), F.lit(-1))["_fields"]
+    raw = raw.select(F.split("value", r"\s+").alias("_parts"), F.coalesce(here, carried).alias("_fields"))
 
     def extract(rule: Rule) -> Column:
         at = F.array_position("_fields", F.lit(rule.field or rule.path))
         text = F.try_element_at("_parts", F.nullif(at, F.lit(0)).cast("int"))
         return F.when(text != "-", text)
 
-    return _project(raw, mapping, target, extract, count_bad)
+    return _project(raw, mapping, target, extract, count_bad, F.col("_fields").isNull().cast("int"))
 
 
 def read_mapped(
@@ -177,6 +188,8 @@ def read_mapped(
         rows = spark.read.options(**{**CSV_OPTIONS, **options}).schema(schema).csv(paths)
         return map_positional(rows, mapping, target, ordinal_base, count_bad)
     if kind == "w3clogfile":
-        lines = spark.read.options(**options).text(paths).select("value", F.col("_metadata.file_path").alias("path"))
+        lines = spark.read.options(**options).text(paths).select(
+            "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
+        )
         return map_w3c(lines, mapping, target, count_bad)
     return map_columns(spark.read.options(**options).format(kind).load(paths), mapping, target, count_bad)

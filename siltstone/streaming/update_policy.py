@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import schema as schemas
 from ..operators.lifecycle import INGESTION_TIME, with_ingestion_time
 from ..plans.stored import Functions, Query, run_query
-from ..sources.tables import Table
+from ..sources.tables import Table, commit_together
 
 log = logging.getLogger(__name__)
 TAGS = "_tags"
@@ -56,8 +56,9 @@ class Ingestion:
                tags: Sequence[str] = ()) -> list[str]:
         """Take one batch into `source` and on through the policies.
 
-        All parts are written before any is committed. A failing transactional
-        policy therefore leaves every table as it was; a failing other policy is
+        All parts are written before any is committed, and the source and all
+        targets are one commit. A failing transactional policy, and a crash at any
+        time, therefore leave every table as it was; a failing other policy is
         logged and its target left out. Commits carry the batch id, so a batch
         replayed after a crash only adds what is not there yet. Gives the
         targets that failed.
@@ -90,13 +91,15 @@ class Ingestion:
                             raise
                         log.exception("update policy %s -> %s failed; source rows are kept", policy.source, policy.target)
                         failed.append(policy.target)
+        pending = []
         for name, parts in staged.items():
             table = self.table(name)
             have = set(table.batches) if table.exists() else set()
             new = {label: part for label, part in parts if label not in have}
             if new:
-                schema = table.schema if table.exists() else fresh[name][0].schema
-                table.add_staged(new, schema)
+                pending.append((table, new, table.schema if table.exists() else fresh[name][0].schema))
+        if pending:
+            commit_together(self.spark, self.root, pending)
         return failed
 
     def _transform(self, policy: UpdatePolicy, rows: DataFrame, as_of) -> DataFrame:

@@ -1,15 +1,17 @@
 import gzip
 import glob
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone import files
 from siltstone.functions.types import parse_schema
 from siltstone.operators import drift, schema as schemas
 from siltstone.operators.lifecycle import MergePolicy, run_merges
 from siltstone.sources.external import ExternalTable
 from siltstone.sources.mapping import Mapping, Rule, map_w3c, read_mapped
-from siltstone.sources.tables import Table, TableExists
+from siltstone.sources.tables import SNAPSHOT_EVERY, Table, TableExists, commit_together
 
 
 def local(path):
@@ -266,11 +268,75 @@ def test_dynamic_and_transform(spark, folder):
 
 def test_w3c_header_per_file(spark):
     lines = spark.createDataFrame(
-        [("#Version: 1.0", "a"), ("#Fields: x y", "a"), ("1 two+words", "a"), ("#Fields: y x", "b"), ("three 4", "b"), ("- 5", "b"), ("", "b"), ("lost", "c")],
+        [("#Version: 1.0", "a"), ("#Fields: x y", "a"), ("1 two+words", "a"), ("#Fields: y x", "b"), ("three 4", "b"), ("- 5", "b"), ("", "b"), ("8 nameless", "c")],
         "value string, path string",
     )
-    got = map_w3c(lines, Mapping("w3clogfile", [Rule("x", field="x"), Rule("y", field="y"), Rule("z", field="none")]), parse_schema("x:int,y:string,z:string"))
-    assert sorted((r["x"], r["y"] or "", r["z"]) for r in got.collect()) == [(1, "two+words", None), (4, "three", None), (5, "", None)]
+    rules = [Rule("x", field="x"), Rule("y", field="y"), Rule("z", field="none")]
+    got = map_w3c(lines, Mapping("w3clogfile", rules), parse_schema("x:int,y:string,z:string"), count_bad=True)
+    rows = sorted((r["x"] or 0, r["y"] or "", r["z"], r["_bad"]) for r in got.collect())
+    assert rows == [(0, "", None, 1), (1, "two+words", None, 0), (4, "three", None, 0), (5, "", None, 0)]
+
+
+def test_w3c_header_in_force(spark, tmp_path):
+    """The fields change within a file, also where it is read in many blocks; no line is lost."""
+    wanted, logs = [], {"plain": False, "nameless": True}
+    for log, nameless in logs.items():
+        out = []
+        for i in range(4000):
+            if i % 97 == 50 or (i == 0 and not nameless):
+                out.append("#Date: today" if i % 2 else "")
+                out.append("#Fields: id who" if i // 97 % 3 else "#Fields: who id")
+            swapped = any(o.startswith("#Fields: who") for o in [x for x in out if x.startswith("#Fields")][-1:])
+            known = any(x.startswith("#Fields") for x in out)
+            out.append(f"u{i} {i}" if swapped else f"{i} u{i}")
+            wanted.append((i, f"u{i}") if known else (None, None))
+        (tmp_path / f"{log}.log").write_text("\n".join(out))
+    mapping, target = Mapping("w3clogfile", [Rule("id", field="id"), Rule("who", field="who")]), parse_schema("id:long,who:string")
+    small = {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "1"}
+    kept = {k: spark.conf.get(k) for k in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        got = read_mapped(spark, str(tmp_path), mapping, target)
+        rows = [(r["id"], r["who"]) for r in got.collect()]
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    assert sorted(rows, key=str) == sorted(wanted, key=str)
+
+
+def test_commits_do_not_grow_with_the_table(spark, folder):
+    table = Table(spark, folder())
+    schema = parse_schema("a:int")
+    for i in range(3 * SNAPSHOT_EVERY + 5):
+        base = table._commit()
+        table._publish(base, {**(base["parts"] if base else {}), f"batch-{i:05d}": f"part-{i:05d}"}, schema, listed={"seen": [i]}, last=i)
+    state = table._commit()
+    assert list(state["parts"]) == [f"batch-{i:05d}" for i in range(3 * SNAPSHOT_EVERY + 5)]
+    assert state["notes"] == {"seen": list(range(3 * SNAPSHOT_EVERY + 5)), "last": 3 * SNAPSHOT_EVERY + 4}
+    sizes = {len(json.dumps(table._read_commit(v))) for v in table._versions() if v > 1}
+    assert max(sizes) - min(sizes) < 8 and len(table._versions(".snapshot")) == 3
+    assert not [n for n in files.names(spark, f"{table.path}/_commits") if n.endswith(".tmp")]
+    with pytest.raises(FileExistsError):
+        files.write_new_text(spark, f"{table.path}/_commits/{1:012d}.json", "again")
+
+
+def test_tables_commit_together_or_not_at_all(spark, folder):
+    root = folder()
+    a, b = Table(spark, f"{root}/a"), Table(spark, f"{root}/b").create(spark.range(2))
+    parts = [(a, {"1": a.stage(spark.range(3))}, spark.range(1).schema), (b, {"1": b.stage(spark.range(5))}, spark.range(1).schema)]
+
+    class Dies(Table):
+        def add_staged(self, *args, **more):
+            raise OSError("died")
+
+    with pytest.raises(OSError):
+        commit_together(spark, root, [parts[0], (Dies(spark, b.path), *parts[1][1:])])
+    assert not a.exists() and b.read().count() == 2
+    commit_together(spark, root, parts)
+    assert a.read().count() == 3 and b.read().count() == 7 and a.batches == ["1"]
+    a.append(spark.range(1), batch="2")
+    assert a.read().count() == 4
 
 
 @pytest.mark.parametrize("kind", ["avro", "ApacheAvro"])
