@@ -4,7 +4,10 @@ All sets are put in one order of shingles (those of many documents last). If two
 sets meet the threshold, then for any l the first n - ceil(t n) + l shingles of
 both have l in common. A longer prefix has longer candidate lists but asks for
 more matches; each set takes the l whose estimated cost is least, and a pair must
-match min(l, l') times before its whole sets are compared.
+match min(l, l') times before its whole sets are compared. Of two sets, the one
+whose prefix ends first in that order has in common with the other no shingle of
+its prefix that no other prefix has. That bounds the overlap of the two from
+above, so copies with edits of their own are not offered to each other.
 
 Equal sets are one class. Lists are not turned into all pairs: each list first
 offers its members to one hub only, and members already linked, by any path, need
@@ -138,7 +141,7 @@ def _hot_bits(lists: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, text: str, k: int, percent: int, bits: np.ndarray) -> DataFrame:
-    """c, n, the longest prefix and the sketch of each class, once for each task that meets it."""
+    """c, n, the longest prefix, the sketch, and the rank of the prefix's end of each class, once for each task that meets it."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     bounded_batches(docs.sparkSession)
 
@@ -146,7 +149,7 @@ def _prefixes(docs: DataFrame, text: str, k: int, percent: int, bits: np.ndarray
         seen: set[int] = set()
         release()
         for batch in batches:
-            ids, sizes, prefixes, sketches = [], [], [], []
+            ids, sizes, prefixes, sketches, ends = [], [], [], [], []
             for own in shingle_sets(batch.column(0), k):
                 c = set_id(own) if len(own) else None
                 if c is None or c in seen:
@@ -156,11 +159,14 @@ def _prefixes(docs: DataFrame, text: str, k: int, percent: int, bits: np.ndarray
                 ids.append(c)
                 sizes.append(len(own))
                 sketches.append(sketch(own))
-                prefixes.append(np.concatenate([own[~hot], own[hot]])[: len(own) - _needed(len(own), percent) + MOST_MATCHES])
+                many = len(own) - _needed(len(own), percent) + MOST_MATCHES
+                prefixes.append(np.concatenate([own[~hot], own[hot]])[:many])
+                is_hot = int(len(own) - hot.sum() < len(prefixes[-1]))
+                ends.append((is_hot << 62) + (int(prefixes[-1][-1]) >> 2))
             if ids:
-                yield pa.RecordBatch.from_pydict({"c": ints(ids), "n": ints(sizes), "prefix": _lists(prefixes), "sketch": pa.array(sketches, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"c": ints(ids), "n": ints(sizes), "prefix": _lists(prefixes), "sketch": pa.array(sketches, pa.binary()), "end": ints(ends)})
 
-    return docs.select(text).mapInArrow(run, "c long, n long, prefix array<long>, sketch binary")
+    return docs.select(text).mapInArrow(run, "c long, n long, prefix array<long>, sketch binary, end long")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
@@ -221,9 +227,12 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialise(joined.mapInArrow(run, "a long, b long").distinct(), "similar")
 
 
-def _offered(x: str, y: str, percent: int) -> Column:
-    """Sizes that can meet the threshold at all."""
-    return (100 * F.least(x, y) >= percent * F.greatest(x, y))
+def _offered(percent: int) -> Column:
+    """Whether n and m shingles, with at most so many in common, can meet the threshold at all."""
+    n, m = F.col("n"), F.col("m")
+    # Ends of equal rank may stand in either order.
+    common = F.when(F.col("end") < F.col("dend"), F.col("live")).when(F.col("end") > F.col("dend"), F.col("dlive")).otherwise(F.greatest("live", "dlive"))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (100 * common >= percent * (n + m - common))
 
 
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
@@ -243,10 +252,14 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
     # The matches that each class asks for: the cheapest prefix, by list entries read and pairs compared.
     base = F.col("n") - F.ceil(F.col("n") * percent / 100.0)
     reach = [F.sum(F.when(F.col("place") <= base + m, F.col("df")).otherwise(0)).alias(f"s{m}") for m in range(MOST_MATCHES)]
-    sums = shared.groupBy("c", "n").agg(*reach)
+    sums = shared.groupBy("c", "n").agg(*reach, F.count(F.lit(1)).alias("met"))
     costs = [F.struct((F.col(f"s{m}") * (1 + COMPARE_COST * F.col("n") / (m + 1))).alias("cost"), F.lit(m + 1).alias("matches")) for m in range(MOST_MATCHES)]
     allowed = [F.when(F.ceil(F.col("n") * percent / 100.0) >= m + 1, costs[m]) for m in range(MOST_MATCHES)]
-    asked = sums.select("c", F.array_min(F.array_compact(F.array(*allowed))).getField("matches").alias("matches"), F.col("s0").alias("weight"))
+    ends = lists.select("c", "end", F.size("prefix").alias("long")).dropDuplicates(["c"])
+    asked = sums.join(ends, "c").select(
+        "c", F.array_min(F.array_compact(F.array(*allowed))).getField("matches").alias("matches"), F.col("s0").alias("weight"),
+        "end", (F.col("n") - (F.col("long") - F.col("met"))).alias("live"),
+    )
     kept = materialise(shared.join(asked, "c").where(F.col("place") <= base + F.col("matches") - 1), "asked")
     classes = rows.where("c is not null").groupBy("c").agg(F.xxhash64(F.min("key")).alias("row"))
 
@@ -261,9 +274,9 @@ def _across(here: DataFrame, mixed: DataFrame, percent: int, sketches: DataFrame
     """Pairs of members of different components in short lists: token, a, b and the matches asked for."""
     short = mixed.where(F.col("size") <= SMALL).select("token", "main")
     sides = here.join(short, "token")
-    other = here.select("token", F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("droot"), F.col("matches").alias("dmatches"))
+    other = here.select("token", F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("droot"), F.col("matches").alias("dmatches"), F.col("live").alias("dlive"), F.col("end").alias("dend"))
     outside = sides.where("root <> main.root").drop("main")
-    few = outside.join(other, "token").where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
+    few = outside.join(other, "token").where((F.col("root") != F.col("droot")) & _offered(percent))
     pairs = few.select("token", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), F.least("matches", "dmatches").alias("asked"))
     return pairs.union(_across_long(here, mixed, percent, sketches))
 
@@ -274,10 +287,10 @@ def _across_long(here: DataFrame, mixed: DataFrame, percent: int, sketches: Data
     members = members.join(sketches, "c") if sketches is not None else members.withColumn("sketch", F.lit(None).cast("binary"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     members = members.withColumn("mine", F.pmod(F.xxhash64("c"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    members = members.select("token", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "c", "n", "root", "matches", "sketch")
+    members = members.select("token", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "c", "n", "root", "matches", "live", "end", "sketch")
 
     def compare(table: pa.Table) -> pa.Table:
-        c, n, root, asked, mine = (table.column(x).to_numpy() for x in ("c", "n", "root", "matches", "mine"))
+        c, n, root, asked, mine, live, end = (table.column(x).to_numpy() for x in ("c", "n", "root", "matches", "mine", "live", "end"))
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
         raw = table.column("sketch").to_pylist()
@@ -287,6 +300,9 @@ def _across_long(here: DataFrame, mixed: DataFrame, percent: int, sketches: Data
             i = left[at : at + 64]
             ok = (root[i][:, None] != root[right]) & (c[i][:, None] != c[right])
             ok &= 100 * np.minimum(n[i][:, None], n[right]) >= percent * np.maximum(n[i][:, None], n[right])
+            first, later = end[i][:, None], end[right]
+            common = np.where(first < later, live[i][:, None], np.where(first > later, live[right], np.maximum(live[i][:, None], live[right])))
+            ok &= 100 * common >= percent * (n[i][:, None] + n[right] - common)
             if low == high:
                 ok &= c[i][:, None] < c[right]
             if bits is not None:
@@ -304,9 +320,9 @@ def _across_long(here: DataFrame, mixed: DataFrame, percent: int, sketches: Data
 
 def _to_hubs(sides: DataFrame, percent: int) -> DataFrame:
     """Each member with the weightiest member of its list's largest component."""
-    hub = [F.col(f"main.best.{x}").alias(y) for x, y in (("c", "d"), ("n", "m"), ("matches", "dmatches"))]
-    both = sides.select("token", "c", "n", "root", "matches", F.col("main.root").alias("droot"), *hub)
-    both = both.where((F.col("root") != F.col("droot")) & _offered("n", "m", percent))
+    hub = [F.col(f"main.best.{x}").alias(y) for x, y in (("c", "d"), ("n", "m"), ("matches", "dmatches"), ("live", "dlive"), ("end", "dend"))]
+    both = sides.select("token", "c", "n", "root", "matches", "live", "end", F.col("main.root").alias("droot"), *hub)
+    both = both.where((F.col("root") != F.col("droot")) & _offered(percent))
     return both.select("token", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), F.least("matches", "dmatches").alias("asked"))
 
 
@@ -314,18 +330,21 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
     """Links (a, b) that suffice for the components of all pairs that share a list and compare as similar.
 
     `kept`: token (the list), c (the member), n (its size), matches (lists a pair
-    must share, by either side) and weight. `compare` gives those of the pairs (a,
+    must share, by either side) and weight; if known, `live` (its shingles that
+    another member may have) and `end` (see `_offered`). `compare` gives those of the pairs (a,
     b) that are similar. As long as the pairs across components are many, lists
     only offer their members to a hub; then all pairs across components are
     compared.
     """
     found = tried = kept.sparkSession.createDataFrame([], "a long, b long")
+    if "live" not in kept.columns:
+        kept = kept.withColumns({"live": F.col("n"), "end": F.lit(0).cast("long")})
     members = kept.select("c").distinct()
     labels = members.select("c", F.col("c").alias("root"))
     linking, before = True, None
     while True:
         here = materialise(kept.join(labels, "c"), "labelled")
-        by_root = here.groupBy("token", "root").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct("weight", "c", "n", "matches")).alias("best"))
+        by_root = here.groupBy("token", "root").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct("weight", "c", "n", "matches", "live", "end")).alias("best"))
         by_list = by_root.groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.sum("members").alias("size"), F.max(F.struct("members", "root", "best")).alias("main"))
         mixed = materialise(by_list.where("roots > 1"), "mixed")
         rest, entries = mixed.agg(F.sum((F.col("size") - F.col("main.members")) * F.col("size")), F.sum("size")).first()
