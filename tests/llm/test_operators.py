@@ -79,6 +79,20 @@ def test_shards_hold_equal_bytes_and_gapless_slots(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("repeated", ["a row that comes very often", None])
+def test_repeated_rows_are_split_over_shards(spark, repeated):
+    rows = [(5, repeated, "en")] * 8000 + [(i, f"text {i} " * (i % 9), "en") for i in range(1000, 3000)] + [(None, "x", "en")] * 50
+    out = sharding.shard_documents(table(spark, rows), shards=16, task_bytes=3000).collect()
+    size, slots = defaultdict(int), defaultdict(list)
+    for r in out:
+        size[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert len(out) == len(rows) and set(size) == set(range(16))
+    share = sum(size.values()) / 16
+    assert all(abs(s - share) <= 0.15 * share for s in size.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_language_held_out(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
