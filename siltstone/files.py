@@ -65,3 +65,9 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
     _, target = _fs(spark, new)
     if not fs.rename(source, target):
         raise IOError(f"could not rename {old} to {new}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """A file, or a folder with all that is in it."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -163,11 +163,19 @@ class Summary:
         """Only whole-row measures can take up new source columns."""
         return all(isinstance(m, Arg) and m.columns is None for m in self.measures)
 
+    def _in_one_pass(self, df: DataFrame, *extra: Column) -> DataFrame:
+        return df.groupBy(*self.keys).agg(*[c for m in self.measures for c in m.partial(df, self.keys)], *extra)
+
+    def state_schema(self, df: DataFrame, *extra: Column) -> T.StructType:
+        """The schema of `partial`, without running it."""
+        return self._in_one_pass(df, *extra).schema
+
     def partial(self, df: DataFrame, *extra: Column) -> DataFrame:
-        """State of the rows; `extra` aggregates ride along in the first pass."""
+        """State of the rows; `extra` aggregates ride along in the first pass. With
+        whole-row measures that pass runs at once."""
         whole = [m for m in self.measures if isinstance(m, Arg)]
         if not whole or not self.keys or df.isStreaming:
-            return df.groupBy(*self.keys).agg(*[c for m in self.measures for c in m.partial(df, self.keys)], *extra)
+            return self._in_one_pass(df, *extra)
         reach = {f"_reach{i}_": m for i, m in enumerate(whole)}
         ends = [(F.min if m.least else F.max)(m.reach(df)).alias(name) for name, m in reach.items()]
         others = [c for m in self.measures if m not in whole for c in m.partial(df, self.keys)]

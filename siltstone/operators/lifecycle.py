@@ -6,11 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, Window, types as T
 from pyspark.sql import functions as F
 
+from .. import files
 from ..functions.types import parse_timespan, timespan_micros
 from ..session import materialise, small_side
+from ..sources.tables import Table
 from .segments import Bounds, greedy_groups
 
 INGESTION_TIME = "_ingestion_time"
@@ -63,9 +67,50 @@ def retained(df: DataFrame, policy: Retention, as_of: datetime | str, time: str
 
 
 def expired(df: DataFrame, policy: Retention, as_of: datetime | str, time: str = INGESTION_TIME) -> DataFrame:
-    """Expired rows that can be brought back; none if the policy does not keep them."""
-    rows = df.where(F.col(time) < before(as_of, policy.soft_delete))
-    return rows if policy.recoverable else rows.limit(0)
+    """Expired rows that can be brought back; none if the policy does not keep them.
+    `drop_expired` and `recover_expired` do so with the parts of a table."""
+    return df.where((F.col(time) < before(as_of, policy.soft_delete)) & F.lit(policy.recoverable))
+
+
+def drop_expired(table: Table, policy: Retention, as_of: datetime | str, time: str = INGESTION_TIME) -> list[str]:
+    """Take every part out of the table whose rows have all expired, in one commit;
+    gives those part folders. No row is rewritten: a part with a row that has not
+    expired, or has no time, stays whole, and `retained` hides its expired rows.
+    Only the names of such parts come to the driver."""
+    folders = list(table.folders)
+    if not folders:
+        return []
+    part = F.regexp_extract("_metadata.file_path", "(part-[0-9a-f]{32}(?:/[^/]+=[^/]*)*)/[^/]*$", 1)
+    ends = table.read().groupBy(part.alias("part")).agg(F.max(time).alias("last"), F.count_if(F.col(time).isNull()).alias("undated"))
+    gone = [r["part"] for r in ends.where((F.col("undated") == 0) & (F.col("last") < before(as_of, policy.soft_delete))).select("part").collect()]
+    known = {unquote(f): f for f in folders}
+    gone = [known[unquote(p)] for p in gone]
+    table.retire(gone, str(as_of))
+    return gone
+
+
+def recover_expired(table: Table, policy: Retention, as_of: datetime | str, within: str = "14d") -> list[str]:
+    """Put back the batches that `drop_expired` took out at most `within` before
+    `as_of`; gives their ids. Refused if the policy does not keep them."""
+    if not policy.recoverable:
+        raise ValueError("the policy does not keep expired rows")
+    spark = table.spark
+    oldest = spark.range(1).select(before(as_of, within).cast("string"), ntz(as_of).cast("string")).first()
+    stamps = {r["batch"]: r["at"] for r in table.retired}
+    batches = [b for b, at in stamps.items() if datetime.fromisoformat(oldest[0]) <= datetime.fromisoformat(at) <= datetime.fromisoformat(oldest[1])]
+    table.restore(batches)
+    return batches
+
+
+def purge_expired(table: Table, policy: Retention, as_of: datetime | str, within: str = "14d") -> list[str]:
+    """Delete the files of parts that can't be recovered any more: taken out longer
+    than `within` ago, or at all if the policy does not keep them. Gives their folders."""
+    limit = datetime.fromisoformat(table.spark.range(1).select(before(as_of, within).cast("string")).first()[0])
+    held = set(table.folders)
+    late = {r["part"] for r in table.retired if not policy.recoverable or datetime.fromisoformat(r["at"]) < limit} - held
+    for part in late:
+        files.delete(table.spark, f"{table.path}/{part}")
+    return sorted(late)
 
 
 def retained_by_policy(df: DataFrame, policies: DataFrame, on: Sequence[str], as_of: datetime | str,

@@ -19,12 +19,13 @@ from ..session import materialise, small_side
 BLOCK_ROWS = 1_000_000
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], block_rows: int) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, keys: Sequence[str], block_rows: int, counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Rows of keys that fit in a block, and rows of those that do not (None if
     there are none). The count is a map-side combined pass over the keys alone."""
+    counted = df if counted is None else counted
     if not keys:
-        return (df, None) if df.limit(block_rows + 1).count() <= block_rows else (df.limit(0), df)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).select(*keys)
+        return (df, None) if counted.limit(block_rows + 1).count() <= block_rows else (df.limit(0), df)
+    hot = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).select(*keys)
     hot = materialise(hot, "hot-keys")
     if hot.isEmpty():
         return df, None
@@ -88,10 +89,11 @@ def running_totals(
     values: Mapping[str, Column],
     block_rows: int = BLOCK_ROWS,
     blocks: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add one running total per entry of `values` (name -> addend), including
     the current row, in `order` within `keys`. `df` is read more than once; hand
-    over a table or something as cheap."""
-    cold, hot = split_hot(df, keys, block_rows)
+    over a table or something as cheap, or the table `counted` of the same keys."""
+    cold, hot = split_hot(df, keys, block_rows, counted)
     result = windowed_totals(cold, keys, order, values)
     return result if hot is None else result.unionByName(blocked_totals(hot, keys, order, values, blocks))

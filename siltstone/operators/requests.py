@@ -49,6 +49,24 @@ def rate_limits(policies_json: str) -> list[RateLimit]:
     ]
 
 
+def _time_line(requests: DataFrame, scope: Sequence[str], request_id: str, start: str, end: str, payload: Column) -> DataFrame:
+    """A row for each start (`_step` 1, with the payload) and each end (-1)."""
+    at_once = F.col(end) <= F.col(start)
+    edges = F.array(
+        F.struct(micros(F.col(start)).alias("_at"), F.lit(1).alias("_kind"), F.lit(0).alias("_own"), F.lit(1).alias("_step"), payload.alias("_request")),
+        # Ends come before starts of the same time, but a request without
+        # duration ends right after its own start. One without an end still runs.
+        F.when(F.col(end).isNotNull(), F.struct(
+            micros(F.greatest(start, end)).alias("_at"), at_once.cast("int").alias("_kind"), at_once.cast("int").alias("_own"), F.lit(-1).alias("_step"),
+            F.when(F.lit(False), payload).alias("_request"),
+        )),
+    )
+    return requests.select(*scope, F.col(request_id).alias("_id"), F.inline(F.array_compact(edges)))
+
+
+_ORDER = ["_at", "_kind", "_id", "_own"]
+
+
 def concurrency(requests: DataFrame, scope: Sequence[str], request_id: str, start: str, end: str,
                 out: str = "concurrent", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, count): requests of the scope that run when each one starts, itself
@@ -59,40 +77,35 @@ def concurrency(requests: DataFrame, scope: Sequence[str], request_id: str, star
     A request that ends when another starts no longer runs; one without an end
     still runs. Every request counts as admitted. Ids are unique; scopes and
     starts are not null."""
-    at_once = F.col(end) <= F.col(start)
-    edges = F.array(
-        F.struct(micros(F.col(start)).alias("_at"), F.lit(1).alias("_kind"), F.lit(0).alias("_own"), F.lit(1).alias("_step")),
-        # Ends come before starts of the same time, but a request without
-        # duration ends right after its own start.
-        F.struct(
-            micros(F.greatest(start, end)).alias("_at"),
-            at_once.cast("int").alias("_kind"),
-            at_once.cast("int").alias("_own"),
-            F.lit(-1).alias("_step"),
-        ),
-    )
-    line = requests.select(*scope, request_id, F.col(end).isNull().alias("_runs"), F.inline(edges))
-    line = line.where("_step = 1 OR NOT _runs").drop("_runs")
-    totals = running_totals(line, scope, ["_at", "_kind", request_id, "_own"], {out: F.col("_step")}, block_rows)
-    return totals.where("_step = 1").select(request_id, F.col(out).cast("long"))
+    line = _time_line(requests, scope, request_id, start, end, F.struct(request_id))
+    totals = running_totals(line, scope, _ORDER, {out: F.col("_step")}, block_rows)
+    return totals.where("_step = 1").select(F.col("_id").alias(request_id), F.col(out).cast("long"))
 
 
 def decide(requests: DataFrame, limits: Sequence[RateLimit], request_id: str, start: str, end: str, *,
            group: str = "workload_group", principal: str = "principal", queuing: bool = False,
            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Concurrency per enabled limit and a verdict: ``admitted``, or ``queued``
-    (queuing on) or ``throttled`` where any limit is exceeded."""
-    # Each limit sorts the log anew; the log itself is made only once.
-    slim = materialise(requests.select(request_id, group, principal, start, end), "requests")
-    over = F.lit(False)
+    (queuing on) or ``throttled`` where any limit is exceeded.
+
+    All limits count over one time line, which starts carry their requests along:
+    rows dealt out by group serve the limit of each principal in it as well, and
+    nothing is joined back."""
+    scopes = {}
     for limit in limits:
-        if not limit.enabled:
-            continue
-        scope = [group] if limit.scope == "WorkloadGroup" else [group, principal]
-        name = "concurrent_in_group" if limit.scope == "WorkloadGroup" else "concurrent_for_principal"
-        requests = requests.join(concurrency(slim, scope, request_id, start, end, name, block_rows), request_id)
-        over = over | (F.col(name) > limit.max_concurrent)
-    return requests.withColumn("verdict", F.when(over, "queued" if queuing else "throttled").otherwise("admitted"))
+        if limit.enabled:
+            whole = limit.scope == "WorkloadGroup"
+            name, scope = ("concurrent_in_group", [group]) if whole else ("concurrent_for_principal", [group, principal])
+            scopes[name] = scope, min(limit.max_concurrent, scopes[name][1] if name in scopes else limit.max_concurrent)
+    line = materialise(_time_line(requests, [group, principal], request_id, start, end, F.struct(*requests.columns)), "time-line")
+    totals = line
+    for name, (scope, _) in sorted(scopes.items(), key=lambda s: len(s[1][0])):
+        totals = running_totals(totals, scope, _ORDER, {name: F.col("_step")}, block_rows, counted=line)
+    decided = totals.where("_step = 1").select("_request.*", *[F.col(name).cast("long").alias(name) for name in scopes])
+    over = F.lit(False)
+    for name, (_, most) in scopes.items():
+        over = over | (F.col(name) > most)
+    return decided.withColumn("verdict", F.when(over, "queued" if queuing else "throttled").otherwise("admitted"))
 
 
 def _limit(policy: Column, name: str, member: str, kind: str) -> Column:

@@ -11,15 +11,17 @@ DataFrame has no batches; there only the time tells new rows from old.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from .. import files
 from ..plans.stored import Functions, Query, run_query
-from ..session import materialise
+from ..session import materialise, small_side
 from ..sources.tables import Table
 from .aggregates import Summary
 from .lifecycle import INGESTION_TIME, micros, ntz
@@ -63,15 +65,24 @@ class MaterializedView:
             return rows
         return run_query(self.spark, self.spec.query, self.functions, source=rows)
 
-    def _partial(self, rows: DataFrame, created=None) -> DataFrame:
-        """State with `_created`, its date, and `_upto`, the latest row in it. So
-        the rows are read once: how far the state reaches is asked of the state."""
-        shaped, time = self._shape(rows), self.spec.time
-        upto = F.max(time) if time in shaped.columns else F.lit(None)
-        state = self.spec.summary.partial(shaped, upto.cast("timestamp_ntz").alias("_upto"))
+    def _upto(self, shaped: DataFrame):
+        time = self.spec.time
+        return (F.max(time) if time in shaped.columns else F.lit(None)).cast("timestamp_ntz").alias("_upto")
+
+    def _partial(self, rows: DataFrame, created=None, keys: Sequence[str] = ()) -> DataFrame:
+        """State with `_created`, its date, and `_upto`, the latest row in it, and
+        so asked of the state. `keys` are more columns to group by."""
+        shaped, summary = self._shape(rows), self.spec.summary
+        if keys:
+            summary = replace(summary, keys=[*keys, *summary.keys])
+        state = summary.partial(shaped, self._upto(shaped))
         created = F.current_timestamp().cast("timestamp_ntz") if created is None else created
         return state.withColumn("_created", created)
 
+    def _state_schema(self, rows: DataFrame) -> T.StructType:
+        shaped = self._shape(rows)
+        return self.spec.summary.state_schema(shaped, self._upto(shaped)).add("_created", T.TimestampNTZType())
+
     def _reach(self, part: str, rows: DataFrame) -> datetime | None:
         """The latest time in a written part, or in `rows` if the view's query
         leaves the time out."""
@@ -118,20 +129,37 @@ class MaterializedView:
         if spec.effective is not None:
             rows = rows.where((F.col(time) > ntz(spec.effective)) | F.col(time).isNull())
         created = F.col(spec.created_by).cast("timestamp_ntz") if spec.created_by else None
-        chunks = [("backfill", rows)]
-        if spec.max_records:
-            # Separate jobs, each with a time filter that reaches the scan and
-            # state of its own size; one commit makes them all visible.
-            chunks = [
-                (f"backfill-{_text(low)}", rows.where((F.col(time) >= ntz(low)) & (F.col(time) <= ntz(high))))
-                for low, high in chunk_bounds(rows, time, spec.max_records)
-            ] + [("backfill-undated", rows.where(F.col(time).isNull()))]
-        with ThreadPoolExecutor(max(1, spec.concurrency)) as pool:
-            written = list(pool.map(lambda c: (c[0], self.state.stage(self._partial(c[1], created))), chunks))
+        if not spec.max_records:
+            written = [("backfill", self.state.stage(self._partial(rows, created)))]
+        else:
+            written = self._chunks(rows, created)
         upto = as_of or max(filter(None, (self._reach(part, rows) for _, part in written)), default=None)
-        self.state.add_staged(dict(written), self._partial(rows, created).schema, notes={"materialized_to": _text(upto), "consumed": consumed})
+        self.state.add_staged(dict(written), self._state_schema(rows), notes={"materialized_to": _text(upto), "consumed": consumed})
         return self
 
+    def _chunks(self, rows: DataFrame, created) -> list[tuple[str, str]]:
+        """The state by chunks of at most `max_records` rows, as (batch, part).
+
+        The source is read once: its rows get the chunk of their second, by which
+        they are grouped as well, and the state is written with a folder for each
+        chunk. If the view's query leaves the chunk out, each chunk is a job with a
+        time filter that reaches the scan."""
+        spec, time = self.spec, F.col(self.spec.time)
+        seconds = chunked_seconds(rows, spec.time, spec.max_records)
+        bounds = seconds.groupBy("_chunk").agg(F.min("_low").alias("low"), F.max("_high").alias("high")).orderBy("_chunk").collect()
+        label = {r["_chunk"]: f"backfill-{_text(r['low'])}" for r in bounds} | {-1: "backfill-undated"}
+        at, chunk = (f"{'_' * max(1, max(map(len, rows.columns)))}{c}" for c in ("at", "chunk"))  # longer than any column
+        places = small_side(seconds.select(F.col("_second").alias(at), F.col("_chunk").alias(chunk)))
+        placed = rows.join(places, F.date_trunc("second", time) == F.col(at), "left").drop(at)
+        placed = placed.withColumn(chunk, F.coalesce(chunk, F.lit(-1).cast("long")))
+        if chunk in self._shape(placed).columns:
+            part = self.state.stage(self._partial(placed, created, [chunk]).withColumnRenamed(chunk, "_chunk"), ["_chunk"])
+            return [(name, f"{part}/_chunk={i}") for i, name in label.items() if files.exists(self.spark, f"{self.state.path}/{part}/_chunk={i}")]
+        chunks = [(label[r["_chunk"]], rows.where((time >= ntz(r["low"])) & (time <= ntz(r["high"])))) for r in bounds]
+        chunks.append((label[-1], rows.where(time.isNull())))
+        with ThreadPoolExecutor(max(1, spec.concurrency)) as pool:
+            return list(pool.map(lambda c: (c[0], self.state.stage(self._partial(c[1], created))), chunks))
+
     def refresh(self, batch: DataFrame, batch_id: str) -> "MaterializedView":
         """Fold in newly arrived rows. The same `batch_id` twice is a no-op."""
         batch_id = f"refresh-{batch_id}"
@@ -173,7 +201,7 @@ class MaterializedView:
         rows, consumed = self._all(source, as_of)
         part = self.state.stage(self._partial(rows))
         upto = as_of or self._reach(part, rows)
-        self.state.set_staged({"altered": part}, self._partial(rows).schema, notes={"materialized_to": _text(upto), "consumed": consumed})
+        self.state.set_staged({"altered": part}, self._state_schema(rows), notes={"materialized_to": _text(upto), "consumed": consumed})
         return self
 
     # -- reading -----------------------------------------------------------
@@ -219,10 +247,10 @@ def _text(t: datetime | None) -> str | None:
     return t.isoformat(sep=" ") if t is not None else None
 
 
-def chunk_bounds(rows: DataFrame, time: str, max_records: int) -> list[tuple[datetime, datetime]]:
-    """Time ranges of at most `max_records` rows each (a single arrival second
-    is never split). Only the counts per second are ordered, and only the
-    ranges, one per chunk, come to the driver."""
+def chunked_seconds(rows: DataFrame, time: str, max_records: int) -> DataFrame:
+    """(_second, _low, _high, _chunk): each arrival second with rows, its first and
+    last time, and its chunk of at most `max_records` rows (a single second is
+    never split). Only the counts per second are ordered."""
     second = F.date_trunc("second", time).alias("_second")
     counts = materialise(
         rows.where(F.col(time).isNotNull()).groupBy(second).agg(
@@ -233,7 +261,11 @@ def chunk_bounds(rows: DataFrame, time: str, max_records: int) -> list[tuple[dat
     largest = counts.agg(F.max("_rows")).first()[0] or 0
     room = max_records - largest if largest < max_records else max_records
     placed = running_totals(counts, [], ["_second"], {"_upto": F.col("_rows")})
-    chunks = placed.groupBy(F.floor((F.col("_upto") - 1) / max(1, room)).alias("_chunk")).agg(
-        F.min("_low").alias("low"), F.max("_high").alias("high")
-    )
+    chunk = F.floor((F.col("_upto") - 1) / max(1, room)).cast("long").alias("_chunk")
+    return materialise(placed.select("_second", "_low", "_high", chunk), "chunks")
+
+
+def chunk_bounds(rows: DataFrame, time: str, max_records: int) -> list[tuple[datetime, datetime]]:
+    """Time ranges of at most `max_records` rows each. Only the ranges, one per chunk, come to the driver."""
+    chunks = chunked_seconds(rows, time, max_records).groupBy("_chunk").agg(F.min("_low").alias("low"), F.max("_high").alias("high"))
     return [(r["low"], r["high"]) for r in chunks.orderBy("low").collect()]

@@ -9,9 +9,9 @@ from ..operators import security as sec
 from ..operators.aggregates import Arg, Summary
 from ..operators.views import MaterializedView, ViewSpec
 from ..plans.stored import Functions
-from ..session import fresh_dir
+from ..session import fresh_dir, materialise
 from ..sources.tables import Table
-from .registry import each, load, query
+from .registry import each, load, query, ranges
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -45,6 +45,53 @@ def retention(spark, sf):
     return sets.groupBy("event_type").agg(*[F.count_if(F.col("what") == w).alias(w) for w in names])
 
 
+def _aged(spark, sf):
+    """A table of all events whose batches are a week each; rows without a time are in the first."""
+    table, weeks = Table(spark, fresh_dir(spark, "aged")), ["2024-01-08", "2024-01-15", "2024-01-22"]
+    for i, part in enumerate(ranges("ts", weeks)):
+        table.append(_arrived(spark, sf).where(part), batch=str(i))
+    return table
+
+
+KEPT_PARTS = """WITH e AS (SELECT *, CASE WHEN ts IS NULL OR ts < TIMESTAMP '2024-01-15' THEN 0 WHEN ts < TIMESTAMP '2024-01-22' THEN 1 ELSE 2 END AS part FROM events),
+       ends AS (SELECT part, max(ts) < TIMESTAMP '2024-01-24' AND count(*) = count(ts) AS gone FROM e GROUP BY part)"""
+
+
+@query("retention_drop", KEPT_PARTS + """ SELECT event_type, count(*) AS stored, count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-24' OR ts IS NULL) AS visible
+       FROM e JOIN ends USING (part) WHERE NOT gone GROUP BY event_type""")
+def retention_drop(spark, sf):
+    """Weeks that are over a week old leave the table; what is left of others is hidden. Dropping twice changes nothing."""
+    table, policy = _aged(spark, sf), life.Retention("7d")
+    life.drop_expired(table, policy, AS_OF)
+    life.drop_expired(table, policy, AS_OF)
+    visible = F.col("_ingestion_time") >= life.before(AS_OF, "7d")
+    return table.read().groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("stored"), F.count_if(visible | F.col("_ingestion_time").isNull()).alias("visible")
+    )
+
+
+@query("retention_recover", KEPT_PARTS + """ SELECT event_type, count(*) FILTER (WHERE NOT gone) AS after_drop, count(*) AS after_recovery,
+       count(*) FILTER (WHERE NOT gone) AS after_late_recovery FROM e JOIN ends USING (part) GROUP BY event_type""")
+def retention_recover(spark, sf):
+    """Dropped weeks come back within the interval, once; after it they do not, and a replayed batch stays out."""
+    table, policy, found = _aged(spark, sf), life.Retention("7d"), []
+
+    def count(moment):
+        found.append(materialise(table.read().groupBy("event_type").agg(F.count(F.lit(1)).alias(moment)), "moment"))
+
+    life.drop_expired(table, policy, AS_OF)
+    count("after_drop")
+    life.recover_expired(table, policy, "2024-02-05 00:00:00")
+    life.recover_expired(table, policy, "2024-02-05 00:00:00")
+    count("after_recovery")
+    life.drop_expired(table, policy, AS_OF)
+    table.append(_arrived(spark, sf), batch="0")
+    life.recover_expired(table, policy, "2024-02-15 00:00:00")
+    count("after_late_recovery")
+    both = found[1].join(found[0], "event_type", "left").join(found[2], "event_type", "left")
+    return both.select("event_type", *[F.coalesce(m, F.lit(0)).alias(m) for m in ("after_drop", "after_recovery", "after_late_recovery")])
+
+
 @query(
     "retention_by_policy",
     """SELECT l_linestatus, l_returnflag, count(*) AS kept, min(l_shipdate) AS oldest FROM lineitem

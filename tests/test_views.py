@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -239,3 +239,22 @@ def test_whole_rows_are_compared_only_where_they_reach(spark, tmp_path):
     plan = arg_max(df, "n", ["k"], ["i"])._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.rindex("Exchange hashpartitioning"):]
     assert below.index("LeftSemi") > below.index("Sort [") and "Sort [" not in below[below.index("LeftSemi"):]
+
+
+def test_chunked_backfill_reads_the_source_once(spark, folder, tmp_path):
+    rows = [(i % 7, datetime(2024, 1, 1) + timedelta(seconds=i // 3) if i % 50 else None, i) for i in range(600)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "k int, t timestamp_ntz, _chunk int").write.parquet(path)
+    source = spark.read.parquet(path)
+    summary = Summary(["k"], [Count("n"), Sum("s", "_chunk"), Arg("last", "t", ["_chunk"], ["_chunk"])])
+    whole = MaterializedView(spark, folder("whole"), ViewSpec(summary, time="t", backfill=True)).create(source)
+    view = MaterializedView(spark, folder("chunked"), ViewSpec(summary, time="t", backfill=True, max_records=40))
+    seen = []
+    stage = view.state.stage
+    view.state.stage = lambda df, *more: seen.append(df) or stage(df, *more)
+    view.create(source)
+    assert len(seen) == 1 and len(view.state.batches) > 10 and "backfill-undated" in view.state.batches
+    assert sorted(view.read().collect()) == sorted(whole.read().collect())
+    dated = MaterializedView(spark, folder("query"), ViewSpec(Summary(["k"], [Count("n")]), "SELECT k, t FROM {source}", time="t", backfill=True, max_records=40)).create(source)
+    assert {r["k"]: r["n"] for r in dated.read().collect()} == {k: sum(r[0] == k for r in rows) for k in range(7)}
+    assert view.materialized_to == whole.materialized_to == dated.materialized_to
