@@ -6,8 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, Window, types as T
 from pyspark.sql import functions as F
 
@@ -77,14 +75,8 @@ def drop_expired(table: Table, policy: Retention, as_of: datetime | str, time: s
     gives those part folders. No row is rewritten: a part with a row that has not
     expired, or has no time, stays whole, and `retained` hides its expired rows.
     Only the names of such parts come to the driver."""
-    folders = list(table.folders)
-    if not folders:
-        return []
-    part = F.regexp_extract("_metadata.file_path", "(part-[0-9a-f]{32}(?:/[^/]+=[^/]*)*)/[^/]*$", 1)
-    ends = table.read().groupBy(part.alias("part")).agg(F.max(time).alias("last"), F.count_if(F.col(time).isNull()).alias("undated"))
+    ends = table.part_ends(time)
     gone = [r["part"] for r in ends.where((F.col("undated") == 0) & (F.col("last") < before(as_of, policy.soft_delete))).select("part").collect()]
-    known = {unquote(f): f for f in folders}
-    gone = [known[unquote(p)] for p in gone]
     table.retire(gone, str(as_of))
     return gone
 

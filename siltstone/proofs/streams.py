@@ -14,7 +14,7 @@ from ..sources.tables import Table
 from ..streaming.export import ContinuousExport
 from ..streaming.ingest import StreamBatcher, deduplicated, read_stream, start_append, start_view
 from ..streaming.update_policy import Ingestion, UpdatePolicy
-from .registry import load, query, ranges, spread
+from .registry import each, load, query, ranges, spread
 
 
 def _in_files(spark, df):
@@ -166,6 +166,25 @@ def continuous_export_stream(spark, sf):
     return external.read(spark)
 
 
+@query(
+    "export_forced_latency_mixed_batch",
+    """SELECT run, count(*) AS exported, min(event_id) AS first_id, max(event_id) AS last_id
+       FROM (SELECT event_id, CASE WHEN ts IS NULL OR ts <= TIMESTAMP '2024-01-10' THEN 'first' WHEN ts <= TIMESTAMP '2024-01-20' THEN 'second' ELSE 'third' END AS run FROM events) GROUP BY run""",
+)
+def export_forced_latency_mixed_batch(spark, sf):
+    """Two batches of all times each; every run gives the rows that have waited long enough, once."""
+    external = ExternalTable("event_id:long", "parquet", fresh_dir(spark, "mixed"))
+    export, state = ContinuousExport("SELECT event_id FROM {source}", external, forced_latency="2d", time="ts"), fresh_dir(spark, "mixed-state")
+    source, events = Table(spark, fresh_dir(spark, "mixed-source")), load(spark, sf, "events")
+    for label, part in zip(("errors", "others"), each("event_type", ["error"])):
+        source.append(events.where(part), batch=label)
+    for as_of in ("2024-01-12 00:00:00", "2024-01-22 00:00:00", "2024-01-22 00:00:00", "2100-01-01 00:00:00"):
+        export.run(spark, source, state, as_of)
+    rows = spark.read.parquet(external.path_list[0])
+    run = F.when(F.col("run") == 0, "first").when(F.col("run") <= 2, "second").otherwise("third")
+    return rows.groupBy(run.alias("run")).agg(F.count(F.lit(1)).alias("exported"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+
+
 @query(
     "export_forced_latency",
     """SELECT 'first' AS run, count(*) AS rows, max(ts) AS newest FROM events WHERE ts <= TIMESTAMP '2024-01-18'

@@ -15,7 +15,7 @@ from ..functions.types import parse_timespan
 from ..operators.lifecycle import INGESTION_TIME, before, ntz
 from ..plans.stored import Functions, Query, run_query
 from ..sources.external import ExternalTable
-from ..sources.tables import Table
+from ..sources.tables import SNAPSHOT_EVERY, Table
 
 
 @dataclass(frozen=True)
@@ -38,13 +38,32 @@ class ContinuousExport:
         if not 100_000_000 <= self.size_limit <= 1_000_000_000:
             raise ValueError("the size limit lies between 100 MB and 1 GB")
 
-    def _due(self, spark: SparkSession, source: Table, state: str, runs: list[str], upto: Column) -> list[str]:
-        """Batches not exported yet and, under a forced latency, with no row that must wait."""
-        done = {b for run in runs for b in json.loads(files.read_text(spark, f"{state}/{run}")).get("batches", [])}
-        new = [b for b in source.batches if b not in done]
+    def _progress(self, spark: SparkSession, state: str, runs: list[str]) -> tuple[set[str], dict[str, str]]:
+        """Batches that are out, and for those that are out in part the time reached.
+        Every SNAPSHOT_EVERY runs all batches are written down, so few files are read."""
+        whole = max((n for n in files.names(spark, state) if n.endswith(".snapshot")), default="")
+        done = set(json.loads(files.read_text(spark, f"{state}/{whole}"))["batches"]) if whole else set()
+        partly: dict[str, str] = {}
+        for run in (r for r in runs if r.split(".")[0] >= whole.split(".")[0]):
+            found = json.loads(files.read_text(spark, f"{state}/{run}"))
+            done.update(found.get("batches", []))
+            partly = found.get("partly", {})
+        return done, partly
+
+    def _due(self, source: Table, done: set[str], partly: dict[str, str], upto: Column) -> tuple[DataFrame, dict[str, datetime | None]]:
+        """Rows that are due, and the latest time in each batch that is not out whole.
+
+        Under a forced latency a batch gives the rows that have waited long enough;
+        its others, and they alone, wait for a later run."""
+        waiting = [b for b in source.batches if b not in done]
         if self.forced_latency is None:
-            return new
-        return [b for b in new if source.read_batches([b]).where(F.col(self.time) > upto).isEmpty()]
+            return source.read_batches(waiting), dict.fromkeys(waiting)
+        time, rows = F.col(self.time), source.read_batches([])
+        for reached in {partly.get(b) for b in waiting}:  # one for each run that left rows behind
+            some = source.read_batches([b for b in waiting if partly.get(b) == reached])
+            rows = rows.unionByName(some.where((time <= upto) | time.isNull() if reached is None else (time <= upto) & (time > ntz(reached))))
+        ends = {r["part"]: r["last"] for r in source.part_ends(self.time, waiting).collect()}  # one for each batch that waits
+        return rows, {b: ends.get(part) for part, held in source.folders.items() for b in held if b in set(waiting)}
 
     def run(self, spark: SparkSession, source: DataFrame | Table, state: str, as_of: datetime | str,
             functions: Functions | None = None) -> bool:
@@ -60,10 +79,10 @@ class ContinuousExport:
         runs = [n for n in files.names(spark, state) if n.endswith(".json")]
         last = json.loads(files.read_text(spark, f"{state}/{max(runs)}"))["upto"] if runs else None
         upto = ntz(as_of) if self.forced_latency is None else before(as_of, self.forced_latency)
-        batches = None
+        batches, partly = None, {}
         if isinstance(source, Table):
-            batches = self._due(spark, source, state, runs, upto)
-            rows = source.read_batches(batches)
+            done, partly = self._progress(spark, state, runs)
+            rows, ends = self._due(source, done, partly, upto)
         else:
             rows = source.where(F.col(self.time) <= upto)
             if last is not None:
@@ -77,9 +96,17 @@ class ContinuousExport:
             row_group_rows=self.row_group_rows if self.external.data_format == "parquet" else None,
         )
         reached = spark.range(1).select(upto.cast("string")).first()[0]
+        if isinstance(source, Table):
+            limit = datetime.fromisoformat(reached)
+            late = set() if self.forced_latency is None else {b for b, end in ends.items() if end is not None and end > limit}
+            batches = sorted(ends.keys() - late)
+            partly = {b: max(reached, partly.get(b, reached)) for b in sorted(late)}
         if last is not None:
             reached = max(reached, last)
-        files.write_new_text(spark, f"{state}/{len(runs):012d}.json", json.dumps({"upto": reached, **({} if batches is None else {"batches": batches})}))
+        known = {} if batches is None else {"batches": batches, "partly": partly}
+        files.write_new_text(spark, f"{state}/{len(runs):012d}.json", json.dumps({"upto": reached, **known}))
+        if batches is not None and len(runs) % SNAPSHOT_EVERY == SNAPSHOT_EVERY - 1:
+            files.write_new_text(spark, f"{state}/{len(runs):012d}.snapshot", json.dumps({"batches": sorted(done.union(batches))}))
         return True
 
     def start(self, stream: DataFrame, checkpoint: str, functions: Functions | None = None, **trigger) -> StreamingQuery:
