@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_side
+
 Same = Callable[[Column, Column], Column]
 
 
@@ -59,7 +61,7 @@ def lookup(df: DataFrame, names: DataFrame, on: str, value: str, default: str, o
     """Value from `names`, unique by `on`; unknown, empty and null keys get the default."""
     table = names.select(F.col(on).alias("_key"), F.col(value).alias("_value"))
     return (
-        df.join(table, F.col(on) == F.col("_key"), "left")
+        df.join(small_side(table), F.col(on) == F.col("_key"), "left")  # a hot key is not shuffled as long as the names are few
         .withColumn(out, F.coalesce("_value", F.lit(default)))
         .drop("_key", "_value")
     )

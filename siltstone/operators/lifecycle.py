@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -16,6 +17,8 @@ from ..sources.tables import Table
 from .segments import Bounds, greedy_groups
 
 INGESTION_TIME = "_ingestion_time"
+# Fixed value: the greatest count of units in a retention period.
+MOST_UNITS = 364_635
 
 
 def ntz(value: datetime | str | Column) -> Column:
@@ -57,6 +60,12 @@ class Retention:
     soft_delete: str
     recoverable: bool = True
 
+    def __post_init__(self):
+        count = re.fullmatch(r"(\d+)[dhms]", self.soft_delete.strip())
+        if count and not 1 <= int(count.group(1)) <= MOST_UNITS:
+            raise ValueError(f"a period of 1 to {MOST_UNITS} units, not {self.soft_delete!r}")
+        parse_timespan(self.soft_delete)
+
 
 def retained(df: DataFrame, policy: Retention, as_of: datetime | str, time: str = INGESTION_TIME) -> DataFrame:
     """Rows still visible; a row exactly as old as the period is. Rows without a

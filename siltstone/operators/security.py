@@ -71,8 +71,8 @@ def resolve_scope(entities: DataFrame, policies: DataFrame, value: str, out: str
     own = policies.where("entity_name IS NOT NULL").withColumnRenamed(value, "_own")
     general = policies.where("entity_name IS NULL").select("database_name", F.col(value).alias("_general"))
     return (
-        entities.join(own, ["database_name", "entity_name"], "left")
-        .join(general, "database_name", "left")
+        entities.join(small_side(own), ["database_name", "entity_name"], "left")
+        .join(small_side(general), "database_name", "left")
         .withColumn(out, F.coalesce("_own", "_general"))
         .withColumn(
             "policy_scope",
@@ -158,3 +158,11 @@ def match_principals(requests: DataFrame, directory: DataFrame) -> DataFrame:
     )
     first = found.groupBy("principal", "role").agg(F.min("entry_id").alias("entry_id"))
     return requests.join(first, ["principal", "role"], "left")
+
+
+def with_principal_details(matches: DataFrame, directory: DataFrame, attributes: Sequence[str] = ("fqn", "principal_type", "display_name", "notes")) -> DataFrame:
+    """Attributes of the matched entry; null where nothing matched. `directory` is
+    unique by entry_id; of its columns only the matched entries' are looked up."""
+    wanted = matches.select("entry_id").where("entry_id IS NOT NULL").distinct()
+    found = materialise(directory.select("entry_id", *attributes).join(small_side(materialise(wanted, "matched")), "entry_id", "left_semi"), "details")
+    return matches.join(small_side(found), "entry_id", "left")

@@ -253,9 +253,7 @@ def missing_references(spark, sf):
     return drift.missing(load(spark, sf, "documents").select("doc_id", "lang"), load(spark, sf, "labels"), ["doc_id"])
 
 
-@query(
-    "principal_match",
-    """WITH directory AS (
+PRINCIPAL_SQL = """WITH directory AS (
          SELECT c_custkey AS entry_id,
                 CASE WHEN c_mktsegment = 'BUILDING' THEN 'User=' || c_name WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE 'user=' || md5(c_name) || ';tenant' END AS fqn,
                 c_name || ' (upn: U' || CAST(c_custkey AS VARCHAR) || '@example.com)' AS display_name,
@@ -273,9 +271,10 @@ def missing_references(spark, sf):
           AND (contains(lower(fqn), lower(principal)) OR (fqn <> '' AND contains(lower(principal), lower(fqn)))
                OR (contains(principal, '=') AND principal[instr(principal, '=') + 1:] <> ''
                    AND contains(lower(display_name), lower(principal[instr(principal, '=') + 1:]))))
-       GROUP BY s_suppkey""",
-)
-def principal_match(spark, sf):
+       GROUP BY s_suppkey"""
+
+
+def _principals(spark, sf):
     digits = F.lpad(F.col("s_suppkey").cast("string"), 9, "0")
     nation = F.col("s_nationkey")
     requests = load(spark, sf, "supplier").select(
@@ -299,7 +298,31 @@ def principal_match(spark, sf):
         F.concat("c_name", F.lit(" (upn: U"), F.col("c_custkey").cast("string"), F.lit("@example.com)")).alias("display_name"),
         F.when(F.col("c_nationkey") < 12, "Table Admin").otherwise("Table Ingestor").alias("role"),
     )
-    return security.match_principals(requests, directory).select("s_suppkey", "entry_id")
+    return requests, directory
+
+
+@query("principal_match", PRINCIPAL_SQL)
+def principal_match(spark, sf):
+    return security.match_principals(*_principals(spark, sf)).select("s_suppkey", "entry_id")
+
+
+@query(
+    "principal_details",
+    f"""SELECT s_suppkey, CASE WHEN c_custkey IS NULL THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 'User=' || c_name WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE 'user=' || md5(c_name) || ';tenant' END AS fqn,
+           CASE WHEN c_custkey IS NULL THEN NULL WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Application' ELSE 'User' END AS principal_type,
+           c_name || ' (upn: U' || CAST(c_custkey AS VARCHAR) || '@example.com)' AS display_name, 'in ' || c_mktsegment AS notes
+        FROM ({PRINCIPAL_SQL}) m LEFT JOIN customer ON c_custkey = entry_id""",
+)
+def principal_details(spark, sf):
+    """The same matches with the type, the names and the notes of the entry."""
+    requests, directory = _principals(spark, sf)
+    customers = load(spark, sf, "customer").select(
+        F.col("c_custkey").alias("entry_id"), F.when(F.col("c_mktsegment") == "AUTOMOBILE", "Application").otherwise("User").alias("principal_type"),
+        F.concat(F.lit("in "), "c_mktsegment").alias("notes"),
+    )
+    matches = security.match_principals(requests, directory).select("s_suppkey", "entry_id")
+    detailed = security.with_principal_details(matches, directory.join(customers, "entry_id"))
+    return detailed.select("s_suppkey", "fqn", "principal_type", "display_name", "notes")
 
 
 @query(
