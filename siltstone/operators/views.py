@@ -16,10 +16,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, types as T
 from pyspark.sql import functions as F
 
 from .. import files
+from ..functions.types import parse_timespan
 from ..plans.stored import Functions, Query, run_query
 from ..session import materialise, small_side
 from ..sources.tables import Table
@@ -44,8 +45,11 @@ class ViewSpec:
     created_by: str | None = None  # datetime group key that dates backfilled state
     max_records: int | None = None
     concurrency: int = 1
+    lookback: str | None = None  # rows of a key further apart than this are rows of their own in the view
 
     def __post_init__(self):
+        if self.lookback is not None and (parse_timespan(self.lookback) <= 0 or self.max_records):
+            raise ValueError("a look-back is a period, and its backfill is not cut in chunks")
         if self.effective is not None and not self.backfill:
             raise ValueError("an effective time needs backfill")
         if self.auto_update_schema and not self.summary.follows_source:
@@ -73,15 +77,46 @@ class MaterializedView:
         """State with `_created`, its date, and `_upto`, the latest row in it, and
         so asked of the state. `keys` are more columns to group by."""
         shaped, summary = self._shape(rows), self.spec.summary
+        if self.spec.lookback is not None:
+            return self._sessions(shaped, created)
         if keys:
             summary = replace(summary, keys=[*keys, *summary.keys])
         state = summary.partial(shaped, self._upto(shaped))
         created = F.current_timestamp().cast("timestamp_ntz") if created is None else created
         return state.withColumn("_created", created)
 
+    def _sessions(self, shaped: DataFrame, created) -> DataFrame:
+        """State by key and run of rows that are less than the look-back apart; rows without a time are one run."""
+        spec, time = self.spec, F.col(self.spec.time)
+        if spec.time not in shaped.columns:
+            raise ValueError(f"a view with a look-back keeps the time {spec.time!r}")
+        span = f"{parse_timespan(spec.lookback)} microseconds"
+        summary = replace(spec.summary, keys=[*spec.summary.keys, "_from"])
+        # The runs of a batch are found by built-in session windows; whole-row measures then go by run.
+        dated = shaped.where(time.isNotNull())
+        runs = dated.groupBy(*spec.summary.keys, F.session_window(time.cast("timestamp"), span).alias("_run")).agg(F.min(time).alias("_from"), F.max(time).alias("_to"))
+        runs = materialise(runs.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(spec.summary.keys)], "_from", "_to"), "runs")
+        same = (time >= F.col("_from")) & (time <= F.col("_to"))
+        for i, k in enumerate(spec.summary.keys):
+            same = F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) & same
+        placed = dated.join(small_side(runs), same).select(*shaped.columns, "_from")
+        rows = placed.unionByName(shaped.where(time.isNull()).withColumn("_from", F.lit(None).cast(shaped.schema[spec.time].dataType)))
+        created = F.current_timestamp().cast("timestamp_ntz") if created is None else created
+        return summary.partial(rows, self._upto(rows)).withColumn("_created", created)
+
+    def _joined_runs(self, state: DataFrame) -> DataFrame:
+        """`state` with `_session`: runs of a key, from any batches, that are less than the look-back apart."""
+        spec = self.spec
+        line = Window.partitionBy(*spec.summary.keys).orderBy("_from", "_upto")
+        before = F.max("_upto").over(line.rowsBetween(Window.unboundedPreceding, -1))
+        begins = before.isNull() | (micros(F.col("_from")) - micros(before) >= parse_timespan(spec.lookback))
+        return state.withColumn("_begins", begins.cast("int")).withColumn("_session", F.sum("_begins").over(line.rowsBetween(Window.unboundedPreceding, 0))).drop("_begins")
+
     def _state_schema(self, rows: DataFrame) -> T.StructType:
-        shaped = self._shape(rows)
-        return self.spec.summary.state_schema(shaped, self._upto(shaped)).add("_created", T.TimestampNTZType())
+        shaped, summary = self._shape(rows), self.spec.summary
+        if self.spec.lookback is not None:
+            shaped, summary = shaped.withColumn("_from", F.col(self.spec.time)), replace(summary, keys=[*summary.keys, "_from"])
+        return summary.state_schema(shaped, self._upto(shaped)).add("_created", T.TimestampNTZType())
 
     def _reach(self, part: str, rows: DataFrame) -> datetime | None:
         """The latest time in a written part, or in `rows` if the view's query
@@ -192,7 +227,11 @@ class MaterializedView:
     def compact(self) -> "MaterializedView":
         """Fold all parts of the state into one."""
         dates = [F.max(c).alias(c) for c in ("_upto", "_created")]
-        self.state.swap_parts(self.state.batches, self.spec.summary.merge(self.state.read(), *dates))
+        state, summary = self.state.read(), self.spec.summary
+        if self.spec.lookback is not None:
+            state, dates = self._joined_runs(state), [F.min("_from").alias("_from"), *dates]
+            summary = replace(summary, keys=[*summary.keys, "_session"])
+        self.state.swap_parts(self.state.batches, conform(summary.merge(state, *dates).drop("_session"), self.state.schema))
         return self
 
     def alter(self, spec: ViewSpec, source: DataFrame | Table, *, as_of: datetime | None = None) -> "MaterializedView":
@@ -222,7 +261,10 @@ class MaterializedView:
         state = self.state.read()
         if source is not None:
             state = state.unionByName(self._partial(self.pending(source)), allowMissingColumns=True)
-        return self.spec.summary.final(self.spec.summary.merge(state))
+        if self.spec.lookback is None:
+            return self.spec.summary.final(self.spec.summary.merge(state))
+        by_session = replace(self.spec.summary, keys=[*self.spec.summary.keys, "_session"])
+        return by_session.final(by_session.merge(self._joined_runs(state))).drop("_session")
 
     def status(self, source: DataFrame | Table, *, as_of: datetime, healthy_lag_micros: int, enabled: bool = True) -> DataFrame:
         """One row: materialised to, lag, rows pending, healthy, enabled."""

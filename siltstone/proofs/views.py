@@ -184,3 +184,25 @@ def view_first_per_key(spark, sf):
     for i, part in enumerate(each("role", ("assistant", "user"))):
         view.refresh(turns.where(part), str(i))
     return view.read().select("conv_id", "turn", "role")
+
+
+@query(
+    "view_lookback",
+    """WITH line AS (SELECT *, max(ts) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM events WHERE ts IS NOT NULL),
+       runs AS (SELECT user_id, ts, event_id, sum(CAST(before IS NULL OR ts >= before + INTERVAL 6 HOUR AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts) AS run FROM line
+                UNION ALL SELECT user_id, ts, event_id, 0 FROM events WHERE ts IS NULL)
+       SELECT user_id, count(*) AS n, arg_min(event_id, {'ts': ts, 'id': event_id}) AS first_event FROM runs GROUP BY user_id, run""",
+)
+def view_lookback(spark, sf):
+    """The first of the events of a user that follow each other within six hours.
+    Three batches; the last two bring events from before those of the first."""
+    events = load(spark, sf, "events")
+    summary = Summary(["user_id"], [Count("n"), Arg("first_event", "ts", ["event_id"], ["event_id"], least=True)])
+    view = _view(spark, "lookback", ViewSpec(summary, time="ts", lookback="6h", backfill=True))
+    first, *later = (events.where(part) for part in each("event_type", ["view", "purchase"]))
+    view.create(first)
+    for i, batch in enumerate(later):
+        view.refresh(batch, str(i))
+        view.refresh(batch, str(i))
+        view.compact() if i else None
+    return view.read().select("user_id", "n", F.col("event_id").alias("first_event"))
