@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from . import files
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Settings that the library's functions expect of a session."""
@@ -41,7 +43,16 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = fresh_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._folder = path  # for `discard`
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that `materialise` gave. Whatever still reads them,
+    even through other DataFrames, must have been materialised itself."""
+    for table in tables:
+        files.delete(table.sparkSession, table._folder)
 
 
 def small_side(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:

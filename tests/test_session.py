@@ -39,3 +39,14 @@ def test_a_cluster_needs_the_setting(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Session())
+
+
+def test_discarded_tables_leave_no_files(spark):
+    from siltstone import files
+    from siltstone.session import discard, materialise
+
+    first = materialise(spark.range(5), "first")
+    second = materialise(first.where("id > 1"), "second")
+    discard(first)
+    assert not files.exists(spark, first._folder) and second.count() == 3
+    discard(second)
