@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.session import materialise
+from siltstone.session import discard, materialise
 
-__all__ = ["bounded_batches", "ints", "kept", "map_batches", "materialise", "name", "read_table", "release", "task_count"]
+__all__ = ["bounded_batches", "discard", "ints", "kept", "map_batches", "materialise", "name", "read_table", "release", "task_count"]
 
 #: Rows and bytes of the Arrow batches handed to Python.
 BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20

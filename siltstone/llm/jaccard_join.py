@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
-from siltstone.llm.frames import bounded_batches, ints, materialise, release
+from siltstone.llm.frames import bounded_batches, discard, ints, materialise, release
 from siltstone.llm.text import Words, buffers, mix, slices
 
 #: The longest extension of a prefix, in matches asked for.
@@ -245,27 +245,31 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
     drawn = rows.where("size(drawn) > 0").select("c", "drawn").dropDuplicates(["c"])
     bits = _hot_bits(drawn.select(F.explode("drawn").alias("token")))
     lists = materialise(_prefixes(docs, text, k, percent, bits), "prefixes")
-    entries = lists.select("c", "n", F.posexplode("prefix").alias("place", "token")).repartition("token")
+    entries = lists.select("c", F.posexplode("prefix").alias("place", "token")).repartition("token")
     common = entries.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("df")).where("low <> high")
     shared = materialise(entries.join(common.select("token", "df"), "token").dropDuplicates(["token", "c"]), "lists")
 
     # The matches that each class asks for: the cheapest prefix, by list entries read and pairs compared.
+    sizes = materialise(lists.select("c", "n", "end", F.size("prefix").alias("long")).dropDuplicates(["c"]), "sizes")
     base = F.col("n") - F.ceil(F.col("n") * percent / 100.0)
     reach = [F.sum(F.when(F.col("place") <= base + m, F.col("df")).otherwise(0)).alias(f"s{m}") for m in range(MOST_MATCHES)]
-    sums = shared.groupBy("c", "n").agg(*reach, F.count(F.lit(1)).alias("met"))
+    sums = shared.join(sizes.select("c", "n"), "c").groupBy("c", "n").agg(*reach, F.count(F.lit(1)).alias("met"))
     costs = [F.struct((F.col(f"s{m}") * (1 + COMPARE_COST * F.col("n") / (m + 1))).alias("cost"), F.lit(m + 1).alias("matches")) for m in range(MOST_MATCHES)]
     allowed = [F.when(F.ceil(F.col("n") * percent / 100.0) >= m + 1, costs[m]) for m in range(MOST_MATCHES)]
-    ends = lists.select("c", "end", F.size("prefix").alias("long")).dropDuplicates(["c"])
-    asked = sums.join(ends, "c").select(
-        "c", F.array_min(F.array_compact(F.array(*allowed))).getField("matches").alias("matches"), F.col("s0").alias("weight"),
+    asked = sums.join(sizes.select("c", "end", "long"), "c").select(
+        "c", "n", F.array_min(F.array_compact(F.array(*allowed))).getField("matches").alias("matches"), F.col("s0").alias("weight"),
         "end", (F.col("n") - (F.col("long") - F.col("met"))).alias("live"),
     )
-    kept = materialise(shared.join(asked, "c").where(F.col("place") <= base + F.col("matches") - 1), "asked")
+    kept = materialise(shared.join(asked, "c").where(F.col("place") <= base + F.col("matches") - 1).drop("place", "df"), "asked")
+    discard(shared, sizes)
     classes = rows.where("c is not null").groupBy("c").agg(F.xxhash64(F.min("key")).alias("row"))
 
     def compare(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct().join(classes, "c")
-        return _similar(pairs, _whole_sets(docs, materialise(wanted, "wanted"), key, text, k), percent)
+        wanted = materialise(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct().join(classes, "c"), "wanted")
+        sets = _whole_sets(docs, wanted, key, text, k)
+        similar = _similar(pairs, sets, percent)
+        discard(wanted, sets)
+        return similar
 
     return rows, linked(kept, percent, compare, lists.select("c", "sketch").dropDuplicates(["c"]))
 
@@ -339,11 +343,13 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
     found = tried = kept.sparkSession.createDataFrame([], "a long, b long")
     if "live" not in kept.columns:
         kept = kept.withColumns({"live": F.col("n"), "end": F.lit(0).cast("long")})
-    members = kept.select("c").distinct()
+    members = materialise(kept.select("c").distinct(), "members")
     labels = members.select("c", F.col("c").alias("root"))
-    linking, before = True, None
+    linking, before, old = True, None, None
     while True:
         here = materialise(kept.join(labels, "c"), "labelled")
+        if old is not None:
+            discard(*old)
         by_root = here.groupBy("token", "root").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct("weight", "c", "n", "matches", "live", "end")).alias("best"))
         by_list = by_root.groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.sum("members").alias("size"), F.max(F.struct("members", "root", "best")).alias("main"))
         mixed = materialise(by_list.where("roots > 1"), "mixed")
@@ -359,7 +365,10 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
         good = compare(pairs)
         tried, found = tried.union(pairs), found.union(good)
         if last:
+            discard(here, mixed)
             return found
+        # A list of one component stays so, and takes no part in what follows.
+        kept, old = here.drop("root").join(mixed.select("token"), "token", "left_semi"), (here, mixed)
         linking = not good.isEmpty()
         if linking:
             roots = components(found).withColumnRenamed("node", "c")
