@@ -98,9 +98,9 @@ def check_one_of(spark, sf):
 # -- request logs ----------------------------------------------------------
 REQUEST_SQL = """(SELECT event_id, user_id, ts AS started, ts + to_microseconds(CAST(round(value * 60000000) AS BIGINT)) AS ended, event_type,
                          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, value FROM events)"""
-GROUP_SQL = """CASE WHEN user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') THEN 'Premium'
-                    WHEN event_type = 'purchase' AND k < 50 THEN 'Automated' WHEN event_type = 'view' THEN 'Ad-hoc queries'
-                    ELSE 'default' END"""
+GROUP_SQL = """CASE WHEN event_type = 'error' AND hour(started) >= 18 THEN 'Evening incidents'
+                    WHEN user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'FURNITURE') AND k BETWEEN 20 AND 60 THEN 'Furniture buyers'
+                    WHEN event_type = 'click' OR value < 10 THEN 'Light traffic' ELSE 'default' END"""
 
 
 def _requests(spark, sf):
@@ -108,7 +108,7 @@ def _requests(spark, sf):
     events = load(spark, sf, "events")
     ended = from_micros(micros(F.col("ts")) + F.round(F.col("value") * 60_000_000).cast("long"))
     properties = F.to_json(F.struct(
-        F.concat(F.lit("kind="), "event_type").alias("current_principal"), F.get_json_object("props", "$.k").cast("int").alias("k")
+        F.concat(F.lit("web/"), "event_type", F.lit("/v2")).alias("origin"), F.get_json_object("props", "$.k").cast("int").alias("k")
     ))
     return events.select(
         "event_id", "user_id", F.col("ts").alias("started"), ended.alias("ended"), "event_type", "value", properties.alias("request_properties")
@@ -118,20 +118,19 @@ def _requests(spark, sf):
 def _classified(spark, sf, enabled=True):
     members = load(spark, sf, "customer").select(F.col("c_mktsegment").alias("group_name"), F.col("c_custkey").alias("principal"))
     requests = _requests(spark, sf).withColumn("_p", parse_dynamic(F.col("request_properties")))
-    premium = is_member(requests.select("user_id").distinct(), members, "user_id", "BUILDING").withColumn("_premium", F.lit(True))
-    requests = requests.join(premium, "user_id", "left")
-    principal = member(F.col("_p"), "current_principal")
+    buyers = is_member(requests.select("user_id").distinct(), members, "user_id", "FURNITURE").withColumn("_buyer", F.lit(True))
+    requests = requests.join(buyers, "user_id", "left")
+    origin, k = member(F.col("_p"), "origin"), member(F.col("_p"), "k", "int")
     rules = [
-        (F.col("_premium"), "Premium"),
-        (has_term(principal, "kind=purchase") & (member(F.col("_p"), "k", "int") < 50), "Automated"),
-        (F.col("event_type") == "view", "Ad-hoc queries"),
-        (F.col("event_type") == "signup", "Retired group"),
+        (has_term(origin, "error") & (F.hour("started") >= 18), "Evening incidents"),
+        (F.col("_buyer") & k.between(20, 60), "Furniture buyers"),
+        (has_term(origin, "click") | (F.col("value") < 10), "Light traffic"),
+        (F.col("event_type") == "signup", "A group that no longer exists"),
         (F.col("event_type") == "error", ""),
     ]
-    known = load(spark, sf, "region").select(
-        F.element_at(F.array(F.lit("Premium"), F.lit("Automated"), F.lit("Ad-hoc queries"), F.lit("Other"), F.lit("default")), F.col("r_regionkey") + 1).alias("group_name")
-    )
-    return req.classify(requests, rules, known, enabled=enabled).drop("_p", "_premium")
+    names = ("Light traffic", "Evening incidents", "default", "Furniture buyers", "A group without rules")
+    known = load(spark, sf, "region").select(F.element_at(F.array(*map(F.lit, names)), F.col("r_regionkey") + 1).alias("group_name"))
+    return req.classify(requests, rules, known, enabled=enabled).drop("_p", "_buyer")
 
 
 @query("classify_requests", f"SELECT event_id, {GROUP_SQL} AS workload_group, 'default' AS when_disabled FROM {REQUEST_SQL}")
@@ -178,17 +177,17 @@ def concurrent_requests_hot_group(spark, sf):
 
 
 POLICY = {
-    "Premium": {"MaxResultRecords": {"IsRelaxable": True, "Value": 90}, "MaxExecutionTime": {"IsRelaxable": False, "Value": "01:00:00"}},
-    "Automated": {"MaxResultBytes": {"IsRelaxable": True, "Value": 2000}, "DataScope": {"IsRelaxable": True, "Value": "HotCache"}},
-    "default": {"MaxResultRecords": {"IsRelaxable": True, "Value": 50}},
+    "Evening incidents": {"MaxResultRecords": {"IsRelaxable": True, "Value": 75}, "MaxExecutionTime": {"IsRelaxable": False, "Value": "00:45:00"}},
+    "Furniture buyers": {"MaxResultBytes": {"IsRelaxable": True, "Value": 1500}, "DataScope": {"IsRelaxable": True, "Value": "HotCache"}},
+    "default": {"MaxResultRecords": {"IsRelaxable": True, "Value": 40}},
 }
 
 
 @query(
     "request_limits",
     f"""WITH r AS (SELECT *, {GROUP_SQL} AS g FROM {REQUEST_SQL}),
-       f AS (SELECT event_id, g, (g = 'Premium' AND k > 90) OR (g = 'default' AND k > 50) AS over_records, g = 'Automated' AND ceil(value * 100) > 2000 AS over_bytes,
-                    g = 'Premium' AND round(value * 60000000) > 3600000000 AS over_time, g = 'Automated' AND started < TIMESTAMP '2024-01-28' AS out_of_scope FROM r)
+       f AS (SELECT event_id, g, (g = 'Evening incidents' AND k > 75) OR (g = 'default' AND k > 40) AS over_records, g = 'Furniture buyers' AND ceil(value * 100) > 1500 AS over_bytes,
+                    g = 'Evening incidents' AND round(value * 60000000) > 2700000000 AS over_time, g = 'Furniture buyers' AND started < TIMESTAMP '2024-01-28' AS out_of_scope FROM r)
        SELECT event_id, g AS workload_group, over_records, over_bytes, over_time, out_of_scope,
               (over_records OR over_bytes OR out_of_scope) AND NOT over_time AS relaxable FROM f""",
 )

@@ -226,20 +226,26 @@ def test_mapping_inputs(spark, folder):
         read_mapped(spark, path, Mapping("json", [Rule("nope", path="$.a")]), parse_schema("f1:string"))
 
 
-def test_mappings_of_three_columns(spark, folder):
-    target = parse_schema("colour:string,grain:string,depth:int,site:string")
+def test_json_paths_into_arrays(spark, folder):
+    """Elements of arrays, one that is missing, and a constant over a typed column."""
     lines = folder()
-    spark.createDataFrame([('{"tone":"a","rock":{"grain":"b"},"metres":3}',), ("{broken",), ('{"metres":"x"}',)], "v string").coalesce(1).write.text(lines)
-    rules = [Rule("colour", path="$.tone", datatype="string"), Rule("grain", path="$.rock.grain", datatype="string"), Rule("depth", path="$.metres", datatype="int")]
-    got = read_mapped(spark, lines, Mapping("json", rules), target, count_bad=True).collect()
-    assert [tuple(r) for r in got] == [("a", "b", 3, None, 0), (None, None, None, None, 0), (None, None, None, None, 1)]
+    texts = ['{"samples":[{"ph":6.5},{"ph":7}],"when":"2024-02-29"}', '{"samples":[{"ph":"acid"}],"when":"soon"}', "[1]", "not json"]
+    spark.createDataFrame([(t,) for t in texts], "v string").coalesce(1).write.text(lines)
+    rules = [Rule("second_ph", path="$.samples[1].ph"), Rule("first_ph", path="$.samples[0].ph"), Rule("taken", path="$.when"), Rule("run", constvalue="17")]
+    target = parse_schema("run:int,first_ph:real,second_ph:real,taken:datetime,remark:string")
+    got = read_mapped(spark, lines, Mapping("json", rules), target, count_bad=True)
+    assert sorted((r["run"], r["first_ph"] or 0, r["second_ph"] or 0, str(r["taken"]), r["remark"], r["_bad"]) for r in got.collect()) == [
+        (17, 0, 0, "None", None, 0), (17, 0, 0, "None", None, 0), (17, 0, 0, "None", None, 2), (17, 6.5, 7.0, "2024-02-29 00:00:00", None, 0)]
+
+
+@pytest.mark.parametrize("base", [0, 1])
+def test_positions_beyond_the_row(spark, folder, base):
     rows = folder()
-    spark.createDataFrame([("z", "a", "b", "3", "more"), ("z", "a", "b", "x", "more")], "a string,b string,c string,d string,e string").coalesce(1).write.csv(rows)
-    rules = [Rule("colour", ordinal="1", datatype="string"), Rule("grain", ordinal="2"), Rule("depth", ordinal="3", datatype="int"), Rule("site", constvalue="north quarry")]
-    got = read_mapped(spark, rows, Mapping("csv", rules), target).collect()
-    assert [tuple(r) for r in got] == [("a", "b", 3, "north quarry"), ("a", "b", None, "north quarry")]
-    shifted = read_mapped(spark, rows, Mapping("csv", [Rule("colour", ordinal=1)]), target, ordinal_base=1).first()
-    assert shifted["colour"] == "z"
+    spark.createDataFrame([("9,north,0.5",), ("10,south",), ("x",)], "v string").coalesce(1).write.text(rows)
+    rules = [Rule("plot", ordinal=base), Rule("yield_t", ordinal=base + 2), Rule("never", ordinal=base + 7), Rule("season", constvalue="2023-10-01")]
+    got = read_mapped(spark, rows, Mapping("csv", rules), parse_schema("plot:long,yield_t:decimal,never:string,season:datetime"), ordinal_base=base, count_bad=True)
+    assert sorted((r["plot"] or 0, float(r["yield_t"] or 0), r["never"], r["season"].year, r["_bad"]) for r in got.collect()) == [
+        (0, 0.0, None, 2023, 1), (9, 0.5, None, 2023, 0), (10, 0.0, None, 2023, 0)]
 
 
 @pytest.mark.parametrize("kind", ["json", "csv", "w3clogfile"])
