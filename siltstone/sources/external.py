@@ -10,7 +10,7 @@ from collections.abc import Mapping as Map, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from .. import files
@@ -146,21 +146,36 @@ class ExternalTable:
         reader = spark.read.schema(struct).format(self._spark_format).options(**self._options)
         if self._spark_format == "csv":
             reader = reader.option("header", header)
-        if self.name_prefix or self.file_extension:
-            packed = "{,.gz}" if self.file_extension else ""
-            reader = reader.option("pathGlobFilter", f"{self.name_prefix}*{self.file_extension}{packed}")
+        reader = self._named(reader)
         if not self.path_format and len(self.path_list) == 1:
             reader = reader.option("basePath", self.path_list[0])
         df = reader.load(paths)
         if not self.path_format:
             return df
-        # Anchored at the end: the layout is what lies just above the file.
-        layout = _layout_pattern(self.path_format) + r"/[^/]*$"
-        parts = [
-            _value_in_uri(F.regexp_extract("_metadata.file_path", layout, i + 1)).try_cast(self.struct[name].dataType).alias(name)
-            for i, name in enumerate(re.findall(r"\{(\w+)\}", self.path_format))
-        ]
-        return df.select("*", *parts)
+        return df.select("*", *self._parts_of_path())
+
+    def _named(self, reader: DataFrameReader) -> DataFrameReader:
+        """Only files with the names that the table asks for."""
+        if not (self.name_prefix or self.file_extension):
+            return reader
+        packed = "{,.gz}" if self.file_extension else ""
+        return reader.option("pathGlobFilter", f"{self.name_prefix}*{self.file_extension}{packed}")
+
+    def _parts_of_path(self) -> list[Column]:
+        """The partition columns, from the path of a file."""
+        if self.path_format:  # anchored at the end: the layout is what lies just above the file
+            layout = _layout_pattern(self.path_format) + r"/[^/]*$"
+            found = [(name, layout, i + 1) for i, name in enumerate(re.findall(r"\{(\w+)\}", self.path_format))]
+        else:
+            found = [(name, f"/{re.escape(name)}=([^/]*)/", 1) for name in self.partitions]
+        return [_value_in_uri(F.regexp_extract("_metadata.file_path", pattern, i)).try_cast(self.struct[name].dataType).alias(name) for name, pattern, i in found]
+
+    def _listed(self, spark: SparkSession) -> DataFrame:
+        """The files that would be read, by their metadata alone: none is opened."""
+        reader = self._named(spark.read.format("binaryFile"))
+        if not self.path_format:
+            reader = reader.option("recursiveFileLookup", True)
+        return reader.load(self._glob(spark, {}))
 
     def read(self, spark: SparkSession, **wanted: object) -> DataFrame:
         """Rows of the table. Filters on hive partitions prune by themselves;
@@ -260,11 +275,11 @@ class ExternalTable:
                     files.write_new_bytes(spark, name, gzip.compress(line) if self.compressed else line)
 
     def sample_uris(self, spark: SparkSession) -> DataFrame:
-        """The folder of each distinct combination of partition values."""
-        rows = self.read(spark)
+        """The folder of each distinct combination of partition values, from the paths of the files."""
         base = self.path_list[0]
         if not self.partitions:
             return spark.createDataFrame([(base,)], "uri string").limit(1)
+        rows = self._listed(spark).select(*self._parts_of_path())
         if self.path_format:
             pieces = re.split(r"(\{\w+\})", self.path_format)
             parts = [F.col(p[1:-1]).cast("string") if p.startswith("{") else F.lit(p) for p in pieces if p]
@@ -274,12 +289,8 @@ class ExternalTable:
         return rows.select(*self.partitions).distinct().select(uri.alias("uri"))
 
     def files_preview(self, spark: SparkSession) -> DataFrame:
-        """Path, size and modification time of each file that would be read."""
-        return (
-            self._load(spark, self._glob(spark, {}), self.include_headers == "All")
-            .select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-            .distinct()
-        )
+        """Path, size and modification time of each file that would be read; no file is opened."""
+        return self._listed(spark).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
 
     def check_not_empty(self, spark: SparkSession) -> None:
         if self.read(spark).isEmpty():

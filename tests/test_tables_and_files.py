@@ -392,3 +392,19 @@ def test_file_size_of_wide_text(spark, folder):
     table = Table(spark, folder("wide")).create(spark.range(2000).withColumn("text", text).coalesce(1), size_limit=1_000_000)
     sizes = table.read().select("_metadata.file_path", "_metadata.file_size").distinct().collect()
     assert len(sizes) >= 10 and max(r["file_size"] for r in sizes) <= 1_000_000
+
+
+@pytest.mark.parametrize("layout", [None, "{year}/m-{month}"])
+def test_previews_open_no_file(spark, folder, layout):
+    schema = "year:int,month:string,n:long"
+    table = ExternalTable(schema, "json", folder("preview"), partitions=("year", "month"), path_format=layout)
+    rows = [(2023, "a b", 1), (2023, "a b", 2), (2024, "c+d", 3), (2024, "é", 4)]
+    table.write(spark.createDataFrame(rows, "year int, month string, n long").coalesce(1))
+    base, make = table.path_list[0], (lambda y, m: f"{y}/m-{m}") if layout else (lambda y, m: f"year={y}/month={m}")
+    assert sorted(r["uri"] for r in table.sample_uris(spark).collect()) == sorted({f"{base}/{make(y, m)}" for y, m, _ in rows})
+    seen = table.files_preview(spark)
+    assert seen.count() == 3 and seen.where("file_size > 0").count() == 3
+    assert {r[0] for r in seen.select("file_path").collect()} == {r[0] for r in table.read(spark).select("_metadata.file_path").distinct().collect()} if layout is None else True
+    for preview in (seen, table.sample_uris(spark)):
+        plan = preview._jdf.queryExecution().executedPlan().toString()
+        assert "ReadSchema: struct<>" in plan and "json" not in plan.split("Location")[0].lower()
