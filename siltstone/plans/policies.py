@@ -8,10 +8,17 @@ the whole database. `security.resolve_scope` picks the row that applies.
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.lifecycle import HashKey, MergePolicy, Partitioning, RangeKey, Retention
+from ..operators.requests import DEFAULT_GROUP, classify
+from ..operators.security import RowSecurity
 from ..operators.segments import BatchingPolicy
 from ..functions.types import parse_timespan
+from ..streaming.ingest import trigger_bytes
 from ..streaming.update_policy import UpdatePolicy
 
 
@@ -85,3 +92,49 @@ def update_policies(text: str, target: str) -> list[UpdatePolicy]:
         )
         for p in json.loads(text)
     ]
+
+
+def is_enabled(text: str) -> bool:
+    """A policy that is on or off and says no more: ingestion time, restricted access."""
+    enabled = _document(text, "IsEnabled")["IsEnabled"]
+    if not isinstance(enabled, bool):
+        raise ValueError(f"IsEnabled is true or false, not {enabled!r}")
+    return enabled
+
+
+def row_security(text: str) -> RowSecurity:
+    """Row-level security; the query is Spark SQL over ``{source}``."""
+    return RowSecurity(_document(text, "Query")["Query"], is_enabled(text))
+
+
+@dataclass(frozen=True)
+class StreamingIngestion:
+    enabled: bool
+    gb_per_hour: float | None = None
+
+    def max_bytes(self, every: str) -> int | None:
+        """Bytes that a stream triggered so often may take each time; None without a rate."""
+        return None if self.gb_per_hour is None else trigger_bytes(self.gb_per_hour, every)
+
+
+def streaming_ingestion(text: str) -> StreamingIngestion:
+    rate = _document(text).get("HintAllocatedRate")
+    if rate is not None and not float(rate) > 0:
+        raise ValueError(f"the rate is positive, not {rate!r}")
+    return StreamingIngestion(is_enabled(text), None if rate is None else float(rate))
+
+
+@dataclass(frozen=True)
+class Classification:
+    """`function` is a Spark SQL expression over a request that gives the name of its group."""
+
+    enabled: bool
+    function: str | None = None
+
+    def apply(self, requests: DataFrame, groups: DataFrame, out: str = "workload_group") -> DataFrame:
+        rules = [(F.lit(True), F.coalesce(F.expr(self.function), F.lit(DEFAULT_GROUP)))] if self.function else [(F.lit(False), DEFAULT_GROUP)]
+        return classify(requests, rules, groups, enabled=self.enabled, out=out)
+
+
+def classification(text: str) -> Classification:
+    return Classification(is_enabled(text), _document(text).get("ClassificationFunction"))

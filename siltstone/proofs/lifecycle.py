@@ -8,6 +8,7 @@ from ..operators import lifecycle as life
 from ..operators import security as sec
 from ..operators.aggregates import Arg, Summary
 from ..operators.views import MaterializedView, ViewSpec
+from ..plans import policies
 from ..plans.stored import Functions
 from ..session import fresh_dir, materialise
 from ..sources.tables import Table
@@ -333,3 +334,30 @@ def policy_scope(spark, sf):
         )
     )
     return sec.resolve_scope(entities, policies, "days", "days").select("entity_name", "database_name", "days", "policy_scope")
+
+
+DOCUMENTS = [
+    ("row_level_security", '{"IsEnabled": true, "Query": "SELECT * FROM {source} WHERE event_type <> \'error\'"}'),
+    ("ingestion_time", '{"IsEnabled": false}'),
+    ("restricted_view", '{"IsEnabled": true}'),
+    ("request_classification", '{"IsEnabled": true, "ClassificationFunction": "CASE WHEN hour(ts) < 6 THEN \'ASIA\' WHEN value > 50 THEN \'Nowhere\' END"}'),
+]
+
+
+@query(
+    "policy_documents",
+    """SELECT CASE WHEN hour(ts) < 6 THEN 'ASIA' ELSE 'default' END AS workload_group, count(*) AS requests, CAST(0 AS BIGINT) AS stamped, CAST(0 AS BIGINT) AS seen_without_grant
+       FROM events WHERE event_type <> 'error' GROUP BY 1""",
+)
+def policy_documents(spark, sf):
+    """Documents of four policies, read and applied to all events; regions are the groups that exist."""
+    text = dict(DOCUMENTS)
+    stamped = life.with_ingestion_time(load(spark, sf, "events"), enabled=policies.is_enabled(text["ingestion_time"]), as_of=AS_OF)
+    rows = sec.secured(stamped, policies.row_security(text["row_level_security"]), "someone")
+    grants = spark.createDataFrame([], "table_name string, principal string, role string")
+    seen = sec.restricted(rows, grants, "events", "someone", policies.is_enabled(text["restricted_view"])).select("event_id", F.lit(1).alias("_seen"))
+    groups = load(spark, sf, "region").select(F.col("r_name").alias("group_name"))
+    grouped = policies.classification(text["request_classification"]).apply(rows.join(seen, "event_id", "left"), groups)
+    return grouped.groupBy("workload_group").agg(
+        F.count(F.lit(1)).alias("requests"), F.count("_ingestion_time").alias("stamped"), F.count("_seen").alias("seen_without_grant")
+    )

@@ -52,3 +52,25 @@ def test_times_with_a_zone_mark(spark):
     from siltstone.operators.lifecycle import ntz
 
     assert str(spark.range(1).select(ntz("1990-01-01T00:00:00Z")).first()[0]) == "1990-01-01 00:00:00"
+
+
+def test_switches_and_rates(spark):
+    assert policies.is_enabled('{"IsEnabled": true}') and not policies.is_enabled('{"IsEnabled": false}')
+    for bad in ("{}", '{"IsEnabled": "yes"}', "[]"):
+        with pytest.raises(ValueError):
+            policies.is_enabled(bad)
+    none, some = policies.streaming_ingestion('{"IsEnabled": false, "HintAllocatedRate": null}'), policies.streaming_ingestion('{"IsEnabled": true, "HintAllocatedRate": "1.5"}')
+    assert (none.enabled, none.max_bytes("1m")) == (False, None) and (some.enabled, some.max_bytes("1h")) == (True, 3 * 1024**3 // 2)
+    with pytest.raises(ValueError, match="positive"):
+        policies.streaming_ingestion('{"IsEnabled": true, "HintAllocatedRate": "0"}')
+    from siltstone.operators.security import secured
+
+    rows = spark.range(10)
+    for on, left in (("true", 3), ("false", 10)):
+        policy = policies.row_security('{"IsEnabled": %s, "Query": "SELECT * FROM {source} WHERE id < 3"}' % on)
+        assert secured(rows, policy, "me").count() == left
+    groups = spark.createDataFrame([("small",), ("default",)], "group_name string")
+    text = '{"IsEnabled": %s, "ClassificationFunction": "CASE WHEN id < 2 THEN \'small\' WHEN id < 4 THEN \'gone\' END"}'
+    for on, small in (("true", 2), ("false", 0)):
+        got = policies.classification(text % on).apply(rows, groups)
+        assert got.where("workload_group = 'small'").count() == small and got.where("workload_group = 'default'").count() == 10 - small
