@@ -134,10 +134,6 @@ class MaterializedView:
             raise ValueError("the source has merged batches that the view holds with others that it does not; catch up before merging")
         return fresh
 
-    def _fresh_parts(self, source: Table) -> list[str]:
-        fresh = set(self._fresh(source))
-        return [part for part, held in source.folders.items() if not fresh.isdisjoint(held)] or ["none"]
-
     def _all(self, source: DataFrame | Table, as_of: datetime | None) -> tuple[DataFrame, list[str]]:
         """Rows of the source and the batches they are in. Rows without a time count as old."""
         if isinstance(source, Table):
@@ -271,11 +267,12 @@ class MaterializedView:
         upto = ntz(self.materialized_to)
         time = F.col(self.spec.time)
         lag = micros(ntz(as_of)) - micros(upto)
-        waits = upto.isNull() | (time > upto)
-        rows = source
-        if isinstance(source, Table):
-            rows, waits = source.read(), F.col("_metadata.file_path").rlike("/(" + "|".join(self._fresh_parts(source)) + ")/[^/]*$")
-        return rows.agg(F.count_if(waits).alias("rows_pending"), F.max(time).alias("source_to")).select(
+        if isinstance(source, Table):  # the parts that wait are read, not told apart row by row
+            waiting = self.pending(source).agg(F.count(F.lit(1)).alias("rows_pending")).withColumn("_one", F.lit(1))
+            found = source.read().agg(F.max(time).alias("source_to")).withColumn("_one", F.lit(1)).join(waiting, "_one")
+        else:
+            found = source.agg(F.count_if(upto.isNull() | (time > upto)).alias("rows_pending"), F.max(time).alias("source_to"))
+        return found.select(
             upto.alias("materialized_to"),
             "source_to",
             lag.alias("lag_micros"),
