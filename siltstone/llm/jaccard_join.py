@@ -236,10 +236,10 @@ def _offered(percent: int) -> Column:
 
 
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """(rows, links): key, n and class c of each row; pairs (a, b) of classes that meet the threshold.
+    """(rows, roots): key, n and class c of each row; the root of each class that links with another.
 
-    The links suffice for components: between classes already joined by links,
-    further ones are left out.
+    Pairs are compared as far as components need it: between classes already
+    joined by links, further ones are left out.
     """
     rows = materialise(_signed(docs, key, text, k), "signed")
     drawn = rows.where("size(drawn) > 0").select("c", "drawn").dropDuplicates(["c"])
@@ -330,17 +330,34 @@ def _to_hubs(sides: DataFrame, percent: int) -> DataFrame:
     return both.select("token", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), F.least("matches", "dmatches").alias("asked"))
 
 
+def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """`labels` (c, root) with the components that the links (a, b) join made one."""
+    left, right = (labels.select(F.col("c").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b"))
+    between = found.join(left, "a").join(right, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    roots = components(between).select(F.col("node").alias("root"), F.col("root").alias("next"))
+    return labels.join(roots, "root", "left").select("c", F.coalesce("next", "root").alias("root"))
+
+
+def _several(labels: DataFrame) -> DataFrame:
+    """The labels of components of two members or more."""
+    others = labels.where("c <> root")
+    return others.unionByName(others.select(F.col("root").alias("c"), "root").distinct())
+
+
 def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFrame], sketches: DataFrame | None = None) -> DataFrame:
-    """Links (a, b) that suffice for the components of all pairs that share a list and compare as similar.
+    """(c, root): the components of all pairs that share a list and compare as similar, without single members.
+
+    The root is the component's smallest member.
 
     `kept`: token (the list), c (the member), n (its size), matches (lists a pair
     must share, by either side) and weight; if known, `live` (its shingles that
     another member may have) and `end` (see `_offered`). `compare` gives those of the pairs (a,
     b) that are similar. As long as the pairs across components are many, lists
     only offer their members to a hub; then all pairs across components are
-    compared.
+    compared. A round's links join the components of the round before, so no link
+    is gone through twice.
     """
-    found = tried = kept.sparkSession.createDataFrame([], "a long, b long")
+    tried = kept.sparkSession.createDataFrame([], "a long, b long")
     if "live" not in kept.columns:
         kept = kept.withColumns({"live": F.col("n"), "end": F.lit(0).cast("long")})
     members = materialise(kept.select("c").distinct(), "members")
@@ -355,7 +372,7 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
         mixed = materialise(by_list.where("roots > 1"), "mixed")
         rest, entries = mixed.agg(F.sum((F.col("size") - F.col("main.members")) * F.col("size")), F.sum("size")).first()
         if rest is None:
-            return found
+            return _several(labels)
         # Few pairs are left, or hubs that hardly save any more.
         last = rest <= 4 * entries or not linking or (before is not None and rest > 0.8 * before)
         before = rest
@@ -363,16 +380,15 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
         pairs = both.distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("same"), F.min("asked").alias("asked")).where("same >= asked").select("a", "b")
         pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         good = compare(pairs)
-        tried, found = tried.union(pairs), found.union(good)
+        tried = tried.union(pairs)
+        linking = not good.isEmpty()
+        if linking:
+            labels = materialise(_joined(labels, good), "roots")
         if last:
             discard(here, mixed)
-            return found
+            return _several(labels)
         # A list of one component stays so, and takes no part in what follows.
         kept, old = here.drop("root").join(mixed.select("token"), "token", "left_semi"), (here, mixed)
-        linking = not good.isEmpty()
-        if linking:
-            roots = components(found).withColumnRenamed("node", "c")
-            labels = materialise(members.join(roots, "c", "left").select("c", F.coalesce("root", "c").alias("root")), "roots")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
@@ -383,9 +399,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     with a null key get the component of their class, which is null only if all its
     keys are. Other columns are left out; an empty table gives no rows.
     """
-    rows, found = links(docs, key, text, k, percent)
+    rows, roots = links(docs, key, text, k, percent)
     classes = rows.where("c is not null").groupBy("c").agg(F.min("key").alias("low"))
-    roots = materialise(components(found), "components").withColumnRenamed("node", "c")
     named = classes.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = materialise(named.join(lowest, "root").select("c", "component_id"), "classes")

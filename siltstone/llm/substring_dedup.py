@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.components import components
 from siltstone.llm.frames import bounded_batches, ints, materialise
 from siltstone.llm.jaccard_join import FILTER_IDS, linked, sketch
 from siltstone.llm.text import Words, buffers, code_points_before, mix, owners, slices
@@ -215,7 +214,7 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
 
         return materialise(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "alike")
 
-    roots = materialise(components(linked(lists, percent, compare, sets.select("c", "sketch"))), "components").withColumnRenamed("node", "c")
+    roots = materialise(linked(lists, percent, compare, sets.select("c", "sketch")), "components")
     places = materialise(_places(docs, key, text), "paragraphs")
     seen = places.groupBy("c").agg(F.min("key").alias("low"), F.max("key").alias("high")).join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     many = seen.join(roots.select(F.col("root")).distinct().withColumn("linked", F.lit(True)), "root", "left").where(F.col("linked") | (F.col("low") != F.col("high")))

@@ -270,6 +270,26 @@ def test_join_against_brute_force(spark, monkeypatch, small):
     assert {tuple(r) for r in got} == brute_components(docs)
 
 
+def test_no_link_is_gone_through_twice(spark, monkeypatch):
+    random, given = np.random.default_rng(4), []
+    words = [f"w{i}" for i in range(300)]
+    base, docs = list(random.choice(words, 80)), []
+    for i in range(300):  # one large group of near copies
+        text = list(base)
+        for at in random.integers(0, 80, random.integers(0, 4)):
+            text[at] = str(random.choice(words))
+        docs.append((i, " ".join(text)))
+
+    def counted(links):
+        given.append({tuple(sorted(r)) for r in links.collect()})
+        return components(links)
+
+    monkeypatch.setattr(jaccard_join, "components", counted)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == brute_components(docs)
+    assert sum(map(len, given)) == len(set().union(*given))
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(50)] + [(100 + i, 100) for i in range(30)] + [(200, 200)]
     got = {tuple(r) for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
