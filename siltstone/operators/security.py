@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from ..plans.stored import Functions, Query, run_query
 from ..session import materialise, small_side
 
+# Functions of this module travel to the executors by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Display name of each role.
 ROLE_NAMES = {"admins": "Admin", "ingestors": "Ingestor"}
+#: Places (as a power of two) in the filter of needles, 8 MB; bytes of text hashed at once.
+FILTER_BITS, HASHED = 26, 1 << 18
+_BASE = 0x2545F4914F6CDD1D
 
 
 @dataclass(frozen=True)
@@ -98,18 +109,85 @@ def _lengths(df: DataFrame, column: str) -> list[int]:
     return sorted(r[0] for r in df.select(F.length(column)).distinct().where(F.length(column) > 0).collect())
 
 
+def _windows(column: pa.Array, lengths: Sequence[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray, np.ndarray]]:
+    """Bytes, rows, a length, where windows of that length begin in them, and the windows' hashes.
+
+    A hash is the window's own, wherever it stands. Windows that cut a character are left out."""
+    column = column.cast(pa.large_string()).fill_null("")
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    low = 0
+    while low < len(column):
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + HASHED, "right")) - 1)
+        raw = np.frombuffer(data, np.uint8)[bounds[low] : bounds[high]] if data is not None else np.zeros(0, np.uint8)
+        rows = np.repeat(np.arange(low, high), np.diff(bounds[low : high + 1]))
+        whole = np.append((raw & 0xC0) != 0x80, True)  # a character begins here
+        power, inverse = (np.cumprod(np.append(np.uint64(1), np.full(len(raw), base, np.uint64)), dtype=np.uint64) for base in (_BASE, pow(_BASE, -1, 2**64)))
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((raw + np.uint64(1)) * power[:-1], out=sums[1:])
+        for n in lengths:
+            places = max(0, len(raw) - n + 1)
+            at = np.flatnonzero((rows[:places] == rows[n - 1 :]) & whole[:places] & whole[n:]) if places else np.zeros(0, np.int64)
+            hashes = (sums[at + n] - sums[at]) * inverse[at] + np.uint64(n)
+            hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+            yield raw, rows, n, at, hashes ^ (hashes >> np.uint64(29))
+        low = high
+
+
+def _slots(hashes: np.ndarray) -> list[np.ndarray]:
+    return [((hashes >> np.uint64(by)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64) for by in (0, 64 - FILTER_BITS)]
+
+
+def _filter(needles: DataFrame) -> np.ndarray:
+    """A Bloom filter of the needles' texts, as 64-bit words; its size is fixed."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = pa.compute.binary_length(batch.column(0)).to_numpy(zero_copy_only=False)
+            for n in np.unique(own).tolist():
+                for *_, hashes in _windows(batch.column(0).filter(pa.array(own == n)), [n]):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_slots(hashes)))], ["slot"])
+
+    slots = needles.select("needle").mapInArrow(places, "slot long")
+    word, bit = F.shiftright("slot", 6), F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")
+    words = slots.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
 def first_within(hay: DataFrame, needles: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """For each needle the least `entry_id` of the hay whose text contains it.
 
     `hay` is (text, entry_id, *by), `needles` (needle, *by); `by` must agree.
-    Substrings of the lengths that needles have are looked up by equality, and
+    Substrings of the lengths that needles have are hashed in the tasks; those
+    that a filter of the needles lets pass are looked up by equality, and
     the least id is taken before the needles are joined: no pairs are made, and
     a needle that most of the hay contains costs one row per task."""
-    needles = needles.where("needle <> ''").distinct()
-    lengths = _lengths(needles, "needle")
+    needles = materialise(needles.where("needle <> ''").distinct(), "needles")
+    lengths = sorted(r[0] for r in needles.select(F.octet_length("needle")).distinct().collect())
     if not lengths:
         return needles.withColumn("entry_id", F.lit(None).cast(hay.schema["entry_id"].dataType)).limit(0)
-    pieces = hay.select(*by, "entry_id", F.explode(_pieces(F.col("text"), lengths)).alias("needle"))
+    shared = hay.sparkSession.sparkContext.broadcast(_filter(needles))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            for raw, rows, n, at, hashes in _windows(batch.column(0), lengths):
+                for i in range(2):  # the second place only where the first is set
+                    slot = _slots(hashes)[i]
+                    hit = (words[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0
+                    at, hashes = at[hit], hashes[hit]
+                if len(at):
+                    texts = raw[at[:, None] + np.arange(n)].tobytes()
+                    ends = pa.array(np.arange(len(at) + 1, dtype=np.int32) * n)
+                    found = pa.StringArray.from_buffers(len(at), ends.buffers()[1], pa.py_buffer(texts))
+                    yield pa.RecordBatch.from_arrays([found, *(c.take(pa.array(rows[at])) for c in batch.columns[1:])], names)
+
+    kept = hay.where("text is not null").select("text", "entry_id", *by)
+    names = ["needle", *kept.columns[1:]]
+    schema = T.StructType([T.StructField("needle", T.StringType()), *kept.schema.fields[1:]])
+    pieces = kept.mapInArrow(run, schema)
     asked = pieces.join(small_side(needles), ["needle", *by], "left_semi")
     return asked.groupBy("needle", *by).agg(F.min("entry_id").alias("entry_id"))
 

@@ -23,6 +23,15 @@ def test_substring_lookups_against_brute_force(spark):
     assert {(r["text"], r["w"]): r["entry_id"] for r in got.collect()} == {k: v for k, v in want.items() if v is not None}
 
 
+def test_only_substrings_that_may_be_needles_are_made(spark, monkeypatch):
+    monkeypatch.setattr(sec, "HASHED", 64)
+    hay = spark.range(3000).selectExpr("concat('é name #', id, ' ü of nobody at all') AS text", "id AS entry_id")
+    asked = spark.createDataFrame([("é name #17 ü",), ("#29",), ("missing",), ("\u00fc of nobody at all!",)], "needle string")
+    found = sec.first_within(hay, asked)
+    assert {tuple(r) for r in found.collect()} == {("é name #17 ü", 17), ("#29", 29)}
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_matching_picks_the_first_entry(spark):
     directory = spark.createDataFrame(
         [(1, "aaduser=guid1;t", "Ann (upn: ann@example.com)", "Table X Admin"), (2, "aaduser=guid2;t", "Bob", "Table X Ingestor"), (3, "AADUSER=GUID1;T", "Ann again", "Table X Admin"), (4, None, None, "Admin")],
