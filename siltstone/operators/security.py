@@ -241,6 +241,7 @@ def match_principals(requests: DataFrame, directory: DataFrame) -> DataFrame:
 def with_principal_details(matches: DataFrame, directory: DataFrame, attributes: Sequence[str] = ("fqn", "principal_type", "display_name", "notes")) -> DataFrame:
     """Attributes of the matched entry; null where nothing matched. `directory` is
     unique by entry_id; of its columns only the matched entries' are looked up."""
+    matches = materialise(matches, "matches")  # asked for twice
     wanted = matches.select("entry_id").where("entry_id IS NOT NULL").distinct()
     found = materialise(directory.select("entry_id", *attributes).join(small_side(materialise(wanted, "matched")), "entry_id", "left_semi"), "details")
     return matches.join(small_side(found), "entry_id", "left")

@@ -32,6 +32,20 @@ def test_only_substrings_that_may_be_needles_are_made(spark, monkeypatch):
     assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_details_match_once(spark, monkeypatch):
+    looked = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            looked.add(batch.num_rows)
+            yield batch
+
+    matches = spark.createDataFrame([(1, 7), (2, None)], "k int, entry_id int").coalesce(1).mapInArrow(count, "k int, entry_id int")
+    directory = spark.createDataFrame([(7, "f")], "entry_id int, fqn string")
+    got = {(r["k"], r["fqn"]) for r in sec.with_principal_details(matches, directory, ["fqn"]).collect()}
+    assert got == {(1, "f"), (2, None)} and looked.value == 2
+
+
 def test_matching_picks_the_first_entry(spark):
     directory = spark.createDataFrame(
         [(1, "aaduser=guid1;t", "Ann (upn: ann@example.com)", "Table X Admin"), (2, "aaduser=guid2;t", "Bob", "Table X Ingestor"), (3, "AADUSER=GUID1;T", "Ann again", "Table X Admin"), (4, None, None, "Admin")],
