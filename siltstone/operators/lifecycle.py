@@ -301,7 +301,7 @@ def part_table(table) -> DataFrame:
 def run_merges(table, policy: MergePolicy, as_of: datetime | str) -> int:
     """Rewrite small parts of a table, one part per group, and switch them in
     with one commit. Gives the number of parts replaced. The driver sees names of
-    part folders only; a task holds at most one group, which the bounds limit."""
+    part folders only; a large group is split over several tasks and files of its folder."""
     if not policy.allow_rebuild:
         return 0
     plan = plan_merges(part_table(table), ["table_name"], policy, as_of).select("path", "merge_group")
@@ -311,7 +311,7 @@ def run_merges(table, policy: MergePolicy, as_of: datetime | str) -> int:
     batches = {batch: part for part, held in table.folders.items() if part in group_of for batch in held}
     rows = table.read_batches(list(batches))
     located = rows.withColumn("path", F.regexp_extract("_metadata.file_path", _PART, 1))
-    merged = located.join(small_side(plan), "path").select(*rows.columns, "merge_group").repartition("merge_group")
+    merged = located.join(small_side(plan), "path").select(*rows.columns, "merge_group").hint("rebalance", "merge_group")
     staged = table.stage(merged, ["merge_group"])
     table.move_batches({batch: f"{staged}/merge_group={group_of[part]}" for batch, part in batches.items()})
     return len(group_of)

@@ -90,6 +90,21 @@ def test_merge_bounds_are_kept(spark, folder):
     assert len(table.folders) == 2 and table.read().distinct().count() == 10 and table.read().count() == 60
 
 
+def test_a_large_group_is_not_one_task(spark, folder):
+    table = Table(spark, folder())
+    for i in range(3):
+        table.append(spark.range(i * 40_000, (i + 1) * 40_000).withColumn("x", F.sha2(F.col("id").cast("string"), 256)), batch=str(i))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1m")
+    try:
+        assert run_merges(table, MergePolicy(lookback="All"), "2100-01-01") == 3
+    finally:
+        spark.conf.unset(size)
+    counts = [r["count"] for r in table.read().groupBy("_metadata.file_path").count().collect()]
+    assert sum(counts) == 120_000 and max(counts) < 60_000 and len(table.folders) == 1
+    assert table.read().distinct().count() == 120_000
+
+
 def test_merging_can_be_off(spark, folder):
     table = Table(spark, folder())
     for i in range(3):
