@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.frames import bounded_batches, release
 from siltstone.llm.pii import TrimmedWords
-from siltstone.llm.text import buffers, code_points_before, fold_case, slices
+from siltstone.llm.text import SLICE, buffers, code_points_before, fold_case, slices
 
 #: Words in a shingle; bits that fingerprints may differ in.
 SHINGLE, RADIUS = 5, 15
@@ -163,7 +163,7 @@ def _finder(shared, threshold: float, key: str, item: str):
         for batch in batches:
             data, bounds = buffers(batch.column(1))
             found = []
-            for low, high in slices(bounds):
+            for low, high in slices(bounds, SLICE // 4):  # each byte takes many times its size here
                 own, at = data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low]
                 words = TrimmedWords(fold_case(own), at)
                 shingles, places = words.shingles(SHINGLE)

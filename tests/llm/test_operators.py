@@ -1,10 +1,13 @@
 """Each operator against a brute-force version, and on odd tables."""
 
 import re
+import tracemalloc
+import types
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -308,6 +311,20 @@ def test_fingerprints_within_the_radius_are_candidates():
         assert any(y in decontaminate._near(x) for x, y in blocks)
 
 
+def test_the_search_for_leaks_takes_little_memory():
+    random, words = np.random.default_rng(6), [f"word{i}" for i in range(3000)]
+    texts = pa.array([" ".join(random.choice(words, 200)) for _ in range(2000)])
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(2000)), "text": texts})
+    find = decontaminate._finder(types.SimpleNamespace(value=[(1, " ".join(words[:30]))]), 0.8, "doc_id", "item_id")
+    list(find(iter([batch])))
+    tracemalloc.start()
+    try:
+        list(find(iter([batch])))
+        assert tracemalloc.get_traced_memory()[1] < 8 * batch.nbytes
+    finally:
+        tracemalloc.stop()
+
+
 def test_leaks_against_brute_force(spark, sf):
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
 
