@@ -38,6 +38,8 @@ SAMPLE = 16
 HOT, HOT_MANY, HOT_BITS = 3, 300_000, 1 << 23
 #: Bits of the sketch of a set; lists of more than SMALL members are compared by it, in blocks of BLOCK members.
 SKETCH, SMALL, BLOCK = 1024, 32, 2048
+#: Hubs that offer less than one pair for so many list entries end the rounds.
+FEW_PAIRS = 1000
 #: Ids that a filter on the workers may hold (8 bytes each).
 FILTER_IDS = 4_000_000
 
@@ -241,13 +243,16 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
     Pairs are compared as far as components need it: between classes already
     joined by links, further ones are left out.
     """
-    rows = materialise(_signed(docs, key, text, k), "signed")
-    drawn = rows.where("size(drawn) > 0").select("c", "drawn").dropDuplicates(["c"])
+    signed = materialise(_signed(docs, key, text, k), "signed")
+    drawn = signed.where("size(drawn) > 0").select("c", "drawn").dropDuplicates(["c"])
     bits = _hot_bits(drawn.select(F.explode("drawn").alias("token")))
+    rows = materialise(signed.drop("drawn"), "rows")
+    discard(signed)
     lists = materialise(_prefixes(docs, text, k, percent, bits), "prefixes")
     entries = lists.select("c", F.posexplode("prefix").alias("place", "token")).repartition("token")
-    common = entries.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("df")).where("low <> high")
-    shared = materialise(entries.join(common.select("token", "df"), "token").dropDuplicates(["token", "c"]), "lists")
+    # Both sides of the join ask for all columns of the entries, so that these are shuffled once.
+    common = entries.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max("place").alias("far"), F.count(F.lit(1)).alias("df")).where("low <> high")
+    shared = materialise(entries.join(common.select("token", "far", "df"), "token").where("place <= far").drop("far").dropDuplicates(["token", "c"]), "lists")
 
     # The matches that each class asks for: the cheapest prefix, by list entries read and pairs compared.
     sizes = materialise(lists.select("c", "n", "end", F.size("prefix").alias("long")).dropDuplicates(["c"]), "sizes")
@@ -261,7 +266,8 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
         "end", (F.col("n") - (F.col("long") - F.col("met"))).alias("live"),
     )
     kept = materialise(shared.join(asked, "c").where(F.col("place") <= base + F.col("matches") - 1).drop("place", "df"), "asked")
-    discard(shared, sizes)
+    sketches = materialise(lists.join(kept.select("c").distinct(), "c", "left_semi").select("c", "sketch").dropDuplicates(["c"]), "sketches")
+    discard(shared, sizes, lists)
     classes = rows.where("c is not null").groupBy("c").agg(F.xxhash64(F.min("key")).alias("row"))
 
     def compare(pairs: DataFrame) -> DataFrame:
@@ -271,7 +277,7 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4,
         discard(wanted, sets)
         return similar
 
-    return rows, linked(kept, percent, compare, lists.select("c", "sketch").dropDuplicates(["c"]))
+    return rows, linked(kept, percent, compare, sketches)
 
 
 def _across(here: DataFrame, mixed: DataFrame, percent: int, sketches: DataFrame | None) -> DataFrame:
@@ -363,6 +369,11 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
     members = materialise(kept.select("c").distinct(), "members")
     labels = members.select("c", F.col("c").alias("root"))
     linking, before, old = True, None, None
+
+    def untried(both: DataFrame) -> DataFrame:
+        pairs = both.distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("same"), F.min("asked").alias("asked")).where("same >= asked").select("a", "b")
+        return materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+
     while True:
         here = materialise(kept.join(labels, "c"), "labelled")
         if old is not None:
@@ -373,12 +384,15 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
         rest, entries = mixed.agg(F.sum((F.col("size") - F.col("main.members")) * F.col("size")), F.sum("size")).first()
         if rest is None:
             return _several(labels)
-        # Few pairs are left, or hubs that hardly save any more.
+        # Few pairs are left, or hubs that hardly save any more or have hardly any pair to offer.
         last = rest <= 4 * entries or not linking or (before is not None and rest > 0.8 * before)
         before = rest
-        both = _across(here, mixed, percent, sketches) if last else _to_hubs(here.join(mixed.select("token", "main"), "token"), percent)
-        pairs = both.distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("same"), F.min("asked").alias("asked")).where("same >= asked").select("a", "b")
-        pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = None
+        if not last:
+            pairs = untried(_to_hubs(here.join(mixed.select("token", "main"), "token"), percent))
+            last = pairs.count() * FEW_PAIRS < entries
+        if last:
+            pairs = untried(_across(here, mixed, percent, sketches))
         good = compare(pairs)
         tried = tried.union(pairs)
         linking = not good.isEmpty()

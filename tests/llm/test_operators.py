@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone import files
 from siltstone.llm import decontaminate, jaccard_join, language, licenses, neighbours, packing, pii, quality, sharding, substring_dedup
 from siltstone.llm.components import components
 from siltstone.llm.queries import tokenizer_model
@@ -428,6 +429,25 @@ def test_pipeline_drops_copies_and_leaks_of_rows_without_an_id(spark, folder):
     assert sorted((r.doc_id or 0, r.text or "") for r in left) == sorted((i or 0, t or "") for k, (i, t) in enumerate(texts) if k != 6)
 
 
+def test_join_reads_its_entries_once_and_drops_prefixes(spark, monkeypatch):
+    plans, held, real = {}, {}, jaccard_join.materialise
+
+    def noted(df, label="stage"):
+        plans[label], out = df, real(df, label)
+        held[label] = out._folder
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialise", noted)
+    docs = [(i, " ".join(f"w{j + i % 3}" for j in range(40))) for i in range(30)]
+    rows, roots = jaccard_join.links(spark.createDataFrame(docs, "doc_id long, text string"))
+    columns = re.findall(  # one set of columns for both sides, so that they share one shuffle
+        r"Project \[c#\d+L, (?:place#\d+, )?token#\d+L\]|Generate .*", plans["lists"]._jdf.queryExecution().optimizedPlan().toString()
+    )
+    assert len({re.sub(r"#\d+", "", c) for c in columns}) == 1
+    assert not any(files.exists(spark, held[x]) for x in ("prefixes", "signed", "lists"))
+    assert rows.count() == 30
+
+
 def test_pipeline_components_against_brute_force(spark, sf):
     import corpus_pipeline
 
