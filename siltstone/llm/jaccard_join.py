@@ -10,8 +10,9 @@ its prefix that no other prefix has. That bounds the overlap of the two from
 above, so copies with edits of their own are not offered to each other.
 
 Equal sets are one class. Lists are not turned into all pairs: each list first
-offers its members to one hub only, and members already linked, by any path, need
-no pair of their own. What remains are pairs across components, which are all
+offers its members to one hub only, or to the one that their sketches show as the
+nearest, and members already linked, by any path, need no pair of their own. What
+remains are pairs across components, which are all
 compared. So no link between different texts that matters to a component is lost.
 """
 
@@ -40,6 +41,8 @@ HOT, HOT_MANY, HOT_BITS = 3, 300_000, 1 << 23
 SKETCH, SMALL, BLOCK = 1024, 32, 2048
 #: Hubs that offer less than one pair for so many list entries end the rounds.
 FEW_PAIRS = 1000
+#: From so many possible pairs for a list entry on, members of long lists are first offered to their nearest one.
+DENSE = 16
 #: Ids that a filter on the workers may hold (8 bytes each).
 FILTER_IDS = 4_000_000
 
@@ -291,18 +294,24 @@ def _across(here: DataFrame, mixed: DataFrame, percent: int, sketches: DataFrame
     return pairs.union(_across_long(here, mixed, percent, sketches))
 
 
-def _across_long(here: DataFrame, mixed: DataFrame, percent: int, sketches: DataFrame | None) -> DataFrame:
-    """The same for long lists, in pairs of bounded blocks; only pairs that their sketches allow come out."""
+def _across_long(here: DataFrame, mixed: DataFrame, percent: int, sketches: DataFrame | None, nearest: bool = False) -> DataFrame:
+    """The same for long lists, in pairs of bounded blocks; only pairs that their sketches allow come out.
+
+    With `nearest`, each member comes with one other of its block only, the one
+    whose sketch is nearest, and need share no further list with it.
+    """
     members = here.join(mixed.where(F.col("size") > SMALL).select("token", "size"), "token")
     members = members.join(sketches, "c") if sketches is not None else members.withColumn("sketch", F.lit(None).cast("binary"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    members = members.withColumn("mine", F.pmod(F.xxhash64("c"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    members = members.withColumn("mine", F.pmod(F.xxhash64("c"), blocks).cast("int"))
+    members = members.withColumn("other", F.col("mine") if nearest else F.explode(F.sequence(F.lit(0), blocks - 1)))
     members = members.select("token", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "c", "n", "root", "matches", "live", "end", "sketch")
 
     def compare(table: pa.Table) -> pa.Table:
         c, n, root, asked, mine, live, end = (table.column(x).to_numpy() for x in ("c", "n", "root", "matches", "mine", "live", "end"))
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+        right = right[np.argsort(c[right])]
         raw = table.column("sketch").to_pylist()
         bits = np.frombuffer(b"".join(raw), np.uint64).reshape(len(c), -1) if raw[0] is not None else None
         found = []
@@ -313,16 +322,20 @@ def _across_long(here: DataFrame, mixed: DataFrame, percent: int, sketches: Data
             first, later = end[i][:, None], end[right]
             common = np.where(first < later, live[i][:, None], np.where(first > later, live[right], np.maximum(live[i][:, None], live[right])))
             ok &= 100 * common >= percent * (n[i][:, None] + n[right] - common)
-            if low == high:
+            if low == high and not nearest:
                 ok &= c[i][:, None] < c[right]
             if bits is not None:
                 apart = sum(np.bitwise_count(bits[i, w][:, None] ^ bits[right, w]).astype(np.int32) for w in range(bits.shape[1]))
                 ok &= (100 + percent) * apart <= (100 - percent) * (n[i][:, None] + n[right])
-            x, y = np.nonzero(ok)
+            if nearest:
+                x = np.flatnonzero(ok.any(axis=1))
+                y = np.where(ok, apart, SKETCH + 1).argmin(axis=1)[x]  # the smaller of two that are as near
+            else:
+                x, y = np.nonzero(ok)
             found.append((i[x], right[y]))
         x, y = (np.concatenate(f) for f in zip(*found)) if found else (left[:0], right[:0])
         out = {"token": pa.array(np.full(len(x), table.column("token")[0].as_py(), np.int64)), "a": pa.array(np.minimum(c[x], c[y])),
-               "b": pa.array(np.maximum(c[x], c[y])), "asked": pa.array(np.minimum(asked[x], asked[y]).astype(np.int32))}
+               "b": pa.array(np.maximum(c[x], c[y])), "asked": pa.array(np.ones(len(x), np.int32) if nearest else np.minimum(asked[x], asked[y]).astype(np.int32))}
         return pa.table(out)
 
     return members.groupBy("token", "low", "high").applyInArrow(compare, "token long, a long, b long, asked int")
@@ -359,16 +372,22 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
     must share, by either side) and weight; if known, `live` (its shingles that
     another member may have) and `end` (see `_offered`). `compare` gives those of the pairs (a,
     b) that are similar. As long as the pairs across components are many, lists
-    only offer their members to a hub; then all pairs across components are
-    compared. A round's links join the components of the round before, so no link
-    is gone through twice.
+    only offer their members to a hub, and then long lists only to the member whose
+    sketch is nearest; at last all pairs across components are compared. A round's
+    links join the components of the round before, so no link is gone through twice.
     """
     tried = kept.sparkSession.createDataFrame([], "a long, b long")
     if "live" not in kept.columns:
         kept = kept.withColumns({"live": F.col("n"), "end": F.lit(0).cast("long")})
     members = materialise(kept.select("c").distinct(), "members")
     labels = members.select("c", F.col("c").alias("root"))
-    linking, before, old = True, None, None
+    before = old = None
+    ways = ["hubs", "nearest", "all"] if sketches is not None else ["hubs", "all"]
+
+    def offered(way: str) -> DataFrame:
+        if way == "hubs":
+            return _to_hubs(here.join(mixed.select("token", "main"), "token"), percent)
+        return _across(here, mixed, percent, sketches) if way == "all" else _across_long(here, mixed, percent, sketches, nearest=True)
 
     def untried(both: DataFrame) -> DataFrame:
         pairs = both.distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("same"), F.min("asked").alias("asked")).where("same >= asked").select("a", "b")
@@ -384,21 +403,25 @@ def linked(kept: DataFrame, percent: int, compare: Callable[[DataFrame], DataFra
         rest, entries = mixed.agg(F.sum((F.col("size") - F.col("main.members")) * F.col("size")), F.sum("size")).first()
         if rest is None:
             return _several(labels)
-        # Few pairs are left, or hubs that hardly save any more or have hardly any pair to offer.
-        last = rest <= 4 * entries or not linking or (before is not None and rest > 0.8 * before)
+        # Hubs, or nearest members, that hardly save any more.
+        if ways[0] != "all" and before is not None and rest > 0.8 * before:
+            ways.pop(0)
+        good = None
+        while good is None:
+            if ways[0] == "hubs" and rest <= 4 * entries:  # few pairs are left
+                ways.pop(0)
+            if ways[0] == "nearest" and rest <= DENSE * entries:
+                ways.pop(0)
+            pairs = untried(offered(ways[0]))
+            if ways[0] == "all" or pairs.count() * FEW_PAIRS >= entries:
+                tried, good = tried.union(pairs), compare(pairs)
+            if ways[0] != "all" and (good is None or good.isEmpty()):  # they have hardly any pair to offer, or no similar one
+                ways.pop(0)
+                good = None
         before = rest
-        pairs = None
-        if not last:
-            pairs = untried(_to_hubs(here.join(mixed.select("token", "main"), "token"), percent))
-            last = pairs.count() * FEW_PAIRS < entries
-        if last:
-            pairs = untried(_across(here, mixed, percent, sketches))
-        good = compare(pairs)
-        tried = tried.union(pairs)
-        linking = not good.isEmpty()
-        if linking:
+        if not good.isEmpty():
             labels = materialise(_joined(labels, good), "roots")
-        if last:
+        if ways[0] == "all":
             discard(here, mixed)
             return _several(labels)
         # A list of one component stays so, and takes no part in what follows.

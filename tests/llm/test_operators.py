@@ -294,6 +294,23 @@ def test_no_link_is_gone_through_twice(spark, monkeypatch):
     assert sum(map(len, given)) == len(set().union(*given))
 
 
+def test_near_copies_make_few_pairs_though_hubs_link_none(spark, monkeypatch):
+    random, made, real = np.random.default_rng(6), [], (jaccard_join._to_hubs, jaccard_join._across)
+    words = [f"w{i}" for i in range(300)]
+    base, docs = list(random.choice(words, 80)), []
+    for i in range(300):
+        text = list(base)
+        for at in random.integers(0, 80, random.integers(0, 3)):
+            text[at] = str(random.choice(words))
+        docs.append((i, " ".join(text)))
+
+    monkeypatch.setattr(jaccard_join, "_to_hubs", lambda sides, percent: real[0](sides, percent).where("a % 50 = 0"))
+    monkeypatch.setattr(jaccard_join, "_across", lambda *given: made.append(real[1](*given).count()) or real[1](*given))
+    got = jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == brute_components(docs)
+    assert sum(made) < 10 * len(docs)
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(50)] + [(100 + i, 100) for i in range(30)] + [(200, 200)]
     got = {tuple(r) for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
