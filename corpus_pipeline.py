@@ -29,27 +29,34 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where((F.col("lang_pred") != language.UNKNOWN) & ~foreign).select(docs.columns)
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """`docs` with a number of its own for each row, written down so that it stays; ids may be null or repeat."""
+def _named(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a name for each row, in the order of ids, null last; only repeated rows have the same.
+
+    It follows from the row, so it stays the same without a copy of the documents.
+    """
     row = fresh_name(docs, "_row")
-    return materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    every = F.xxhash64(*[x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
+    return docs.withColumn(row, F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), every.alias("every"))), row
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near duplicates, the one with the smallest id, null last; repeated rows stay once."""
-    rows, row = _numbered(docs)
+    rows, row = _named(docs)
     groups = materialise(jaccard_join.near_duplicates(rows, key=row, k=SHINGLE, percent=PERCENT).select(row, "component_id"), "groups")
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
-    stay = groups.join(rows.select(row, "doc_id"), row).groupBy("component_id").agg(F.min(order)["row"].alias(row))
-    losers = materialise(groups.select(row).join(stay.select(row), row, "left_anti"), "losers")
-    kept = rows.join(small_side(losers), row, "left_anti").select(docs.columns)
-    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")  # these link with nothing
-    return kept.where(~wordless).unionByName(kept.where(wordless).dropDuplicates())
+    stays = F.col(row) == F.col("component_id")
+    losers = materialise(groups.where(~stays).select(row).distinct(), "losers")
+    twice = materialise(groups.where(stays).groupBy(row).count().where("count > 1").select(row), "twice")
+    kept = rows.join(small_side(losers), row, "left_anti")
+    if twice.isEmpty():
+        return kept.select(docs.columns)
+    twice = small_side(twice)
+    once, again = kept.join(twice, row, "left_anti"), kept.join(twice, row, "left_semi")
+    return once.select(docs.columns).unionByName(again.select(docs.columns).dropDuplicates())
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a passage of the benchmark."""
-    rows, row = _numbered(docs)
+    rows, row = _named(docs)
     found = decontaminate.leaks(rows.select(row, "text"), read_table(spark, sf_dir, "benchmark"), key=row)
     leaking = materialise(found.select(row).distinct(), "leaking")
     return rows.join(small_side(leaking), row, "left_anti").select(docs.columns)

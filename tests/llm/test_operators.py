@@ -446,6 +446,19 @@ def test_pipeline_drops_copies_and_leaks_of_rows_without_an_id(spark, folder):
     assert sorted((r.doc_id or 0, r.text or "") for r in left) == sorted((i or 0, t or "") for k, (i, t) in enumerate(texts) if k != 6)
 
 
+def test_pipeline_writes_no_copy_of_the_documents(spark, folder, monkeypatch):
+    import corpus_pipeline
+
+    docs = table(spark, [(i, f"some text of {i} that is like no other {i * i} at all", "en") for i in range(20)] + [(None, "one that has no id", "en")] * 2)
+    written = []
+    monkeypatch.setattr(corpus_pipeline, "materialise", lambda df, label: written.append(df) or df)
+    sf = folder()
+    spark.createDataFrame([(1, "some text of 7 that is like no other 49 at all")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, sf).count() == 21
+    assert {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, docs, sf).collect()} == {None, *range(20)} - {7}
+    assert written and all("text" not in df.columns for df in written)
+
+
 def test_join_reads_its_entries_once_and_drops_prefixes(spark, monkeypatch):
     plans, held, real = {}, {}, jaccard_join.materialise
 
