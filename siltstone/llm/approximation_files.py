@@ -7,10 +7,11 @@ product of a query with every vector of the page from both sides. The search sca
 these bounds, keeps what may be among the best, and reads exact vectors in order
 of their bounds until the kth result is certain.
 
-Pages are written once. Queries come in blocks, and each block is sent to each
-page (a stated set of queries against all rows); pages don't move more often than
-a block of PAGE_QUERIES queries asks. A page passes on no more than k results of
-a query.
+Pages are written once. Queries come in blocks, and each block meets each page (a
+stated set of queries against all rows): a task reads some pages from the shared
+folder and a block of about PAGE_QUERIES queries from the tasks that made it.
+Neither goes through the driver, and no copies are written. A page passes on no
+more than k results of a query.
 """
 
 from __future__ import annotations
@@ -119,16 +120,16 @@ def _rows(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     return some.select(F.col(key).cast("long").alias("id"), floors.alias("v")).distinct()
 
 
-def _spread(rows: DataFrame, size: int) -> DataFrame:
-    """`rows` with `dim` and a `part` of about `size` rows; equal vectors are spread by their ids."""
+def _spread(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """`rows` with `dim` and a `part` of about `size` rows, and how many parts; equal vectors are spread by their ids."""
     parts = max(1, -(-rows.count() // size))
-    return rows.withColumns({"dim": F.size("v"), "part": F.pmod(F.xxhash64("id", "v"), F.lit(parts)).cast("int")})
+    return rows.withColumns({"dim": F.size("v"), "part": F.pmod(F.xxhash64("id", "v"), F.lit(parts)).cast("int")}), parts
 
 
 def build_files(vectors: DataFrame, k: int, scale: int = 64, key: str = "vec_id", vector: str = "embedding", page_rows: int = PAGE_ROWS) -> DataFrame:
     """One row for each page: dim, page, and its exact vectors with their approximation file."""
     bounded_batches(vectors.sparkSession)
-    placed = _spread(materialise(_rows(vectors, key, vector, scale), "vectors"), page_rows)
+    placed, _ = _spread(materialise(_rows(vectors, key, vector, scale), "vectors"), page_rows)
 
     def pack(table: pa.Table) -> pa.Table:
         dim = table.column("dim")[0].as_py()
@@ -159,7 +160,7 @@ def search(files: DataFrame, queries: DataFrame, k: int, scale: int = 64, key: s
     too large for 64-bit products raise an error (`centroids.checked`).
     """
     bounded_batches(queries.sparkSession)
-    asked = _spread(materialise(_rows(queries, key, vector, scale), "queries"), PAGE_QUERIES)
+    asked, blocks = _spread(materialise(_rows(queries, key, vector, scale), "queries"), PAGE_QUERIES)
 
     def gather(table: pa.Table) -> pa.Table:
         dim = table.column("dim")[0].as_py()
@@ -167,10 +168,8 @@ def search(files: DataFrame, queries: DataFrame, k: int, scale: int = 64, key: s
         return pa.table({"dim": table.column("dim")[:1], "block": table.column("part")[:1], "queries": pa.array([packed], pa.binary())})
 
     blocked = asked.withColumn("q", F.xxhash64("v")).groupBy("dim", "part").applyInArrow(gather, "dim int, block int, queries binary")
-    # The blocks go to the pages: one copy of a block for each page, keyed by the page.
-    last = files.agg(F.max("page")).first()[0]
-    sent = blocked.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(last or 0))))
-    meetings = sent.join(files, ["dim", "page"])
+    # Spark takes a block for a row of about a hundred bytes; left to itself, it broadcasts the blocks by way of the driver.
+    meetings = files.join(blocked.repartition(blocks, "dim", "block").hint("shuffle_replicate_nl"), "dim")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()

@@ -126,6 +126,17 @@ def test_search_against_brute_force(spark, monkeypatch, page_rows):
     assert Counter(tuple(r) for r in got) == brute_search(rows, 5)
 
 
+def test_search_sends_neither_blocks_nor_pages_through_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(approximation_files, "PAGE_QUERIES", 7)
+    rows = mixed(np.random.default_rng(6))
+    table = vectors(spark, rows)
+    found = approximation_files.search(approximation_files.build_files(table, k=5, page_rows=60), table.where("vec_id % 20 = 0"), k=5)
+    assert Counter(tuple(r) for r in found.collect()) == brute_search(rows, 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    assert "Generate" not in plan  # nor are blocks copied for each page
+
+
 def test_search_of_nothing_and_of_too_much(spark):
     empty = vectors(spark, [])
     some = vectors(spark, [(0, [1.0, 2.0]), (20, [-1.0, 0.5])])
